@@ -101,7 +101,7 @@ def require_files(spark: SparkSession, raw_dir: str, years: Iterable[int] = VINT
         raise FileNotFoundError("Missing source files:\n- " + "\n- ".join(missing))
 
 
-def write_delimited(rows: DataFrame, path: str, fields: list[str]) -> None:
-    """Write text fields in file order, one line per row, without quoting."""
+def as_lines(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """Add ``value``: the text fields in file order as one unquoted line."""
     line = F.concat_ws("|", *(F.coalesce(F.col(name), F.lit("")) for name in fields))
-    rows.select(line.alias("value")).write.text(path)
+    return rows.withColumn("value", line)
