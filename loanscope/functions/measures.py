@@ -1,4 +1,8 @@
-"""Additive measures, rates and band labels."""
+"""Additive measures, rates and labels.
+
+Helpers used for whole lists of columns return SQL text, so that a wide select
+is built in one call; the others return columns.
+"""
 
 from __future__ import annotations
 
@@ -15,35 +19,29 @@ def total(amount: Column) -> Column:
     return F.sum(amount).cast(TOTAL)
 
 
-def total_where(condition: Column, amount: Column) -> Column:
+def total_where(condition: str, amount: str) -> str:
     """Sum of the amounts for which the condition is true; 0 if there are none."""
-    return F.coalesce(total(F.when(condition, amount)), F.lit(0).cast(TOTAL))
+    return f"cast(coalesce(sum({amount}) FILTER (WHERE {condition}), 0) AS {TOTAL})"
 
 
-def count_total_where(condition: Column, count: Column) -> Column:
+def count_total_where(condition: str, count: str) -> str:
     """The same for pre-counted rows."""
-    return F.coalesce(F.sum(F.when(condition, count)), F.lit(0)).cast("bigint")
+    return f"cast(coalesce(sum({count}) FILTER (WHERE {condition}), 0) AS bigint)"
 
 
-def rate(numerator: str, denominator: str) -> Column:
+def rate(numerator: str, denominator: str) -> str:
     """Share in double precision, NULL on a zero denominator."""
-    divisor = F.nullif(F.col(denominator), F.lit(0))
-    return F.col(numerator).cast("double") / divisor.cast("double")
+    return f"double({numerator}) / nullif(double({denominator}), 0)"
 
 
-def banded(value: Column, bands: Sequence[tuple[int | None, str]], unknown: str) -> Column:
+def banded(value: str, bands: Sequence[tuple[int | None, str]], unknown: str) -> str:
     """Label of the first band whose upper edge is not below the value."""
-    label = F.when(value.isNull(), F.lit(unknown))
-    for upper, name in bands:
-        if upper is None:
-            return label.otherwise(F.lit(name))
-        label = label.when(value <= upper, F.lit(name))
-    return label
+    closed = " ".join(f"WHEN {value} <= {upper} THEN '{name}'" for upper, name in bands if upper)
+    last = next(name for upper, name in bands if upper is None)
+    return f"CASE WHEN {value} IS NULL THEN '{unknown}' {closed} ELSE '{last}' END"
 
 
-def ranked(value: Column, order: dict[str, int], default: int | None = None) -> Column:
+def ranked(value: str, order: dict[str, int], default: int) -> str:
     """Display position of a label."""
-    position = F.lit(default).cast("int")
-    for name, place in reversed(order.items()):
-        position = F.when(value == name, F.lit(place)).otherwise(position)
-    return position
+    places = " ".join(f"WHEN '{name}' THEN {place}" for name, place in order.items())
+    return f"CASE {value} {places} ELSE {default} END"

@@ -1,13 +1,12 @@
-"""Text-to-typed column expressions for raw fields.
+"""Text-to-typed expressions for raw fields, as SQL text.
 
-Every helper returns NULL for text it cannot read; nothing here raises.
+Each helper takes the name of a text column and returns an expression for
+``selectExpr`` or ``F.expr``; wide projections are then built in one call. Text
+that cannot be read becomes NULL; nothing here raises.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 MONEY = "decimal(18,2)"
 RATE = "decimal(9,3)"
 
@@ -16,49 +15,48 @@ TWO_DIGITS = r"\A[0-9]{2}\z"
 SIX_DIGITS = r"\A[0-9]{6}\z"
 
 
-def text(c: Column) -> Column:
+def text(field: str) -> str:
     """Blank text becomes NULL."""
-    return F.nullif(c, F.lit(""))
+    return f"nullif({field}, '')"
 
 
-def month(c: Column) -> Column:
+def month(field: str) -> str:
     """``yyyyMM`` (exactly six digits) as the first day of that month."""
-    return F.when(c.rlike(SIX_DIGITS), F.try_to_date(c, "yyyyMM"))
+    return f"if({field} RLIKE r'{SIX_DIGITS}', try_to_date({field}, 'yyyyMM'), NULL)"
 
 
-def number(c: Column, type_name: str) -> Column:
+def number(field: str, type_name: str) -> str:
     """Decimal text in the given decimal type."""
-    return text(c).try_cast(type_name)
+    return f"try_cast({field} AS {type_name})"
 
 
-def whole(c: Column, type_name: str = "smallint") -> Column:
+def whole(field: str, type_name: str = "smallint") -> str:
     """Integer text; a fractional literal is rounded half away from zero."""
-    rounded = F.round(c.try_cast("decimal(38,6)")).try_cast(type_name)
-    return F.coalesce(c.try_cast(type_name), rounded)
+    rounded = f"round(try_cast({field} AS decimal(38,6)))"
+    return f"coalesce(try_cast({field} AS {type_name}), try_cast({rounded} AS {type_name}))"
 
 
-def whole_unless(c: Column, missing_code: str) -> Column:
+def whole_unless(field: str, missing_code: str) -> str:
     """Integer text in which one code stands for "not available"."""
-    return F.when(c != missing_code, whole(c))
+    return f"if({field} <> '{missing_code}', {whole(field)}, NULL)"
 
 
-def missing_reason(c: Column, missing_code: str) -> Column:
+def missing_reason(field: str, missing_code: str) -> str:
     """Why a coded value is absent: by code, by blank, or NULL if present."""
-    return F.when(c == missing_code, F.lit("NOT_AVAILABLE")).when(
-        c.isNull() | (c == ""), F.lit("BLANK")
-    )
+    by_code = f"if({field} = '{missing_code}', 'NOT_AVAILABLE', NULL)"
+    return f"if(coalesce({field}, '') = '', 'BLANK', {by_code})"
 
 
-def two_digit_number(c: Column) -> Column:
+def two_digit_number(field: str) -> str:
     """Value of a text that is exactly two digits."""
-    return F.when(c.rlike(TWO_DIGITS), c.try_cast("smallint"))
+    return f"if({field} RLIKE r'{TWO_DIGITS}', try_cast({field} AS smallint), NULL)"
 
 
-def is_valid_month(c: Column) -> Column:
+def is_valid_month(field: str) -> str:
     """True or false, never NULL: six digits that name a calendar month."""
-    return month(c).isNotNull()
+    return f"({month(field)}) IS NOT NULL"
 
 
-def is_number(c: Column) -> Column:
+def is_number(field: str) -> str:
     """True or false, never NULL: non-blank text that reads as a float."""
-    return c.try_cast("double").isNotNull()
+    return f"try_cast({field} AS double) IS NOT NULL"

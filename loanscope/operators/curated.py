@@ -14,18 +14,23 @@ VINTAGE_COLUMNS = ["origination_year", "origination_quarter"]
 
 def dim_loan(origination: DataFrame) -> DataFrame:
     """One narrow row per staged origination row, with the three risk bands."""
-    return origination.select(
+    bands = {
+        "fico_band": banded("classic_fico", FICO_BANDS, UNKNOWN_BAND),
+        "cltv_band": banded("original_cltv", CLTV_BANDS, UNKNOWN_BAND),
+        "dti_band": banded("original_dti", DTI_BANDS, UNKNOWN_BAND),
+    }
+    columns = [
         "loan_id",
         *VINTAGE_COLUMNS,
         "first_payment_month",
         "maturity_month",
         "classic_fico",
-        banded(F.col("classic_fico"), FICO_BANDS, UNKNOWN_BAND).alias("fico_band"),
+        "fico_band",
         "original_cltv",
-        banded(F.col("original_cltv"), CLTV_BANDS, UNKNOWN_BAND).alias("cltv_band"),
+        "cltv_band",
         "original_ltv",
         "original_dti",
-        banded(F.col("original_dti"), DTI_BANDS, UNKNOWN_BAND).alias("dti_band"),
+        "dti_band",
         "original_upb",
         "original_interest_rate",
         "original_loan_term",
@@ -36,6 +41,9 @@ def dim_loan(origination: DataFrame) -> DataFrame:
         "channel",
         "source_year",
         "source_file",
+    ]
+    return origination.selectExpr(
+        *(f"{bands[name]} AS {name}" if name in bands else name for name in columns)
     )
 
 

@@ -58,19 +58,20 @@ DQ_RATES = {
 }
 
 
-def rate_columns(rates: dict[str, tuple[str, str]]) -> list[Column]:
-    return [rate(*parts).alias(name) for name, parts in rates.items()]
+def rate_columns(rates: dict[str, tuple[str, str]]) -> list[str]:
+    return [f"{rate(*parts)} AS {name}" for name, parts in rates.items()]
 
 
-def _coarse(attributes: list[str]) -> list[Column]:
-    """Panel attributes cut down to the distinctions the measures make."""
-    age, months = F.col("loan_age"), F.col("delinquency_months")
-    available = {
-        "is_pre_due": F.col("monitoring_state") == "PRE_DUE",
-        "delinquency_months": F.when(months >= 3, 3).otherwise(months),
-        "loan_age": F.when(age >= 1, 1).when(age == 0, 0).when(age < 0, -1),
-    }
-    return [available.get(name, F.col(name)).alias(name) for name in attributes]
+# Panel attributes cut down to the distinctions the measures make.
+_COARSE = {
+    "is_pre_due": "monitoring_state = 'PRE_DUE'",
+    "delinquency_months": "if(delinquency_months >= 3, 3, int(delinquency_months))",
+    "loan_age": "int(sign(loan_age))",
+}
+
+
+def _coarse(attributes: list[str]) -> list[str]:
+    return [f"{_COARSE.get(name, name)} AS {name}" for name in attributes]
 
 
 _CORE_ATTRIBUTES = ["is_on_book_eom", "is_delinquency_eligible", "delinquency_months"]
@@ -88,17 +89,16 @@ def _cell_totals() -> list[Column]:
 
 def _measures(populations: dict[str, str]) -> list[Column]:
     columns = []
-    for name, predicate in populations.items():
-        condition = F.expr(predicate)
-        columns.append(count_total_where(condition, F.col("cell_count")).alias(f"{name}_loan_count"))
-        columns.append(total_where(condition, F.col("cell_upb")).alias(f"{name}_upb"))
-    return columns
+    for name, condition in populations.items():
+        columns.append(f"{count_total_where(condition, 'cell_count')} AS {name}_loan_count")
+        columns.append(f"{total_where(condition, 'cell_upb')} AS {name}_upb")
+    return [F.expr(column) for column in columns]
 
 
 def portfolio_monthly(fact: DataFrame) -> DataFrame:
     """Portfolio measures, exclusion counts and rates per month."""
     cells = (
-        fact.select("as_of_month", "current_actual_upb", *_coarse(_ALL_ATTRIBUTES))
+        fact.selectExpr("as_of_month", "current_actual_upb", *_coarse(_ALL_ATTRIBUTES))
         .groupBy("as_of_month", *_ALL_ATTRIBUTES)
         .agg(*_cell_totals())
     )
@@ -106,7 +106,7 @@ def portfolio_monthly(fact: DataFrame) -> DataFrame:
     return (
         cells.groupBy("as_of_month")
         .agg(*_measures(populations))
-        .select(
+        .selectExpr(
             "as_of_month",
             *MONTHLY_MEASURES,
             *rate_columns(COVERAGE_RATES),
@@ -120,7 +120,7 @@ def _segment_mart(cells: DataFrame) -> DataFrame:
     return (
         cells.groupBy(*key)
         .agg(*_measures(CORE_POPULATIONS))
-        .select(*key, *CORE_MEASURES, *rate_columns(DQ_RATES))
+        .selectExpr(*key, *CORE_MEASURES, *rate_columns(DQ_RATES))
     )
 
 
@@ -132,28 +132,26 @@ def portfolio_by_segment(fact: DataFrame) -> DataFrame:
     months x (vintages + bands) x measure cells from each task, however many
     vintages the panel spans.
     """
-    rows = fact.select(
+    dimensions = list(SEGMENTS.values())
+    shared = ["as_of_month", *_CORE_ATTRIBUTES]
+    rows = fact.selectExpr(
         "as_of_month",
-        F.col("origination_year").cast("string").alias("origination_year"),
-        *(column for column in SEGMENTS.values() if column != "origination_year"),
+        *(f"string({column}) AS {column}" for column in dimensions),
         "current_actual_upb",
         *_coarse(_CORE_ATTRIBUTES),
     )
-    shared = ["as_of_month", *_CORE_ATTRIBUTES]
-    dimensions = list(SEGMENTS.values())
     cells = rows.groupingSets(
         [[*shared, dimension] for dimension in dimensions], *shared, *dimensions
-    ).agg(*(F.grouping(d).alias(f"{d}_absent") for d in dimensions), *_cell_totals())
+    ).agg(*(F.expr(f"grouping({d}) AS {d}_absent") for d in dimensions), *_cell_totals())
 
-    name, value = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for segment, column in SEGMENTS.items():
-        present = F.col(f"{column}_absent") == 0
-        name = F.when(present, segment).otherwise(name)
-        value = F.when(present, F.col(column)).otherwise(value)
+    # A band column is NULL both where it is absent from the set and, on damaged
+    # input, as a value; grouping() tells the two apart.
+    name = " ".join(f"WHEN {c}_absent = 0 THEN '{s}'" for s, c in SEGMENTS.items())
+    value = " ".join(f"WHEN {c}_absent = 0 THEN {c}" for c in dimensions)
     return _segment_mart(
-        cells.select(
-            name.alias("segment_name"),
-            value.alias("segment_value"),
+        cells.selectExpr(
+            f"CASE {name} END AS segment_name",
+            f"CASE {value} END AS segment_value",
             *shared,
             "cell_count",
             "cell_upb",
@@ -169,25 +167,19 @@ def portfolio_by_segment_prereduced(fact: DataFrame) -> DataFrame:
     """
     dimensions = list(SEGMENTS.values())
     cells = (
-        fact.select("as_of_month", *dimensions, "current_actual_upb", *_coarse(_CORE_ATTRIBUTES))
+        fact.selectExpr("as_of_month", *dimensions, "current_actual_upb", *_coarse(_CORE_ATTRIBUTES))
         .groupBy("as_of_month", *dimensions, *_CORE_ATTRIBUTES)
         .agg(*_cell_totals())
     )
-    labelled = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(segment).alias("segment_name"),
-                    F.col(column).cast("string").alias("segment_value"),
-                )
-                for segment, column in SEGMENTS.items()
-            )
-        )
-    )
+    cuts = ", ".join(f"'{segment}', string({column})" for segment, column in SEGMENTS.items())
     return _segment_mart(
-        cells.select(
-            "as_of_month", *_CORE_ATTRIBUTES, "cell_count", "cell_upb", labelled.alias("segment")
-        ).select("*", "segment.*")
+        cells.selectExpr(
+            "as_of_month",
+            *_CORE_ATTRIBUTES,
+            "cell_count",
+            "cell_upb",
+            f"stack({len(SEGMENTS)}, {cuts}) AS (segment_name, segment_value)",
+        )
     )
 
 
@@ -214,19 +206,10 @@ def transition_monthly(pairs: DataFrame) -> DataFrame:
         "from_month", "to_month", "origination_year", "from_state", "to_state"
     ).agg(count.alias("transition_loan_count"), upb.alias("transition_from_upb"))
 
-    scopes = F.explode(
-        F.array(
-            F.struct(F.lit("all").alias("segment_name"), F.lit("All").alias("segment_value")),
-            F.struct(
-                F.lit("origination_year").alias("segment_name"),
-                F.col("origination_year").cast("string").alias("segment_value"),
-            ),
-        )
-    )
+    scopes = "stack(2, 'all', 'All', 'origination_year', string(origination_year))"
     key = ["from_month", "to_month", "segment_name", "segment_value", "from_state", "to_state"]
     flows = (
-        by_vintage.select("*", scopes.alias("scope"))
-        .select("*", "scope.*")
+        by_vintage.selectExpr("*", f"{scopes} AS (segment_name, segment_value)")
         .groupBy(*key)
         .agg(
             F.sum("transition_loan_count").alias("transition_loan_count"),
@@ -234,10 +217,11 @@ def transition_monthly(pairs: DataFrame) -> DataFrame:
         )
     )
     cohort = Window.partitionBy(*COHORT)
-    return flows.select(
+    with_cohorts = flows.select(
         *key,
         "transition_loan_count",
         "transition_from_upb",
         F.sum("transition_loan_count").over(cohort).alias("observable_from_state_loan_count"),
         F.sum("transition_from_upb").over(cohort).cast(TOTAL).alias("observable_from_state_upb"),
-    ).select("*", *rate_columns(TRANSITION_RATES))
+    )
+    return with_cohorts.selectExpr("*", *rate_columns(TRANSITION_RATES))

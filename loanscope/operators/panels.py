@@ -72,13 +72,13 @@ def snapshot(monthly: DataFrame, month: MonthValue) -> DataFrame:
         monthly.filter(_is_month("as_of_month", month))
         .agg(*_summed(columns))
         .select(*(_or_zero(c) for c in columns))
-        .select("*", *rate_columns(COVERAGE_RATES))
+        .selectExpr("*", *rate_columns(COVERAGE_RATES))
     )
 
 
 def trend(monthly: DataFrame) -> DataFrame:
     """Population and rates per month."""
-    return monthly.select(
+    return monthly.selectExpr(
         "as_of_month", *CORE_MEASURES[:4], *rate_columns(COVERAGE_RATES), *rate_columns(DQ_RATES)
     )
 
@@ -102,18 +102,18 @@ def segment_panel(
         .groupBy("segment_value")
         .agg(*_summed(CORE_MEASURES))
     )
-    merged = F.col("segment_value") == OTHER_SEGMENT
+    note = f"if(segment_value = '{OTHER_SEGMENT}', 'Merged to minimum {k}', '')"
     return (
         _domain(segments.sparkSession, "segment_value", labels)
         .join(sums, "segment_value", "left")
         .select("position", "segment_value", *(_or_zero(c) for c in CORE_MEASURES))
-        .select(
+        .selectExpr(
             "position",
             "segment_value",
             *CORE_MEASURES[:4],
             *rate_columns(COVERAGE_RATES),
             *rate_columns(DQ_RATES),
-            F.when(merged, f"Merged to minimum {k}").otherwise("").alias("low_volume_note"),
+            f"{note} AS low_volume_note",
         )
     )
 

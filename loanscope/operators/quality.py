@@ -229,20 +229,22 @@ def measures_differ(left: DataFrame, monthly: DataFrame) -> DataFrame:
 def recalculated_months(performance: DataFrame, months: Iterable[str]) -> DataFrame:
     """Core measures of chosen months straight from staged fields, without flags."""
     wanted = [F.lit(month).cast("date") for month in months]
-    upb, status = F.col("current_actual_upb"), F.col("delinquency_status_raw")
-    on_book = is_on_book(upb, F.col("zero_balance_code"))
-    seasoned = on_book & (F.col("loan_age") >= 1)
+    on_book = "current_actual_upb > 0 AND zero_balance_code IS NULL"
+    seasoned = f"{on_book} AND loan_age >= 1"
     populations = {
         "on_book": on_book,
-        "delinquency_eligible": seasoned & status.rlike(TWO_DIGITS),
+        "delinquency_eligible": f"{seasoned} AND delinquency_status_raw RLIKE r'{TWO_DIGITS}'",
         **{
-            f"dq{30 * n}": seasoned & (status.try_cast("int") >= n) for n in (1, 2, 3)
+            f"dq{30 * n}": f"{seasoned} AND try_cast(delinquency_status_raw AS int) >= {n}"
+            for n in (1, 2, 3)
         },
     }
     measures = []
     for name, condition in populations.items():
-        measures.append(F.count_if(condition).alias(f"{name}_loan_count"))
-        measures.append(total_where(condition, upb).alias(f"{name}_upb"))
+        measures.append(F.expr(f"count_if({condition}) AS {name}_loan_count"))
+        measures.append(
+            F.expr(f"{total_where(condition, 'current_actual_upb')} AS {name}_upb")
+        )
     return (
         performance.filter(F.col("as_of_month").isin(wanted)).groupBy("as_of_month").agg(*measures)
     )
@@ -319,6 +321,12 @@ def _row_rules(expect: Expectations) -> dict[str, Callable[[], Column]]:
     }
 
 
+def _nested_measures(layers: Layers) -> DataFrame:
+    populations = ("delinquency_eligible", "dq30", "dq60", "dq90")
+    columns = [f"{p}_{unit}" for unit in ("loan_count", "upb") for p in populations]
+    return layers.monthly.select(*columns).unionByName(layers.segments.select(*columns))
+
+
 def failure_counts(
     layers: Layers, expect: Expectations, only: Iterable[str] | None = None
 ) -> DataFrame:
@@ -328,24 +336,16 @@ def failure_counts(
     if unknown:
         raise ValueError(f"unknown checks: {sorted(unknown)}")
 
-    hierarchy_columns = [
-        f"{p}_{unit}"
-        for unit in ("loan_count", "upb")
-        for p in ("delinquency_eligible", "dq30", "dq60", "dq90")
-    ]
-    both_marts = layers.monthly.select(*hierarchy_columns).unionByName(
-        layers.segments.select(*hierarchy_columns)
-    )
     rules = _row_rules(expect)
-    row_checks = [
-        (layers.origination, {"origination_risk_fields_valid"}),
-        (layers.performance, _PERFORMANCE_RULES),
-        (layers.fact, {"eligible_population_is_on_book"}),
-        (both_marts, _HIERARCHY_RULES),
-        (layers.pairs, _PAIR_RULES),
+    row_checks: list[tuple[Callable[[], DataFrame], set[str]]] = [
+        (lambda: layers.origination, {"origination_risk_fields_valid"}),
+        (lambda: layers.performance, _PERFORMANCE_RULES),
+        (lambda: layers.fact, {"eligible_population_is_on_book"}),
+        (lambda: _nested_measures(layers), _HIERARCHY_RULES),
+        (lambda: layers.pairs, _PAIR_RULES),
     ]
     results = [
-        count_rule_failures(rows, {name: rules[name]() for name in DETAILS if name in wanted})
+        count_rule_failures(rows(), {name: rules[name]() for name in DETAILS if name in wanted})
         for rows, names in row_checks
         if (wanted := names & chosen)
     ]

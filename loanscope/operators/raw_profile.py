@@ -82,92 +82,86 @@ MUST_BE_ZERO = [
 _PROFILE = ["dataset", "source_year", "metric", "item", "value"]
 
 
-def _present(field: str) -> Column:
+def _present(field: str) -> str:
     """Field text with blanks as empty strings."""
-    return F.coalesce(F.col(field), F.lit(""))
+    return f"coalesce({field}, '')"
 
 
-def _how_many(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, (condition.cast("int") for condition in conditions))
+def _usable(*conditions: str) -> str:
+    """How often conditions hold in well-formed lines."""
+    hits = " + ".join(f"int({condition})" for condition in conditions)
+    return f"sum({hits}) FILTER (WHERE NOT is_malformed)"
 
 
-def _usable(counter: Column) -> Column:
-    """Counters other than line counts skip malformed lines."""
-    return F.sum(F.when(~F.col("is_malformed"), counter)).cast("bigint")
+_LINE_COUNTERS = {
+    "row_count": "count(*)",
+    "rows_with_wrong_field_count": "count_if(is_malformed)",
+    "rows_with_non_ascii_text": r"count_if(value RLIKE r'[^\x00-\x7F]')",
+}
 
 
-def _line_counters() -> dict[str, Column]:
+def _missing_counters(fields: list[str]) -> dict[str, str]:
     return {
-        "row_count": F.count("*"),
-        "rows_with_wrong_field_count": F.count_if("is_malformed"),
-        "rows_with_non_ascii_text": F.count_if(F.col("value").rlike(r"[^\x00-\x7F]")),
+        f"missing_important_fields:{name}": _usable(f"{_present(name)} = ''") for name in fields
     }
 
 
-def _missing_counters(fields: list[str]) -> dict[str, Column]:
-    return {
-        f"missing_important_fields:{name}": _usable((_present(name) == "").cast("int"))
-        for name in fields
-    }
+def _counted(rows: DataFrame, keys: list[Column], counters: dict[str, str]) -> DataFrame:
+    columns = (F.expr(counter).cast("bigint").alias(name) for name, counter in counters.items())
+    return rows.groupBy("source_year", *keys).agg(*columns)
 
 
 def reduce_origination(lines: DataFrame) -> DataFrame:
     """Counters per year and loan over the origination lines."""
     sentinels = {
-        f"official_sentinel_counts:{name}={code}": _usable((_present(name) == code).cast("int"))
+        f"official_sentinel_counts:{name}={code}": _usable(f"{_present(name)} = '{code}'")
         for name, code in ORIGINATION_SENTINELS.items()
     }
     counters = {
-        **_line_counters(),
+        **_LINE_COUNTERS,
         "invalid_required_dates": _usable(
-            _how_many([~is_valid_month(F.col(name)) for name in ORIGINATION_DATES])
+            *(f"NOT ({is_valid_month(name)})" for name in ORIGINATION_DATES)
         ),
         "nonnumeric_values_in_numeric_fields": _usable(
-            _how_many([~is_number(F.col(name)) for name in ORIGINATION_NUMBERS])
+            *(f"NOT ({is_number(name)})" for name in ORIGINATION_NUMBERS)
         ),
         **_missing_counters(ORIGINATION_REQUIRED),
         **sentinels,
     }
-    rows = split_fields(lines, ORIGINATION_FIELDS)
-    return rows.groupBy("source_year", _loan()).agg(
-        *(counter.alias(name) for name, counter in counters.items())
-    )
+    return _counted(split_fields(lines, ORIGINATION_FIELDS), [_loan()], counters)
 
 
 def _loan() -> Column:
     """Loan id of a usable line; malformed lines share a NULL id."""
-    return F.when(~F.col("is_malformed"), _present("loan_id")).alias("loan_id")
+    return F.expr(f"if(is_malformed, NULL, {_present('loan_id')}) AS loan_id")
 
 
 def reduce_performance(lines: DataFrame) -> DataFrame:
     """Counters per year, loan and unusual code over the performance lines."""
     status, code = _present("current_loan_delinquency_status"), _present("zero_balance_code")
-    usual_status = status.rlike(TWO_DIGITS) | status.isin(NON_NUMERIC_STATUSES)
+    known_statuses = ", ".join(f"'{name}'" for name in NON_NUMERIC_STATUSES)
+    known_codes = ", ".join(f"'{name}'" for name in ["", *ZERO_BALANCE_CODES])
+    usual_status = f"{status} RLIKE r'{TWO_DIGITS}' OR {status} IN ({known_statuses})"
     unusual = {
-        "invalid_delinquency_statuses": F.when(
-            ~usual_status, F.when(status == "", "<blank>").otherwise(status)
-        ),
-        "invalid_zero_balance_codes": F.when(
-            (code != "") & ~code.isin(ZERO_BALANCE_CODES), code
-        ),
+        "invalid_delinquency_statuses": (usual_status, f"if({status} = '', '<blank>', {status})"),
+        "invalid_zero_balance_codes": (f"{code} IN ({known_codes})", code),
     }
-    period = F.col("period")
-    valid_period = F.when(~F.col("is_malformed") & is_valid_month(period), period.cast("bigint"))
+    keys = [
+        F.expr(f"if(is_malformed OR {usual}, NULL, {shown}) AS {name}")
+        for name, (usual, shown) in unusual.items()
+    ]
+    valid_period = f"(try_cast(period AS bigint)) FILTER (WHERE NOT is_malformed AND {is_valid_month('period')})"
     counters = {
-        **_line_counters(),
-        "invalid_periods": _usable((~is_valid_month(period)).cast("int")),
+        **_LINE_COUNTERS,
+        "invalid_periods": _usable(f"NOT ({is_valid_month('period')})"),
         "nonnumeric_upb_or_loan_age": _usable(
-            _how_many([~is_number(F.col(name)) for name in PERFORMANCE_NUMBERS])
+            *(f"NOT ({is_number(name)})" for name in PERFORMANCE_NUMBERS)
         ),
         **_missing_counters(PERFORMANCE_REQUIRED),
-        "min_performance_month": F.min(valid_period),
-        "max_performance_month": F.max(valid_period),
+        "min_performance_month": f"min{valid_period}",
+        "max_performance_month": f"max{valid_period}",
     }
-    rows = split_fields(lines, PERFORMANCE_FIELDS)
-    keys = [F.when(~F.col("is_malformed"), value).alias(name) for name, value in unusual.items()]
-    return rows.groupBy("source_year", _loan(), *keys).agg(
-        *(counter.alias(name) for name, counter in counters.items())
-    )
+    return _counted(split_fields(lines, PERFORMANCE_FIELDS), [_loan(), *keys], counters)
 
 
 _COMBINE: dict[str, Callable[[str], Column]] = {
@@ -186,17 +180,11 @@ def _totals(reduced: DataFrame, dataset: str) -> DataFrame:
     metrics = []
     for name in counters:
         metric, _, item = name.partition(":")
-        metrics.append(
-            F.struct(
-                F.lit(metric).alias("metric"),
-                F.lit(item or None).cast("string").alias("item"),
-                F.coalesce(F.col(f"`{name}`"), F.lit(0)).cast("bigint").alias("value"),
-            )
-        )
+        shown_item = f"'{item}'" if item else "string(NULL)"
+        metrics.append(f"'{metric}', {shown_item}, coalesce(`{name}`, 0L)")
+    rows = f"stack({len(metrics)}, {', '.join(metrics)}) AS (metric, item, value)"
     return (
-        per_year.select(
-            F.lit(dataset).alias("dataset"), "source_year", F.inline(F.array(*metrics))
-        )
+        per_year.selectExpr(f"'{dataset}' AS dataset", "source_year", rows)
         .filter("item IS NULL OR value > 0")
         .select(*_PROFILE)
     )

@@ -101,73 +101,67 @@ def _month_name(field: str) -> str:
     return f"{field.removesuffix('_date')}_month"
 
 
-def _typed(field: str, kind: str) -> list[Column]:
-    raw = F.col(field)
-    keep_raw = raw.alias(f"{field}_raw")
+def _typed(field: str, kind: str) -> list[str]:
+    keep_raw = f"{field} AS {field}_raw"
     match kind:
         case "plain":
-            return [text(raw).alias(field)]
+            return [f"{text(field)} AS {field}"]
         case "money":
-            return [number(raw, MONEY).alias(field)]
+            return [f"{number(field, MONEY)} AS {field}"]
         case "rate":
-            return [number(raw, RATE).alias(field)]
+            return [f"{number(field, RATE)} AS {field}"]
         case "ltv":
-            return [number(raw, "decimal(12,3)").alias(field)]
+            return [f"{number(field, 'decimal(12,3)')} AS {field}"]
         case "small":
-            return [whole(raw).alias(field)]
+            return [f"{whole(field)} AS {field}"]
         case "small_with_raw":
-            return [keep_raw, whole(raw).alias(field)]
+            return [keep_raw, f"{whole(field)} AS {field}"]
         case "int":
-            return [whole(raw, "int").alias(field)]
+            return [f"{whole(field, 'int')} AS {field}"]
         case "month":
-            return [keep_raw, month(raw).alias(_month_name(field))]
+            return [keep_raw, f"{month(field)} AS {_month_name(field)}"]
         case "period":
-            return [keep_raw, month(raw).alias("as_of_month")]
+            return [keep_raw, f"{month(field)} AS as_of_month"]
         case "status":
             return [
-                text(raw).alias("delinquency_status_raw"),
-                two_digit_number(raw).alias("delinquency_months"),
+                f"{text(field)} AS delinquency_status_raw",
+                f"{two_digit_number(field)} AS delinquency_months",
             ]
         case "percent":
-            return [keep_raw, whole_unless(raw, PERCENT_MISSING).alias(field)]
+            return [keep_raw, f"{whole_unless(field, PERCENT_MISSING)} AS {field}"]
         case "score":
             return [
                 keep_raw,
-                whole_unless(raw, SCORE_MISSING).alias(field),
-                missing_reason(raw, SCORE_MISSING).alias(f"{field}_missing_reason"),
+                f"{whole_unless(field, SCORE_MISSING)} AS {field}",
+                f"{missing_reason(field, SCORE_MISSING)} AS {field}_missing_reason",
             ]
     raise ValueError(f"no typing rule for {kind!r}")
 
 
-def _typed_columns(rules: dict[str, str]) -> list[Column]:
+def _typed_columns(rules: dict[str, str]) -> list[str]:
     return [column for field, kind in rules.items() for column in _typed(field, kind)]
 
 
-def vintage_year(loan_id: Column) -> Column:
-    """Origination year in characters 2-3 of the id; a malformed id raises."""
-    return F.concat(F.lit("20"), F.substring(loan_id, 2, 2)).cast("smallint")
-
-
-def vintage_quarter(loan_id: Column) -> Column:
-    return F.substring(loan_id, 4, 2)
+# Characters 2-3 of a loan id are its vintage; a malformed id raises.
+VINTAGE_YEAR = "cast(concat('20', substring(loan_id, 2, 2)) AS smallint)"
+VINTAGE_QUARTER = "substring(loan_id, 4, 2)"
 
 
 def stage_origination(raw: DataFrame) -> DataFrame:
     """Type raw origination rows (31 text fields plus file lineage)."""
-    loan_id = F.col("loan_id")
-    return raw.select(
+    return raw.selectExpr(
         "source_year",
         "source_file",
-        loan_id,
-        vintage_year(loan_id).alias("origination_year"),
-        vintage_quarter(loan_id).alias("origination_quarter"),
+        "loan_id",
+        f"{VINTAGE_YEAR} AS origination_year",
+        f"{VINTAGE_QUARTER} AS origination_quarter",
         *_typed_columns(_ORIGINATION),
     )
 
 
 def type_performance(raw: DataFrame) -> DataFrame:
     """Type raw performance rows (35 text fields plus file lineage)."""
-    return raw.select("source_year", "source_file", "loan_id", *_typed_columns(_PERFORMANCE))
+    return raw.selectExpr("source_year", "source_file", "loan_id", *_typed_columns(_PERFORMANCE))
 
 
 def is_on_book(upb: Column, zero_balance_code: Column) -> Column:

@@ -70,16 +70,17 @@ def _add_up(column: str) -> Column:
     return added.alias(column)
 
 
-def segment_sort_order(name: Column, value: Column) -> Column:
+def segment_sort_order() -> str:
     """Display position: the year itself for vintages, the band's place otherwise.
 
     A merged vintage bucket has no position (NULL); other merged buckets are last.
     """
-    position = F.when(name == "origination_year", value.try_cast("int"))
+    cases = ["WHEN segment_name = 'origination_year' THEN try_cast(segment_value AS int)"]
     for segment, labels in SEGMENT_BANDS.items():
         places = {label: place for place, label in enumerate(labels, start=1)}
-        position = position.when(name == segment, ranked(value, places, UNRANKED_SEGMENT_ORDER))
-    return position.otherwise(F.lit(UNRANKED_SEGMENT_ORDER))
+        position = ranked("segment_value", places, UNRANKED_SEGMENT_ORDER)
+        cases.append(f"WHEN segment_name = '{segment}' THEN {position}")
+    return f"CASE {' '.join(cases)} ELSE {UNRANKED_SEGMENT_ORDER} END AS segment_sort_order"
 
 
 def suppress_segments(mart: DataFrame, k: int = MIN_CELL_COUNT, strict: bool = False) -> DataFrame:
@@ -96,13 +97,8 @@ def suppress_segments(mart: DataFrame, k: int = MIN_CELL_COUNT, strict: bool = F
     )
     if strict:
         rolled = rolled.filter(F.col("on_book_loan_count") >= k)
-    return rolled.select(
-        "*",
-        *rate_columns(COVERAGE_RATES),
-        *rate_columns(DQ_RATES),
-        segment_sort_order(F.col("segment_name"), F.col("segment_value")).alias(
-            "segment_sort_order"
-        ),
+    return rolled.selectExpr(
+        "*", *rate_columns(COVERAGE_RATES), *rate_columns(DQ_RATES), segment_sort_order()
     )
 
 
@@ -139,9 +135,9 @@ def suppress_transitions(mart: DataFrame, k: int = MIN_CELL_COUNT) -> DataFrame:
         ],
     )
     destination_order = STATE_ORDER | {OTHER_DESTINATION: OTHER_DESTINATION_ORDER}
-    return rolled.select(
+    return rolled.selectExpr(
         "*",
         *rate_columns(TRANSITION_RATES),
-        ranked(F.col("from_state"), STATE_ORDER, TERMINATED_ORDER).alias("from_state_sort_order"),
-        ranked(F.col("to_state"), destination_order, TERMINATED_ORDER).alias("to_state_sort_order"),
+        f"{ranked('from_state', STATE_ORDER, TERMINATED_ORDER)} AS from_state_sort_order",
+        f"{ranked('to_state', destination_order, TERMINATED_ORDER)} AS to_state_sort_order",
     )

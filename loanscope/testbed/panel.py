@@ -7,7 +7,7 @@ attributes are arithmetic on the customer key ``k`` and on the smallest part key
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanscope.domain import ORIGINATION_FIELDS, PERFORMANCE_FIELDS, ZERO_BALANCE_CODES
@@ -21,133 +21,119 @@ MONTH_COUNT = 83
 FIRST_MONTH = "2019-01-01"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _month_number(month: Column) -> Column:
-    return F.year(month) * 12 + F.month(month)
-
-
-def _vintage(k: Column) -> Column:
-    return F.lit(2019) + k % 2
-
-
-def _loan_id(k: Column) -> Column:
-    return F.concat(
-        F.lit("F"),
-        (_vintage(k) % 100).cast("string"),
-        F.lit("Q"),
-        (k % 4 + 1).cast("string"),
-        F.lpad(k.cast("string"), 7, "0"),
-    )
+# The columns read, typed up front so that reading needs no look at file footers.
+_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_extendedprice double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "customer": "c_custkey bigint",
+}
 
 
-def _status(mp: Column) -> Column:
-    months = F.floor(mp / 3) % 6
-    return (
-        F.when(mp % 37 == 0, "XX")
-        .when(mp % 41 == 0, "RA")
-        .when(mp % 3 == 0, F.lpad(months.cast("string"), 2, "0"))
-        .otherwise("00")
-    )
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _zero_balance_code(mp: Column) -> Column:
-    codes = F.array(*(F.lit(code) for code in ZERO_BALANCE_CODES))
-    return F.when(mp % 29 == 0, F.element_at(codes, (mp % 7 + 1).cast("int")))
+# Loan attributes as functions of the customer key.
+_YEAR = "smallint(2019 + k % 2)"
+_LOAN_ID = f"concat('F', {_YEAR} % 100, 'Q', k % 4 + 1, lpad(k, 7, '0'))"
+_CODES = ", ".join(f"'{code}'" for code in ZERO_BALANCE_CODES)
 
 
 def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed loan-months without flags, with the generating ``k`` and ``mp``."""
-    shipped = table(spark, sf_dir, "lineitem").select(
+    shipped = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_partkey",
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
-        F.add_months(F.trunc(F.col("l_shipdate").cast("date"), "month"), 24 * 12).alias(
-            "as_of_month"
-        ),
-    )
-    placed = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("k")
+        "cast(l_extendedprice AS decimal(18,2)) AS price",
+        "add_months(trunc(date(l_shipdate), 'month'), 24 * 12) AS as_of_month",
     )
-    k, mp = F.col("k"), F.col("mp")
-    start = F.make_date(_vintage(k).cast("int"), F.lit(1), F.lit(1))
+    placed = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS k")
     monthly = (
         shipped.join(placed, "l_orderkey")
-        .filter(F.col("as_of_month") >= start)
+        .filter(f"as_of_month >= make_date({_YEAR}, 1, 1)")
         .groupBy("k", "as_of_month")
         .agg(F.min("l_partkey").alias("mp"), F.sum("price").alias("upb"))
-        .withColumn("loan_id", _loan_id(k))
+        .selectExpr("*", f"{_LOAN_ID} AS loan_id")
     )
     # At most one row per calendar month and loan here, so loan groups are small.
-    first = F.first("as_of_month").over(Window.partitionBy("loan_id").orderBy("as_of_month"))
-    age = (_month_number(F.col("as_of_month")) - _month_number(first)).cast("smallint")
-    code = _zero_balance_code(mp)
-    return monthly.select(
+    first_month = F.first("as_of_month").over(Window.partitionBy("loan_id").orderBy("as_of_month"))
+    aged = monthly.select("*", first_month.alias("first_month")).selectExpr(
+        "*",
+        "12 * (year(as_of_month) - year(first_month)) + month(as_of_month) - month(first_month)"
+        " AS age",
+        "CASE WHEN mp % 37 = 0 THEN 'XX' WHEN mp % 41 = 0 THEN 'RA'"
+        " WHEN mp % 3 = 0 THEN lpad(string(mp div 3 % 6), 2, '0') ELSE '00' END AS status",
+        f"if(mp % 29 = 0, element_at(array({_CODES}), int(mp % 7 + 1)), NULL) AS code",
+    )
+    return aged.selectExpr(
         "k",
         "mp",
-        _vintage(k).cast("smallint").alias("source_year"),
-        F.lit("panel").alias("source_file"),
+        f"{_YEAR} AS source_year",
+        "'panel' AS source_file",
         "loan_id",
         "as_of_month",
-        F.when(mp % 101 == 0, 0)
-        .otherwise(F.col("upb"))
-        .cast("decimal(18,2)")
-        .alias("current_actual_upb"),
-        _status(mp).alias("delinquency_status_raw"),
-        F.when(mp % 89 != 0, age).alias("loan_age"),
-        code.alias("zero_balance_code"),
-        F.when(code.isNotNull(), F.col("as_of_month")).alias("zero_balance_effective_month"),
-    ).withColumn(
-        "delinquency_months",
-        F.when(
-            ~F.col("delinquency_status_raw").isin("RA", "XX"),
-            F.col("delinquency_status_raw").try_cast("smallint"),
-        ),
+        "cast(if(mp % 101 = 0, 0, upb) AS decimal(18,2)) AS current_actual_upb",
+        "status AS delinquency_status_raw",
+        "if(status IN ('RA', 'XX'), NULL, try_cast(status AS smallint)) AS delinquency_months",
+        "if(mp % 89 = 0, NULL, smallint(age)) AS loan_age",
+        "code AS zero_balance_code",
+        "if(code IS NULL, NULL, as_of_month) AS zero_balance_effective_month",
     )
 
 
-def _origination_text(k: Column) -> dict[str, Column]:
-    """Raw text of every origination field; most are small patterns in ``k``."""
-
-    def pattern(value: Column, missing_every: int, missing: str) -> Column:
-        return F.when(k % missing_every == 0, missing).otherwise(value.cast("string"))
-
-    def digits(value: Column, width: int) -> Column:
-        return F.lpad(value.cast("string"), width, "0")
-
-    start_month = k % 12 + 1
-    fields = {
-        "classic_fico": F.when(k % 97 == 0, "9999")
-        .when(k % 89 == 0, "")
-        .otherwise((k * 37 % 291 + 560).cast("string")),
-        "first_payment_date": F.concat(_vintage(k).cast("string"), digits(start_month, 2)),
-        "first_time_homebuyer_indicator": F.when(k % 5 == 0, "Y").otherwise("N"),
-        "maturity_date": F.concat((_vintage(k) + 30).cast("string"), digits(start_month, 2)),
-        "msa_or_metropolitan_division": pattern(k % 900 * 37 + 10180, 13, ""),
-        "mi_percentage": pattern(k % 4 * 6, 61, "999"),
-        "number_of_units": (k % 4 + 1).cast("string"),
-        "occupancy_status": F.when(k % 7 == 0, "S").when(k % 11 == 0, "I").otherwise("P"),
-        "original_cltv": pattern(k * 53 % 66 + 35, 83, "999"),
-        "original_dti": pattern(k * 29 % 61 + 5, 71, "999"),
-        "original_upb": (k * 7919 % 500000 + 50000).cast("string"),
-        "original_ltv": pattern(k * 53 % 66 + 30, 79, "999"),
-        "original_interest_rate": F.concat((k % 4 + 2).cast("string"), F.lit("."), digits(k % 1000, 3)),
-        "channel": F.when(k % 3 == 0, "R").when(k % 3 == 1, "B").otherwise("C"),
-        "prepayment_penalty_indicator": F.when(k % 53 != 0, "N"),
-        "amortization_type": F.lit("FRM"),
-        "property_state": F.when(k % 2 == 0, "CA").otherwise("TX"),
-        "property_type": F.when(k % 6 == 0, "CO").otherwise("SF"),
-        "postal_code": F.concat(digits(k % 1000, 3), F.lit("00")),
-        "loan_id": _loan_id(k),
-        "loan_purpose": F.when(k % 4 == 0, "C").otherwise("P"),
-        "original_loan_term": F.when(k % 6 == 0, "180").otherwise("360"),
-        "number_of_borrowers": (k % 2 + 1).cast("string"),
-        "seller_name": F.concat(F.lit("Seller "), (k % 20).cast("string")),
-        "vantage_score_4": F.when(k % 43 == 0, "9999").otherwise((k * 31 % 301 + 540).cast("string")),
-    }
-    return {name: fields.get(name, F.lit("")) for name in ORIGINATION_FIELDS}
+# Raw text of the origination fields; most are small patterns in ``k``.
+_ORIGINATION_TEXT = {
+    "classic_fico": "CASE WHEN k % 97 = 0 THEN '9999' WHEN k % 89 = 0 THEN ''"
+    " ELSE string(k * 37 % 291 + 560) END",
+    "first_payment_date": f"concat({_YEAR}, lpad(k % 12 + 1, 2, '0'))",
+    "first_time_homebuyer_indicator": "if(k % 5 = 0, 'Y', 'N')",
+    "maturity_date": f"concat({_YEAR} + 30, lpad(k % 12 + 1, 2, '0'))",
+    "msa_or_metropolitan_division": "if(k % 13 = 0, '', string(k % 900 * 37 + 10180))",
+    "mi_percentage": "if(k % 61 = 0, '999', string(k % 4 * 6))",
+    "number_of_units": "string(k % 4 + 1)",
+    "occupancy_status": "CASE WHEN k % 7 = 0 THEN 'S' WHEN k % 11 = 0 THEN 'I' ELSE 'P' END",
+    "original_cltv": "if(k % 83 = 0, '999', string(k * 53 % 66 + 35))",
+    "original_dti": "if(k % 71 = 0, '999', string(k * 29 % 61 + 5))",
+    "original_upb": "string(k * 7919 % 500000 + 50000)",
+    "original_ltv": "if(k % 79 = 0, '999', string(k * 53 % 66 + 30))",
+    "original_interest_rate": "concat(k % 4 + 2, '.', lpad(k % 1000, 3, '0'))",
+    "channel": "element_at(array('R', 'B', 'C'), int(k % 3 + 1))",
+    "prepayment_penalty_indicator": "if(k % 53 = 0, NULL, 'N')",
+    "amortization_type": "'FRM'",
+    "property_state": "if(k % 2 = 0, 'CA', 'TX')",
+    "property_type": "if(k % 6 = 0, 'CO', 'SF')",
+    "postal_code": "concat(lpad(k % 1000, 3, '0'), '00')",
+    "loan_id": _LOAN_ID,
+    "loan_purpose": "if(k % 4 = 0, 'C', 'P')",
+    "original_loan_term": "if(k % 6 = 0, '180', '360')",
+    "number_of_borrowers": "string(k % 2 + 1)",
+    "seller_name": "concat('Seller ', k % 20)",
+    "vantage_score_4": "if(k % 43 = 0, '9999', string(k * 31 % 301 + 540))",
+}
+
+# Raw text of the performance fields; the others are blank.
+_PERFORMANCE_TEXT = {
+    "loan_id": "loan_id",
+    "period": "date_format(as_of_month, 'yyyyMM')",
+    "current_actual_upb": "string(current_actual_upb)",
+    "current_loan_delinquency_status": "delinquency_status_raw",
+    "loan_age": "coalesce(string(loan_age), '')",
+    "remaining_months_to_legal_maturity": "string(360 - mp % 83)",
+    "modification_flag": "if(mp % 47 = 0, 'Y', '')",
+    "zero_balance_code": "coalesce(zero_balance_code, '')",
+    "zero_balance_effective_date": "coalesce(date_format(zero_balance_effective_month, 'yyyyMM'), '')",
+    "current_interest_rate": "concat(k % 4 + 2, '.5')",
+    "current_non_interest_bearing_upb": "'0.00'",
+    "ddlpi": "date_format(as_of_month, 'yyyyMM')",
+    "estimated_ltv": "string(mp % 90 + 10)",
+    "servicer_name": "concat('Servicer ', k % 10)",
+    "actual_loss": "if(mp % 29 = 0, concat(mp % 5000, '.25'), '')",
+    "bankruptcy_cramdown_costs": "if(mp % 59 = 0, '12.50', '')",
+}
+
+
+def _texts(fields: list[str], texts: dict[str, str]) -> list[str]:
+    return [f"{texts.get(name, repr(''))} AS {name}" for name in fields]
 
 
 def raw_origination(spark: SparkSession, sf_dir: str, only_observed: bool = True) -> DataFrame:
@@ -156,48 +142,21 @@ def raw_origination(spark: SparkSession, sf_dir: str, only_observed: bool = True
     ``only_observed`` keeps the customers that occur in the panel. Joins with the
     panel do not need it and save a pass over it.
     """
-    loans = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    loans = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k")
     if only_observed:
         loans = loans.join(performance(spark, sf_dir).select("k").distinct(), "k", "left_semi")
-    k = F.col("k")
-    return loans.select(
+    return loans.selectExpr(
         "k",
-        _vintage(k).cast("smallint").alias("source_year"),
-        F.lit("panel").alias("source_file"),
-        *(value.alias(name) for name, value in _origination_text(k).items()),
+        f"{_YEAR} AS source_year",
+        "'panel' AS source_file",
+        *_texts(ORIGINATION_FIELDS, _ORIGINATION_TEXT),
     )
 
 
 def raw_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text performance rows, the panel rendered as the raw files hold it."""
-    k, mp = F.col("k"), F.col("mp")
-    month_text = F.date_format("as_of_month", "yyyyMM")
-    fields = {
-        "loan_id": F.col("loan_id"),
-        "period": month_text,
-        "current_actual_upb": F.col("current_actual_upb").cast("string"),
-        "current_loan_delinquency_status": F.col("delinquency_status_raw"),
-        "loan_age": F.coalesce(F.col("loan_age").cast("string"), F.lit("")),
-        "remaining_months_to_legal_maturity": (F.lit(360) - mp % 83).cast("string"),
-        "modification_flag": F.when(mp % 47 == 0, "Y").otherwise(""),
-        "zero_balance_code": F.coalesce("zero_balance_code", F.lit("")),
-        "zero_balance_effective_date": F.when(
-            F.col("zero_balance_code").isNotNull(), month_text
-        ).otherwise(""),
-        "current_interest_rate": F.concat((k % 4 + 2).cast("string"), F.lit(".5")),
-        "current_non_interest_bearing_upb": F.lit("0.00"),
-        "ddlpi": month_text,
-        "estimated_ltv": (mp % 90 + 10).cast("string"),
-        "servicer_name": F.concat(F.lit("Servicer "), (k % 10).cast("string")),
-        "actual_loss": F.when(mp % 29 == 0, F.concat((mp % 5000).cast("string"), F.lit(".25"))).otherwise(""),
-        "bankruptcy_cramdown_costs": F.when(mp % 59 == 0, "12.50").otherwise(""),
-    }
-    return performance(spark, sf_dir).select(
-        "k",
-        "mp",
-        "source_year",
-        "source_file",
-        *(fields.get(name, F.lit("")).alias(name) for name in PERFORMANCE_FIELDS),
+    return performance(spark, sf_dir).selectExpr(
+        "k", "mp", "source_year", "source_file", *_texts(PERFORMANCE_FIELDS, _PERFORMANCE_TEXT)
     )
 
 

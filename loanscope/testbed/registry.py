@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial, reduce
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,11 +35,11 @@ _oracles: dict[str, str] = {}
 
 def _comparable(table: DataFrame) -> DataFrame:
     """Amounts as doubles, the type both engines hand out alike."""
-    return table.select(
+    return table.selectExpr(
         *(
-            F.col(f"`{field.name}`").cast("double").alias(field.name)
+            f"double(`{field.name}`) AS `{field.name}`"
             if isinstance(field.dataType, DecimalType)
-            else F.col(f"`{field.name}`")
+            else f"`{field.name}`"
             for field in table.schema
         )
     )
@@ -457,18 +457,39 @@ def _expectations(origination: DataFrame, performance: DataFrame) -> quality.Exp
     )
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> quality.Layers:
-    fact = panel.fact(spark, sf_dir)
-    pairs = curated.next_month_pairs_ordered(fact)
-    return quality.Layers(
-        origination=panel.staged_origination(spark, sf_dir),
-        performance=panel.staged_performance(spark, sf_dir),
-        fact=fact,
-        pairs=pairs,
-        monthly=marts.portfolio_monthly(fact),
-        segments=marts.portfolio_by_segment(fact),
-        transitions=marts.transition_monthly(pairs),
-    )
+class _Layers:
+    """The clean panel's tables, each derived when a check asks for it."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._source = spark, sf_dir
+
+    @cached_property
+    def origination(self) -> DataFrame:
+        return panel.staged_origination(*self._source)
+
+    @cached_property
+    def performance(self) -> DataFrame:
+        return panel.staged_performance(*self._source)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return panel.fact(*self._source)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return curated.next_month_pairs_ordered(self.fact)
+
+    @cached_property
+    def monthly(self) -> DataFrame:
+        return marts.portfolio_monthly(self.fact)
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        return marts.portfolio_by_segment(self.fact)
+
+    @cached_property
+    def transitions(self) -> DataFrame:
+        return marts.transition_monthly(self.pairs)
 
 
 _NO_COUNTS = quality.Expectations({}, {}, panel.WINDOW_END, panel.SPOT_MONTHS)
@@ -476,7 +497,7 @@ _REPORT = ["check_name", "failed_row_count", "passed"]
 
 
 def _check(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    layers = _layers(spark, sf_dir)
+    layers = _Layers(spark, sf_dir)
     expect = _NO_COUNTS
     if name == "source_row_counts":
         expect = _expectations(layers.origination, layers.performance)
@@ -677,7 +698,7 @@ _COUNT_TABLES = {
 
 
 def _table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = _layers(spark, sf_dir)
+    layers = _Layers(spark, sf_dir)
     return build_plan.table_row_counts(
         {name: getattr(layers, attribute) for name, attribute in _COUNT_TABLES.items()}
     )
