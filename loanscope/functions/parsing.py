@@ -12,7 +12,7 @@ RATE = "decimal(9,3)"
 
 # Java's `$` also matches before a trailing line feed, hence \A and \z.
 TWO_DIGITS = r"\A[0-9]{2}\z"
-SIX_DIGITS = r"\A[0-9]{6}\z"
+YEAR_MONTH = r"\A(?!0000)[0-9]{6}\z"
 
 
 def text(field: str) -> str:
@@ -22,7 +22,9 @@ def text(field: str) -> str:
 
 def month(field: str) -> str:
     """``yyyyMM`` (exactly six digits) as the first day of that month."""
-    return f"if({field} RLIKE r'{SIX_DIGITS}', try_to_date({field}, 'yyyyMM'), NULL)"
+    # A cast from "yyyy-MM" costs a fraction of a parse by format pattern.
+    dashed = f"concat(left({field}, 4), '-', right({field}, 2))"
+    return f"if({field} RLIKE r'{YEAR_MONTH}', try_cast({dashed} AS date), NULL)"
 
 
 def number(field: str, type_name: str) -> str:

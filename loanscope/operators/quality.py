@@ -33,15 +33,18 @@ RATE_TOLERANCE = 1e-10
 
 @dataclass(frozen=True)
 class Layers:
-    """The tables a build produces, as the checks see them."""
-
-    origination: DataFrame
-    performance: DataFrame
-    fact: DataFrame
-    pairs: DataFrame
-    monthly: DataFrame
-    segments: DataFrame
-    transitions: DataFrame
+    """The tables a build produces, as the checks see them.
+
+    A check only needs the tables it reads; the others may be left out.
+    """
+
+    origination: DataFrame | None = None
+    performance: DataFrame | None = None
+    fact: DataFrame | None = None
+    pairs: DataFrame | None = None
+    monthly: DataFrame | None = None
+    segments: DataFrame | None = None
+    transitions: DataFrame | None = None
 
 
 @dataclass(frozen=True)

@@ -3,7 +3,7 @@
 Work on loan-months, in order:
 
 * staging parses the files into parquet without an exchange;
-* the key check exchanges two columns;
+* the key checks exchange two columns, once, and decide how the panel is stored;
 * the panel joins the narrow columns it needs with the loan dimension. If keys
   are unique it is stored clustered by loan, and everything that follows a loan
   through time reads it without another exchange. If they are not, the build
@@ -33,11 +33,12 @@ from loanscope.operators.curated import (
 )
 from loanscope.operators.marts import portfolio_by_segment, portfolio_monthly, transition_monthly
 from loanscope.operators.quality import (
+    DETAILS,
     Expectations,
     Layers,
     failed_checks,
-    key_failures,
-    validation_results,
+    failure_counts,
+    reported,
     validation_summary,
 )
 from loanscope.operators.staging import stage_origination, stage_performance
@@ -90,8 +91,7 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy("table_name")
 
 
-def _unique(rows: DataFrame, key: list[str]) -> bool:
-    return key_failures(rows, key).isEmpty()
+KEY_CHECKS = ["origination_loan_id_unique", "performance_loan_month_unique"]
 
 
 def build(
@@ -113,9 +113,9 @@ def build(
     )
     dim = store.write("curated.dim_loan", dim_loan(origination))
 
-    clustered = _unique(origination, ["loan_id"]) and _unique(
-        performance, ["loan_id", "as_of_month"]
-    )
+    staged = Layers(origination=origination, performance=performance)
+    keys = store.write("quality.key_checks", failure_counts(staged, expect, KEY_CHECKS))
+    clustered = keys.filter("failed_row_count > 0").isEmpty()
     panel = fact_loan_month(performance, dim)
     try:
         if clustered:
@@ -143,7 +143,9 @@ def build(
                 "mart.delinquency_transition_monthly", transition_monthly(pairs)
             ),
         )
-        results = store.write("quality.validation_results", validation_results(layers, expect))
+        others = [name for name in DETAILS if name not in KEY_CHECKS]
+        counts = keys.unionByName(failure_counts(layers, expect, others))
+        results = store.write("quality.validation_results", reported(counts, DETAILS))
     finally:
         if clustered:
             store.forget("curated.fact_loan_month")

@@ -1,11 +1,13 @@
 """Pipe-delimited source files, read as text under a fixed layout.
 
-Lines are read with the text source, which splits large files between tasks, and
-parsed with ``from_csv``. Reading the CSV source directly is not safe here: its
-column pruning hides rows with a wrong number of fields from ``count()`` and from
-narrow projections. A field may be quoted, and a quoted pipe is not a separator;
-a quoted line feed is not supported, because honouring it would make files
-unsplittable, and shows up as a wrong field count.
+A field may be quoted, and a quoted pipe is not a separator. A quoted line feed is
+not supported, because honouring it would make files unsplittable; it shows up as
+a wrong field count.
+
+The CSV source normally parses only the columns a query uses and then cannot tell
+a line with too many or too few fields. Here pruning is off and every scan tests
+the field count, so that ``count()`` and narrow projections fail on a damaged file
+as a full read does.
 """
 
 from __future__ import annotations
@@ -13,13 +15,20 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscope.domain import ORIGINATION_FIELDS, PERFORMANCE_FIELDS, VINTAGES
 
 _MALFORMED = "_malformed_line"
-_FORMAT = {"sep": "|", "quote": '"', "escape": '"', "columnNameOfCorruptRecord": _MALFORMED}
+_FORMAT = {
+    "sep": "|",
+    "quote": '"',
+    "escape": '"',
+    "columnNameOfCorruptRecord": _MALFORMED,
+    "columnPruning": "false",
+}
+_SOURCE_YEAR = r"smallint(regexp_extract(source_file, r'sample_(\d{4})', 1))"
 
 # dataset -> (part of the file name, fields in file order)
 DATASETS = {
@@ -32,42 +41,49 @@ def dataset_glob(raw_dir: str, dataset: str) -> str:
     return f"{raw_dir}/sample_*/sample_{DATASETS[dataset][0]}_*.txt"
 
 
+def _layout(fields: list[str]) -> str:
+    return ", ".join(f"{name} string" for name in [*fields, _MALFORMED])
+
+
+def scan(spark: SparkSession, raw_dir: str, dataset: str) -> DataFrame:
+    """All rows of a dataset as text; any action fails on a malformed line.
+
+    Empty lines hold no row and are skipped; the raw profile reports them.
+    """
+    fields = DATASETS[dataset][1]
+    rows = (
+        spark.read.schema(_layout(fields))
+        .options(**_FORMAT)
+        .csv(dataset_glob(raw_dir, dataset))
+        .select("*", F.col("_metadata.file_path").alias("source_file"))
+    )
+    problem = F.concat(F.lit(f"wrong field count in {dataset} file "), F.col("source_file"))
+    well_formed = F.when(F.col(_MALFORMED).isNotNull(), F.raise_error(problem)).otherwise(True)
+    return rows.filter(well_formed).selectExpr(
+        f"{_SOURCE_YEAR} AS source_year", "source_file", *fields
+    )
+
+
 def scan_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the matching files with the file path and the year in it."""
-    source_file = F.col("_metadata.file_path")
-    return spark.read.text(path).select(
-        "value",
-        source_file.alias("source_file"),
-        F.regexp_extract(source_file, r"sample_(\d{4})", 1).cast("smallint").alias("source_year"),
+    return (
+        spark.read.text(path)
+        .select("value", F.col("_metadata.file_path").alias("source_file"))
+        .selectExpr("*", f"{_SOURCE_YEAR} AS source_year")
     )
 
 
 def split_fields(lines: DataFrame, fields: list[str]) -> DataFrame:
     """Add one text column per field and ``is_malformed`` (wrong field count)."""
-    layout = ", ".join(f"{name} string" for name in [*fields, _MALFORMED])
-    parsed = F.from_csv("value", layout, _FORMAT)
-    record = lines.withColumn("record", parsed)
-    malformed = F.col(f"record.{_MALFORMED}").isNotNull() | (F.col("value") == "")
-    return record.select(
+    options = {name: value for name, value in _FORMAT.items() if name != "columnPruning"}
+    record = lines.withColumn("record", F.from_csv("value", _layout(fields), options))
+    return record.selectExpr(
         *lines.columns,
-        malformed.alias("is_malformed"),
-        *(F.col(f"record.{name}").alias(name) for name in fields),
+        f"record.{_MALFORMED} IS NOT NULL OR value = '' AS is_malformed",
+        *(f"record.{name} AS {name}" for name in fields),
     )
 
 
-def _well_formed(dataset: str) -> Column:
-    """True, or an error that names the file of the first malformed line."""
-    problem = F.concat(F.lit(f"wrong field count in {dataset} file "), F.col("source_file"))
-    return F.when(F.col("is_malformed"), F.raise_error(problem)).otherwise(F.lit(True))
-
-
-def scan(spark: SparkSession, raw_dir: str, dataset: str, path: str | None = None) -> DataFrame:
-    """All rows of a dataset as text; any action fails on a malformed line."""
-    fields = DATASETS[dataset][1]
-    rows = split_fields(scan_lines(spark, path or dataset_glob(raw_dir, dataset)), fields)
-    return rows.filter(_well_formed(dataset)).select("source_year", "source_file", *fields)
-
-
 def scan_origination(spark: SparkSession, raw_dir: str) -> DataFrame:
     return scan(spark, raw_dir, "origination")
 
