@@ -91,6 +91,15 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts).orderBy("table_name")
 
 
+def clustered_panel(performance: DataFrame, dim: DataFrame, buckets: int) -> DataFrame:
+    """The panel hash-partitioned by loan, for keys known to be unique.
+
+    Partitioning the performance side before the join makes one exchange serve
+    the join and the clustered write.
+    """
+    return fact_loan_month(performance.repartition(buckets, "loan_id"), dim)
+
+
 KEY_CHECKS = ["origination_loan_id_unique", "performance_loan_month_unique"]
 
 
@@ -116,20 +125,20 @@ def build(
     staged = Layers(origination=origination, performance=performance)
     keys = store.write("quality.key_checks", failure_counts(staged, expect, KEY_CHECKS))
     clustered = keys.filter("failed_row_count > 0").isEmpty()
-    panel = fact_loan_month(performance, dim)
     try:
         if clustered:
             stored = stored_bytes(spark, store.table_path("staging.monthly_performance"))
+            buckets = bucket_count(spark, stored)
             fact = store.write_clustered(
                 "curated.fact_loan_month",
-                panel,
+                clustered_panel(performance, dim, buckets),
                 by="loan_id",
                 order=["loan_id", "as_of_month"],
-                buckets=bucket_count(spark, stored),
+                buckets=buckets,
             )
             pairs = next_month_pairs_ordered(fact)
         else:
-            fact = store.write("curated.fact_loan_month", panel)
+            fact = store.write("curated.fact_loan_month", fact_loan_month(performance, dim))
             pairs = weighted_pairs(fact)
 
         layers = Layers(

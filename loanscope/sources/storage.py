@@ -69,14 +69,15 @@ class RunStore:
     ) -> DataFrame:
         """Store a table hash-clustered by a column and return its bucketed view.
 
-        Later joins and windows by that column then need no exchange. The
-        catalog entry is only needed while this session reads the buckets; see
-        :meth:`forget`. Files below the path read as a plain table any time.
+        Expects rows already hash-partitioned by the column into as many
+        partitions as buckets; each task then writes one file. Later joins and
+        windows by the column need no exchange. The catalog entry is only needed
+        while this session reads the buckets; see :meth:`forget`. Files below the
+        path read as a plain table any time.
         """
         entry = self._catalog_name(name)
         (
-            table.repartition(buckets, by)
-            .write.format("parquet")
+            table.write.format("parquet")
             .bucketBy(buckets, by)
             .sortBy(*order)
             .option("path", self.table_path(name))

@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from loanscope.domain import DESTINATION_STATES, OPEN_STATES, ORIGINATION_FIELDS, PERFORMANCE_FIELDS, VINTAGES
+from loanscope.domain import (
+    DESTINATION_STATES,
+    OPEN_STATES,
+    ORIGINATION_FIELDS,
+    PERFORMANCE_FIELDS,
+    VINTAGES,
+)
 from loanscope.operators import curated, exports, marts, panels, quality, raw_profile, suppression
 from loanscope.operators.export_quality import (
     DETAILS as EXPORT_DETAILS,
@@ -20,6 +26,7 @@ from loanscope.operators.staging import stage_performance
 from loanscope.plans import build as build_plan
 from loanscope.plans import dashboard
 from loanscope.sources import delimited, storage
+from loanscope.sources.csv_tables import read_csv, write_csv
 from loanscope.testbed import dirty, panel
 from loanscope.testbed.oracle import CORE, EXCLUDED, _TWO_DIGITS, _both, listed, statement
 
@@ -1083,18 +1090,25 @@ def _built(spark: SparkSession, sf_dir: str) -> build_plan.BuildReport:
 _register("full_rebuild", lambda s, d: _built(s, d).row_counts, _COUNTS_SQL)
 
 
+_EXPORTED = {
+    "monthly": lambda s, d: exports.export_monthly(_monthly(s, d)),
+    "segments": _segment_export,
+    "transitions": _transition_export,
+}
+_EXPORTED_SQL = {
+    "monthly": (exports.MONTHLY_FIELDS, "monthly"),
+    "segments": (exports.SEGMENT_FIELDS, "segment_export"),
+    "transitions": (exports.TRANSITION_FIELDS, "transition_export"),
+}
+
+
 def _csv_roundtrip(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    report = _built(spark, sf_dir)
-    out_dir = storage.scratch_dir(spark, "csv")
-    dashboard.export(spark, report.store.root, out_dir)
-    return getattr(dashboard.load_export(spark, out_dir), name)
+    path = f"{storage.scratch_dir(spark, 'csv')}/{name}"
+    write_csv(exports.in_display_order(_EXPORTED[name](spark, sf_dir)), path)
+    return read_csv(spark, path, _EXPORTED_SQL[name][0])
 
 
-for _name, _columns, _source in (
-    ("monthly", exports.MONTHLY_FIELDS, "monthly"),
-    ("segments", exports.SEGMENT_FIELDS, "segment_export"),
-    ("transitions", exports.TRANSITION_FIELDS, "transition_export"),
-):
+for _name, (_columns, _source) in _EXPORTED_SQL.items():
     _register(
         f"csv_roundtrip_{_name}",
         partial(_csv_roundtrip, name=_name),
@@ -1102,6 +1116,21 @@ for _name, _columns, _source in (
     )
 
 
+def _published_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files through build, publication and export, as read back."""
+    report = _built(spark, sf_dir)
+    out_dir = storage.scratch_dir(spark, "export")
+    dashboard.export(spark, report.store.root, out_dir)
+    return dashboard.load_export(spark, out_dir).transitions
+
+
+_register(
+    "published_export",
+    _published_export,
+    statement(f"select {listed(exports.TRANSITION_FIELDS)} from transition_export"),
+)
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

@@ -3,6 +3,7 @@
 import re
 
 from loanscope.operators import curated, marts, quality
+from loanscope.plans.build import clustered_panel
 from loanscope.sources.storage import RunStore
 from loanscope.testbed import panel
 
@@ -20,7 +21,11 @@ def exchanges(text):
 def test_clustered_panel_needs_no_exchange_by_loan(spark, tmp_path):
     store = RunStore(spark, str(tmp_path), "plan")
     fact = store.write_clustered(
-        "curated.fact_loan_month", panel.fact(spark, SF), "loan_id", ["loan_id", "as_of_month"], 4
+        "curated.fact_loan_month",
+        panel.fact(spark, SF).repartition(4, "loan_id"),
+        "loan_id",
+        ["loan_id", "as_of_month"],
+        4,
     )
     text = plan(marts.transition_monthly(curated.next_month_pairs_ordered(fact)))
     assert exchanges(text)
@@ -53,3 +58,18 @@ def test_row_checks_share_one_pass(spark, tmp_path):
         "zero_balance_codes_valid", "on_book_population_consistent",
     ]
     assert plan(quality.failure_counts(layers, expect, names)).count("FileScan") == 1
+
+
+def test_one_exchange_of_the_panel_serves_join_and_clustering(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path), "plan")
+    rows = store.write("staging.p", panel.staged_performance(spark, SF))
+    dim = store.write("curated.d", curated.dim_loan(panel.staged_origination(spark, SF)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(clustered_panel(rows, dim, 7))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text
+    assert len(exchanges(text)) == 2  # one per side, both by loan into the buckets
+    assert all(re.fullmatch(r"loan_id#\d+, 7", keys) for keys in exchanges(text))
+    assert text.count("valid_loan_age") == 0  # unused columns stay out of the exchange
