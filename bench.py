@@ -46,6 +46,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.driver.memory": MEMORY,
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -19,7 +19,7 @@ from loanscope.domain import (
     SEGMENT_BANDS,
     VINTAGES,
 )
-from loanscope.functions.measures import TOTAL, total
+from loanscope.functions.measures import TOTAL, rate, total
 from loanscope.operators.marts import CORE_MEASURES, COVERAGE_RATES, DQ_RATES, rate_columns
 
 MonthValue = str
@@ -144,9 +144,17 @@ def cohorts(transitions: DataFrame, month: MonthValue) -> DataFrame:
     )
 
 
-def _share(part: Column, whole: Column) -> Column:
-    divisor = F.nullif(whole, F.lit(0).cast(TOTAL)).cast("double")
-    return F.coalesce(part, F.lit(0).cast(TOTAL)).cast("double") / divisor
+def _flow_sums(weight: str) -> list[Column]:
+    """Sum per destination (``<weight>_1`` and on) and over all of them."""
+    sums = [F.expr(f"cast(sum({weight}) AS {TOTAL}) AS {weight}_all")]
+    for place, state in enumerate(DESTINATION_STATES, start=1):
+        chosen = f"sum({weight}) FILTER (WHERE to_state = '{state}')"
+        sums.append(F.expr(f"cast(coalesce({chosen}, 0) AS {TOTAL}) AS {weight}_{place}"))
+    return sums
+
+
+def _share(weight: str, place: int) -> str:
+    return rate(f"{weight}_{place}", f"{weight}_all")
 
 
 def migration_matrix(transitions: DataFrame, month: MonthValue, weight: str) -> DataFrame:
@@ -157,33 +165,36 @@ def migration_matrix(transitions: DataFrame, month: MonthValue, weight: str) ->
     """
     if weight not in _FLOWS:
         raise ValueError(f"weight must be one of {_FLOWS}")
-    flows = transitions.filter(_is_month("from_month", month)).select(
-        "from_state", "to_state", F.col(weight).cast(TOTAL).alias("weight")
+    sums = (
+        transitions.filter(_is_month("from_month", month))
+        .groupBy("from_state")
+        .agg(*_flow_sums(weight))
     )
-    matrix = flows.groupBy("from_state").pivot("to_state", DESTINATION_STATES).agg(F.sum("weight"))
-    cohort = flows.groupBy("from_state").agg(F.sum("weight").alias("cohort"))
     return (
         _domain(transitions.sparkSession, "from_state", OPEN_STATES)
-        .join(matrix, "from_state", "left")
-        .join(cohort, "from_state", "left")
-        .select(
+        .join(sums, "from_state", "left")
+        .selectExpr(
             "position",
             "from_state",
-            *(_share(F.col(f"`{state}`"), F.col("cohort")).alias(state) for state in DESTINATION_STATES),
+            *(
+                f"{_share(weight, place)} AS `{state}`"
+                for place, state in enumerate(DESTINATION_STATES, start=1)
+            ),
         )
     )
 
 
 def destination_mix(transitions: DataFrame, month: MonthValue, state: str) -> DataFrame:
     """Count and balance share of every destination of one state."""
-
-    def shares(weight: str, name: str) -> DataFrame:
-        row = migration_matrix(transitions, month, weight).filter(F.col("from_state") == state)
-        return row.unpivot([], DESTINATION_STATES, "to_state", name)
-
-    return (
-        _domain(transitions.sparkSession, "to_state", DESTINATION_STATES)
-        .join(shares("transition_loan_count", "count_rate"), "to_state")
-        .join(shares("transition_from_upb", "balance_rate"), "to_state")
-        .select("position", "to_state", "count_rate", "balance_rate")
+    loans, upb = _FLOWS
+    sums = transitions.filter(
+        _is_month("from_month", month) & (F.col("from_state") == state)
+    ).agg(*_flow_sums(loans), *_flow_sums(upb))
+    rows = ", ".join(
+        f"{place}, '{name}', {_share(loans, place)}, {_share(upb, place)}"
+        for place, name in enumerate(DESTINATION_STATES, start=1)
+    )
+    return sums.selectExpr(
+        f"stack({len(DESTINATION_STATES)}, {rows})"
+        " AS (position, to_state, count_rate, balance_rate)"
     )

@@ -18,6 +18,7 @@ cuts lineage: a lost executor costs its tasks, not the run.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -100,6 +101,12 @@ def clustered_panel(performance: DataFrame, dim: DataFrame, buckets: int) -> Dat
     return fact_loan_month(performance.repartition(buckets, "loan_id"), dim)
 
 
+def _written_together(store: RunStore, tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Write independent tables as concurrent jobs, so that one fills the other's gaps."""
+    with ThreadPoolExecutor(len(tables)) as jobs:
+        return list(jobs.map(store.write, tables.keys(), tables.values()))
+
+
 KEY_CHECKS = ["origination_loan_id_unique", "performance_loan_month_unique"]
 
 
@@ -116,9 +123,12 @@ def build(
     """
     require_files(spark, raw_dir, years)
     store = RunStore(spark, root, new_run_id())
-    origination = store.write("staging.origination", stage_origination(scan_origination(spark, raw_dir)))
-    performance = store.write(
-        "staging.monthly_performance", stage_performance(scan_performance(spark, raw_dir))
+    origination, performance = _written_together(
+        store,
+        {
+            "staging.origination": stage_origination(scan_origination(spark, raw_dir)),
+            "staging.monthly_performance": stage_performance(scan_performance(spark, raw_dir)),
+        },
     )
     dim = store.write("curated.dim_loan", dim_loan(origination))
 
@@ -141,16 +151,22 @@ def build(
             fact = store.write("curated.fact_loan_month", fact_loan_month(performance, dim))
             pairs = weighted_pairs(fact)
 
+        monthly, segments, transitions = _written_together(
+            store,
+            {
+                "mart.portfolio_monthly": portfolio_monthly(fact),
+                "mart.portfolio_monthly_by_segment": portfolio_by_segment(fact),
+                "mart.delinquency_transition_monthly": transition_monthly(pairs),
+            },
+        )
         layers = Layers(
             origination=origination,
             performance=performance,
             fact=fact,
             pairs=pairs,
-            monthly=store.write("mart.portfolio_monthly", portfolio_monthly(fact)),
-            segments=store.write("mart.portfolio_monthly_by_segment", portfolio_by_segment(fact)),
-            transitions=store.write(
-                "mart.delinquency_transition_monthly", transition_monthly(pairs)
-            ),
+            monthly=monthly,
+            segments=segments,
+            transitions=transitions,
         )
         others = [name for name in DETAILS if name not in KEY_CHECKS]
         counts = keys.unionByName(failure_counts(layers, expect, others))

@@ -44,7 +44,8 @@ def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
         "l_partkey",
-        "cast(l_extendedprice AS decimal(18,2)) AS price",
+        # Prices have two decimals; whole cents add up exactly and in long arithmetic.
+        "bigint(l_extendedprice * 100 + 0.5) AS cents",
         "add_months(trunc(date(l_shipdate), 'month'), 24 * 12) AS as_of_month",
     )
     placed = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS k")
@@ -52,7 +53,7 @@ def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
         shipped.join(placed, "l_orderkey")
         .filter(f"as_of_month >= make_date({_YEAR}, 1, 1)")
         .groupBy("k", "as_of_month")
-        .agg(F.min("l_partkey").alias("mp"), F.sum("price").alias("upb"))
+        .agg(F.min("l_partkey").alias("mp"), F.sum("cents").alias("cents"))
         .selectExpr("*", f"{_LOAN_ID} AS loan_id")
     )
     # At most one row per calendar month and loan here, so loan groups are small.
@@ -72,7 +73,7 @@ def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'panel' AS source_file",
         "loan_id",
         "as_of_month",
-        "cast(if(mp % 101 = 0, 0, upb) AS decimal(18,2)) AS current_actual_upb",
+        "cast(if(mp % 101 = 0, 0, cents) * 0.01BD AS decimal(18,2)) AS current_actual_upb",
         "status AS delinquency_status_raw",
         "if(status IN ('RA', 'XX'), NULL, try_cast(status AS smallint)) AS delinquency_months",
         "if(mp % 89 = 0, NULL, smallint(age)) AS loan_age",
