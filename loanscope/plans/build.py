@@ -3,13 +3,12 @@
 Work on loan-months, in order:
 
 * staging parses the files into parquet without an exchange;
-* the key checks exchange two columns, once, and decide how the panel is stored;
-* the panel joins the narrow columns it needs with the loan dimension. If keys
-  are unique it is stored clustered by loan, and everything that follows a loan
-  through time reads it without another exchange. If they are not, the build
-  cannot be published, but its report must still be right: the panel is then
-  stored as it comes and transitions use the weighted form, so that a loan that
-  repeats without bound is never gathered in one task.
+* the key checks exchange two columns. A repeated or missing key ends the build
+  here, as a unique constraint would: everything after it relies on one row per
+  loan and month, and joins on repeated ids could grow without bound;
+* the narrow performance columns are hash-partitioned by loan, once, for both the
+  join with the dimension and the clustered panel. Everything that follows a loan
+  through time reads the clusters without another exchange.
 
 Every table is written once under a fresh run folder and read back, which also
 cuts lineage: a lost executor costs its tasks, not the run.
@@ -26,12 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscope.domain import VINTAGES
-from loanscope.operators.curated import (
-    dim_loan,
-    fact_loan_month,
-    next_month_pairs_ordered,
-    weighted_pairs,
-)
+from loanscope.operators.curated import dim_loan, fact_loan_month, next_month_pairs_ordered
 from loanscope.operators.marts import portfolio_by_segment, portfolio_monthly, transition_monthly
 from loanscope.operators.quality import (
     DETAILS,
@@ -107,6 +101,14 @@ def _written_together(store: RunStore, tables: dict[str, DataFrame]) -> list[Dat
         return list(jobs.map(store.write, tables.keys(), tables.values()))
 
 
+def _require_passed(results: DataFrame, store: RunStore) -> None:
+    # One row per check, so this is small whatever the data holds.
+    failures = [tuple(row) for row in failed_checks(results).collect()]
+    if failures:
+        raise ValidationFailed(failures, store)
+
+
+PANEL = "curated.fact_loan_month"
 KEY_CHECKS = ["origination_loan_id_unique", "performance_loan_month_unique"]
 
 
@@ -133,24 +135,22 @@ def build(
     dim = store.write("curated.dim_loan", dim_loan(origination))
 
     staged = Layers(origination=origination, performance=performance)
-    keys = store.write("quality.key_checks", failure_counts(staged, expect, KEY_CHECKS))
-    clustered = keys.filter("failed_row_count > 0").isEmpty()
-    try:
-        if clustered:
-            stored = stored_bytes(spark, store.table_path("staging.monthly_performance"))
-            buckets = bucket_count(spark, stored)
-            fact = store.write_clustered(
-                "curated.fact_loan_month",
-                clustered_panel(performance, dim, buckets),
-                by="loan_id",
-                order=["loan_id", "as_of_month"],
-                buckets=buckets,
-            )
-            pairs = next_month_pairs_ordered(fact)
-        else:
-            fact = store.write("curated.fact_loan_month", fact_loan_month(performance, dim))
-            pairs = weighted_pairs(fact)
+    key_counts = failure_counts(staged, expect, KEY_CHECKS)
+    keys = store.write("quality.key_checks", reported(key_counts, DETAILS))
+    _require_passed(keys, store)
 
+    buckets = bucket_count(
+        spark, stored_bytes(spark, store.table_path("staging.monthly_performance"))
+    )
+    try:
+        fact = store.write_clustered(
+            PANEL,
+            clustered_panel(performance, dim, buckets),
+            by="loan_id",
+            order=["loan_id", "as_of_month"],
+            buckets=buckets,
+        )
+        pairs = next_month_pairs_ordered(fact)
         monthly, segments, transitions = _written_together(
             store,
             {
@@ -169,16 +169,11 @@ def build(
             transitions=transitions,
         )
         others = [name for name in DETAILS if name not in KEY_CHECKS]
-        counts = keys.unionByName(failure_counts(layers, expect, others))
-        results = store.write("quality.validation_results", reported(counts, DETAILS))
+        counts = reported(failure_counts(layers, expect, others), DETAILS)
+        results = store.write("quality.validation_results", keys.unionByName(counts))
     finally:
-        if clustered:
-            store.forget("curated.fact_loan_month")
-
-    # One row per check, so this is small whatever the data holds.
-    failures = [tuple(row) for row in failed_checks(results).collect()]
-    if failures:
-        raise ValidationFailed(failures, store)
+        store.forget(PANEL)
+    _require_passed(results, store)
     publish(store)
     return BuildReport(
         store=store,

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.domain import MIN_CELL_COUNT
-from loanscope.operators.export_quality import export_results
+from loanscope.operators.export_quality import dashboard_input_problems, export_results
 from loanscope.operators.exports import (
     MONTHLY_FIELDS,
     SEGMENT_FIELDS,
@@ -53,6 +53,13 @@ def dashboard_tables(store: RunStore, k: int = MIN_CELL_COUNT) -> DashboardTable
     )
 
 
+def _require_passed(report: DataFrame) -> None:
+    failures = failed_checks(report).collect()
+    if failures:
+        lines = [f"{row.check_name}: {row.failed_row_count} failed rows" for row in failures]
+        raise ExportRejected("Export checks failed:\n- " + "\n- ".join(lines))
+
+
 def export(spark: SparkSession, root: str, out_dir: str, k: int = MIN_CELL_COUNT) -> DataFrame:
     """Check the exports of the published run and write them as CSV.
 
@@ -72,10 +79,7 @@ def export(spark: SparkSession, root: str, out_dir: str, k: int = MIN_CELL_COUNT
         store.read("mart.delinquency_transition_monthly"),
         k,
     )
-    failures = failed_checks(report).collect()
-    if failures:
-        lines = [f"{row.check_name}: {row.failed_row_count} failed rows" for row in failures]
-        raise ExportRejected("Export checks failed:\n- " + "\n- ".join(lines))
+    _require_passed(report)
     for name, table in zip(FIELDS, (tables.monthly, tables.segments, tables.transitions)):
         write_csv(in_display_order(table), f"{out_dir}/{name}")
     return report
@@ -90,3 +94,19 @@ def load_export(spark: SparkSession, out_dir: str) -> DashboardTables:
     if empty:
         raise ValueError(f"empty exports: {empty}")
     return DashboardTables(*tables.values())
+
+
+def check_dashboard(
+    tables: DashboardTables, month_count: int, first_month: str, last_month: str
+) -> None:
+    """Raise unless the loaded tables are usable and span the expected window."""
+    _require_passed(
+        dashboard_input_problems(
+            tables.monthly,
+            tables.segments,
+            tables.transitions,
+            month_count,
+            first_month,
+            last_month,
+        )
+    )

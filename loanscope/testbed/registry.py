@@ -25,6 +25,7 @@ from loanscope.operators.export_quality import (
 from loanscope.operators.staging import stage_performance
 from loanscope.plans import build as build_plan
 from loanscope.plans import dashboard
+from loanscope.plans.raw_validation import profile_files
 from loanscope.sources import delimited, storage
 from loanscope.sources.csv_tables import read_csv, write_csv
 from loanscope.testbed import dirty, panel
@@ -920,22 +921,6 @@ def _raw_files(spark: SparkSession, sf_dir: str, spoil: Callable[[DataFrame], Da
     return raw_dir
 
 
-def _reduced(spark: SparkSession, raw_dir: str) -> tuple[DataFrame, DataFrame]:
-    scratch = storage.scratch_dir(spark, "profile")
-
-    def lines(dataset: str) -> DataFrame:
-        return delimited.scan_lines(spark, delimited.dataset_glob(raw_dir, dataset))
-
-    return (
-        storage.written(
-            raw_profile.reduce_origination(lines("origination")), f"{scratch}/origination"
-        ),
-        storage.written(
-            raw_profile.reduce_performance(lines("performance")), f"{scratch}/performance"
-        ),
-    )
-
-
 def _spoil(lines: DataFrame) -> DataFrame:
     """Plant damage in raw performance lines, by ``k`` and ``mp``."""
     value, mp = F.col("value"), F.col("mp")
@@ -952,7 +937,7 @@ def _spoil(lines: DataFrame) -> DataFrame:
 
 
 def _profile(spark: SparkSession, sf_dir: str, spoil=None) -> DataFrame:
-    return raw_profile.raw_profile(*_reduced(spark, _raw_files(spark, sf_dir, spoil)))
+    return profile_files(spark, _raw_files(spark, sf_dir, spoil))
 
 
 _PROFILE_BLOCKS = {

@@ -5,10 +5,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from loanscope.domain import ORIGINATION_FIELDS, PERFORMANCE_FIELDS
-from loanscope.operators import raw_profile
 from loanscope.operators.quality import DETAILS, Expectations, failure_counts
 from loanscope.plans.build import ValidationFailed, build
-from loanscope.plans.dashboard import export, load_export
+from loanscope.plans.dashboard import ExportRejected, check_dashboard, export, load_export
+from loanscope.plans.raw_validation import validate_raw
 from loanscope.sources import delimited, storage
 from loanscope.sources.csv_tables import read_csv, write_csv
 from loanscope.testbed import dirty
@@ -94,16 +94,6 @@ def test_quoted_pipe_is_part_of_the_field(spark, raw):
     }
 
 
-def profile_of(spark, raw_dir):
-    def lines(dataset):
-        return delimited.scan_lines(spark, delimited.dataset_glob(raw_dir, dataset))
-
-    return raw_profile.raw_profile(
-        raw_profile.reduce_origination(lines("origination")),
-        raw_profile.reduce_performance(lines("performance")),
-    )
-
-
 def test_profile_counts_planted_damage(spark, raw):
     files, _ = raw
     files["sample_2019/sample_orig_2019.txt"] += [
@@ -118,8 +108,9 @@ def test_profile_counts_planted_damage(spark, raw):
         performance_line(3, "202103", servicer_name='"A|B"'),
     ]
     raw_dir, folder = write(raw)
-    profile = profile_of(spark, raw_dir)
-    found = {(r.dataset, r.source_year, r.metric, r.item): r.value for r in profile.collect()}
+    expected_rows = {("origination", 2019): 43, ("performance", 2019): 560, ("performance", 2021): 1}
+    result = validate_raw(spark, raw_dir, expected_rows, f"{folder}/report")
+    found = {(r.dataset, r.source_year, r.metric, r.item): r.value for r in result.profile.collect()}
     expected = {
         ("origination", 2019, "row_count", None): 43,
         ("origination", 2019, "rows_with_wrong_field_count", None): 1,
@@ -144,16 +135,20 @@ def test_profile_counts_planted_damage(spark, raw):
         ("performance", 2020, "originations_without_performance", None): 1,
     }
     assert expected.items() <= found.items()
-    failures = raw_profile.raw_failures(
-        profile, {("origination", 2019): 43, ("performance", 2019): 560, ("performance", 2021): 1}
-    )
-    messages = {r.message for r in failures.collect()}
+    assert not result.passed
+    messages = {r.message for r in result.failures.collect()}
     assert "2019 performance: expected 560 rows" in messages
     assert "2021 performance: expected 1 rows" in messages
     assert "2019 performance: invalid_zero_balance_codes=2" in messages
     assert not any("row_count=" in m or "origination: expected" in m for m in messages)
-    raw_profile.write_report(profile, failures, f"{folder}/report")
     assert spark.read.json(f"{folder}/report/failures").count() == len(messages)
+    assert spark.read.json(f"{folder}/report/profile").count() == len(found)
+
+
+def test_clean_files_pass_the_raw_validation(spark, raw, tmp_path):
+    raw_dir, _ = write(raw)
+    expected_rows = {(d, y): n for y in (2019, 2020) for d, n in (("origination", 40), ("performance", 560))}
+    assert validate_raw(spark, raw_dir, expected_rows, str(tmp_path / "report")).passed
 
 
 def test_build_publishes_and_exports(spark, raw, tmp_path):
@@ -169,6 +164,9 @@ def test_build_publishes_and_exports(spark, raw, tmp_path):
     tables = load_export(spark, str(tmp_path / "csv"))
     assert tables.monthly.count() == 26
     assert dict(tables.segments.dtypes)["on_book_upb"] == "double"
+    check_dashboard(tables, 26, "2019-01-01", "2021-02-01")
+    with pytest.raises(ExportRejected, match="month count"):
+        check_dashboard(tables, 87, "2019-01-01", "2021-02-01")
     with pytest.raises(ValueError):
         export(spark, root, str(tmp_path / "other"), k=1)
 
@@ -185,10 +183,17 @@ def test_a_failed_build_leaves_the_published_version(spark, raw, repeat):
     with pytest.raises(ValidationFailed) as error:
         build(spark, raw_dir, root, EXPECT)
     failed = {name: count for name, count, _ in error.value.failures}
-    assert failed == {"delinquency_statuses_valid": 1} | ({"performance_loan_month_unique": 1} if repeat else {})
+    store = error.value.store
+    # A rejected run keeps its report. A repeated key ends the build before the panel.
+    if repeat:
+        assert failed == {"performance_loan_month_unique": 1}
+        assert store.read("quality.key_checks").count() == 2
+        assert not os.path.exists(store.table_path("curated.fact_loan_month"))
+    else:
+        assert failed == {"delinquency_statuses_valid": 1}
+        assert store.read("quality.validation_results").count() == 19
     assert storage.current_run(spark, root).run_id == first.run_id
-    # The rejected run keeps its report, with every check evaluated.
-    assert error.value.store.read("quality.validation_results").count() == 19
+    assert not spark.catalog.listTables()
 
 
 def test_every_check_finds_something_on_the_dirty_panel(spark):
