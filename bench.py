@@ -96,7 +96,7 @@ def replicated_files(spark: SparkSession) -> tuple[str, Expectations]:
             lines.write.text(f"{raw_dir}/sample_{year}/sample_{part}_{year}.txt")
         rows[dataset] = {r[0]: r[1] for r in stored.groupBy("source_year").count().collect()}
     expect = Expectations(
-        rows["origination"], rows["performance"], panel.WINDOW_END.replace("11", "12"), panel.SPOT_MONTHS
+        rows["origination"], rows["performance"], panel.WINDOW_END, panel.SPOT_MONTHS
     )
     return raw_dir, expect
 

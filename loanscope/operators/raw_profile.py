@@ -150,7 +150,8 @@ def reduce_performance(lines: DataFrame) -> DataFrame:
         F.expr(f"if(is_malformed OR {usual}, NULL, {shown}) AS {name}")
         for name, (usual, shown) in unusual.items()
     ]
-    valid_period = f"(try_cast(period AS bigint)) FILTER (WHERE NOT is_malformed AND {is_valid_month('period')})"
+    usable_period = f"NOT is_malformed AND {is_valid_month('period')}"
+    valid_period = f"(try_cast(period AS bigint)) FILTER (WHERE {usable_period})"
     counters = {
         **_LINE_COUNTERS,
         "invalid_periods": _usable(f"NOT ({is_valid_month('period')})"),
@@ -195,7 +196,7 @@ def _histogram(reduced: DataFrame, code: str) -> DataFrame:
         reduced.filter(F.col(code).isNotNull())
         .groupBy("source_year", F.col(code).alias("item"))
         .agg(F.sum("row_count").alias("value"))
-        .select(F.lit("performance").alias("dataset"), "source_year", F.lit(code).alias("metric"), "item", "value")
+        .selectExpr("'performance' AS dataset", "source_year", f"'{code}' AS metric", "item", "value")
     )
 
 

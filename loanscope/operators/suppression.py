@@ -52,7 +52,9 @@ def mark_merged(mart: DataFrame, within: list[str], label: str, count: str, k: i
     return mart.withColumn("privacy_merged", low | needs_company)
 
 
-def _roll(marked: DataFrame, key: list[str], label: str, bucket: str, sums: list[Column]) -> DataFrame:
+def _roll(
+    marked: DataFrame, key: list[str], label: str, bucket: str, sums: list[Column]
+) -> DataFrame:
     shown = F.when(F.col("privacy_merged"), bucket).otherwise(F.col(label))
     return (
         marked.withColumn(label, shown)

@@ -72,7 +72,8 @@ class BuildReport:
 
 def bucket_count(spark: SparkSession, stored: int) -> int:
     """Buckets of about 256 MB, and at least one per default task slot."""
-    return min(MAX_BUCKETS, max(spark.sparkContext.defaultParallelism, -(-stored // BYTES_PER_BUCKET)))
+    wanted = max(spark.sparkContext.defaultParallelism, -(-stored // BYTES_PER_BUCKET))
+    return min(MAX_BUCKETS, wanted)
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

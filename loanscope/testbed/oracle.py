@@ -1,7 +1,7 @@
 """SQL over the test tables that states what each query must return.
 
 The statements are plain SQL for an embedded analytical database and share no
-code with the operators. Every statement is assembled from named building blocks
+expressions with the operators. Every statement is assembled from named building blocks
 (common table expressions); only the blocks a statement mentions are included.
 Amounts are exact decimals inside and doubles in the result.
 """
@@ -99,11 +99,11 @@ _PERF_FLAGS = """
                 else 'UNKNOWN' end as monitoring_state
     from {source}"""
 
-_TWO_DIGITS = "regexp_full_match(delinquency_status_raw, '[0-9][0-9]')"
+TWO_DIGITS = "regexp_full_match(delinquency_status_raw, '[0-9][0-9]')"
 
 _STAGING = {
     "perf_typed": f"""
-        select *, if({_TWO_DIGITS}, try_cast(delinquency_status_raw as smallint), null)
+        select *, if({TWO_DIGITS}, try_cast(delinquency_status_raw as smallint), null)
                    as delinquency_months
         from panel""",
     "perf": _PERF_FLAGS.format(source="perf_typed"),
@@ -214,7 +214,7 @@ _MEMBERS = {
 }
 
 
-def _both(populations: list[str]) -> list[str]:
+def both_units(populations: list[str]) -> list[str]:
     return [f"{p}_{unit}" for p in populations for unit in ("loan_count", "upb")]
 
 
@@ -302,7 +302,7 @@ _MARTS = {
 
 # --- suppressed exports (k is filled in per statement) -------------------------
 
-_BAND_PLACES = [
+BAND_PLACES = [
     ["<620", "620-659", "660-699", "700-739", "740-779", "780+", "Unknown"],
     ["<=60", "61-70", "71-80", "81-90", "91-95", ">95", "Unknown"],
     ["<=20", "21-30", "31-40", "41-45", "46-50", ">50", "Unknown"],
@@ -315,7 +315,7 @@ def _list(labels: list[str]) -> str:
 
 _PLACE = " ".join(
     f"when '{name}' then coalesce(list_position({_list(labels)}, segment_value), 99)"
-    for name, labels in zip(["classic_fico", "original_cltv", "original_dti"], _BAND_PLACES)
+    for name, labels in zip(["classic_fico", "original_cltv", "original_dti"], BAND_PLACES)
 )
 _OPEN = ["PRE_DUE", "CURRENT", "30", "60", "90+", "REO_ACQUISITION"]
 
@@ -350,7 +350,7 @@ def _suppressed(k: int) -> dict[str, str]:
             from (select as_of_month, segment_name,
                          if(hit, 'Other / low volume', segment_value) as segment_value,
                          bool_or(hit) as privacy_merged, count(*) as source_mart_row_count,
-                         {_resummed(_both(CORE))}
+                         {_resummed(both_units(CORE))}
                   from segment_marked
                   group by 1, 2, 3)""",
         "kept_flows": f"""
@@ -476,5 +476,5 @@ def statement(
 def listed(columns: list[str]) -> str:
     """Column list with amounts as doubles."""
     return ", ".join(
-        f"cast({c} as double) as {c}" if c.endswith(("_upb", "_rate_text")) else c for c in columns
+        f"cast({c} as double) as {c}" if c.endswith("_upb") else c for c in columns
     )

@@ -23,7 +23,8 @@ FIRST_MONTH = "2019-01-01"
 
 # The columns read, typed up front so that reading needs no look at file footers.
 _SCHEMAS = {
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_extendedprice double, l_shipdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_extendedprice double, "
+    "l_shipdate timestamp_ntz",
     "orders": "o_orderkey bigint, o_custkey bigint",
     "customer": "c_custkey bigint",
 }
@@ -122,7 +123,8 @@ _PERFORMANCE_TEXT = {
     "remaining_months_to_legal_maturity": "string(360 - mp % 83)",
     "modification_flag": "if(mp % 47 = 0, 'Y', '')",
     "zero_balance_code": "coalesce(zero_balance_code, '')",
-    "zero_balance_effective_date": "coalesce(date_format(zero_balance_effective_month, 'yyyyMM'), '')",
+    "zero_balance_effective_date": "coalesce("
+    "date_format(zero_balance_effective_month, 'yyyyMM'), '')",
     "current_interest_rate": "concat(k % 4 + 2, '.5')",
     "current_non_interest_bearing_upb": "'0.00'",
     "ddlpi": "date_format(as_of_month, 'yyyyMM')",

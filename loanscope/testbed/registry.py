@@ -29,7 +29,15 @@ from loanscope.plans.raw_validation import profile_files
 from loanscope.sources import delimited, storage
 from loanscope.sources.csv_tables import read_csv, write_csv
 from loanscope.testbed import dirty, panel
-from loanscope.testbed.oracle import CORE, EXCLUDED, _TWO_DIGITS, _both, listed, statement
+from loanscope.testbed.oracle import (
+    BAND_PLACES,
+    CORE,
+    EXCLUDED,
+    TWO_DIGITS,
+    both_units,
+    listed,
+    statement,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,7 +170,10 @@ _register(
             cast(sum(current_actual_upb) as double) as upb from perf group by all"""
     ),
 )
-_SENTINELS = ["classic_fico", "vantage_score_4", "mi_percentage", "original_cltv", "original_dti", "original_ltv"]
+_SENTINELS = [
+    "classic_fico", "vantage_score_4", "mi_percentage", "original_cltv", "original_dti",
+    "original_ltv",
+]
 
 
 def _sentinel_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,8 +256,8 @@ _register(
 
 _RATES = [*marts.COVERAGE_RATES, *marts.DQ_RATES]
 _SEGMENT_KEY = ["as_of_month", "segment_name", "segment_value"]
-_MONTHLY_SQL = f"select {listed(['as_of_month', *_both(CORE + EXCLUDED), *_RATES])} from monthly"
-_SEGMENT_SQL = f"select {listed([*_SEGMENT_KEY, *_both(CORE), *marts.DQ_RATES])} from segments"
+_MONTHLY_SQL = f"select {listed(['as_of_month', *both_units(CORE + EXCLUDED), *_RATES])} from monthly"
+_SEGMENT_SQL = f"select {listed([*_SEGMENT_KEY, *both_units(CORE), *marts.DQ_RATES])} from segments"
 _FLOW_COLUMNS = [
     "from_month", "to_month", "segment_name", "segment_value", "from_state", "to_state",
     "transition_loan_count", "transition_from_upb", "observable_from_state_loan_count",
@@ -292,10 +303,14 @@ _register(
 
 # --- exports and suppression ------------------------------------------------------
 
-_register("export_monthly", lambda s, d: exports.export_monthly(_monthly(s, d)), statement(_MONTHLY_SQL))
+_register(
+    "export_monthly",
+    lambda s, d: exports.export_monthly(_monthly(s, d)),
+    statement(_MONTHLY_SQL),
+)
 
 _SEGMENT_EXPORT = [
-    *_SEGMENT_KEY, "privacy_merged", "source_mart_row_count", *_both(CORE), *_RATES,
+    *_SEGMENT_KEY, "privacy_merged", "source_mart_row_count", *both_units(CORE), *_RATES,
     "segment_sort_order",
 ]
 _FLOW_EXPORT = [
@@ -338,7 +353,7 @@ _register(
 
 # --- checks -----------------------------------------------------------------------
 
-_NOT_EQUAL = " or ".join(f"s.{m} <> p.{m}" for m in _both(CORE))
+_NOT_EQUAL = " or ".join(f"s.{m} <> p.{m}" for m in both_units(CORE))
 
 
 def _nested(unit: str, table: str) -> str:
@@ -351,7 +366,7 @@ def _nested(unit: str, table: str) -> str:
 _SEASONED = "zero_balance_code is null and current_actual_upb > 0 and loan_age >= 1"
 _SPOT = {
     "on_book": "zero_balance_code is null and current_actual_upb > 0",
-    "delinquency_eligible": f"{_SEASONED} and {_TWO_DIGITS}",
+    "delinquency_eligible": f"{_SEASONED} and {TWO_DIGITS}",
     **{
         f"dq{30 * n}": f"{_SEASONED} and try_cast(delinquency_status_raw as int) >= {n}"
         for n in (1, 2, 3)
@@ -362,7 +377,7 @@ _SPOT_MEASURES = ", ".join(
     f"coalesce(sum(current_actual_upb) filter ({p}), 0) as {name}_upb"
     for name, p in _SPOT.items()
 )
-_ROLLUP = ", ".join(f"sum({m}) as {m}" for m in _both(CORE))
+_ROLLUP = ", ".join(f"sum({m}) as {m}" for m in both_units(CORE))
 _MONTH_LIST = ", ".join(f"date '{m}'" for m in panel.SPOT_MONTHS)
 
 # check -> SQL that yields one row per failure
@@ -406,7 +421,9 @@ _FAILING_ROWS = {
     "delinquency_count_hierarchy": (
         f"{_nested('loan_count', 'monthly')} union all {_nested('loan_count', 'segments')}"
     ),
-    "delinquency_upb_hierarchy": f"{_nested('upb', 'monthly')} union all {_nested('upb', 'segments')}",
+    "delinquency_upb_hierarchy": (
+        f"{_nested('upb', 'monthly')} union all {_nested('upb', 'segments')}"
+    ),
     "segment_dimensions_complete": (
         "select * from (select as_of_month, unnest(['origination_year', 'classic_fico', "
         "'original_cltv', 'original_dti']) from monthly) "
@@ -744,7 +761,7 @@ _register(
 # --- panels ---------------------------------------------------------------------------
 
 _register("panel_trend", lambda s, d: panels.trend(_monthly(s, d)), statement(
-    f"select {listed(['as_of_month', *_both(CORE[:2]), *_RATES])} from monthly"
+    f"select {listed(['as_of_month', *both_units(CORE[:2]), *_RATES])} from monthly"
 ))
 _register(
     "panel_defaults",
@@ -759,8 +776,8 @@ _register(
 
 
 def _snapshot_sql(month: str) -> str:
-    pieces = ", ".join(f"coalesce(sum({m}), 0) as {m}" for m in _both(CORE[:2]))
-    names = _both(CORE[:2])
+    pieces = ", ".join(f"coalesce(sum({m}), 0) as {m}" for m in both_units(CORE[:2]))
+    names = both_units(CORE[:2])
     amounts = ", ".join(
         f"cast({m} as {'double' if m.endswith('upb') else 'bigint'}) as {m}" for m in names
     )
@@ -784,9 +801,10 @@ for _label, _month in (("", SNAPSHOT), ("_absent_month", ABSENT_MONTH)):
 # dimension -> labels shown
 _SHOWN_LABELS = {
     "origination_year": ["2019", "2020"],
-    "classic_fico": ["<620", "620-659", "660-699", "700-739", "740-779", "780+", "Unknown", "Other / low volume"],
-    "original_cltv": ["<=60", "61-70", "71-80", "81-90", "91-95", ">95", "Unknown", "Other / low volume"],
-    "original_dti": ["<=20", "21-30", "31-40", "41-45", "46-50", ">50", "Unknown", "Other / low volume"],
+    **{
+        name: [*labels, "Other / low volume"]
+        for name, labels in zip(["classic_fico", "original_cltv", "original_dti"], BAND_PLACES)
+    },
 }
 
 
@@ -795,7 +813,7 @@ def _labels_sql(labels: list[str]) -> str:
 
 
 def _segment_panel_sql(dimension: str, month: str) -> str:
-    columns = _both(CORE)
+    columns = both_units(CORE)
     zeroed = ", ".join(
         f"cast(coalesce({m}, 0) as {'decimal(38,2)' if m.endswith('upb') else 'bigint'}) as {m}"
         for m in columns
@@ -903,7 +921,9 @@ for _label, _state in (("", "CURRENT"), ("_absent_cohort", "REO_ACQUISITION")):
 # --- files ----------------------------------------------------------------------------
 
 
-def _raw_files(spark: SparkSession, sf_dir: str, spoil: Callable[[DataFrame], DataFrame] | None = None) -> str:
+def _raw_files(
+    spark: SparkSession, sf_dir: str, spoil: Callable[[DataFrame], DataFrame] | None = None
+) -> str:
     """Write the panel as raw files into a fresh folder and return it."""
     raw_dir = storage.scratch_dir(spark, "raw")
     tables = {
