@@ -63,8 +63,8 @@ def cohort_gaps(export: DataFrame, mart: DataFrame, k: int) -> DataFrame:
 def identifier_check(*exports: DataFrame) -> DataFrame:
     """Number of identifier columns over all exports, as one result row."""
     found = sum(len(identifier_columns(export)) for export in exports)
-    return exports[0].sparkSession.createDataFrame(
-        [("loan identifier columns", found)], "check_name string, failed_row_count bigint"
+    return exports[0].sparkSession.sql(
+        f"SELECT 'loan identifier columns' AS check_name, bigint({found}) AS failed_row_count"
     )
 
 

@@ -41,8 +41,8 @@ def _summed(columns: Iterable[str]) -> list[Column]:
 
 def _domain(spark: SparkSession, name: str, labels: Iterable[str]) -> DataFrame:
     """A fixed list of labels with their display position."""
-    rows = [(position, label) for position, label in enumerate(labels, start=1)]
-    return spark.createDataFrame(rows, f"position int, {name} string")
+    rows = ", ".join(f"({place}, '{label}')" for place, label in enumerate(labels, start=1))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS domain(position, {name})")
 
 
 def default_selection(monthly: DataFrame, transitions: DataFrame) -> DataFrame:
