@@ -28,6 +28,20 @@ SELECT conv_id,
 FROM stepped GROUP BY conv_id
 """
 
+TOPK = """
+WITH rows AS (
+  SELECT DISTINCT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS ints
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, q.ints AS asked, c.vec_id AS vec_id,
+    list_sum([p[1] * p[2] FOR p IN list_zip(q.ints, c.ints)])::BIGINT AS score
+  FROM rows q JOIN rows c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.ints) = len(c.ints)
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id, asked ORDER BY score DESC, vec_id) QUALIFY rank <= 10
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op9_chat_formatting": CHAT}
+    return {"op8_exact_topk": TOPK, "op9_chat_formatting": CHAT}

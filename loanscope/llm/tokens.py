@@ -9,6 +9,7 @@ Unicode tables might differ, still go to tokenizers. The tests compare both road
 
 from __future__ import annotations
 
+import functools
 import json
 import os
 import re
@@ -33,6 +34,7 @@ class Encoder:
         raise NotImplementedError
 
     @staticmethod
+    @functools.lru_cache(maxsize=4)  # a Python worker serves many tasks
     def load(path: str) -> Encoder:
         if path.endswith(".model"):
             return _Sentencepiece(path)
