@@ -42,6 +42,33 @@ SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM s
 WINDOW best AS (PARTITION BY query_id, asked ORDER BY score DESC, vec_id) QUALIFY rank <= 10
 """
 
+NEAR_DUPLICATES = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+') IF w <> ''] AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM common WHERE 100 * shared >= 85 * (na + nb - shared)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+)
+SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(other) AS component_id,
+  sets.doc_id = min(other) AS kept
+FROM sets JOIN reach ON sets.doc_id = reach.doc_id GROUP BY sets.doc_id, s
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op8_exact_topk": TOPK, "op9_chat_formatting": CHAT}
+    return {"op5_minhash_neardup": NEAR_DUPLICATES, "op8_exact_topk": TOPK, "op9_chat_formatting": CHAT}

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.llm import chat, counting, packing, sharding, topk
+from loanscope.llm import chat, counting, neardup, packing, sharding, topk
 
 #: Tokenizer file of the token queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, CONTEXT)
 
@@ -77,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op3_sharding": op3_sharding,
+        "op5_minhash_neardup": op5_minhash_neardup,
         "op7_packing": op7_packing,
         "op8_exact_topk": op8_exact_topk,
         "op9_chat_formatting": op9_chat_formatting,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from loanscope.llm.workspace import Workspace
 
 #: Blocks of the hash range in each shard, as a power of two.
-BLOCK_BITS = 12
+BLOCK_BITS = 8
 #: Copies of a row that get their slots at once.
 RUN = 10_000
 #: Bytes that a row takes besides its text.
