@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.llm import chat, counting, neardup, packing, sharding, topk
+from loanscope.llm import chat, counting, linededup, neardup, packing, sharding, topk
 
 #: Tokenizer file of the token queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -39,6 +39,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER, limit=CONTEXT)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = linededup.without_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "text", "lines", "lines_removed")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -80,6 +85,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_line_dedup": op2_line_dedup,
         "op3_sharding": op3_sharding,
         "op5_minhash_neardup": op5_minhash_neardup,
         "op7_packing": op7_packing,
