@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.llm import chat, counting, linededup, neardup, packing, sharding, topk
+from loanscope.llm import chat, counting, decontamination, linededup, neardup, packing, sharding, topk
 
 #: Tokenizer file of the token queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,6 +82,12 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.with_hits(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -91,4 +97,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_packing": op7_packing,
         "op8_exact_topk": op8_exact_topk,
         "op9_chat_formatting": op9_chat_formatting,
+        "op10_decontamination": op10_decontamination,
     }

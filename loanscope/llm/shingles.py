@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 
 _RULE = np.random.Generator(np.random.PCG64(20240229))
@@ -9,8 +12,11 @@ _RULE = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RULE.integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
 #: ASCII letters in lower case, all other bytes as they are.
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: ASCII white space: space and U+0009 to U+000D.
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: All of ASCII but letters and digits.
+NOT_ALPHANUMERIC = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: Bytes hashed at once; a longer word is hashed whole.
@@ -43,37 +49,61 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def _words_of_span(span: np.ndarray) -> np.ndarray:
+@dataclass(frozen=True)
+class Words:
+    """The words of a stretch of bytes: where they lie, and hashes of parts of them."""
+
+    start: np.ndarray
+    end: np.ndarray
+    sums: np.ndarray
+
+    def hashes(self, start: np.ndarray | None = None, end: np.ndarray | None = None) -> np.ndarray:
+        """Hashes of the words, or of the parts between given places."""
+        start = self.start if start is None else start
+        end = self.end if end is None else end
+        down = _POWERS.upto(len(self.sums))[1]
+        return mixed((self.sums[end] - self.sums[start]) * down[start])
+
+
+def words_of(span: np.ndarray, separators: np.ndarray = SPACE) -> Words:
+    """Words of an array of bytes; A to Z count as a to z."""
     inside = np.zeros(len(span) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[span]
+    inside[1:-1] = ~separators[span]
     edges = np.diff(inside)
-    start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    up, down = _POWERS.upto(len(span))
+    up = _POWERS.upto(len(span))[0]
     sums = np.zeros(len(span) + 1, np.uint64)
     np.cumsum(_BYTE[_LOWER[span]] * up[: len(span)], out=sums[1:])
-    return mixed((sums[end] - sums[start]) * down[start])
+    return Words(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), sums)
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """Hashes of the words of a text: runs of bytes other than space and U+0009 to U+000D.
+def spans(data: np.ndarray, separators: np.ndarray = SPACE) -> Iterator[np.ndarray]:
+    """The bytes of a text in stretches that end between words."""
+    if len(data) <= SPAN:
+        yield data
+        return
+    at, between = 0, np.flatnonzero(separators[data])
+    while at < len(data):
+        cut = np.searchsorted(between, at + SPAN)
+        if cut and between[cut - 1] > at:
+            end = between[cut - 1]
+        else:  # a word longer than a stretch
+            end = between[cut] if cut < len(between) else len(data)
+        end = max(int(end), at + 1)
+        yield data[at:end]
+        at = end
+
+
+def text_bytes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+
+
+def word_hashes(text: str, separators: np.ndarray = SPACE) -> np.ndarray:
+    """Hashes of the words of a text: runs of bytes that are not separators.
 
     A to Z count as a to z. Equal words have equal hashes; unequal ones differ but for
     chance in 2^64.
     """
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    if len(data) <= SPAN:
-        return _words_of_span(data)
-    parts, at = [], 0
-    spaces = np.flatnonzero(_SPACE[data])
-    while at < len(data):
-        cut = np.searchsorted(spaces, at + SPAN)
-        if cut and spaces[cut - 1] > at:
-            end = spaces[cut - 1]
-        else:
-            end = spaces[cut] if cut < len(spaces) else len(data)
-        parts.append(_words_of_span(data[at : max(end, at + 1)]))
-        at = max(end, at + 1)
-    return np.concatenate(parts)
+    return np.concatenate([words_of(s, separators).hashes() for s in spans(text_bytes(text), separators)])
 
 
 def shingle_set(text: str, size: int) -> np.ndarray:
