@@ -10,7 +10,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanscope.llm import chat, counting, decontamination, linededup, neardup, packing, sharding, topk
+from loanscope.llm import (
+    chat,
+    counting,
+    decontamination,
+    linededup,
+    neardup,
+    packing,
+    quality,
+    sharding,
+    topk,
+)
 
 #: Tokenizer file of the token queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +62,12 @@ def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = quality.classify(docs, table(spark, sf_dir, "labels"))
+    return rated.select("doc_id", "bad_chance", "kept")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, CONTEXT)
 
@@ -94,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": op2_line_dedup,
         "op3_sharding": op3_sharding,
         "op5_minhash_neardup": op5_minhash_neardup,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_packing": op7_packing,
         "op8_exact_topk": op8_exact_topk,
         "op9_chat_formatting": op9_chat_formatting,
