@@ -19,6 +19,7 @@ from loanscope.llm import (
     packing,
     quality,
     sharding,
+    substrings,
     topk,
 )
 
@@ -58,6 +59,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -109,6 +115,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": op1_token_counts,
         "op2_line_dedup": op2_line_dedup,
         "op3_sharding": op3_sharding,
+        "op4_suffix_array_dedup": op4_suffix_array_dedup,
         "op5_minhash_neardup": op5_minhash_neardup,
         "op6_quality_classifier": op6_quality_classifier,
         "op7_packing": op7_packing,

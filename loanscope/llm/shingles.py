@@ -49,6 +49,11 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of the base, and of its inverse."""
+    return _POWERS.upto(n)
+
+
 @dataclass(frozen=True)
 class Words:
     """The words of a stretch of bytes: where they lie, and hashes of parts of them."""
