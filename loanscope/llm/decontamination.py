@@ -168,17 +168,17 @@ def _rarer_half(docs: DataFrame, ids: list, words: list[np.ndarray]) -> Seeds:
     return Seeds.of(ids, words, chosen)
 
 
-def with_hits(
+def hits(
     docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, text: str = "text",
     item_key: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS,
-) -> DataFrame:
-    """All columns of the documents and ``hits``, the benchmark items that each holds.
+) -> Column:
+    """The benchmark items that each document holds, as a column of the documents.
 
     A hit has item_id, score (from ``least`` to 1) and the first and last word of the copy,
     counted from 0 over words of letters and digits. Case and punctuation do not matter. An
-    item hits a document once, at its best copy. Items of fewer than three words, without
-    text or repeated (by id and text) take no part or count once. A null or empty text has no
-    hits. A column named ``hits`` is replaced. Empty tables give no hits.
+    item hits a document once, at its best copy. Items of fewer than three words or without
+    text take no part; items repeated by id and text count once. A null or empty text has no
+    hits, and neither have empty tables. Other columns play no part.
     """
     items = benchmark.select(
         F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text")
@@ -197,8 +197,7 @@ def with_hits(
             continue
         seeds = _rarer_half(source, [rows[i].item_id for i in usable], [words[i] for i in usable])
         found.append(_search(seeds, least)(F.coalesce(F.col(text), F.lit(""))))
-    hits = F.concat(*found) if found else F.array().cast(HITS)
-    return docs.withColumn("hits", hits)
+    return F.concat(*found) if found else F.array().cast(HITS)
 
 
 def _search(seeds: Seeds, least: float):

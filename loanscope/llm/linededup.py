@@ -25,6 +25,9 @@ from loanscope.llm.workspace import Workspace
 #: Words of the shortest run that is sure to be found.
 RUN_WORDS = 50
 
+#: Columns of the join, named so as not to meet those of a table.
+_ID, _VERSION, _GONE = "__line_dedup_id", "__line_dedup_version", "__line_dedup_gone"
+
 WINDOWS = (
     "doc_id long, version long, start int, stop int, fingerprint long, place int, "
     "content binary, after binary"
@@ -108,7 +111,8 @@ def removed_lines(work: Workspace, rows: DataFrame, run_words: int) -> DataFrame
 
 
 def without_repeats(
-    docs: DataFrame, run_words: int = RUN_WORDS, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, run_words: int = RUN_WORDS, key: str = "doc_id", text: str = "text",
+    counts: bool = True, emptied: bool = True,
 ) -> DataFrame:
     """All columns of the input with repeated lines taken out of the text, and counts.
 
@@ -119,7 +123,8 @@ def without_repeats(
     all lines becomes empty. Rows without id stay as they are and are no earlier place.
     Repeated rows are one place and are treated alike. Rows of one id with different texts
     count as places of one document, of which the same line number is not earlier. Columns
-    of the input named like the new ones are replaced. An empty table gives no row.
+    of the input named like the new ones are replaced. An empty table gives no row. Without
+    ``counts`` there are no new columns; without ``emptied`` documents that lost all are left out.
     """
     spark = docs.sparkSession
     version = F.xxhash64(F.col(text))
@@ -128,18 +133,20 @@ def without_repeats(
             F.col(key).cast("long").alias("doc_id"), version.alias("version"), F.col(text).alias("text")
         )
         spans = removed_lines(work, rows.filter("text IS NOT NULL"), run_words)
-        gone = spans.groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version")).agg(
-            F.array_distinct(F.flatten(F.collect_list(F.expr("sequence(start, stop - 1)")))).alias("_gone")
+        gone = spans.groupBy(F.col("doc_id").alias(_ID), F.col("version").alias(_VERSION)).agg(
+            F.array_distinct(F.flatten(F.collect_list(F.expr("sequence(start, stop - 1)")))).alias(_GONE)
         )
         gone = work.keep("gone", gone)
-    joined = docs.join(gone, (F.col(key) == F.col("_id")) & (version == F.col("_version")), "left")
+    joined = docs.join(
+        gone, (F.col(key) == F.col(_ID)) & (version == F.col(_VERSION)), "left"
+    )
     lines = F.split(F.col(text), "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(_GONE))
+    if not emptied:
+        joined = joined.filter(F.col(_GONE).isNull() | (F.size(left) > 0))
     kept = F.array_join(F.transform(left, lambda i: F.element_at(lines, i + 1)), "\n")
-    return joined.withColumns(
-        {
-            text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept),
-            "lines": F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)),
-            "lines_removed": F.coalesce(F.size("_gone"), F.lit(0)),
-        }
-    ).drop("_id", "_version", "_gone")
+    made = {text: F.when(F.col(_GONE).isNull(), F.col(text)).otherwise(kept)}
+    if counts:
+        made["lines"] = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines))
+        made["lines_removed"] = F.coalesce(F.size(_GONE), F.lit(0))
+    return joined.withColumns(made).drop(_ID, _VERSION, _GONE)
