@@ -286,7 +286,7 @@ def classify(docs: DataFrame, labels: DataFrame, text: str = "text", **options)
     for bad, otherwise quality 1 is one for good, and nulls or missing rows are silent. Repeated
     labels of an id count once, bad before good. A null text counts as empty. Rows without id are
     scored like others but train nothing. Without any vote nothing is
-    learned, every chance is 0 and every document is kept. New columns replace input columns of the same name.
+    learned, every chance is close to 0 and every document is kept. New columns replace input columns of the same name.
     """
     weights, _ = fitted(docs, labels, text=text, **options)
     rated = docs.withColumn("bad_chance", bad_chance(weights, F.col(text)))
