@@ -3,11 +3,12 @@
 1. Each document becomes its set of word shingles, a digest of the set, a MinHash
    signature and the keys of its bands. Documents with one digest form a class, and the
    class with the smallest document goes on.
-2. Classes that share a band key are candidates. A bucket of m classes never becomes
-   m * m pairs: a few pivots are compared with the others, links found join components,
-   and pivots leave the bucket. Buckets whose classes all lie in one component are done;
-   the others go into the next round with more pivots. Classes in one component need no
-   comparison, so the components are those of all links within buckets.
+2. Classes that share a band key are candidates. A bucket of m classes does not become
+   m * m pairs. First its classes meet one pivot, and links found join components. Buckets
+   whose classes all lie in one component are done, as classes in one component need no
+   comparison. Other buckets that overlap make up an arena; there every class outside the
+   largest component is compared with everyone, in blocks of bounded size inside tasks, and
+   only links that join components come out. So no link between candidates is missed.
 3. A pair's signatures are compared in batches. After each batch the posterior chance
    that the similarity reaches the threshold, from a uniform prior, is looked up; below
    the chosen miss probability the pair is dropped (Satuluri and Parthasarathy, 2012).
@@ -39,8 +40,8 @@ MISS = 1e-6
 #: Shingles hashed at once, to bound the memory of long texts.
 SPAN = 2048
 
-#: Pivots of a bucket in one round; rounds follow each other until every bucket is done.
-MOST_PIVOTS = 64
+#: Classes of a block in which candidates meet.
+BLOCK = 512
 
 _RULE = np.random.Generator(np.random.PCG64(77))
 _FACTOR = _RULE.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -170,13 +171,12 @@ def _linked(size: int, percent: int):
             return found
 
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            a = batch.column("a").to_pylist()
             keep = []
             for i in range(batch.num_rows):
                 left = shingles(a[i], batch.column("text_a")[i].as_py())
-                right = shingles(b[i], batch.column("text_b")[i].as_py())
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(100 * common >= percent * (len(left) + len(right) - common))
+                right = shingle_set(batch.column("text_b")[i].as_py(), size)
+                keep.append(_similar(left, right, percent))
             kept = pa.array(np.flatnonzero(keep))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).take(kept) for c in ("a", "b")], names=["a", "b"]
@@ -235,65 +235,135 @@ def near_duplicates(
 def _components(
     work: Workspace, source: DataFrame, chosen: DataFrame, shingle: int, percent: int
 ) -> DataFrame:
-    """Columns rep, root and score of every class that shares a band with another."""
+    """Columns rep and root of every class that shares a band with another."""
     fewest = fewest_matches(percent / 100)
-    keys = chosen.select("rep", F.explode("bands").alias("key")).distinct()
+    keys = chosen.select("rep", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    members = work.table("shared", keys.join(shared, "key"))
-    # Classes that meet many others come first as pivots: an original meets its copies.
+    members = work.table("members", keys.join(shared, "key"))
+    # A class that meets many others makes a good pivot: an original meets its copies.
     scores = members.groupBy("rep").agg(F.sum("n").alias("score"))
+    members = members.select("key", "rep")
     signatures = work.table("signatures", chosen.select("rep", "signature").join(scores, "rep"))
     reps = signatures.select("rep", "score").distinct()
-    texts = work.table(
-        "texts", source.join(reps.select(F.col("rep").alias("doc_id")), "doc_id")
+    texts = source.join(reps.select(F.col("rep").alias("doc_id")), "doc_id")
+    texts = work.table("texts", texts.select(F.col("doc_id").alias("rep"), "text"))
+
+    # First every class of a bucket meets the bucket's pivot.
+    pivot = F.max_by("rep", F.struct("score", F.xxhash64("rep"))).alias("a")
+    pivots = members.join(reps, "rep").groupBy("key").agg(pivot)
+    pairs = members.join(pivots, "key").filter("a <> rep").select("a", F.col("rep").alias("b"))
+    pairs = work.table("pairs", pairs.distinct())
+    stars = work.table("stars", _verified(pairs, signatures, texts, fewest, shingle, percent))
+    labels = _relabelled(work, reps.select("rep", F.col("rep").alias("root")), stars, "stars")
+
+    # Then the classes of buckets that still lie in several components.
+    placed = members.join(labels, "rep")
+    first = placed.groupBy("key").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.min("rep").alias("a")
     )
-    labels = work.table("labels", reps.select("rep", F.col("rep").alias("root"), "score"))
-    members = members.select("key", "rep")
-    pivots, turn = 1, 0
-    while True:
-        seat = F.struct("rep", "root")
-        tops = [F.max_by(seat, F.struct("score", F.xxhash64("rep")))]
-        tops += [F.max_by(seat, F.xxhash64("rep", F.lit(i))) for i in range(1, pivots)]
-        placed = members.join(labels, "rep")
-        open_ = (
-            placed.groupBy("key")
-            .agg(
-                F.array_distinct(F.array(*tops)).alias("pivots"),
-                F.min("root").alias("low"),
-                F.max("root").alias("high"),
-            )
-            .filter("low < high")
-            .select("key", "pivots")
-        )
-        met = work.table(f"met-{turn}", placed.select("key", "rep", "root").join(open_, "key"))
-        apart = met.select("rep", "root", F.explode("pivots").alias("pivot"))
-        apart = apart.filter(F.col("root") != F.col("pivot.root"))
-        pairs = work.table(
-            f"pairs-{turn}",
-            apart.select(
-                F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b")
-            ).distinct(),
-        )
-        if pairs.isEmpty():
-            return labels
-        links = work.table(
-            f"links-{turn}", _verified(pairs, signatures, texts, fewest, shingle, percent)
-        )
-        following = met.filter(~F.exists("pivots", lambda p: p["rep"] == F.col("rep")))
-        members = work.table(f"members-{turn}", following.select("key", "rep"))
-        ends = labels.select("rep", "root")
-        joined = links.join(ends.toDF("a", "u"), "a").join(ends.toDF("b", "v"), "b")
-        roots = contracted(
-            work, joined.select(F.col("u").alias("a"), F.col("v").alias("b")), f"round-{turn}"
-        )
-        if roots is not None:
-            moved = roots.select(F.col("node").alias("root"), F.col("root").alias("to"))
-            moved = labels.join(moved, "root", "left")
-            labels = work.table(
-                f"labels-{turn}", moved.select("rep", F.coalesce("to", "root").alias("root"), "score")
-            )
-        work.drop(f"met-{turn}", f"pairs-{turn}", f"links-{turn}")
-        pivots, turn = min(4 * pivots, MOST_PIVOTS), turn + 1
+    open_ = placed.join(first.filter("low < high").select("key", "a"), "key")
+    open_ = open_.select("a", F.col("rep").alias("b")).distinct()
+    arenas = contracted(work, open_, "arenas")
+    if arenas is None:
+        return labels
+    arenas = arenas.select(F.col("node").alias("rep"), F.col("root").alias("arena"))
+    met = _blocks(work, arenas.join(labels, "rep"))
+    rows = met.join(signatures.select("rep", "signature"), "rep").join(texts, "rep")
+    found = rows.groupBy("arena", "i", "j").applyInArrow(
+        _meet(shingle, percent, fewest), "a long, b long"
+    )
+    return _relabelled(work, labels, work.table("found", found), "found")
+
+
+def _relabelled(work: Workspace, labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """Labels with the components joined that links between representatives connect."""
+    ends = labels.select("rep", "root")
+    joined = links.join(ends.toDF("a", "u"), "a").join(ends.toDF("b", "v"), "b")
+    roots = contracted(work, joined.select(F.col("u").alias("a"), F.col("v").alias("b")), name)
+    if roots is None:
+        return labels
+    moved = labels.join(roots.toDF("root", "to"), "root", "left")
+    return work.table(f"{name}-labels", moved.select("rep", F.coalesce("to", "root").alias("root")))
+
+
+def _blocks(work: Workspace, members: DataFrame) -> DataFrame:
+    """Classes dealt to the blocks in which they meet.
+
+    The largest component of an arena is settled within itself, so the pairs to compare are
+    those of the rest with everyone. Both sides are cut into blocks of bounded size, and
+    block i of everyone meets block j of the rest in one group.
+    """
+    members = work.table("arena-members", members)
+    sizes = members.groupBy("arena", "root").count()
+    sizes = sizes.groupBy("arena").agg(
+        F.max_by("root", F.struct("count", "root")).alias("main"),
+        F.sum("count").alias("n"),
+        F.max("count").alias("settled"),
+    )
+    blocks = lambda n: F.ceil(F.expr(n) / BLOCK)
+    placed = members.join(sizes, "arena").select(
+        "arena", "rep", "root", "main",
+        blocks("n").alias("across"), blocks("n - settled").alias("down"),
+    )
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
+    everyone = placed.select(
+        "arena", own("across").alias("i"), every("down").alias("j"), "rep", "root", F.lit(False).alias("rest")
+    )
+    rest = placed.filter("root <> main").select(
+        "arena", every("across").alias("i"), own("down").alias("j"), "rep", "root", F.lit(True).alias("rest")
+    )
+    return everyone.unionByName(rest)
+
+
+def _meet(size: int, percent: int, fewest: list[int]):
+    """Compares the rest of an arena with a block of everyone; links that join components."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        rep = table.column("rep").to_numpy()
+        root = table.column("root").to_numpy()
+        rest = table.column("rest").to_numpy()
+        text = table.column("text")
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16)
+        signature = signature.reshape(-1, HASHES)
+        sets: dict[int, np.ndarray] = {}
+
+        def shingles(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingle_set(text[row].as_py(), size)
+            return sets[row]
+
+        label = root.copy()  # of the components as far as this block knows them
+        everyone = np.flatnonzero(~rest)
+        links = []
+        for x in np.flatnonzero(rest):
+            open_ = everyone[label[everyone] != label[x]]
+            matches = np.zeros(len(open_), np.int64)
+            for i, least in enumerate(fewest):
+                part = slice(i * BATCH, (i + 1) * BATCH)
+                matches += (signature[open_, part] == signature[x, part]).sum(axis=1)
+                likely = matches >= least
+                open_, matches = open_[likely], matches[likely]
+                if not len(open_):
+                    break
+            for y in open_[np.argsort(-matches, kind="stable")]:
+                if label[y] != label[x] and _similar(shingles(x), shingles(y), percent):
+                    links.append((int(rep[x]), int(rep[y])))
+                    label[label == label[y]] = label[x]
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return meet
+
+
+def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
+    small, large = sorted((left, right), key=len)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    common = int((large[at] == small).sum())
+    return 100 * common >= percent * (len(left) + len(right) - common)
 
 
 def _verified(
@@ -301,10 +371,10 @@ def _verified(
 ) -> DataFrame:
     """The linked ones among pairs of classes ``a``, ``b``."""
     side = lambda table, value, name: table.select(
-        F.col(table.columns[0]).alias(name), F.col(value).alias(f"{value}_{name}")
+        F.col("rep").alias(name), F.col(value).alias(f"{value}_{name}")
     )
-    signed = pairs.join(side(signatures, "signature", "a"), "a").join(
-        side(signatures, "signature", "b"), "b"
+    signed = pairs.join(side(signatures, "signature", "b"), "b").join(
+        side(signatures, "signature", "a"), "a"
     )
     likely = signed.mapInArrow(_likely(fewest), "a long, b long")
     full = likely.join(side(texts, "text", "b"), "b").join(side(texts, "text", "a"), "a")
