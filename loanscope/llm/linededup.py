@@ -137,8 +137,9 @@ def without_repeats(
             F.array_distinct(F.flatten(F.collect_list(F.expr("sequence(start, stop - 1)")))).alias(_GONE)
         )
         gone = work.keep("gone", gone)
+    # Hinted, so that the plan does not depend on how much a table repeats.
     joined = docs.join(
-        gone, (F.col(key) == F.col(_ID)) & (version == F.col(_VERSION)), "left"
+        gone.hint("merge"), (F.col(key) == F.col(_ID)) & (version == F.col(_VERSION)), "left"
     )
     lines = F.split(F.col(text), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(_GONE))
