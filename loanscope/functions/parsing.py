@@ -59,6 +59,18 @@ def is_valid_month(field: str) -> str:
     return f"({month(field)}) IS NOT NULL"
 
 
+# Decimal digits with optional sign, point and exponent, or infinity and not-a-number
+# by name; white space around it and single underscores between digits do not matter.
+_DIGITS = "[0-9](_?[0-9])*"
+NUMBER = (
+    rf"(?i)\A\s*[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})(e[+-]?{_DIGITS})?"
+    r"|inf|infinity|nan)\s*\z"
+)
+
+
 def is_number(field: str) -> str:
-    """True or false, never NULL: non-blank text that reads as a float."""
-    return f"try_cast({field} AS double) IS NOT NULL"
+    """True or false, never NULL: non-blank text that spells a number.
+
+    A cast would not do: it also reads suffixes such as ``5F`` and hexadecimal forms.
+    """
+    return f"coalesce({field} RLIKE r'{NUMBER}', false)"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscope.domain import (
@@ -24,6 +24,7 @@ from loanscope.domain import (
 )
 from loanscope.functions.parsing import TWO_DIGITS, is_number, is_valid_month
 from loanscope.sources.delimited import split_fields
+from loanscope.sources.storage import current_version, new_run_id, publish_version
 
 # Fixed field lists of the checks.
 ORIGINATION_REQUIRED = [
@@ -172,7 +173,7 @@ _COMBINE: dict[str, Callable[[str], Column]] = {
 
 
 def _totals(reduced: DataFrame, dataset: str) -> DataFrame:
-    """Counters summed per year, one row per metric; absent items are left out."""
+    """Counters summed per year, one row per metric and item, also where nothing was found."""
     keys = {"source_year", "loan_id", "invalid_delinquency_statuses", "invalid_zero_balance_codes"}
     counters = [name for name in reduced.columns if name not in keys]
     per_year = reduced.groupBy("source_year").agg(
@@ -185,23 +186,30 @@ def _totals(reduced: DataFrame, dataset: str) -> DataFrame:
         metrics.append(f"'{metric}', {shown_item}, coalesce(`{name}`, 0L)")
     rows = f"stack({len(metrics)}, {', '.join(metrics)}) AS (metric, item, value)"
     return (
-        per_year.selectExpr(f"'{dataset}' AS dataset", "source_year", rows)
-        .filter("item IS NULL OR value > 0")
-        .select(*_PROFILE)
+        per_year.selectExpr(f"'{dataset}' AS dataset", "source_year", rows).select(*_PROFILE)
     )
 
 
 def _histogram(reduced: DataFrame, code: str) -> DataFrame:
+    """Lines per unusual code; a year without any has one row of zero without item."""
+    per_code = reduced.groupBy("source_year", F.col(code).alias("item")).agg(
+        F.sum("row_count").alias("value")
+    )
+    none = (
+        reduced.groupBy("source_year")
+        .agg(F.count(code).alias("value"))
+        .filter("value = 0")
+        .select("source_year", F.lit(None).cast("string").alias("item"), "value")
+    )
     return (
-        reduced.filter(F.col(code).isNotNull())
-        .groupBy("source_year", F.col(code).alias("item"))
-        .agg(F.sum("row_count").alias("value"))
+        per_code.filter("item IS NOT NULL")
+        .unionByName(none)
         .selectExpr("'performance' AS dataset", "source_year", f"'{code}' AS metric", "item", "value")
     )
 
 
 def _count_per_year(rows: DataFrame, dataset: str, metric: str, value: Column) -> DataFrame:
-    return rows.groupBy("source_year").agg(value.cast("bigint").alias("value")).select(
+    return rows.groupBy("source_year").agg(F.coalesce(value, F.lit(0)).cast("bigint").alias("value")).select(
         F.lit(dataset).alias("dataset"),
         "source_year",
         F.lit(metric).alias("metric"),
@@ -214,36 +222,39 @@ def raw_profile(origination: DataFrame, performance: DataFrame) -> DataFrame:
     """Profile in long form: ``dataset, source_year, metric, item, value``.
 
     Takes the two reduced tables; store them first, since every part of the
-    profile reads them. Metrics that found nothing may be absent, except the
-    plain counters. ``source_year`` is NULL for the vintage overlap.
+    profile reads them. Counters that found nothing are there as zero. ``source_year``
+    is NULL for the vintage overlap.
     """
     known = F.col("loan_id").isNotNull()
     originated = origination.filter(known).select("source_year", "loan_id")
     observed = performance.filter(known).select("source_year", "loan_id").distinct()
-    key = ["source_year", "loan_id"]
     overlap = originated.groupBy("loan_id").agg(F.count("*").alias("vintages")).filter("vintages > 1")
+    # One join of the reduced ids answers both directions of the coverage.
+    covered = originated.withColumn("in_origination", F.lit(True)).join(
+        observed.withColumn("in_performance", F.lit(True)), ["source_year", "loan_id"], "full"
+    )
     parts = [
         _totals(origination, "origination"),
         _totals(performance, "performance"),
         _count_per_year(
-            origination.filter(known),
+            origination,
             "origination",
             "duplicate_loan_ids",
-            F.sum(F.col("row_count") - 1),
+            F.sum(F.when(known, F.col("row_count") - 1)),
         ),
         _histogram(performance, "invalid_delinquency_statuses"),
         _histogram(performance, "invalid_zero_balance_codes"),
         _count_per_year(
-            observed.join(originated, key, "left_anti"),
+            covered,
             "performance",
             "performance_loans_without_origination",
-            F.count("*"),
+            F.count_if(F.col("in_origination").isNull()),
         ),
         _count_per_year(
-            originated.join(observed, key, "left_anti"),
+            covered,
             "performance",
             "originations_without_performance",
-            F.count("*"),
+            F.count_if(F.col("in_performance").isNull()),
         ),
         overlap.agg(F.count("*").alias("value")).select(
             F.lit("origination").alias("dataset"),
@@ -260,10 +271,7 @@ def raw_failures(profile: DataFrame, expected_rows: dict[tuple[str, int], int])
     """What in a profile rules the files out: ``dataset, source_year, metric, value, message``."""
     spark = profile.sparkSession
     label = F.concat_ws(" ", F.col("source_year").cast("string"), "dataset")
-    wanted = spark.createDataFrame(
-        [(dataset, year, rows) for (dataset, year), rows in expected_rows.items()],
-        "dataset string, source_year smallint, expected bigint",
-    )
+    wanted = expected_counts(spark, expected_rows)
     found = profile.filter("metric = 'row_count'").select("dataset", "source_year", "value")
     miscounted = (
         wanted.join(found, ["dataset", "source_year"], "left")
@@ -287,7 +295,55 @@ def raw_failures(profile: DataFrame, expected_rows: dict[tuple[str, int], int])
     return miscounted.unionByName(nonzero)
 
 
-def write_report(profile: DataFrame, failures: DataFrame, path: str) -> None:
-    """Store the profile and the failures as JSON lines."""
-    profile.write.json(f"{path}/profile")
-    failures.write.json(f"{path}/failures")
+def file_summary(
+    profile: DataFrame, failures: DataFrame, files: dict[tuple[str, int], str]
+) -> DataFrame:
+    """One row per expected file: ``dataset, source_year, file, expected_fields, passed``."""
+    spark = profile.sparkSession
+    fields = {"origination": len(ORIGINATION_FIELDS), "performance": len(PERFORMANCE_FIELDS)}
+    rows = ", ".join(
+        f"('{dataset}', {year}S, '{path}', {fields[dataset]})"
+        for (dataset, year), path in files.items()
+    )
+    listed = spark.sql(
+        f"SELECT * FROM VALUES {rows} AS files(dataset, source_year, file, expected_fields)"
+    )
+    # An overlap between vintages has no year and counts against every origination file.
+    failed = failures.groupBy("dataset", "source_year").count().select(
+        F.col("dataset").alias("failed_dataset"), F.col("source_year").alias("failed_year")
+    )
+    matches = (F.col("dataset") == F.col("failed_dataset")) & (
+        F.col("failed_year").isNull() | (F.col("source_year") == F.col("failed_year"))
+    )
+    return (
+        listed.join(failed, matches, "left")
+        .groupBy("dataset", "source_year", "file", "expected_fields")
+        .agg((F.count("failed_dataset") == 0).alias("passed"))
+    )
+
+
+def expected_counts(spark: SparkSession, rows: dict[tuple[str, int], int]) -> DataFrame:
+    """``dataset, source_year, expected`` from a short list of files."""
+    if not rows:
+        return spark.sql(
+            "SELECT '' AS dataset, 0S AS source_year, 0L AS expected WHERE false"
+        )
+    values = ", ".join(f"('{dataset}', {year}S, {n}L)" for (dataset, year), n in rows.items())
+    return spark.sql(f"SELECT * FROM VALUES {values} AS wanted(dataset, source_year, expected)")
+
+
+def write_report(parts: dict[str, DataFrame], path: str) -> None:
+    """Store the parts of a report as JSON lines: a new version of what the folder holds."""
+    spark = next(iter(parts.values())).sparkSession
+    version = new_run_id()
+    for name, part in parts.items():
+        part.write.json(f"{path}/versions/{version}/{name}")
+    publish_version(spark, path, version)
+
+
+def read_report(spark: SparkSession, path: str, part: str) -> DataFrame:
+    """A part of the report stored last."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no report in {path}")
+    return spark.read.json(f"{path}/versions/{version}/{part}")

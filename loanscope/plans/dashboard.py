@@ -22,7 +22,13 @@ from loanscope.operators.suppression import (
     suppress_transitions,
 )
 from loanscope.sources.csv_tables import read_csv, write_csv
-from loanscope.sources.storage import RunStore, current_run
+from loanscope.sources.storage import (
+    RunStore,
+    current_run,
+    current_version,
+    new_run_id,
+    publish_version,
+)
 
 
 class ExportRejected(RuntimeError):
@@ -64,7 +70,9 @@ def export(spark: SparkSession, root: str, out_dir: str, k: int = MIN_CELL_COUNT
     """Check the exports of the published run and write them as CSV.
 
     Returns the check report. Marts hold months x labels, so the report costs
-    little; a failed check writes nothing.
+    little; a failed check writes nothing. The three tables become a new version in the
+    folder, which counts from the moment when all are written; an export that fails on
+    the way leaves the former version current.
     """
     require_threshold(k)
     store = current_run(spark, root)
@@ -80,15 +88,25 @@ def export(spark: SparkSession, root: str, out_dir: str, k: int = MIN_CELL_COUNT
         k,
     )
     _require_passed(report)
+    version = new_run_id()
     for name, table in zip(FIELDS, (tables.monthly, tables.segments, tables.transitions)):
-        write_csv(in_display_order(table), f"{out_dir}/{name}")
+        write_csv(in_display_order(table), _table_path(out_dir, version, name))
+    publish_version(spark, out_dir, version)
     return report
 
 
+def _table_path(out_dir: str, version: str, name: str) -> str:
+    return f"{out_dir}/versions/{version}/{name}"
+
+
 def load_export(spark: SparkSession, out_dir: str) -> DashboardTables:
-    """The exported tables as the dashboard reads them; each must have rows."""
+    """The tables exported last, as the dashboard reads them; each must have rows."""
+    version = current_version(spark, out_dir)
+    if version is None:
+        raise FileNotFoundError(f"no export in {out_dir}")
     tables = {
-        name: read_csv(spark, f"{out_dir}/{name}", fields) for name, fields in FIELDS.items()
+        name: read_csv(spark, _table_path(out_dir, version, name), fields)
+        for name, fields in FIELDS.items()
     }
     empty = [name for name, table in tables.items() if table.isEmpty()]
     if empty:

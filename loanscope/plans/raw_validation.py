@@ -9,13 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.domain import VINTAGES
 from loanscope.operators.raw_profile import (
+    file_summary,
     raw_failures,
     raw_profile,
     reduce_origination,
     reduce_performance,
     write_report,
 )
-from loanscope.sources.delimited import dataset_glob, require_files, scan_lines
+from loanscope.sources.delimited import (
+    DATASETS,
+    dataset_glob,
+    expected_file,
+    require_files,
+    scan_lines,
+)
 from loanscope.sources.storage import scratch_dir, written
 
 
@@ -48,5 +55,9 @@ def validate_raw(
     require_files(spark, raw_dir, years)
     profile = written(profile_files(spark, raw_dir), f"{scratch_dir(spark, 'judged')}/profile")
     failures = raw_failures(profile, expected_rows)
-    write_report(profile, failures, report_dir)
+    files = {
+        (dataset, year): expected_file(raw_dir, dataset, year) for year in years for dataset in DATASETS
+    }
+    summary = file_summary(profile, failures, files)
+    write_report({"profile": profile, "failures": failures, "files": summary}, report_dir)
     return RawValidation(failures.isEmpty(), profile, failures)

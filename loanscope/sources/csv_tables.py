@@ -29,19 +29,26 @@ def write_csv(table: DataFrame, path: str) -> None:
     )
 
 
-def _typed(field: str) -> Column:
+def _required(field: str, type_name: str) -> Column:
+    """A value of a type; text that is not raises, whatever the session says about casts."""
     value = F.col(field)
+    problem = F.concat(F.lit(f"{field} is no {type_name}: "), value)
+    read = F.coalesce(value.try_cast(type_name), F.raise_error(problem).cast(type_name))
+    return F.when(value.isNotNull(), read)
+
+
+def _typed(field: str) -> Column:
     if field in _DATES:
-        return value.cast("date")
+        return _required(field, "date")
     if field.endswith(("_loan_count", "_row_count")):
-        return value.cast("bigint")
+        return _required(field, "bigint")
     if field.endswith("_sort_order"):
-        return value.cast("int")
+        return _required(field, "int")
     if field.endswith("_upb"):
-        return value.cast("double")
+        return _required(field, "double")
     if field == "privacy_merged":
-        return F.lower(value) == "true"
-    return value
+        return F.lower(F.col(field)) == "true"
+    return F.col(field)
 
 
 def read_csv(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:

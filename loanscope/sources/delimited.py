@@ -97,12 +97,12 @@ def scan_performance(spark: SparkSession, raw_dir: str) -> DataFrame:
     return scan(spark, raw_dir, "performance")
 
 
+def expected_file(raw_dir: str, dataset: str, year: int) -> str:
+    return f"{raw_dir}/sample_{year}/sample_{DATASETS[dataset][0]}_{year}.txt"
+
+
 def expected_files(raw_dir: str, years: Iterable[int] = VINTAGES) -> list[str]:
-    return [
-        f"{raw_dir}/sample_{year}/sample_{part}_{year}.txt"
-        for year in years
-        for part, _ in DATASETS.values()
-    ]
+    return [expected_file(raw_dir, dataset, year) for year in years for dataset in DATASETS]
 
 
 def require_files(spark: SparkSession, raw_dir: str, years: Iterable[int] = VINTAGES) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from dataclasses import dataclass
 
@@ -15,18 +15,29 @@ def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that every executor can reach.
+def scratch_dir(spark: SparkSession, purpose: str, root: str | None = None) -> str:
+    """A fresh folder that every executor can reach, deleted when the driver ends.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. A folder of
-    this machine is used only in local mode, where it is shared by definition.
+    It lies under the given root, else in the shared folder named by
+    ``spark.checkpoint.dir``, else in the warehouse.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/loanscope-{purpose}-{new_run_id()}"
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix=f"loanscope-{purpose}-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    shared = root or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        shared = f"{warehouse.rstrip('/')}/_scratch"
+    path = f"{shared.rstrip('/')}/loanscope-{purpose}-{new_run_id()}"
+    atexit.register(delete, spark, path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if the session can still do it."""
+    context = spark.sparkContext
+    if context._jsc is not None:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(table: DataFrame, path: str) -> DataFrame:
@@ -98,26 +109,44 @@ class RunStore:
 
 
 def publish(store: RunStore) -> None:
-    """Make a run the current one by appending a single record.
+    """Make a run the current one."""
+    publish_version(store.spark, store.root, store.run_id)
+
+
+def current_run(spark: SparkSession, root: str) -> RunStore | None:
+    """The run published last, or None."""
+    latest = current_version(spark, root)
+    return RunStore(spark, root, latest) if latest else None
+
 
-    One small file appears by one rename (or one object put), so readers see the
-    previous version or the new one and nothing in between.
+def publish_version(spark: SparkSession, root: str, version: str) -> None:
+    """Make a version the current one below a root by writing a single record.
+
+    The record has a folder of its own, so writers that meet do not touch each other's
+    files, and one small file appears by one rename (or one object put): readers see the
+    previous version or the new one and nothing in between. Versions are numbered; of two
+    that took one number, the larger name counts.
     """
-    record = store.spark.range(1).select(
-        F.lit(store.run_id).alias("run_id"), F.current_timestamp().alias("published_at")
+    number = _latest(spark, root)[0] + 1
+    record = spark.range(1).select(
+        F.lit(number).cast("bigint").alias("number"),
+        F.lit(version).alias("version"),
+        F.current_timestamp().alias("published_at"),
     )
-    record.coalesce(1).write.mode("append").json(f"{store.root}/published")
+    record.coalesce(1).write.mode("errorifexists").json(f"{root}/published/{version}")
 
 
-def current_run(spark: SparkSession, root: str) -> RunStore | None:
-    """The run published last, or None."""
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version published last below a root, or None."""
+    return _latest(spark, root)[1]
+
+
+def _latest(spark: SparkSession, root: str) -> tuple[int, str | None]:
     try:
-        records = spark.read.schema("run_id string, published_at timestamp").json(
-            f"{root}/published"
-        )
+        records = spark.read.schema("number bigint, version string").json(f"{root}/published/*")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return 0, None
         raise
-    latest = records.agg(F.max_by("run_id", F.struct("published_at", "run_id"))).first()[0]
-    return RunStore(spark, root, latest) if latest else None
+    best = records.agg(F.max(F.struct("number", "version")).alias("latest")).first().latest
+    return (best.number, best.version) if best else (0, None)
