@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanscope.domain import SEGMENTS
+from loanscope.domain import SEGMENTS, TERMINATED_PREFIX
 from loanscope.functions.measures import TOTAL, count_total_where, rate, total, total_where
 
 # population -> condition over the coarse loan-month attributes
@@ -190,22 +190,43 @@ TRANSITION_RATES = {
 }
 
 
+# A pair that is not what it should be, and the column that counts such pairs.
+UNSOUND_PAIRS = {
+    "pairs_not_adjacent": "to_month <> add_months(from_month, 1)",
+    "pair_sources_off_book": f"from_upb <= 0 OR startswith(from_state, '{TERMINATED_PREFIX}')",
+}
+
+
+def monthly_flows(pairs: DataFrame) -> DataFrame:
+    """Pairs reduced by months, vintage and states, and counts of unsound ones.
+
+    Accepts plain pairs or weighted pairs (with ``pair_count``).
+    """
+    weight = "pair_count" if "pair_count" in pairs.columns else "1L"
+    unsound = [
+        F.expr(f"coalesce(sum({weight}) FILTER (WHERE {rule}), 0L) AS {name}")
+        for name, rule in UNSOUND_PAIRS.items()
+    ]
+    return pairs.groupBy(
+        "from_month", "to_month", "origination_year", "from_state", "to_state"
+    ).agg(
+        F.expr(f"sum({weight}) AS transition_loan_count"),
+        total(F.expr(f"from_upb * {weight}")).alias("transition_from_upb"),
+        *unsound,
+    )
+
+
 def transition_monthly(pairs: DataFrame) -> DataFrame:
     """Month-to-month flows between states, for all loans and per vintage.
 
     Accepts plain pairs or weighted pairs (with ``pair_count``). Pairs are
     reduced once with the vintage kept; both scopes come from that result.
     """
-    if "pair_count" in pairs.columns:
-        count = F.sum("pair_count")
-        upb = total(F.col("from_upb") * F.col("pair_count"))
-    else:
-        count = F.count("*")
-        upb = total(F.col("from_upb"))
-    by_vintage = pairs.groupBy(
-        "from_month", "to_month", "origination_year", "from_state", "to_state"
-    ).agg(count.alias("transition_loan_count"), upb.alias("transition_from_upb"))
+    return transitions_of(monthly_flows(pairs))
 
+
+def transitions_of(by_vintage: DataFrame) -> DataFrame:
+    """The transition mart from :func:`monthly_flows`."""
     scopes = "stack(2, 'all', 'All', 'origination_year', string(origination_year))"
     key = ["from_month", "to_month", "segment_name", "segment_value", "from_state", "to_state"]
     flows = (
@@ -225,3 +246,17 @@ def transition_monthly(pairs: DataFrame) -> DataFrame:
         F.sum("transition_from_upb").over(cohort).cast(TOTAL).alias("observable_from_state_upb"),
     )
     return with_cohorts.selectExpr("*", *rate_columns(TRANSITION_RATES))
+
+
+#: Leading columns of the marts, by which each is stored in order.
+KEYS = [
+    ["from_month", "segment_name", "segment_value", "from_state", "to_state"],
+    ["as_of_month", "segment_name", "segment_value"],
+    ["as_of_month"],
+]
+
+
+def in_key_order(mart: DataFrame) -> DataFrame:
+    """A mart sorted by its key."""
+    key = next(key for key in KEYS if set(key) <= set(mart.columns))
+    return mart.orderBy(*key)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanscope.domain import (
@@ -90,11 +90,42 @@ def segment_panel(
     k: int = MIN_CELL_COUNT,
     vintages: Iterable[int] = VINTAGES,
 ) -> DataFrame:
-    """Fixed rows of one dimension in one month, zero where nothing is exported."""
+    """Fixed rows of one dimension in one month, zero where nothing is exported.
+
+    Vintages are the named ones, without a merged row; :func:`segment_panel_in_full` shows
+    what a month holds, whatever its labels.
+    """
     if dimension == "origination_year":
         labels = [str(year) for year in vintages]
     else:
         labels = [*SEGMENT_BANDS[dimension], OTHER_SEGMENT]
+    domain = _domain(segments.sparkSession, "segment_value", labels)
+    return _segment_rows(segments, month, dimension, k, domain)
+
+
+def segment_panel_in_full(
+    segments: DataFrame, month: MonthValue, dimension: str, k: int = MIN_CELL_COUNT
+) -> DataFrame:
+    """One row per label that the month exports, so that the rows add up to the month.
+
+    Labels stand in display order, the merged one last; ``position`` counts from 1.
+    """
+    of_month = segments.filter(
+        _is_month("as_of_month", month) & (F.col("segment_name") == dimension)
+    )
+    merged = F.col("segment_value") == OTHER_SEGMENT
+    order = (merged, F.col("segment_sort_order").asc_nulls_last(), "segment_value")
+    # A month of a dimension has as many rows as labels.
+    domain = of_month.select(
+        F.row_number().over(Window.partitionBy("as_of_month").orderBy(*order)).alias("position"),
+        "segment_value",
+    )
+    return _segment_rows(segments, month, dimension, k, domain)
+
+
+def _segment_rows(
+    segments: DataFrame, month: MonthValue, dimension: str, k: int, domain: DataFrame
+) -> DataFrame:
     sums = (
         segments.filter(
             _is_month("as_of_month", month) & (F.col("segment_name") == dimension)
@@ -104,8 +135,7 @@ def segment_panel(
     )
     note = f"if(segment_value = '{OTHER_SEGMENT}', 'Merged to minimum {k}', '')"
     return (
-        _domain(segments.sparkSession, "segment_value", labels)
-        .join(sums, "segment_value", "left")
+        domain.join(sums, "segment_value", "left")
         .select("position", "segment_value", *(_or_zero(c) for c in CORE_MEASURES))
         .selectExpr(
             "position",

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,12 +20,11 @@ from loanscope.domain import (
     PERCENT_MISSING,
     SCORE_MISSING,
     SEGMENTS,
-    TERMINATED_PREFIX,
     ZERO_BALANCE_CODES,
 )
 from loanscope.functions.measures import TOTAL, total, total_where
 from loanscope.functions.parsing import TWO_DIGITS
-from loanscope.operators.marts import COHORT, CORE_MEASURES
+from loanscope.operators.marts import COHORT, CORE_MEASURES, UNSOUND_PAIRS
 from loanscope.operators.staging import is_on_book
 
 RATE_TOLERANCE = 1e-10
@@ -45,6 +44,10 @@ class Layers:
     monthly: DataFrame | None = None
     segments: DataFrame | None = None
     transitions: DataFrame | None = None
+    #: Reductions that several checks share; derived where they are not given.
+    origination_pass: DataFrame | None = None
+    performance_pass: DataFrame | None = None
+    flows: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -119,11 +122,15 @@ def hierarchy_broken(unit: str) -> Column:
 
 
 def pair_not_adjacent() -> Column:
-    return F.col("to_month") != F.add_months("from_month", 1)
+    return F.expr(UNSOUND_PAIRS["pairs_not_adjacent"])
 
 
 def pair_source_off_book() -> Column:
-    return (F.col("from_upb") <= 0) | F.col("from_state").startswith(TERMINATED_PREFIX)
+    return F.expr(UNSOUND_PAIRS["pair_sources_off_book"])
+
+
+def vintage_disagrees() -> Column:
+    return F.col("origination_year") != F.col("source_year")
 
 
 def count_rule_failures(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -162,22 +169,69 @@ def key_failures(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("n")).filter(incomplete | (F.col("n") > 1))
 
 
-def count_mismatch(layers: Layers, expect: Expectations) -> DataFrame:
-    """One row if any expected row count per file year is not met, else none."""
+def _rule_counts(rules: dict[str, Column]) -> list[Column]:
+    return [F.count_if(rule).alias(name) for name, rule in rules.items()]
+
+
+def origination_pass(origination: DataFrame) -> DataFrame:
+    """Rows and failing rows per file year, in one scan."""
+    rules = {
+        "origination_risk_fields_valid": risk_fields_invalid(),
+        "vintage_matches_file_year": vintage_disagrees(),
+    }
+    return origination.groupBy("source_year").agg(F.count("*").alias("rows"), *_rule_counts(rules))
+
+
+def performance_pass(performance: DataFrame, expect: Expectations) -> DataFrame:
+    """Rows, failing rows and core measures per file year and spot month, in one scan.
+
+    ``spot_month`` is NULL for the other months; measures use no flags.
+    """
+    rules = _row_rules(expect)
+    spots = [F.lit(month).cast("date") for month in expect.spot_months]
+    spot = F.when(F.col("as_of_month").isin(spots), F.col("as_of_month")) if spots else F.lit(None)
+    return performance.groupBy("source_year", spot.cast("date").alias("spot_month")).agg(
+        F.count("*").alias("rows"),
+        *_rule_counts({name: rules[name]() for name in sorted(_PERFORMANCE_RULES)}),
+        *_plain_measures(),
+    )
+
+
+def summed_failures(passed: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``check_name, failed_row_count`` from columns of a reduced table, by check name."""
+    sums = passed.agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in columns.values())
+    )
+    results = (
+        F.struct(F.lit(name).alias("check_name"), F.col(c).alias("failed_row_count"))
+        for name, c in columns.items()
+    )
+    return sums.select(F.inline(F.array(*results)))
+
+
+def count_mismatch(
+    originations: DataFrame, performances: DataFrame, expect: Expectations
+) -> DataFrame:
+    """One row if any expected row count per file year is not met, else none.
+
+    Takes the reductions of the two tables.
+    """
     expected = [
         ("origination", year, rows) for year, rows in expect.origination_rows.items()
     ] + [("performance", year, rows) for year, rows in expect.performance_rows.items()]
-    spark = layers.origination.sparkSession
-    wanted = spark.createDataFrame(expected, "dataset string, source_year smallint, rows bigint")
+    values = ", ".join(f"('{dataset}', {year}S, {rows}L)" for dataset, year, rows in expected)
+    wanted = originations.sparkSession.sql(
+        f"SELECT * FROM VALUES {values} AS wanted(dataset, source_year, rows)"
+        if expected
+        else "SELECT '' AS dataset, 0S AS source_year, 0L AS rows WHERE false"
+    )
 
-    def counted(rows: DataFrame, dataset: str) -> DataFrame:
-        return rows.groupBy("source_year").agg(F.count("*").alias("found")).select(
+    def counted(reduced: DataFrame, dataset: str) -> DataFrame:
+        return reduced.groupBy("source_year").agg(F.sum("rows").alias("found")).select(
             F.lit(dataset).alias("dataset"), "source_year", "found"
         )
 
-    found = counted(layers.origination, "origination").unionByName(
-        counted(layers.performance, "performance")
-    )
+    found = counted(originations, "origination").unionByName(counted(performances, "performance"))
     unmet = F.coalesce("found", F.lit(0)) != F.col("rows")
     return (
         wanted.join(found, ["dataset", "source_year"], "left")
@@ -191,14 +245,15 @@ def uncovered_loans(origination: DataFrame, performance: DataFrame) -> DataFrame
 
     An origination id counts once per origination row, a performance id once; a
     missing id matches nothing. Ids are reduced before the join, so an id that
-    repeats without end still reaches it as one row.
+    repeats without end still reaches it as one row, and one join answers both
+    directions.
     """
-    observed = performance.select("loan_id").distinct()
-    originated = origination.groupBy("loan_id").agg(F.count("*").alias("failures"))
-    return originated.join(observed, "loan_id", "left_anti").unionByName(
-        observed.join(originated, "loan_id", "left_anti").withColumn(
-            "failures", F.lit(1).cast("bigint")
-        )
+    observed = performance.select("loan_id").distinct().withColumn("observed", F.lit(True))
+    originated = origination.groupBy("loan_id").agg(F.count("*").alias("originations"))
+    return (
+        originated.join(observed, "loan_id", "full")
+        .filter("originations IS NULL OR observed IS NULL")
+        .select("loan_id", F.coalesce("originations", F.lit(1)).cast("bigint").alias("failures"))
     )
 
 
@@ -229,9 +284,8 @@ def measures_differ(left: DataFrame, monthly: DataFrame) -> DataFrame:
     return left.join(months, "as_of_month").filter(differs)
 
 
-def recalculated_months(performance: DataFrame, months: Iterable[str]) -> DataFrame:
-    """Core measures of chosen months straight from staged fields, without flags."""
-    wanted = [F.lit(month).cast("date") for month in months]
+def _plain_measures() -> list[Column]:
+    """Core measures straight from staged fields, without flags."""
     on_book = "current_actual_upb > 0 AND zero_balance_code IS NULL"
     seasoned = f"{on_book} AND loan_age >= 1"
     populations = {
@@ -248,8 +302,18 @@ def recalculated_months(performance: DataFrame, months: Iterable[str]) -> DataFr
         measures.append(
             F.expr(f"{total_where(condition, 'current_actual_upb')} AS {name}_upb")
         )
+    return measures
+
+
+def recalculated_months(reduced: DataFrame) -> DataFrame:
+    """Core measures of the spot months, from the reduction of the staged rows."""
+    sums = (
+        (total(F.col(m)) if m.endswith("upb") else F.sum(m)).alias(m) for m in CORE_MEASURES
+    )
     return (
-        performance.filter(F.col("as_of_month").isin(wanted)).groupBy("as_of_month").agg(*measures)
+        reduced.filter("spot_month IS NOT NULL")
+        .groupBy(F.col("spot_month").alias("as_of_month"))
+        .agg(*sums)
     )
 
 
@@ -306,7 +370,11 @@ _PERFORMANCE_RULES = {
     "on_book_population_consistent",
 }
 _HIERARCHY_RULES = {"delinquency_count_hierarchy", "delinquency_upb_hierarchy"}
-_PAIR_RULES = {"transition_pairs_are_adjacent_months", "transition_sources_are_on_book"}
+# The columns of the flows that count the failures.
+_PAIR_RULES = {
+    "transition_pairs_are_adjacent_months": "pairs_not_adjacent",
+    "transition_sources_are_on_book": "pair_sources_off_book",
+}
 
 
 def _row_rules(expect: Expectations) -> dict[str, Callable[[], Column]]:
@@ -340,20 +408,41 @@ def failure_counts(
         raise ValueError(f"unknown checks: {sorted(unknown)}")
 
     rules = _row_rules(expect)
+
+    @cache
+    def originations() -> DataFrame:
+        given = layers.origination_pass
+        return origination_pass(layers.origination) if given is None else given
+
+    @cache
+    def performances() -> DataFrame:
+        given = layers.performance_pass
+        return performance_pass(layers.performance, expect) if given is None else given
+
+    def wanted(names: Iterable[str]) -> dict[str, str]:
+        return {name: name for name in DETAILS if name in names and name in chosen}
+
+    results = []
+    if columns := wanted({"origination_risk_fields_valid"}):
+        results.append(summed_failures(originations(), columns))
+    if columns := wanted(_PERFORMANCE_RULES):
+        results.append(summed_failures(performances(), columns))
     row_checks: list[tuple[Callable[[], DataFrame], set[str]]] = [
-        (lambda: layers.origination, {"origination_risk_fields_valid"}),
-        (lambda: layers.performance, _PERFORMANCE_RULES),
         (lambda: layers.fact, {"eligible_population_is_on_book"}),
         (lambda: _nested_measures(layers), _HIERARCHY_RULES),
-        (lambda: layers.pairs, _PAIR_RULES),
     ]
-    results = [
-        count_rule_failures(rows(), {name: rules[name]() for name in DETAILS if name in wanted})
-        for rows, names in row_checks
-        if (wanted := names & chosen)
+    if layers.flows is None:
+        row_checks.append((lambda: layers.pairs, set(_PAIR_RULES)))
+    elif columns := wanted(_PAIR_RULES):
+        counted = {name: _PAIR_RULES[name] for name in columns}
+        results.append(summed_failures(layers.flows, counted))
+    results += [
+        count_rule_failures(rows(), {name: rules[name]() for name in names})
+        for rows, group in row_checks
+        if (names := wanted(group))
     ]
     set_checks: dict[str, Callable[[], DataFrame]] = {
-        "source_row_counts": lambda: count_mismatch(layers, expect),
+        "source_row_counts": lambda: count_mismatch(originations(), performances(), expect),
         "origination_loan_id_unique": lambda: key_failures(layers.origination, ["loan_id"]),
         "performance_loan_month_unique": lambda: key_failures(
             layers.performance, ["loan_id", "as_of_month"]
@@ -363,7 +452,7 @@ def failure_counts(
             segment_rollup(layers.segments), layers.monthly
         ),
         "monthly_metric_spot_checks": lambda: measures_differ(
-            recalculated_months(layers.performance, expect.spot_months), layers.monthly
+            recalculated_months(performances()), layers.monthly
         ),
         "transition_cohort_totals_reconcile": lambda: unbalanced_cohorts(layers.transitions),
         "transition_rates_sum_to_one": lambda: unnormalised_cohorts(layers.transitions),
@@ -413,7 +502,7 @@ def validation_summary(results: DataFrame) -> DataFrame:
 
 def vintage_disagreements(origination: DataFrame) -> DataFrame:
     """Originations whose id names another vintage than their file does."""
-    return origination.filter(F.col("origination_year") != F.col("source_year"))
+    return origination.filter(vintage_disagrees())
 
 
 def population_identity_failures(monthly: DataFrame) -> DataFrame:
@@ -434,3 +523,21 @@ def population_identity_failures(monthly: DataFrame) -> DataFrame:
         | uneven("upb")
         | (F.col("excluded_pre_due_loan_count") > F.col("excluded_loan_age_zero_loan_count"))
     )
+
+
+#: Checks beside the 19, which a build must pass as well.
+EXTRA_DETAILS = {
+    "vintage_matches_file_year": "A loan id names the vintage of its file.",
+    "population_identity": "On-book loans split exactly into eligible and excluded ones.",
+}
+
+
+def extra_results(layers: Layers) -> DataFrame:
+    """Report of the checks beside the 19, from the origination reduction and the monthly mart."""
+    originations = layers.origination_pass
+    if originations is None:
+        originations = origination_pass(layers.origination)
+    name = "vintage_matches_file_year"
+    vintages = summed_failures(originations, {name: name})
+    identity = row_count(population_identity_failures(layers.monthly), "population_identity")
+    return reported(vintages.unionByName(identity), EXTRA_DETAILS)

@@ -142,8 +142,12 @@ def _typed_columns(rules: dict[str, str]) -> list[str]:
     return [column for field, kind in rules.items() for column in _typed(field, kind)]
 
 
-# Characters 2-3 of a loan id are its vintage; a malformed id raises.
-VINTAGE_YEAR = "cast(concat('20', substring(loan_id, 2, 2)) AS smallint)"
+# Characters 2-3 of a loan id are its vintage; a malformed id raises, whatever the
+# session says about failing casts. A missing id has no vintage.
+VINTAGE_YEAR = (
+    "if(loan_id IS NULL, NULL, coalesce(try_cast(concat('20', substring(loan_id, 2, 2)) AS smallint), "
+    "raise_error(concat('no vintage in loan id ', loan_id))))"
+)
 VINTAGE_QUARTER = "substring(loan_id, 4, 2)"
 
 

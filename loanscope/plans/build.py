@@ -26,13 +26,22 @@ from pyspark.sql import functions as F
 
 from loanscope.domain import VINTAGES
 from loanscope.operators.curated import dim_loan, fact_loan_month, next_month_pairs_ordered
-from loanscope.operators.marts import portfolio_by_segment, portfolio_monthly, transition_monthly
+from loanscope.operators.marts import (
+    in_key_order,
+    monthly_flows,
+    portfolio_by_segment,
+    portfolio_monthly,
+    transitions_of,
+)
 from loanscope.operators.quality import (
     DETAILS,
     Expectations,
     Layers,
+    extra_results,
     failed_checks,
     failure_counts,
+    origination_pass,
+    performance_pass,
     reported,
     validation_summary,
 )
@@ -41,7 +50,6 @@ from loanscope.sources.delimited import require_files, scan_origination, scan_pe
 from loanscope.sources.storage import RunStore, new_run_id, publish, stored_bytes
 
 BYTES_PER_BUCKET = 256 << 20
-MAX_BUCKETS = 50_000
 
 REPORTED_TABLES = [
     "curated.fact_loan_month",
@@ -70,10 +78,20 @@ class BuildReport:
     summary: DataFrame
 
 
-def bucket_count(spark: SparkSession, stored: int) -> int:
-    """Buckets of about 256 MB, and at least one per default task slot."""
-    wanted = max(spark.sparkContext.defaultParallelism, -(-stored // BYTES_PER_BUCKET))
-    return min(MAX_BUCKETS, wanted)
+def bucket_count(
+    spark: SparkSession, stored: int, share: float = 1.0, most: int | None = None
+) -> int:
+    """Buckets of about 256 MB of the panel, and at least one per default task slot.
+
+    ``stored`` are the bytes of the staged table and ``share`` the part of its columns that
+    the panel keeps. ``most`` limits the number, by default to what the session allows for a
+    table (``spark.sql.sources.bucketing.maxBuckets``). At the limit buckets grow with the
+    data; no row is lost, but then raise both.
+    """
+    if most is None:
+        most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    wanted = max(spark.sparkContext.defaultParallelism, -(-int(stored * share) // BYTES_PER_BUCKET))
+    return min(most, wanted)
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -119,6 +137,7 @@ def build(
     root: str,
     expect: Expectations,
     years: Iterable[int] = VINTAGES,
+    most_buckets: int | None = None,
 ) -> BuildReport:
     """Rebuild every table from the raw files and publish if all checks pass.
 
@@ -140,8 +159,12 @@ def build(
     keys = store.write("quality.key_checks", reported(key_counts, DETAILS))
     _require_passed(keys, store)
 
+    panel = fact_loan_month(performance, dim)
     buckets = bucket_count(
-        spark, stored_bytes(spark, store.table_path("staging.monthly_performance"))
+        spark,
+        stored_bytes(spark, store.table_path("staging.monthly_performance")),
+        len(panel.columns) / len(performance.columns),
+        most_buckets,
     )
     try:
         fact = store.write_clustered(
@@ -151,30 +174,39 @@ def build(
             order=["loan_id", "as_of_month"],
             buckets=buckets,
         )
-        pairs = next_month_pairs_ordered(fact)
-        monthly, segments, transitions = _written_together(
+        # One window over the panel: flows keep what the mart and the pair checks need. The
+        # scans of staging for the checks fill the gaps of the marts.
+        monthly, segments, flows, *passes = _written_together(
             store,
             {
-                "mart.portfolio_monthly": portfolio_monthly(fact),
-                "mart.portfolio_monthly_by_segment": portfolio_by_segment(fact),
-                "mart.delinquency_transition_monthly": transition_monthly(pairs),
+                "mart.portfolio_monthly": in_key_order(portfolio_monthly(fact)),
+                "mart.portfolio_monthly_by_segment": in_key_order(portfolio_by_segment(fact)),
+                "curated.monthly_flows": monthly_flows(next_month_pairs_ordered(fact)),
+                "quality.origination_pass": origination_pass(origination),
+                "quality.performance_pass": performance_pass(performance, expect),
             },
         )
+        transitions = store.write(
+            "mart.delinquency_transition_monthly", in_key_order(transitions_of(flows))
+        )
         layers = Layers(
             origination=origination,
             performance=performance,
             fact=fact,
-            pairs=pairs,
             monthly=monthly,
             segments=segments,
             transitions=transitions,
+            origination_pass=passes[0],
+            performance_pass=passes[1],
+            flows=flows,
         )
         others = [name for name in DETAILS if name not in KEY_CHECKS]
         counts = reported(failure_counts(layers, expect, others), DETAILS)
         results = store.write("quality.validation_results", keys.unionByName(counts))
+        extra = store.write("quality.extra_results", extra_results(layers))
     finally:
         store.forget(PANEL)
-    _require_passed(results, store)
+    _require_passed(results.unionByName(extra), store)
     publish(store)
     return BuildReport(
         store=store,
