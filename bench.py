@@ -76,9 +76,10 @@ def replicated_files(spark: SparkSession) -> tuple[str, Expectations]:
     raw_dir = storage.scratch_dir(spark, "bench")
     copies = F.explode(F.sequence(F.lit(0), F.lit(REPLICAS - 1))).alias("copy")
     # Loan numbers move by a multiple of four, so vintages and quarters stay put.
-    offset = 4 * 10_000 if "0.1" not in SF_DIR else 4 * 20_000
+    largest = panel.table(spark, SF_DIR, "customer").agg(F.max("c_custkey")).first()[0]
+    offset = 4 * (largest // 4 + 1)
     loan_id = F.concat(
-        F.substring("loan_id", 1, 5), F.lpad(F.col("k") + F.col("copy") * offset, 7, "0")
+        F.substring("loan_id", 1, 5), F.format_string("%07d", F.col("k") + F.col("copy") * offset)
     )
     rows = {}
     for dataset, source, fields in (

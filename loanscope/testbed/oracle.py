@@ -23,7 +23,7 @@ _PANEL = {
     "kept": """
         select *, 2019 + k % 2 as v,
                'F' || ((2019 + k % 2) % 100) || 'Q' || (1 + k % 4)
-                   || lpad(cast(k as varchar), 7, '0') as loan_id
+                   || printf('%07d', k) as loan_id
         from shipped
         where m >= make_date(cast(2019 + k % 2 as int), 1, 1)""",
     "panel": """
@@ -75,7 +75,13 @@ _PANEL = {
                if(k % 6 = 0, '180', '360') as original_loan_term,
                cast(k % 2 + 1 as varchar) as number_of_borrowers,
                'Seller ' || (k % 20) as seller_name,
-               if(k % 43 = 0, '9999', cast(540 + k * 31 % 301 as varchar)) as vantage_score_4
+               if(k % 43 = 0, '9999', cast(540 + k * 31 % 301 as varchar)) as vantage_score_4,
+               if(k % 17 = 0, 'Y', '') as super_conforming_flag,
+               if(k % 19 = 0, 'F99Q1' || (k % 1000), '') as pre_harp_loan_id,
+               if(k % 23 = 0, 'H', '') as special_eligibility_program,
+               if(k % 29 = 0, 'Y', '') as harp_indicator,
+               cast(k % 3 + 1 as varchar) as property_valuation_method,
+               if(k % 31 = 0, 'Y', 'N') as interest_only_indicator
         from loans""",
 }
 

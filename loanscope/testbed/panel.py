@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Loan attributes as functions of the customer key.
 _YEAR = "smallint(2019 + k % 2)"
-_LOAN_ID = f"concat('F', {_YEAR} % 100, 'Q', k % 4 + 1, lpad(k, 7, '0'))"
+_LOAN_ID = f"concat('F', {_YEAR} % 100, 'Q', k % 4 + 1, format_string('%07d', bigint(k)))"
 _CODES = ", ".join(f"'{code}'" for code in ZERO_BALANCE_CODES)
 
 
@@ -83,8 +83,38 @@ def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Patterns that the SQL oracle spells alike, so that no field is always blank.
+ORIGINATION_MORE = {
+    "super_conforming_flag": "if(k % 17 = 0, 'Y', '')",
+    "pre_harp_loan_id": "if(k % 19 = 0, concat('F99Q1', k % 1000), '')",
+    "special_eligibility_program": "if(k % 23 = 0, 'H', '')",
+    "harp_indicator": "if(k % 29 = 0, 'Y', '')",
+    "property_valuation_method": "concat('', k % 3 + 1)",
+    "interest_only_indicator": "if(k % 31 = 0, 'Y', 'N')",
+}
+PERFORMANCE_MORE = {
+    "interest_rate_step_indicator": "if(mp % 53 = 0, 'Y', '')",
+    "payment_deferral_flag": "if(mp % 61 = 0, 'P', '')",
+    "delinquency_due_to_disaster": "if(mp % 67 = 0, 'Y', '')",
+    "borrower_assistance_plan": "if(mp % 71 = 0, 'T', '')",
+    "mi_cancellation_indicator": "if(mp % 73 = 0, 'Y', 'N')",
+}
+_AMOUNT_FIELDS = [
+    "mi_recoveries", "net_sales_proceeds", "non_mi_recoveries", "total_expenses", "legal_costs",
+    "maintenance_and_preservation_costs", "taxes_and_insurance", "miscellaneous_expenses",
+    "cumulative_modification_costs", "zero_balance_removal_upb", "delinquent_accrued_interest",
+    "current_period_modification_costs", "current_interest_bearing_upb",
+]
+# Each amount its own, blank in part of the rows.
+PERFORMANCE_AMOUNTS = {
+    name: f"if(mp % {7 + i} = 0, concat((mp + k) % {1000 + 17 * i} + {i}, '.{i + 10}'), '')"
+    for i, name in enumerate(_AMOUNT_FIELDS)
+}
+# A month of settlement, or blank.
+SETTLEMENT = "if(mp % 43 = 0, concat(2020 + mp % 5, '0', mp % 9 + 1), '')"
+
 # Raw text of the origination fields; most are small patterns in ``k``.
-_ORIGINATION_TEXT = {
+ORIGINATION_TEXT = {
     "classic_fico": "CASE WHEN k % 97 = 0 THEN '9999' WHEN k % 89 = 0 THEN ''"
     " ELSE string(k * 37 % 291 + 560) END",
     "first_payment_date": f"concat({_YEAR}, lpad(k % 12 + 1, 2, '0'))",
@@ -111,9 +141,10 @@ _ORIGINATION_TEXT = {
     "number_of_borrowers": "string(k % 2 + 1)",
     "seller_name": "concat('Seller ', k % 20)",
     "vantage_score_4": "if(k % 43 = 0, '9999', string(k * 31 % 301 + 540))",
+    **ORIGINATION_MORE,
 }
 
-# Raw text of the performance fields; the others are blank.
+# Raw text of the performance fields.
 _PERFORMANCE_TEXT = {
     "loan_id": "loan_id",
     "period": "date_format(as_of_month, 'yyyyMM')",
@@ -132,9 +163,31 @@ _PERFORMANCE_TEXT = {
     "servicer_name": "concat('Servicer ', k % 10)",
     "actual_loss": "if(mp % 29 = 0, concat(mp % 5000, '.25'), '')",
     "bankruptcy_cramdown_costs": "if(mp % 59 = 0, '12.50', '')",
+    "defect_settlement_date": SETTLEMENT,
+    **PERFORMANCE_MORE,
+    **PERFORMANCE_AMOUNTS,
 }
 
 
+def expected_rows(spark: SparkSession, sf_dir: str) -> dict[str, dict[int, int]]:
+    """Rows per dataset and file year, counted from the source tables alone."""
+    placed = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey AS k")
+    months = (
+        table(spark, sf_dir, "lineitem")
+        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .selectExpr("k", "2019 + k % 2 AS year", "12 * (year(l_shipdate) + 24) + month(l_shipdate) AS month")
+        .filter("month > 12 * year")
+    )
+    counted = months.groupBy("year").agg(
+        F.count_distinct("k", "month").alias("months"), F.count_distinct("k").alias("loans")
+    )
+    rows = counted.collect()  # one per vintage
+    return {
+        "origination": {int(r.year): r.loans for r in rows},
+        "performance": {int(r.year): r.months for r in rows},
+    }
+
+
 def _texts(fields: list[str], texts: dict[str, str]) -> list[str]:
     return [f"{texts.get(name, repr(''))} AS {name}" for name in fields]
 
@@ -152,7 +205,7 @@ def raw_origination(spark: SparkSession, sf_dir: str, only_observed: bool = True
         "k",
         f"{_YEAR} AS source_year",
         "'panel' AS source_file",
-        *_texts(ORIGINATION_FIELDS, _ORIGINATION_TEXT),
+        *_texts(ORIGINATION_FIELDS, ORIGINATION_TEXT),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -102,33 +102,21 @@ _register(
     statement(
         "select "
         + _doubles(_ORIG_COLUMNS, {"original_upb", "original_interest_rate"})
-        + ", cast(null as varchar) as super_conforming_flag"
-        + ", cast(null as varchar) as pre_harp_loan_id"
-        + ", cast(null as varchar) as special_eligibility_program"
-        + ", cast(null as varchar) as harp_indicator"
-        + ", cast(null as varchar) as property_valuation_method"
-        + ", cast(null as varchar) as interest_only_indicator from orig"
+        + "".join(f", nullif(o.{c}, '') as {c}" for c in panel.ORIGINATION_MORE)
+        + " from orig join (select loan_id, " + ", ".join(panel.ORIGINATION_MORE)
+        + " from orig_text) o using (loan_id)"
     ),
 )
 
-_NO_TEXT = [
-    "defect_settlement_date_raw", "interest_rate_step_indicator", "payment_deferral_flag",
-    "delinquency_due_to_disaster", "borrower_assistance_plan", "mi_cancellation_indicator",
-]
-_NO_MONEY = [
-    "mi_recoveries", "net_sales_proceeds", "non_mi_recoveries", "total_expenses", "legal_costs",
-    "maintenance_and_preservation_costs", "taxes_and_insurance", "miscellaneous_expenses",
-    "cumulative_modification_costs", "zero_balance_removal_upb", "delinquent_accrued_interest",
-    "current_period_modification_costs", "current_interest_bearing_upb",
-]
-
-
 def _stage_performance_sql() -> str:
-    empty = [
-        "'' as defect_settlement_date_raw",
-        *(f"cast(null as varchar) as {c}" for c in _NO_TEXT[1:]),
-        *(f"cast(null as double) as {c}" for c in _NO_MONEY),
-        "cast(null as date) as defect_settlement_month",
+    more = [
+        f"{panel.SETTLEMENT} as defect_settlement_date_raw",
+        f"cast(try_strptime({panel.SETTLEMENT}, '%Y%m') as date) as defect_settlement_month",
+        *(f"nullif({text}, '') as {c}" for c, text in panel.PERFORMANCE_MORE.items()),
+        *(
+            f"cast(nullif({text}, '') as double) as {c}"
+            for c, text in panel.PERFORMANCE_AMOUNTS.items()
+        ),
     ]
     return statement(
         f"""select source_year, loan_id, as_of_month,
@@ -150,7 +138,7 @@ def _stage_performance_sql() -> str:
             if(mp % 59 = 0, 12.5::double, null) as bankruptcy_cramdown_costs,
             {', '.join(_FLAGS)}, is_valid_loan_age,
             mp % 59 = 0 and zero_balance_code is null as dq_cramdown_populated_non_terminal,
-            {', '.join(empty)}
+            {', '.join(more)}
             from perf"""
     )
 
@@ -336,12 +324,11 @@ for _threshold in (20, 60, 100, 400):
         partial(_segment_export, k=_threshold),
         statement(f"select {listed(_SEGMENT_EXPORT)} from segment_export", k=_threshold),
     )
-    if _threshold <= 60:
-        _register(
-            f"suppress_transitions{_suffix}",
-            partial(_transition_export, k=_threshold),
-            statement(f"select {listed(_FLOW_EXPORT)} from transition_export", k=_threshold),
-        )
+    _register(
+        f"suppress_transitions{_suffix}",
+        partial(_transition_export, k=_threshold),
+        statement(f"select {listed(_FLOW_EXPORT)} from transition_export", k=_threshold),
+    )
 _register(
     "suppress_segments_strict_k400",
     lambda s, d: suppression.suppress_segments(_segments(s, d), 400, strict=True),
@@ -380,6 +367,9 @@ _SPOT_MEASURES = ", ".join(
 _ROLLUP = ", ".join(f"sum({m}) as {m}" for m in both_units(CORE))
 _MONTH_LIST = ", ".join(f"date '{m}'" for m in panel.SPOT_MONTHS)
 
+# The documented zero-balance codes.
+_KNOWN_CODES = "'01', '02', '03', '09', '15', '16', '96'"
+
 # check -> SQL that yields one row per failure
 _FAILING_ROWS = {
     "origination_loan_id_unique": (
@@ -407,7 +397,7 @@ _FAILING_ROWS = {
         "or not regexp_full_match(delinquency_status_raw, '[0-9][0-9]|RA|XX')"
     ),
     "zero_balance_codes_valid": (
-        "select 1 from perf where not regexp_full_match(zero_balance_code, '0[1239]|1[56]|96')"
+        f"select 1 from perf where zero_balance_code not in ({_KNOWN_CODES})"
     ),
     "on_book_population_consistent": (
         "select 1 from perf where current_actual_upb is null or current_actual_upb < 0 "
@@ -455,10 +445,21 @@ _FAILING_ROWS = {
         "or abs(sum(transition_balance_rate) - 1) > 1e-10"
     ),
 }
-_ROW_COUNTS = (
-    "select 'origination' as dataset, source_year, count(*) as n from orig group by all "
-    "union all select 'performance', source_year, count(*) from perf group by all"
-)
+def _counts_differ(rows: str, expected: str) -> str:
+    count = "select source_year, count(*) as n from {} group by 1"
+    return (
+        f"exists (select 1 from ({count.format(rows)}) a full join ({count.format(expected)}) b "
+        "using (source_year) where a.n is distinct from b.n)"
+    )
+
+
+# Staged rows against the panel and the loans they come from.
+_FAILING_ROWS = {
+    "source_row_counts": (
+        f"select 1 where {_counts_differ('orig', 'loans')} or {_counts_differ('perf', 'panel')}"
+    ),
+    **_FAILING_ROWS,
+}
 
 
 def _check_sql(name: str, rows: str) -> str:
@@ -468,15 +469,12 @@ def _check_sql(name: str, rows: str) -> str:
     )
 
 
-def _expectations(origination: DataFrame, performance: DataFrame) -> quality.Expectations:
-    """Expected counts taken from the generator; one row per vintage."""
-
-    def by_year(rows: DataFrame) -> dict[int, int]:
-        return {r[0]: r[1] for r in rows.groupBy("source_year").count().collect()}
-
+def _expectations(spark: SparkSession, sf_dir: str) -> quality.Expectations:
+    """What the clean panel has, with counts taken from the source tables."""
+    rows = panel.expected_rows(spark, sf_dir)
     return quality.Expectations(
-        origination_rows=by_year(origination),
-        performance_rows=by_year(performance),
+        origination_rows=rows["origination"],
+        performance_rows=rows["performance"],
         window_end=panel.WINDOW_END,
         spot_months=panel.SPOT_MONTHS,
     )
@@ -485,6 +483,8 @@ def _expectations(origination: DataFrame, performance: DataFrame) -> quality.Exp
 class _Layers:
     """The clean panel's tables, each derived when a check asks for it."""
 
+    origination_pass = performance_pass = flows = None
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._source = spark, sf_dir
 
@@ -525,15 +525,10 @@ def _check(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     layers = _Layers(spark, sf_dir)
     expect = _NO_COUNTS
     if name == "source_row_counts":
-        expect = _expectations(layers.origination, layers.performance)
+        expect = _expectations(spark, sf_dir)
     return quality.validation_results(layers, expect, [name]).select(*_REPORT)
 
 
-_register(
-    "check_source_row_counts",
-    partial(_check, name="source_row_counts"),
-    statement(_check_sql("source_row_counts", f"select * from ({_ROW_COUNTS}) where n = 0")),
-)
 for _name, _rows in _FAILING_ROWS.items():
     _register(
         f"check_{_name}", partial(_check, name=_name), statement(_check_sql(_name, _rows))
@@ -542,9 +537,7 @@ for _name, _rows in _FAILING_ROWS.items():
 
 def _checks_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Clean row counts are expected, so the removed and doubled rows show up.
-    clean = _expectations(
-        panel.staged_origination(spark, sf_dir), panel.staged_performance(spark, sf_dir)
-    )
+    clean = _expectations(spark, sf_dir)
     return quality.validation_results(dirty.layers(spark, sf_dir), clean).select(*_REPORT)
 
 
@@ -552,9 +545,7 @@ _register(
     "checks_dirty",
     _checks_dirty,
     statement(
-        "select 'source_row_counts' as check_name, cast(1 as bigint) as failed_row_count, "
-        "false as passed union all "
-        + " union all ".join(_check_sql(name, rows) for name, rows in _FAILING_ROWS.items()),
+        " union all ".join(_check_sql(name, rows) for name, rows in _FAILING_ROWS.items()),
         dirty=True,
     ),
 )
@@ -667,22 +658,44 @@ _register("checks_export", _export_report, _export_sql(_SHOWN, 0))
 _register("checks_export_dirty", partial(_export_report, tampered=True), _export_sql(_SHOWN_DIRTY, 1))
 
 
-def _dashboard_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dashboard_inputs(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    monthly = exports.export_monthly(_monthly(spark, sf_dir))
+    segments, transitions = _segment_export(spark, sf_dir), _transition_export(spark, sf_dir)
+    if damaged:
+        again = F.col("as_of_month") < F.lit("2019-07-01").cast("date")
+        monthly = monthly.unionByName(monthly.filter(again)).withColumn("loan_id", F.lit("x"))
+        segments = segments.filter("false")
+        transitions = transitions.unionByName(transitions).withColumn("x_loan_id", F.lit("x"))
     return dashboard_input_problems(
-        exports.export_monthly(_monthly(spark, sf_dir)),
-        _segment_export(spark, sf_dir),
-        _transition_export(spark, sf_dir),
+        monthly,
+        segments,
+        transitions,
         month_count=panel.MONTH_COUNT,
         first_month=panel.FIRST_MONTH,
         last_month="2025-12-01",
     ).select(*_REPORT)
 
 
-def _inputs_sql() -> str:
+_INPUTS = {
+    "monthly_in": "select *, null as no_column from monthly",
+    "segments_in": "select *, null as no_column from segment_export",
+    "transitions_in": "select *, null as no_column from transition_export",
+}
+_INPUTS_DAMAGED = {
+    "monthly_in": (
+        "select m.*, 'x' as loan_id from monthly m, range(2) copies(c) "
+        "where c = 0 or as_of_month < date '2019-07-01'"
+    ),
+    "segments_in": "select *, null as no_column from segment_export where false",
+    "transitions_in": "select t.*, 'x' as x_loan_id from transition_export t, range(2) copies(c)",
+}
+
+
+def _inputs_sql(inputs: dict[str, str]) -> str:
     tables = {
-        "monthly": ("monthly", "as_of_month"),
-        "segments": ("segment_export", "as_of_month, segment_name, segment_value"),
-        "transitions": ("transition_export", "from_month, from_state, to_state"),
+        "monthly": ("monthly_in", "as_of_month"),
+        "segments": ("segments_in", "as_of_month, segment_name, segment_value"),
+        "transitions": ("transitions_in", "from_month, from_state, to_state"),
     }
     parts = []
     for name, (table, key) in tables.items():
@@ -695,20 +708,29 @@ def _inputs_sql() -> str:
                 f"{name} key uniqueness", f"select 1 from {table} group by {key} having count(*) > 1"
             )
         )
-        parts.append(f"select '{name} identifier columns', cast(0 as bigint), true")
+        # Identifiers are found in the columns themselves.
+        disclosed = int("loan_id" in inputs[table])
+        parts.append(
+            f"select '{name} identifier columns', cast({disclosed} as bigint), {disclosed} = 0"
+        )
     window = {
         "month count": f"count(*) = {panel.MONTH_COUNT}",
         "first month": f"min(as_of_month) = date '{panel.FIRST_MONTH}'",
         "last month": "max(as_of_month) = date '2025-12-01'",
     }
     parts += [
-        f"select '{name}', cast(not ({met}) as bigint), {met} from monthly"
+        f"select '{name}', cast(not ({met}) as bigint), {met} from monthly_in"
         for name, met in window.items()
     ]
-    return statement(" union all ".join(parts))
+    return statement(" union all ".join(parts), extra=inputs)
 
 
-_register("check_dashboard_inputs", _dashboard_inputs, _inputs_sql())
+_register("check_dashboard_inputs", _dashboard_inputs, _inputs_sql(_INPUTS))
+_register(
+    "check_dashboard_inputs_damaged",
+    partial(_dashboard_inputs, damaged=True),
+    _inputs_sql(_INPUTS_DAMAGED),
+)
 
 # --- reports --------------------------------------------------------------------------
 
@@ -740,8 +762,8 @@ _register("table_row_counts", _table_row_counts, _COUNTS_SQL)
 
 
 def _validation_summary_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    results = quality.validation_results(dirty.layers(spark, sf_dir), _NO_COUNTS)
-    return quality.validation_summary(results)
+    expect = _expectations(spark, sf_dir)
+    return quality.validation_summary(quality.validation_results(dirty.layers(spark, sf_dir), expect))
 
 
 _register(
@@ -749,9 +771,8 @@ _register(
     _validation_summary_dirty,
     statement(
         "select count(*) as checks, count(*) filter (passed) as passed from ("
-        "select true as passed union all "
         + " union all ".join(
-            f"select count(*) = 0 from ({rows})" for rows in _FAILING_ROWS.values()
+            f"select count(*) = 0 as passed from ({rows})" for rows in _FAILING_ROWS.values()
         )
         + ")",
         dirty=True,
@@ -965,6 +986,17 @@ _PROFILE_BLOCKS = {
         select o.source_year, unnest([classic_fico, original_cltv, original_dti, original_upb,
             original_ltv, original_interest_rate, original_loan_term, vantage_score_4]) as n
         from orig_text o""",
+    "orig_missing": " union all ".join(
+        "select 'origination' as dataset, source_year, 'missing_important_fields' as metric, "
+        f"'{name}' as item, count(*) filter ({name} = '') as value from orig_text group by 2"
+        for name in raw_profile.ORIGINATION_REQUIRED
+    ),
+    "orig_sentinels": " union all ".join(
+        "select 'origination' as dataset, source_year, 'official_sentinel_counts' as metric, "
+        f"'{name}={code}' as item, count(*) filter ({name} = '{code}') as value "
+        "from orig_text group by 2"
+        for name, code in raw_profile.ORIGINATION_SENTINELS.items()
+    ),
     "profile_clean": """
         select 'origination' as dataset, source_year, 'row_count' as metric,
                cast(null as varchar) as item, count(*) as value from orig_text group by 2
@@ -981,22 +1013,20 @@ _PROFILE_BLOCKS = {
         union all select 'performance', source_year, 'nonnumeric_upb_or_loan_age', null,
             count(*) filter (loan_age is null) from panel group by 2
         union all select 'performance', source_year, 'missing_important_fields', 'loan_age',
-            count(*) from panel where loan_age is null group by 2
-        union all select 'origination', source_year, 'missing_important_fields', 'classic_fico',
-            count(*) from orig_text where classic_fico = '' group by 2
+            count(*) filter (loan_age is null) from panel group by 2
+        union all select 'performance', source_year, unnest(['invalid_delinquency_statuses',
+            'invalid_zero_balance_codes', 'performance_loans_without_origination',
+            'originations_without_performance']), null, 0
+            from (select distinct source_year from panel)
+        union all select 'performance', source_year, 'missing_important_fields', unnest(['loan_id',
+            'period', 'current_actual_upb', 'current_loan_delinquency_status']), 0
+            from (select distinct source_year from panel)
+        union all select * from orig_missing
         union all select 'performance', source_year, 'min_performance_month', null,
             min(year(as_of_month) * 100 + month(as_of_month)) from panel group by 2
         union all select 'performance', source_year, 'max_performance_month', null,
             max(year(as_of_month) * 100 + month(as_of_month)) from panel group by 2
-        union all select 'origination', source_year, 'official_sentinel_counts', f, count(*)
-            from (select source_year, unnest([
-                    if(classic_fico = '9999', 'classic_fico=9999', null),
-                    if(vantage_score_4 = '9999', 'vantage_score_4=9999', null),
-                    if(mi_percentage = '999', 'mi_percentage=999', null),
-                    if(original_cltv = '999', 'original_cltv=999', null),
-                    if(original_dti = '999', 'original_dti=999', null),
-                    if(original_ltv = '999', 'original_ltv=999', null)]) as f from orig_text)
-            where f is not null group by 2, 4
+        union all select * from orig_sentinels
         union all select 'origination', null, 'cross_vintage_loan_id_overlap', null, count(*)
             from (select loan_id from orig_text group by 1 having count(distinct source_year) > 1)""",
     # Damage planted in the raw lines; the first matching kind applies.
@@ -1021,12 +1051,9 @@ for _dataset in ("origination", "performance"):
 
 
 def _raw_failures_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = _expectations(
-        panel.raw_origination(spark, sf_dir), panel.raw_performance(spark, sf_dir)
-    )
+    counted = panel.expected_rows(spark, sf_dir)
     expected = {
-        **{("origination", year): n for year, n in counted.origination_rows.items()},
-        **{("performance", year): n for year, n in counted.performance_rows.items()},
+        (dataset, year): n for dataset, years in counted.items() for year, n in years.items()
     }
     return raw_profile.raw_failures(_profile(spark, sf_dir, _spoil), expected)
 
@@ -1069,25 +1096,204 @@ def _file_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_dir = _raw_files(spark, sf_dir)
     staged = stage_performance(delimited.scan_performance(spark, raw_dir))
     return staged.select(
-        *(c for c in _FACT_COLUMNS if c in staged.columns), "is_valid_loan_age"
+        *(c for c in _FACT_COLUMNS if c in staged.columns),
+        "is_valid_loan_age",
+        F.element_at(F.split("source_file", "/"), -2).alias("file_name"),
     )
 
 
+# --- files in which every rule finds something ----------------------------------------
+
+# What is wrong with an origination line, by loan; the first that applies.
+_ORIGINATION_DAMAGE = """case
+    when k % 31 = 1 then 'fields' when k % 37 = 2 then 'text' when k % 41 = 3 then 'date'
+    when k % 43 = 4 then 'number' when k % 47 = 5 then 'twice' when k % 53 = 6 then 'other year'
+    when k % 59 = 7 then 'dropped' else '' end"""
+# And with a performance line.
+_PERFORMANCE_DAMAGE = """case
+    when mp % 211 = 1 then 'fields' when mp % 227 = 3 then 'period' when mp % 229 = 4 then 'text'
+    when mp % 239 = 6 then 'status' when mp % 241 = 7 then 'code' when mp % 251 = 8 then 'number'
+    else '' end"""
+
+
+def _with_field(value: Column, number: int, new: str) -> Column:
+    """A line with one of its fields replaced; fields count from 1."""
+    return F.regexp_replace(value, rf"^((?:[^|]*\|){{{number - 1}}})[^|]*", f"$1{new}")
+
+
+def _fully_damaged(spark: SparkSession, sf_dir: str) -> str:
+    raw_dir = storage.scratch_dir(spark, "raw")
+    damage, value = F.col("damage"), F.col("value")
+    other = F.when(damage == "other year", 4039 - F.col("source_year").cast("int"))
+    own = F.col("source_year").cast("int")
+    originations = delimited.as_lines(
+        panel.raw_origination(spark, sf_dir).withColumn("damage", F.expr(_ORIGINATION_DAMAGE)),
+        ORIGINATION_FIELDS,
+    ).select(
+        F.explode(
+            F.when(damage == "twice", F.array(own, own))
+            .when(damage == "other year", F.array(own, other))
+            .when(damage == "dropped", F.array().cast("array<int>"))
+            .otherwise(F.array(own))
+        ).alias("year"),
+        F.when(damage == "fields", F.concat(value, F.lit("|extra")))
+        .when(damage == "text", F.regexp_replace(value, "Seller ", "Séller "))
+        .when(damage == "date", _with_field(value, 2, "201913"))
+        .when(damage == "number", _with_field(value, 11, "5F"))
+        .otherwise(value)
+        .alias("value"),
+    )
+    performances = delimited.as_lines(
+        panel.raw_performance(spark, sf_dir).withColumn("damage", F.expr(_PERFORMANCE_DAMAGE)),
+        PERFORMANCE_FIELDS,
+    ).select(
+        own.alias("year"),
+        F.when(damage == "fields", F.lit("short|row"))
+        .when(damage == "period", _with_field(value, 2, "201913"))
+        .when(damage == "text", F.regexp_replace(value, "Servicer ", "Sérvicer "))
+        .when(damage == "status", _with_field(value, 4, "Q7"))
+        .when(damage == "code", _with_field(value, 9, "77"))
+        .when(damage == "number", _with_field(value, 3, "0x1p3"))
+        .otherwise(value)
+        .alias("value"),
+    )
+    for dataset, lines in (("origination", originations), ("performance", performances)):
+        stored = storage.written(lines, f"{raw_dir}/lines/{dataset}")
+        for year in VINTAGES:
+            of_year = stored.filter(F.col("year") == year).select("value")
+            of_year.write.text(delimited.expected_file(raw_dir, dataset, year))
+    return raw_dir
+
+
+_DAMAGED_BLOCKS = {
+    "damaged_orig": f"""
+        select *, damage <> 'fields' as usable from (
+            select o.*, {_ORIGINATION_DAMAGE} as damage,
+                   unnest(case when k % 53 = 6 then [source_year, 4039 - source_year]
+                               else [source_year, source_year] end) as year,
+                   unnest([1, 2]) as copy
+            from orig_text o)
+        where damage <> 'dropped' and (copy = 1 or damage in ('twice', 'other year'))
+          and (damage = 'other year' or year = source_year)""",
+    "damaged_perf": f"""
+        select *, damage <> 'fields' as usable from (
+            select p.*, {_PERFORMANCE_DAMAGE} as damage from panel p)""",
+    "orig_ids": "select distinct year, loan_id from damaged_orig where usable",
+    "perf_ids": "select distinct source_year as year, loan_id from damaged_perf where usable",
+}
+_ORIGINATION_NUMBER_TEXTS = ", ".join(raw_profile.ORIGINATION_NUMBERS)
+_DAMAGED_RULES = {
+    "rows_with_wrong_field_count": (
+        "select (select count(*) from damaged_orig where damage = 'fields') "
+        "+ (select count(*) from damaged_perf where damage = 'fields')"
+    ),
+    "rows_with_non_ascii_text": (
+        "select (select count(*) from damaged_orig where damage = 'text') "
+        "+ (select count(*) from damaged_perf where damage = 'text')"
+    ),
+    "duplicate_loan_ids": (
+        "select sum(n - 1) from (select count(*) as n from damaged_orig where usable "
+        "group by year, loan_id)"
+    ),
+    "invalid_required_dates": "select count(*) from damaged_orig where damage = 'date'",
+    "nonnumeric_values_in_numeric_fields": (
+        "select count(*) filter (n = '') + (select count(*) from damaged_orig where damage = 'number') "
+        f"from (select unnest([{_ORIGINATION_NUMBER_TEXTS}]) as n from damaged_orig where usable)"
+    ),
+    "invalid_periods": "select count(*) from damaged_perf where damage = 'period'",
+    "nonnumeric_upb_or_loan_age": (
+        "select count(*) filter (loan_age is null) + count(*) filter (damage = 'number') "
+        "from damaged_perf where usable"
+    ),
+    "invalid_delinquency_statuses": "select count(*) from damaged_perf where damage = 'status'",
+    "invalid_zero_balance_codes": "select count(*) from damaged_perf where damage = 'code'",
+    "performance_loans_without_origination": (
+        "select count(*) from (select * from perf_ids except select * from orig_ids)"
+    ),
+    "originations_without_performance": (
+        "select count(*) from (select * from orig_ids except select * from perf_ids)"
+    ),
+    "cross_vintage_loan_id_overlap": (
+        "select count(*) from (select loan_id from orig_ids group by 1 having count(*) > 1)"
+    ),
+}
+_register(
+    "raw_rules_damaged",
+    lambda s, d: profile_files(s, _fully_damaged(s, d))
+    .filter(F.col("metric").isin(raw_profile.MUST_BE_ZERO))
+    .groupBy("metric")
+    .agg(F.sum("value").alias("value")),
+    statement(
+        " union all ".join(
+            f"select '{name}' as metric, cast(({rows}) as bigint) as value"
+            for name, rows in _DAMAGED_RULES.items()
+        ),
+        extra=_DAMAGED_BLOCKS,
+    ),
+)
+
+
+def _origination_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the origination files and the name of the file that each came from."""
+    rows = delimited.scan_origination(spark, _raw_files(spark, sf_dir))
+    # Spark writes a file as a folder of parts; the folder has the file's name.
+    file_name = F.element_at(F.split("source_file", "/"), -2)
+    return rows.select("source_year", file_name.alias("file_name"), *ORIGINATION_FIELDS)
+
+
+_register(
+    "raw_file_roundtrip_origination",
+    _origination_roundtrip,
+    statement(
+        "select source_year, 'sample_orig_' || source_year || '.txt' as file_name, "
+        + ", ".join(
+            f"nullif({name}, '') as {name}" if name in panel.ORIGINATION_TEXT else f"null as {name}"
+            for name in ORIGINATION_FIELDS
+        )
+        + " from orig_text"
+    ),
+)
+
+# Sums as whole cents, which no floating-point number stands between.
+_register(
+    "exact_totals",
+    lambda s, d: panel.fact(s, d)
+    .groupBy("as_of_month")
+    .agg(
+        (F.sum("current_actual_upb") * 100).cast("bigint").alias("cents"),
+        F.max(F.expr("bigint(current_actual_upb * 100)")).alias("largest_cents"),
+    ),
+    statement(
+        "select as_of_month, cast(sum(current_actual_upb) * 100 as bigint) as cents, "
+        "cast(max(current_actual_upb) * 100 as bigint) as largest_cents from fact group by 1"
+    ),
+)
+for _dimension in _SHOWN_LABELS:
+    _register(
+        f"panel_segment_in_full_{_dimension}",
+        lambda s, d, dim=_dimension: panels.segment_panel_in_full(
+            _segment_export(s, d, 60), SNAPSHOT, dim
+        ).select("segment_value", *both_units(CORE[:2])),
+        statement(
+            f"select segment_value, {listed(both_units(CORE[:2]))} from segment_export "
+            f"where as_of_month = date '{SNAPSHOT}' and segment_name = '{_dimension}'",
+            k=60,
+        ),
+    )
+
 _register(
     "raw_file_roundtrip",
     _file_roundtrip,
     statement(
         "select "
         + listed([c for c in _FACT_COLUMNS if not c.startswith(("origination_", "fico", "cltv", "dti"))])
-        + ", is_valid_loan_age from perf"
+        + ", is_valid_loan_age, 'sample_perf_' || source_year || '.txt' as file_name from perf"
     ),
 )
 
 
 def _built(spark: SparkSession, sf_dir: str) -> build_plan.BuildReport:
-    expect = _expectations(
-        panel.raw_origination(spark, sf_dir), panel.raw_performance(spark, sf_dir)
-    )
+    expect = _expectations(spark, sf_dir)
     root = storage.scratch_dir(spark, "build")
     return build_plan.build(spark, _raw_files(spark, sf_dir), root, expect)
 

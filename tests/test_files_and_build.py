@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import PySparkException
@@ -6,12 +7,14 @@ from pyspark.sql import functions as F
 
 from loanscope.domain import ORIGINATION_FIELDS, PERFORMANCE_FIELDS
 from loanscope.operators.quality import DETAILS, Expectations, failure_counts
+from loanscope.operators.raw_profile import read_report
+from loanscope.operators.staging import stage_origination
 from loanscope.plans.build import ValidationFailed, build
 from loanscope.plans.dashboard import ExportRejected, check_dashboard, export, load_export
 from loanscope.plans.raw_validation import validate_raw
 from loanscope.sources import delimited, storage
 from loanscope.sources.csv_tables import read_csv, write_csv
-from loanscope.testbed import dirty
+from loanscope.testbed import dirty, panel
 
 
 def origination_line(number, year=2019, **values):
@@ -141,14 +144,38 @@ def test_profile_counts_planted_damage(spark, raw):
     assert "2021 performance: expected 1 rows" in messages
     assert "2019 performance: invalid_zero_balance_codes=2" in messages
     assert not any("row_count=" in m or "origination: expected" in m for m in messages)
-    assert spark.read.json(f"{folder}/report/failures").count() == len(messages)
-    assert spark.read.json(f"{folder}/report/profile").count() == len(found)
+    report = lambda part: read_report(spark, f"{folder}/report", part)
+    assert report("failures").count() == len(messages)
+    assert report("profile").count() == len(found)
+    passed = {(r.dataset, r.source_year): r.passed for r in report("files").collect()}
+    assert passed == {("origination", 2019): False, ("origination", 2020): False, ("performance", 2019): False, ("performance", 2020): False}
+    assert {(r.dataset, r.expected_fields, r.file.rsplit("/", 1)[1]) for r in report("files").collect()} >= {
+        ("origination", 31, "sample_orig_2019.txt"), ("performance", 35, "sample_perf_2020.txt")
+    }
 
 
 def test_clean_files_pass_the_raw_validation(spark, raw, tmp_path):
     raw_dir, _ = write(raw)
     expected_rows = {(d, y): n for y in (2019, 2020) for d, n in (("origination", 40), ("performance", 560))}
-    assert validate_raw(spark, raw_dir, expected_rows, str(tmp_path / "report")).passed
+    for _ in range(2):  # a report is replaced by the next one
+        result = validate_raw(spark, raw_dir, expected_rows, str(tmp_path / "report"))
+        assert result.passed
+    assert read_report(spark, str(tmp_path / "report"), "files").filter("NOT passed").isEmpty()
+    found = {(r.dataset, r.source_year, r.metric, r.item): r.value for r in result.profile.collect()}
+    for year in (2019, 2020):
+        for metric in ("performance_loans_without_origination", "originations_without_performance", "invalid_zero_balance_codes"):
+            assert found["performance", year, metric, None] == 0
+        assert found["origination", year, "missing_important_fields", "classic_fico"] == 0
+
+
+@pytest.mark.parametrize("text", ["5F", "1d", "0x1p3", "1_", "--1", "1e"])
+def test_numbers_are_decimal(spark, raw, tmp_path, text):
+    files, _ = raw
+    files["sample_2019/sample_orig_2019.txt"].append(origination_line(950, original_upb=text))
+    raw_dir, _ = write(raw)
+    result = validate_raw(spark, raw_dir, {}, str(tmp_path / "report"))
+    found = {(r.source_year, r.metric): r.value for r in result.failures.collect()}
+    assert found[2019, "nonnumeric_values_in_numeric_fields"] == 1 and not result.passed
 
 
 def test_build_publishes_and_exports(spark, raw, tmp_path):
@@ -169,6 +196,79 @@ def test_build_publishes_and_exports(spark, raw, tmp_path):
         check_dashboard(tables, 87, "2019-01-01", "2021-02-01")
     with pytest.raises(ValueError):
         export(spark, root, str(tmp_path / "other"), k=1)
+    for name, key in (
+        ("mart.portfolio_monthly", ["as_of_month"]),
+        ("mart.portfolio_monthly_by_segment", ["as_of_month", "segment_name", "segment_value"]),
+        ("mart.delinquency_transition_monthly", ["from_month", "segment_name", "segment_value", "from_state", "to_state"]),
+    ):
+        rows = [tuple(r) for r in report.store.read(name).select(*key).collect()]
+        assert rows == sorted(rows)
+
+
+def test_an_export_is_replaced_as_a_whole(spark, raw, tmp_path, monkeypatch):
+    raw_dir, root = write(raw)
+    build(spark, raw_dir, root, EXPECT)
+    out = str(tmp_path / "csv")
+    export(spark, root, out, k=5)
+    first = storage.current_version(spark, out)
+    export(spark, root, out, k=10)
+    second = storage.current_version(spark, out)
+    assert second != first and load_export(spark, out).monthly.count() == 26
+
+    def broken(table, path):
+        if path.endswith("delinquency_transition_monthly"):
+            raise OSError("disk full")
+        write_csv(table, path)
+
+    monkeypatch.setattr("loanscope.plans.dashboard.write_csv", broken)
+    with pytest.raises(OSError):
+        export(spark, root, out, k=5)
+    assert storage.current_version(spark, out) == second
+    assert load_export(spark, out).monthly.count() == 26
+    with pytest.raises(FileNotFoundError):
+        load_export(spark, str(tmp_path / "none"))
+
+
+def test_versions_published_at_once_are_all_kept(spark, tmp_path):
+    root = str(tmp_path)
+    assert storage.current_version(spark, root) is None
+    with ThreadPoolExecutor(4) as jobs:
+        list(jobs.map(lambda v: storage.publish_version(spark, root, v), ["a", "b", "c", "d"]))
+    assert storage.current_version(spark, root) in "abcd"
+    storage.publish_version(spark, root, "0")
+    assert storage.current_version(spark, root) == "0"
+
+
+def test_a_vintage_that_disagrees_with_its_file_rejects_the_build(spark, raw):
+    files, _ = raw
+    for name in ("sample_2019/sample_orig_2019.txt", PERF_2019):
+        files[name] = [line.replace("F19Q10000003", "F20Q19999999") for line in files[name]]
+    raw_dir, root = write(raw)
+    with pytest.raises(ValidationFailed) as error:
+        build(spark, raw_dir, root, EXPECT)
+    assert {name: count for name, count, _ in error.value.failures} == {"vintage_matches_file_year": 1}
+    assert storage.current_run(spark, root) is None
+
+
+@pytest.mark.parametrize("ansi", [True, False])
+def test_bad_text_raises_with_and_without_ansi(spark, tmp_path, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        columns = ", ".join(f"'' AS {f}" for f in ORIGINATION_FIELDS if f != "loan_id")
+        rows = spark.sql(f"SELECT 2019S AS source_year, 'f' AS source_file, 'FxxQ10000001' AS loan_id, {columns}")
+        with pytest.raises(Exception, match="no vintage in loan id"):
+            stage_origination(rows).collect()
+        path = str(tmp_path / f"csv{ansi}")
+        spark.sql("SELECT 'x' AS as_of_month, '1' AS on_book_upb").write.option("header", True).csv(path)
+        with pytest.raises(Exception, match="as_of_month is no date"):
+            read_csv(spark, path, ["as_of_month", "on_book_upb"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_long_loan_numbers_stay_apart(spark):
+    ids = spark.sql("SELECT * FROM VALUES (12345670L), (12345678L), (12L) AS t(k)").selectExpr(f"{panel._LOAN_ID} AS loan_id")
+    assert {r.loan_id for r in ids.collect()} == {"F19Q312345670", "F19Q312345678", "F19Q10000012"}
 
 
 @pytest.mark.parametrize("repeat", [False, True])
@@ -223,6 +323,7 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     class Session:
         conf = Conf(**{"spark.master": "yarn"})
+        sparkContext = type("Context", (), {"_jsc": None})
 
     with pytest.raises(RuntimeError):
         storage.scratch_dir(Session, "x")

@@ -43,10 +43,36 @@ def test_marts_scan_once_and_read_few_columns(spark, tmp_path):
     assert "Join" not in segments and "Window" not in segments
 
 
-def test_spot_months_are_pushed_to_the_scan(spark, tmp_path):
-    rows = RunStore(spark, str(tmp_path), "plan").write("staging.p", panel.staged_performance(spark, SF))
-    text = plan(quality.recalculated_months(rows, ["2020-06-01"]))
-    assert re.search(r"PushedFilters: \[[^\]]*as_of_month", text)
+def test_the_gate_reads_each_table_few_times(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path), "plan")
+    expect = quality.Expectations({2019: 1}, {2019: 1}, panel.WINDOW_END, panel.SPOT_MONTHS)
+    origination = store.write("staging.o", panel.staged_origination(spark, SF))
+    performance = store.write("staging.p", panel.staged_performance(spark, SF))
+    fact = store.write("curated.f", panel.fact(spark, SF))
+    flows = marts.monthly_flows(curated.next_month_pairs_ordered(fact))
+    passes = quality.origination_pass(origination), quality.performance_pass(performance, expect)
+    layers = quality.Layers(
+        origination=origination,
+        performance=performance,
+        fact=fact,
+        monthly=store.write("mart.m", marts.portfolio_monthly(fact)),
+        segments=store.write("mart.s", marts.portfolio_by_segment(fact)),
+        transitions=store.write("mart.t", marts.transitions_of(flows)),
+        origination_pass=store.write("quality.o", passes[0]),
+        performance_pass=store.write("quality.p", passes[1]),
+        flows=store.write("curated.flows", flows),
+    )
+    names = [n for n in quality.DETAILS if not n.endswith("_unique")]
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)  # whole paths
+    try:
+        gate = plan(quality.failure_counts(layers, expect, names))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = lambda text, name: len(re.findall(rf"Location: [^\n]*{re.escape(name)}[\],]", text))
+    assert scans(gate, "staging/p") == 1 and plan(passes[1]).count("FileScan") == 1
+    assert scans(gate, "staging/o") == 1 and plan(passes[0]).count("FileScan") == 1
+    assert scans(gate, "curated/f") == 1
+    assert not re.search(r"Window \[lead", gate)
 
 
 def test_row_checks_share_one_pass(spark, tmp_path):
