@@ -16,6 +16,7 @@ cuts lineage: a lost executor costs its tasks, not the run.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -76,6 +77,8 @@ class BuildReport:
     store: RunStore
     row_counts: DataFrame
     summary: DataFrame
+    #: Wall-clock seconds of each step, in order.
+    seconds: dict[str, float]
 
 
 def bucket_count(
@@ -127,6 +130,19 @@ def _require_passed(results: DataFrame, store: RunStore) -> None:
         raise ValidationFailed(failures, store)
 
 
+class _Steps:
+    """Seconds since the step before, by step."""
+
+    def __init__(self):
+        self.seconds: dict[str, float] = {}
+        self._last = time.perf_counter()
+
+    def done(self, name: str) -> None:
+        now = time.perf_counter()
+        self.seconds[name] = round(now - self._last, 3)
+        self._last = now
+
+
 PANEL = "curated.fact_loan_month"
 KEY_CHECKS = ["origination_loan_id_unique", "performance_loan_month_unique"]
 
@@ -144,6 +160,7 @@ def build(
     Raises :class:`ValidationFailed` otherwise; the published version stays.
     """
     require_files(spark, raw_dir, years)
+    steps = _Steps()
     store = RunStore(spark, root, new_run_id())
     origination, performance = _written_together(
         store,
@@ -152,12 +169,15 @@ def build(
             "staging.monthly_performance": stage_performance(scan_performance(spark, raw_dir)),
         },
     )
+    steps.done("staging")
     dim = store.write("curated.dim_loan", dim_loan(origination))
+    steps.done("dimension")
 
     staged = Layers(origination=origination, performance=performance)
     key_counts = failure_counts(staged, expect, KEY_CHECKS)
     keys = store.write("quality.key_checks", reported(key_counts, DETAILS))
     _require_passed(keys, store)
+    steps.done("key checks")
 
     panel = fact_loan_month(performance, dim)
     buckets = bucket_count(
@@ -174,6 +194,7 @@ def build(
             order=["loan_id", "as_of_month"],
             buckets=buckets,
         )
+        steps.done("panel")
         # One window over the panel: flows keep what the mart and the pair checks need. The
         # scans of staging for the checks fill the gaps of the marts.
         monthly, segments, flows, *passes = _written_together(
@@ -189,6 +210,7 @@ def build(
         transitions = store.write(
             "mart.delinquency_transition_monthly", in_key_order(transitions_of(flows))
         )
+        steps.done("marts and passes")
         layers = Layers(
             origination=origination,
             performance=performance,
@@ -208,8 +230,10 @@ def build(
         store.forget(PANEL)
     _require_passed(results.unionByName(extra), store)
     publish(store)
+    steps.done("gate")
     return BuildReport(
         store=store,
         row_counts=table_row_counts({name: store.read(name) for name in REPORTED_TABLES}),
         summary=validation_summary(results),
+        seconds=steps.seconds,
     )
