@@ -69,6 +69,81 @@ SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(other) AS component_id,
 FROM sets JOIN reach ON sets.doc_id = reach.doc_id GROUP BY sets.doc_id, s
 """
 
+#: CRC by a table made from its rule; the mix and the jumps in 128-bit arithmetic.
+SHARDS = """
+WITH RECURSIVE bits AS (
+  SELECT n, 0 AS step, n::UINTEGER AS c FROM range(256) t(n)
+  UNION ALL
+  SELECT n, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UINTEGER) ELSE c >> 1 END
+  FROM bits WHERE step < 8
+), crc_table AS (
+  SELECT list(c ORDER BY n) AS entries FROM bits WHERE step = 8
+), docs AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents
+), sized AS (
+  SELECT row, doc_id, length(body) // 2 + 16 AS size,
+    xor(4294967295::UINTEGER, list_reduce(
+      list_concat([4294967295::UINTEGER], [('0x' || body[2 * i + 1 : 2 * i + 2])::UINTEGER FOR i IN range(length(body) // 2)]),
+      lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) AS crc
+  FROM docs, crc_table
+), mixed AS (
+  SELECT *, xor(z, z >> 31) AS hash FROM (
+    SELECT * REPLACE ((xor(z, z >> 27) * 10723151780598845931::UHUGEINT) % two64 AS z) FROM (
+      SELECT * REPLACE ((xor(z, z >> 30) * 13787848793156543929::UHUGEINT) % two64 AS z) FROM (
+        SELECT *, 18446744073709551616::UHUGEINT AS two64,
+          ((coalesce(doc_id, -1)::HUGEINT + 18446744073709551616::HUGEINT + 11400714819323198485::HUGEINT)
+            % 18446744073709551616::HUGEINT)::UHUGEINT AS z FROM sized)))
+), jumps AS (
+  SELECT row, shards, hash AS key, -1::BIGINT AS here, 0::BIGINT AS there
+  FROM mixed, (VALUES (40), (41)) s(shards)
+  UNION ALL
+  SELECT row, shards, next, there,
+    floor((there + 1)::DOUBLE * (2147483648::DOUBLE / ((next >> 33)::DOUBLE + 1)))::BIGINT
+  FROM (SELECT *, ((key * 2862933555777941757::UHUGEINT + 1) % 18446744073709551616::UHUGEINT) AS next
+    FROM jumps WHERE there < shards)
+), placed AS (
+  SELECT row, max(here) FILTER (shards = 40)::INTEGER AS shard, max(here) FILTER (shards = 41)::INTEGER AS grown_shard
+  FROM jumps GROUP BY row
+)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY hash >> 1, doc_id NULLS FIRST, size, crc) - 1 AS slot, grown_shard
+FROM mixed JOIN placed USING (row)
+"""
+
+#: Texts as hexadecimal digits; a string of 50 bytes is one of 100 digits.
+SUBSTRINGS = """
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents
+), places AS (
+  SELECT row, unnest(range(greatest(length(body) // 2 - 49, 0))) AS place FROM docs
+), strings AS (
+  SELECT row, doc_id, place, body[2 * place + 1 : 2 * place + 100] AS string FROM places JOIN docs USING (row)
+), firsts AS (
+  SELECT string, min(doc_id) AS first FROM strings GROUP BY string
+), later AS (
+  SELECT row, place, lag(place) OVER (PARTITION BY row ORDER BY place) AS before
+  FROM strings JOIN firsts USING (string) WHERE doc_id > first
+), runs AS (
+  SELECT row, min(place) AS start, max(place) + 50 AS stop FROM (
+    SELECT row, place, sum(CASE WHEN place <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY row ORDER BY place) AS run
+    FROM later)
+  GROUP BY row, run
+), pieces AS (
+  SELECT row, coalesce(lag(stop) OVER (PARTITION BY row ORDER BY start), 0) AS start, start AS stop FROM runs
+  UNION ALL
+  SELECT row, coalesce(max(runs.stop), 0), any_value(length(body) // 2)
+  FROM docs LEFT JOIN runs USING (row) GROUP BY row
+), kept AS (
+  SELECT row, string_agg(body[2 * start + 1 : 2 * stop], '' ORDER BY start) AS body
+  FROM pieces JOIN docs USING (row) GROUP BY row
+)
+SELECT doc_id, (length(docs.body) // 2)::BIGINT AS n_bytes,
+  ((length(docs.body) - length(kept.body)) // 2)::BIGINT AS n_removed,
+  (SELECT count(*) FROM runs WHERE runs.row = docs.row)::BIGINT AS n_spans,
+  sha256(unhex(kept.body)) AS kept_sha256
+FROM docs JOIN kept USING (row)
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op5_minhash_neardup": NEAR_DUPLICATES, "op8_exact_topk": TOPK, "op9_chat_formatting": CHAT}
+    return {"op3_sharding": SHARDS, "op4_suffix_array_dedup": SUBSTRINGS, "op5_minhash_neardup": NEAR_DUPLICATES, "op8_exact_topk": TOPK, "op9_chat_formatting": CHAT}
