@@ -69,6 +69,52 @@ SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(other) AS component_id,
 FROM sets JOIN reach ON sets.doc_id = reach.doc_id GROUP BY sets.doc_id, s
 """
 
+#: Windows of at least 50 words as lists of lines, their first places, and runs beyond them.
+LINES = """
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, text, string_split(text, chr(10)) AS raw FROM documents
+), lines AS (
+  SELECT row, doc_id, unnest(range(len(raw))) AS line, unnest(raw) AS raw FROM docs WHERE doc_id IS NOT NULL
+), words AS (
+  SELECT *, trim(regexp_replace(raw, '\\s+', ' ', 'g')) AS said FROM lines
+), counted AS (
+  SELECT *, CASE WHEN said = '' THEN 0 ELSE len(string_split(said, ' ')) END AS n FROM words
+), summed AS (
+  SELECT *, sum(n) OVER (PARTITION BY row ORDER BY line) AS upto FROM counted
+), lists AS (
+  SELECT row, list(said ORDER BY line) AS said, list(upto ORDER BY line) AS uptos FROM summed GROUP BY row
+), ends AS (
+  SELECT summed.row, doc_id, line AS start, lists.said AS said,
+    len([u FOR u IN uptos IF u < upto - n + 50]) + 1 AS stop
+  FROM summed JOIN lists USING (row)
+), windows AS (
+  SELECT row, doc_id, start, stop, said[start + 1 : stop] AS content FROM ends WHERE stop <= len(said)
+), firsts AS (
+  SELECT content, min({'doc_id': doc_id, 'start': start, 'row': row, 'stop': stop}) AS first
+  FROM windows GROUP BY content
+), later AS (
+  SELECT w.row, w.start, w.stop, first.row AS first_row, first.stop AS first_stop
+  FROM windows w JOIN firsts USING (content) WHERE (w.doc_id, w.start) > (first.doc_id, first.start)
+), zipped AS (
+  SELECT later.row, start, stop, len(a.said) AS last,
+    [p[1] IS NOT DISTINCT FROM p[2] FOR p IN list_zip(a.said[stop + 1 :], b.said[first_stop + 1 :])] AS same
+  FROM later JOIN lists a ON a.row = later.row JOIN lists b ON b.row = first_row
+), gone AS (
+  SELECT DISTINCT row,
+    unnest(range(start, stop + coalesce(nullif(list_position(same, false), 0) - 1, last - stop))) AS line
+  FROM zipped
+), kept AS (
+  SELECT row, string_agg(raw, chr(10) ORDER BY line) AS text, count(*) AS n
+  FROM lines ANTI JOIN gone USING (row, line) GROUP BY row
+)
+SELECT doc_id,
+  CASE WHEN doc_id IS NULL OR docs.text IS NULL THEN docs.text ELSE coalesce(kept.text, '') END AS text,
+  coalesce(len(raw), 0)::INTEGER AS lines,
+  CASE WHEN doc_id IS NULL OR docs.text IS NULL THEN 0 ELSE len(raw) - coalesce(kept.n, 0) END::INTEGER
+    AS lines_removed
+FROM docs LEFT JOIN kept USING (row)
+"""
+
 #: CRC by a table made from its rule; the mix and the jumps in 128-bit arithmetic.
 SHARDS = """
 WITH RECURSIVE bits AS (
@@ -146,4 +192,4 @@ FROM docs JOIN kept USING (row)
 
 
 def oracles() -> dict[str, str]:
-    return {"op3_sharding": SHARDS, "op4_suffix_array_dedup": SUBSTRINGS, "op5_minhash_neardup": NEAR_DUPLICATES, "op8_exact_topk": TOPK, "op9_chat_formatting": CHAT}
+    return {"op2_line_dedup": LINES, "op3_sharding": SHARDS, "op4_suffix_array_dedup": SUBSTRINGS, "op5_minhash_neardup": NEAR_DUPLICATES, "op8_exact_topk": TOPK, "op9_chat_formatting": CHAT}
