@@ -36,7 +36,8 @@ MATCH, CHANGE, GAP = 2, -1, -1
 BLOCK_WORDS = 500_000
 
 HITS = "array<struct<item_id: bigint, score: double, first_word: int, last_word: int>>"
-_MARKS = re.compile("[ -¿ -⁯　-〿]")
+#: Punctuation and spaces beyond ASCII.
+_MARKS = re.compile(r"[\u00a0-\u00bf\u2000-\u206f\u3000-\u303f]")
 
 
 def benchmark_words(text: str | None) -> np.ndarray:

@@ -19,7 +19,7 @@ import numpy as np
 
 #: Characters on whose class (letter, digit, space, other) the libraries agree.
 _UNUSUAL = re.compile(
-    "[^\x00-\x1b\x20-\x7f¡§«»¿-ɏ‐-‧]"
+    r"[^\x00-\x1b\x20-\x7f\u00a1\u00a7\u00ab\u00bb\u00bf-\u024f\u2010-\u2027]"
 ).search
 
 
