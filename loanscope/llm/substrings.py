@@ -10,8 +10,8 @@ anchor form a fragment.
 2. Anchors are dealt into buckets. There a fragment with the same content in an earlier
    document is known to be repeated as a whole. Of an anchor with several contents, the
    earliest document of each content is asked for the bytes.
-3. The fragments sent are put together, anchor by anchor, and their suffixes sorted by linear
-   grouping (suffixes.py). Suffixes next to each other that agree in the whole length are
+3. The fragments sent are put together, anchor by anchor, as far as another one of the anchor
+   agrees around it, and their suffixes sorted by linear grouping (suffixes.py). Suffixes next to each other that agree in the whole length are
    one string; a document later than the earliest one with that string loses it.
 4. Documents get their repeated strings back and drop the bytes that these cover.
 """
@@ -38,9 +38,9 @@ LENGTH = 50
 #: longer ones give more anchors.
 GRAM = 24
 #: Text bytes whose anchors meet in one bucket.
-BUCKET_BYTES = 32 << 20
-#: Text bytes that are hashed at once, fragments named at once, bytes sorted at once.
-SPAN, FRAGMENTS, SORTED = 1 << 20, 1 << 21, 1 << 13
+BUCKET_BYTES = 16 << 20
+#: Text bytes that are hashed at once, and bytes from which a suffix array is made.
+SPAN, SORTED = 1 << 20, 1 << 13
 #: Low bits of a key that hold a place.
 _PLACE = np.uint64((1 << 24) - 1)
 _RULE = np.random.Generator(np.random.PCG64(4242))
@@ -177,7 +177,7 @@ def _batches(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
             text = texts[i].as_py()
             rows.append(text)
             size += len(text)
-            if size > 16 * SPAN:
+            if size > 6 * SPAN:
                 yield [c.slice(first, len(rows)) for c in columns], rows
                 rows, size, first = [], 0, i + 1
         if rows:
@@ -238,18 +238,14 @@ def _name(length: int, buckets: int):
 
 # -- step 2: buckets ----------------------------------------------------------------
 
+#: Answers of a bucket to part of the documents, packed; sizes count contents per document.
+PACKED = (
+    "part int, doc_id array<bigint>, version array<bigint>, known_sizes binary, known binary, "
+    "asked_sizes binary, asked binary"
+)
 ANSWERS = "doc_id long, version long, known binary, asked binary"
 
 
-def _answers(doc_id, version, known: list[bytes], asked: list[bytes]) -> pa.Table:
-    return pa.table(
-        {
-            "doc_id": pa.array(doc_id, pa.int64()), "version": pa.array(version, pa.int64()),
-            "known": pa.array(known, pa.binary()), "asked": pa.array(asked, pa.binary()),
-        }
-    )
-
-
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
     """Document ids, versions, and the owner, anchor and content of each fragment."""
     flat = lambda name: table.column(name).combine_chunks().flatten().to_numpy()
@@ -264,39 +260,67 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
     )
 
 
-def _by_owner(ids, versions, owner, content, known, asked) -> pa.Table:
-    """Answers per document from masks over fragments that are in order of owner."""
-    some = known | asked
-    used = np.unique(owner[some])
-    cut = lambda mask: [
-        content[mask][a:b].tobytes()
-        for a, b in zip(
-            np.searchsorted(owner[mask], used), np.searchsorted(owner[mask], used, side="right"), strict=True
-        )
-    ]
-    return _answers(ids[used], versions[used], cut(known), cut(asked))
-
-
-def _resolve(table: pa.Table) -> pa.Table:
-    ids, versions, owner, anchor, content = _unpacked(table)
-    if table.column("bucket")[0].as_py() < 0:  # answered in step 1
-        every = np.ones(len(owner), bool)
-        return _by_owner(ids, versions, owner, content, every, ~every)
-    doc = ids[owner]
-    order = np.lexsort((doc, content, anchor))
-    anchor_, content_, doc_ = anchor[order], content[order], doc[order]
-    new_anchor = np.concatenate([[True], anchor_[1:] != anchor_[:-1]])
-    new_content = new_anchor | np.concatenate([[True], content_[1:] != content_[:-1]])
-    group = np.cumsum(new_anchor) - 1
-    first = np.flatnonzero(new_anchor)
-    contents = np.add.reduceat(new_content.astype(np.int64), first)
-    low, high = np.minimum.reduceat(doc_, first), np.maximum.reduceat(doc_, first)
-    leader = doc_[np.flatnonzero(new_content)[np.cumsum(new_content) - 1]]
-    known_ = doc_ > leader
-    asked_ = ~known_ & (contents[group] > 1) & (low < high)[group]
-    known, asked = np.zeros(len(order), bool), np.zeros(len(order), bool)
-    known[order], asked[order] = known_, asked_
-    return _by_owner(ids, versions, owner, content, known, asked)
+def _packed(ids, versions, owner, content, known, asked, parts: int) -> pa.Table:
+    """Answers from masks over fragments that are in order of owner; owners are documents."""
+    part_of = mixed(ids.astype(np.uint64)) % np.uint64(parts)
+    rows: list[tuple] = []
+    for part in np.unique(part_of[np.unique(owner[known | asked])]):
+        here = part_of[owner] == part
+        used = np.unique(owner[here & (known | asked)])
+        row = [int(part), ids[used].tolist(), versions[used].tolist()]
+        for mask in (known & here, asked & here):
+            sizes = np.bincount(np.searchsorted(used, owner[mask]), minlength=len(used))
+            row += [sizes.astype(np.uint32).tobytes(), content[mask].tobytes()]
+        rows.append(tuple(row))
+    columns = list(zip(*rows, strict=True)) or [()] * 7
+    ints, blob = pa.list_(pa.int64()), pa.binary()
+    names = [c.split(" ")[0] for c in PACKED.split(", ")]
+    types = [pa.int32(), ints, ints, blob, blob, blob, blob]
+    return pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=True)})
+
+
+def _merge(table: pa.Table) -> pa.Table:
+    """One row per document from the packed answers to a part of the documents."""
+    flat = lambda name: table.column(name).combine_chunks().flatten().to_numpy()
+    joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    ids, versions = flat("doc_id"), flat("version")
+    order = np.lexsort((versions, ids))
+    ids_, versions_ = ids[order], versions[order]
+    fresh = np.concatenate([[True], (ids_[1:] != ids_[:-1]) | (versions_[1:] != versions_[:-1])])
+    number = np.empty(len(order), np.int64)  # of the document of each packed entry
+    number[order] = np.cumsum(fresh) - 1
+    out = {"doc_id": pa.array(ids_[fresh]), "version": pa.array(versions_[fresh])}
+    for name in ("known", "asked"):
+        owner = np.repeat(number, joined(f"{name}_sizes", np.uint32))
+        by_owner = np.argsort(owner, kind="stable")
+        values, ends = joined(name, np.uint64)[by_owner], np.bincount(owner, minlength=int(fresh.sum())).cumsum()
+        cut = [values[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        out[name] = pa.array(cut, pa.binary())
+    return pa.table(out)
+
+
+def _resolve(parts: int):
+    def resolve(table: pa.Table) -> pa.Table:
+        ids, versions, owner, anchor, content = _unpacked(table)
+        if table.column("bucket")[0].as_py() < 0:  # answered in step 1
+            every = np.ones(len(owner), bool)
+            return _packed(ids, versions, owner, content, every, ~every, parts)
+        doc = ids[owner]
+        order = np.lexsort((doc, content, anchor))
+        anchor_, content_, doc_ = anchor[order], content[order], doc[order]
+        new_anchor = np.concatenate([[True], anchor_[1:] != anchor_[:-1]])
+        new_content = new_anchor | np.concatenate([[True], content_[1:] != content_[:-1]])
+        group = np.cumsum(new_anchor) - 1
+        first = np.flatnonzero(new_anchor)
+        contents = np.add.reduceat(new_content.astype(np.int64), first)
+        low, high = np.minimum.reduceat(doc_, first), np.maximum.reduceat(doc_, first)
+        leader = doc_[np.flatnonzero(new_content)[np.cumsum(new_content) - 1]]
+        known, asked = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        known[order] = doc_ > leader
+        asked[order] = (doc_ == leader) & (contents[group] > 1) & (low < high)[group]
+        return _packed(ids, versions, owner, content, known, asked, parts)
+
+    return resolve
 
 
 # -- step 3: fragments and suffix arrays ----------------------------------------------
@@ -321,10 +345,6 @@ def joined_runs(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return np.stack([start[fresh], stop[np.concatenate([fresh[1:] - 1, [len(stop) - 1]])]], axis=1)
 
 
-def _collected(values: list) -> np.ndarray:
-    return np.frombuffer(b"".join(values or []), np.uint64)
-
-
 def _send(length: int, buckets: int):
     """What a document knows already (bucket -1, runs of bytes in ``start``) and what it is asked."""
 
@@ -337,12 +357,12 @@ def _send(length: int, buckets: int):
                 own = slice(bounds[i], bounds[i + 1])
                 start, count, content = found.start[own], found.count[own], found.content[own]
                 key = (ids[i].as_py(), versions[i].as_py())
-                known = np.isin(content, _collected(knowns[i].as_py()))
+                known = np.isin(content, np.frombuffer(knowns[i].as_py(), np.uint64))
                 runs = joined_runs(start[known], (start + count)[known] + length - 1)
                 row = (-1, *key, runs.astype(np.uint32).tobytes(), None, None, None, None)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-                asked = np.flatnonzero(np.isin(content, _collected(askeds[i].as_py())))
+                asked = np.flatnonzero(np.isin(content, np.frombuffer(askeds[i].as_py(), np.uint64)))
                 _, once = np.unique(content[asked], return_index=True)
                 asked = asked[np.sort(once)]
                 bucket = (found.anchor[own][asked] >> np.uint64(40)) % np.uint64(buckets)
@@ -387,6 +407,38 @@ def earliest(pieces: list[bytes], counts: np.ndarray, docs: np.ndarray, length:
     return result
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """How many bytes two strings begin with in common."""
+    n = min(len(a), len(b))
+    differ = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
+    return n - (differ.bit_length() + 7) // 8
+
+
+def _furthest(strings: list[bytes]) -> list[int]:
+    """How far each string agrees with that one of the others which it agrees with longest."""
+    order = sorted(range(len(strings)), key=strings.__getitem__)
+    furthest = [0] * len(strings)
+    for i, j in zip(order, order[1:]):
+        n = _common(strings[i], strings[j])
+        furthest[i] = max(furthest[i], n)
+        furthest[j] = max(furthest[j], n)
+    return furthest
+
+
+def shareable(pieces: list[bytes], leads: list[int], counts: list[int], length: int) -> list[tuple[int, int]]:
+    """First and past-last string of each piece that another piece of its anchor may share.
+
+    Equal strings agree from the anchor in both directions, so no string is shared that
+    reaches beyond the longest agreement to the left or to the right.
+    """
+    right = _furthest([p[lead:] for p, lead in zip(pieces, leads, strict=True)])
+    left = _furthest([p[:lead][::-1] for p, lead in zip(pieces, leads, strict=True)])
+    return [
+        (max(0, lead - before), min(count, lead + after - length + 1))
+        for lead, count, before, after in zip(leads, counts, left, right, strict=True)
+    ]
+
+
 def _sort(length: int):
     def sort(table: pa.Table) -> pa.Table:
         column = lambda name: table.column(name).to_pylist()
@@ -395,27 +447,48 @@ def _sort(length: int):
         row = np.repeat(np.arange(len(ids)), [len(c) for c in counts_of])
         count = np.concatenate(counts_of).astype(np.int64)
         start = np.frombuffer(b"".join(column("start")), np.uint32).astype(np.int64)
+        lead = np.frombuffer(b"".join(column("lead")), np.uint8).tolist()
         anchor = np.frombuffer(b"".join(column("anchor")), np.uint64)
         data = b"".join(column("bytes"))
-        begin = np.concatenate([[0], (count + length - 1).cumsum()])
+        begin = np.concatenate([[0], (count + length - 1).cumsum()]).tolist()
         order = np.argsort(anchor, kind="stable")
         new = np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]])
-        edges = np.append(np.flatnonzero(new), len(order))
-        found: list[tuple[np.ndarray, ...]] = []
+        edges = np.append(np.flatnonzero(new), len(order)).tolist()
+        counts = count.tolist()
+        found: list[tuple[np.ndarray, ...]] = [(row[:0], start[:0])]
+        pieces: list[bytes] = []
+        owners: list[int] = []
+        shifts: list[int] = []
+        sizes: list[int] = []
+        size = 0
+
+        def settle() -> None:
+            """The strings of the pieces so far, in one suffix array."""
+            many, owner = np.array(sizes), np.array(owners)
+            least = earliest(pieces, many, ids[row[owner]], length)
+            nth = np.arange(len(least)) - np.repeat(many.cumsum() - many, many)
+            place = np.repeat(start[owner] + np.array(shifts), many) + nth
+            whose = np.repeat(row[owner], many)
+            later = least < ids[whose]
+            found.append((whose[later], place[later]))
+
         # Several anchors share a suffix array; an anchor with many fragments has one of its own.
-        first = 0
-        for k in range(1, len(edges)):
-            size = int((count[order[edges[first] : edges[k]]] + length - 1).sum())
-            if size < SORTED and k < len(edges) - 1:
-                continue
-            chosen = order[edges[first] : edges[k]]
-            pieces = [data[begin[i] : begin[i + 1]] for i in chosen]
-            least = earliest(pieces, count[chosen], ids[row[chosen]], length)
-            owner = np.repeat(chosen, count[chosen])
-            nth = np.arange(len(owner)) - np.repeat(count[chosen].cumsum() - count[chosen], count[chosen])
-            later = least < ids[row[owner]]
-            found.append((row[owner[later]], (start[owner] + nth)[later]))
-            first = k
+        for a, b in zip(edges, edges[1:]):
+            own = order[a:b].tolist()
+            whole = [data[begin[i] : begin[i + 1]] for i in own]
+            kept = shareable(whole, [lead[i] for i in own], [counts[i] for i in own], length)
+            for i, text, (low, high) in zip(own, whole, kept, strict=True):
+                if low < high:
+                    pieces.append(text[low : high + length - 1])
+                    owners.append(i)
+                    shifts.append(low)
+                    sizes.append(high - low)
+                    size += high - low + length - 1
+            if size >= SORTED:
+                settle()
+                pieces, owners, shifts, sizes, size = [], [], [], [], 0
+        if pieces:
+            settle()
         rows, places = (np.concatenate(c) for c in zip(*found, strict=True))
         out = []
         ordered = np.argsort(rows, kind="stable")
@@ -480,10 +553,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id",
         # Answers need no meeting, so they are spread out.
         group = F.when(F.col("bucket") < 0, F.pmod(F.hash("content"), F.lit(buckets)))
         names = names.withColumn("spread", F.coalesce(group, F.lit(0)))
-        answers = work.table("answers", names.groupBy("bucket", "spread").applyInArrow(_resolve, ANSWERS))
-        answers = answers.groupBy("doc_id", "version").agg(
-            F.collect_list("known").alias("known"), F.collect_list("asked").alias("asked")
-        )
+        # As many parts of the documents as buckets: packed answers are few rows at any size.
+        packed = names.groupBy("bucket", "spread").applyInArrow(_resolve(buckets), PACKED)
+        packed = work.table("packed", packed)
+        answers = packed.groupBy("part").applyInArrow(_merge, ANSWERS)
         sent = identified.join(answers.hint("merge"), ["doc_id", "version"]).mapInArrow(_send(length, buckets), SENT)
         sent = work.table("sent", sent)
         known = sent.filter("bucket < 0").select("doc_id", "version", F.col("start").alias("runs"))
