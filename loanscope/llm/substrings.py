@@ -556,9 +556,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id",
         # As many parts of the documents as buckets: packed answers are few rows at any size.
         packed = names.groupBy("bucket", "spread").applyInArrow(_resolve(buckets), PACKED)
         packed = work.table("packed", packed)
+        work.release()
         answers = packed.groupBy("part").applyInArrow(_merge, ANSWERS)
         sent = identified.join(answers.hint("merge"), ["doc_id", "version"]).mapInArrow(_send(length, buckets), SENT)
         sent = work.table("sent", sent)
+        work.drop("packed")
+        work.release()
         known = sent.filter("bucket < 0").select("doc_id", "version", F.col("start").alias("runs"))
         found = sent.filter("bucket >= 0").groupBy("bucket").applyInArrow(_sort(length), RUNS)
         runs = known.unionByName(found).groupBy("doc_id", "version").agg(F.collect_list("runs").alias("runs"))

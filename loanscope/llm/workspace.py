@@ -7,6 +7,7 @@ files again instead of repeating earlier work.
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,15 @@ class Workspace:
         self._kept.add(name)
         return self.table(name, rows)
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of steps whose results are written.
+
+        It does so once the driver has collected the garbage of their plans, which may be
+        long after in a driver with little to do.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing reads any more."""
         for name in names:
