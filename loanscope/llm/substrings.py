@@ -36,7 +36,7 @@ from loanscope.llm.workspace import Workspace
 LENGTH = 50
 #: Bytes of the grams of which one is the anchor. Shorter ones agree by chance more often,
 #: longer ones give more anchors.
-GRAM = 24
+GRAM = 20
 #: Text bytes whose anchors meet in one bucket.
 BUCKET_BYTES = 16 << 20
 #: Text bytes that are hashed at once, and bytes from which a suffix array is made.
