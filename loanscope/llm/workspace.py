@@ -53,8 +53,10 @@ class Workspace:
         """Let Spark delete the shuffle files of steps whose results are written.
 
         It does so once the driver has collected the garbage of their plans, which may be
-        long after in a driver with little to do.
+        long after in a driver with little to do. The scheduler holds the last job until
+        the next one, hence the small job.
         """
+        self.spark.range(1).count()
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
