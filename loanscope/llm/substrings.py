@@ -325,11 +325,15 @@ def _resolve(parts: int):
 
 # -- step 3: fragments and suffix arrays ----------------------------------------------
 
-SENT = "bucket int, doc_id long, version long, start binary, lead binary, count binary, anchor binary, bytes binary"
+#: A content is sent once with all its places in the document: ``places`` counts them, ``start`` has them.
+SENT = (
+    "bucket int, doc_id long, version long, start binary, places binary, lead binary, count binary, "
+    "anchor binary, bytes binary"
+)
 _SENT = pa.schema(
     [
         ("bucket", pa.int32()), ("doc_id", pa.int64()), ("version", pa.int64()), ("start", pa.binary()),
-        ("lead", pa.binary()), ("count", pa.binary()), ("anchor", pa.binary()), ("bytes", pa.binary()),
+        ("places", pa.binary()), ("lead", pa.binary()), ("count", pa.binary()), ("anchor", pa.binary()), ("bytes", pa.binary()),
     ]
 )
 RUNS = "doc_id long, version long, runs binary"
@@ -359,17 +363,21 @@ def _send(length: int, buckets: int):
                 key = (ids[i].as_py(), versions[i].as_py())
                 known = np.isin(content, np.frombuffer(knowns[i].as_py(), np.uint64))
                 runs = joined_runs(start[known], (start + count)[known] + length - 1)
-                row = (-1, *key, runs.astype(np.uint32).tobytes(), None, None, None, None)
+                row = (-1, *key, runs.astype(np.uint32).tobytes(), None, None, None, None, None)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
                 asked = np.flatnonzero(np.isin(content, np.frombuffer(askeds[i].as_py(), np.uint64)))
-                _, once = np.unique(content[asked], return_index=True)
-                asked = asked[np.sort(once)]
+                _, once, same = np.unique(content[asked], return_index=True, return_inverse=True)
+                together = np.argsort(same, kind="stable")
+                everywhere, same = start[asked[together]], same[together]
+                places = np.bincount(same, minlength=len(once))
+                asked = asked[once]
                 bucket = (found.anchor[own][asked] >> np.uint64(40)) % np.uint64(buckets)
                 for b in np.unique(bucket):
                     at = asked[bucket == b]
                     row = (
-                        int(b), *key, start[at].astype(np.uint32).tobytes(),
+                        int(b), *key, everywhere[bucket[same] == b].astype(np.uint32).tobytes(),
+                        places[bucket == b].astype(np.uint32).tobytes(),
                         found.lead[own][at].astype(np.uint8).tobytes(), count[at].astype(np.uint8).tobytes(),
                         found.anchor[own][at].tobytes(),
                         b"".join(text[start[j] : start[j] + count[j] + length - 1] for j in at),
@@ -447,6 +455,8 @@ def _sort(length: int):
         row = np.repeat(np.arange(len(ids)), [len(c) for c in counts_of])
         count = np.concatenate(counts_of).astype(np.int64)
         start = np.frombuffer(b"".join(column("start")), np.uint32).astype(np.int64)
+        places = np.frombuffer(b"".join(column("places")), np.uint32).astype(np.int64)
+        first = places.cumsum() - places  # in start, of each piece's places
         lead = np.frombuffer(b"".join(column("lead")), np.uint8).tolist()
         anchor = np.frombuffer(b"".join(column("anchor")), np.uint64)
         data = b"".join(column("bytes"))
@@ -455,7 +465,7 @@ def _sort(length: int):
         new = np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]])
         edges = np.append(np.flatnonzero(new), len(order)).tolist()
         counts = count.tolist()
-        found: list[tuple[np.ndarray, ...]] = [(row[:0], start[:0])]
+        found: list[tuple[np.ndarray, ...]] = [(row[:0], start[:0], start[:0])]
         pieces: list[bytes] = []
         owners: list[int] = []
         shifts: list[int] = []
@@ -467,10 +477,15 @@ def _sort(length: int):
             many, owner = np.array(sizes), np.array(owners)
             least = earliest(pieces, many, ids[row[owner]], length)
             nth = np.arange(len(least)) - np.repeat(many.cumsum() - many, many)
-            place = np.repeat(start[owner] + np.array(shifts), many) + nth
-            whose = np.repeat(row[owner], many)
-            later = least < ids[whose]
-            found.append((whose[later], place[later]))
+            offset = np.repeat(np.array(shifts), many) + nth
+            whose = np.repeat(owner, many)
+            later = least < ids[row[whose]]
+            whose, offset = whose[later], offset[later]
+            # Runs of bytes from the begin of a piece, whose strings are in order.
+            if len(whose):
+                fresh = (whose[1:] != whose[:-1]) | (offset[1:] > offset[:-1] + length)
+                edge = np.flatnonzero(np.concatenate([[True], fresh, [True]]))
+                found.append((whose[edge[:-1]], offset[edge[:-1]], offset[edge[1:] - 1] + length))
 
         # Several anchors share a suffix array; an anchor with many fragments has one of its own.
         for a, b in zip(edges, edges[1:]):
@@ -489,13 +504,19 @@ def _sort(length: int):
                 pieces, owners, shifts, sizes, size = [], [], [], [], 0
         if pieces:
             settle()
-        rows, places = (np.concatenate(c) for c in zip(*found, strict=True))
+        whose, low, high = (np.concatenate(c) for c in zip(*found, strict=True))
+        # A run of a piece is one at every place of the piece.
+        many = places[whose]
+        nth = np.arange(many.sum()) - np.repeat(many.cumsum() - many, many)
+        place = start[np.repeat(first[whose], many) + nth]
+        low, high = place + np.repeat(low, many), place + np.repeat(high, many)
+        rows = row[np.repeat(whose, many)]
         out = []
         ordered = np.argsort(rows, kind="stable")
-        rows, places = rows[ordered], places[ordered]
+        rows, low, high = rows[ordered], low[ordered], high[ordered]
         for r in np.unique(rows):
-            own = places[np.searchsorted(rows, r) : np.searchsorted(rows, r, side="right")]
-            out.append((int(ids[r]), int(versions[r]), joined_runs(own, own + length).astype(np.uint32).tobytes()))
+            own = slice(np.searchsorted(rows, r), np.searchsorted(rows, r, side="right"))
+            out.append((int(ids[r]), int(versions[r]), joined_runs(low[own], high[own]).astype(np.uint32).tobytes()))
         a, b, c = zip(*out, strict=True) if out else ((), (), ())
         return pa.table(
             {"doc_id": pa.array(a, pa.int64()), "version": pa.array(b, pa.int64()), "runs": pa.array(c, pa.binary())}

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 from tests.llm.conftest import pairs
 
 from loanscope.llm import substrings
@@ -66,3 +67,37 @@ def test_removed_runs(spark):
     docs = spark.createDataFrame([(1, shared), (2, "start " + shared[:70] + " middle " + shared[50:] + "!")], "doc_id long, text string")
     rows = {r.doc_id: r for r in substrings.without_repeats(docs).collect()}
     assert rows[2].removed == [6, 76, 84, 154] and rows[1].removed == []
+
+
+def test_passages_repeated_in_a_document_that_an_earlier_one_holds_in_part(spark):
+    draw = random.Random(9)
+    docs = []
+    for n in range(30):
+        passage = "".join(draw.choice("abcdefgh ") for _ in range(200))
+        docs.append((2 * n, "start" + passage[: draw.randint(60, 190)] + "end"))
+        docs.append((2 * n + 1, "".join(f"{k}:{passage};" for k in range(5))))
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    assert found(table, 50) == brute(docs, 50)
+
+
+def test_more_real_documents(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)
+    docs = sorted(pairs(table))
+    texts = [np.frombuffer(t.encode(), np.uint8) for _, t in docs]
+    letter = np.random.Generator(np.random.PCG64(2)).integers(0, 1 << 64, 256, np.uint64)
+    hashes = []
+    for t in texts:  # of all strings of 50 bytes
+        h = np.zeros(max(len(t) - 49, 0), np.uint64)
+        for i in range(50):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + letter[t[i : i + len(h)]]
+        hashes.append(h)
+    whose = np.repeat(np.arange(len(docs)), [len(h) for h in hashes])
+    _, at, of = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)  # at the first place
+    later = np.split(whose[at][of] < whose, np.cumsum([len(h) for h in hashes])[:-1])
+    gone = {}
+    for (d, _), t, own in zip(docs, texts, later, strict=True):
+        cover = np.zeros(len(t) + 1, np.int64)
+        np.add.at(cover, np.flatnonzero(own), 1)
+        np.add.at(cover, np.flatnonzero(own) + 50, -1)
+        gone[d] = int((cover.cumsum() > 0).sum())
+    assert {r.doc_id: r.n_removed for r in substrings.without_repeats(table, 50).collect()} == gone
