@@ -378,7 +378,7 @@ def _send(length: int, buckets: int):
                     row = (
                         int(b), *key, everywhere[bucket[same] == b].astype(np.uint32).tobytes(),
                         places[bucket == b].astype(np.uint32).tobytes(),
-                        found.lead[own][at].astype(np.uint8).tobytes(), count[at].astype(np.uint8).tobytes(),
+                        found.lead[own][at].astype(np.uint32).tobytes(), count[at].astype(np.uint32).tobytes(),
                         found.anchor[own][at].tobytes(),
                         b"".join(text[start[j] : start[j] + count[j] + length - 1] for j in at),
                     )
@@ -451,13 +451,13 @@ def _sort(length: int):
     def sort(table: pa.Table) -> pa.Table:
         column = lambda name: table.column(name).to_pylist()
         ids, versions = table.column("doc_id").to_numpy(), table.column("version").to_numpy()
-        counts_of = [np.frombuffer(x, np.uint8) for x in column("count")]
+        counts_of = [np.frombuffer(x, np.uint32) for x in column("count")]
         row = np.repeat(np.arange(len(ids)), [len(c) for c in counts_of])
         count = np.concatenate(counts_of).astype(np.int64)
         start = np.frombuffer(b"".join(column("start")), np.uint32).astype(np.int64)
         places = np.frombuffer(b"".join(column("places")), np.uint32).astype(np.int64)
         first = places.cumsum() - places  # in start, of each piece's places
-        lead = np.frombuffer(b"".join(column("lead")), np.uint8).tolist()
+        lead = np.frombuffer(b"".join(column("lead")), np.uint32).tolist()
         anchor = np.frombuffer(b"".join(column("anchor")), np.uint64)
         data = b"".join(column("bytes"))
         begin = np.concatenate([[0], (count + length - 1).cumsum()]).tolist()

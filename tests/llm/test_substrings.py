@@ -80,6 +80,19 @@ def test_passages_repeated_in_a_document_that_an_earlier_one_holds_in_part(spark
     assert found(table, 50) == brute(docs, 50)
 
 
+def test_fragments_of_more_than_255_strings(spark):
+    draw = random.Random(12)
+    letters = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passages = [letters(900) for _ in range(10)]
+    docs = []
+    for n in range(60):
+        passage, at = draw.choice(passages), draw.randint(0, 300)
+        docs.append((n, letters(50) + passage[at : at + draw.randint(500, 900)] + letters(50)))
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for length in (276, 400):
+        assert found(table, length) == brute(docs, length)
+
+
 def test_more_real_documents(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)
     docs = sorted(pairs(table))
