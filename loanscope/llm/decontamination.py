@@ -1,39 +1,39 @@
-"""Benchmark passages in documents: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark passages in documents: rare words as seeds, then Smith-Waterman alignment.
 
-1. Count in how many documents each word n-gram of the benchmark occurs.
-2. The rarer half of each item's n-grams are its seeds. Rarity is relative to the item, so
-   an item that leaked into a third of all documents keeps its seeds.
-3. A document with a seed of an item is aligned with it around the places of the seeds:
-   local alignment of words, which edits, insertions and omissions cost little. The score
-   is the share of a perfect copy's.
+1. An alignment that scores enough pairs at least so many words of an item, so of any set of
+   its words it misses only so many. The rarest words of an item, by the number of items that
+   have them, are its seeds: as many as it takes for such an alignment to hold some of them.
+2. Where a stretch that an alignment can cover has enough seeds of an item, none counted more
+   often than the item has it, the document is aligned with the item: local alignment of words, which edits, insertions and
+   omissions cost little. The score is the share of a perfect copy's.
 
-The benchmark is worked on in blocks of bounded size, which go to every task; documents
-are never shuffled.
+No copy that scores enough is left out, however it was edited. The benchmark is worked on in
+blocks of bounded size, which go to every task; documents are never shuffled.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanscope.llm.shingles import NOT_ALPHANUMERIC, mixed, word_hashes
+from loanscope.llm.shingles import NOT_ALPHANUMERIC, word_hashes
 
-#: Words of a seed.
-SEED_WORDS = 3
+#: Words of the shortest item that takes part.
+LEAST_WORDS = 3
 #: Share of a perfect copy's score from which a document counts as contaminated.
 LEAST_SCORE = 0.5
 #: Alignment: an equal word, a changed word, a word too many or missing.
 MATCH, CHANGE, GAP = 2, -1, -1
 #: Words of the benchmark that go to every task at once (16 bytes each).
 BLOCK_WORDS = 500_000
+#: Words of a document that are looked up at once.
+STRETCH = 4096
 
 HITS = "array<struct<item_id: bigint, score: double, first_word: int, last_word: int>>"
 #: Punctuation and spaces beyond ASCII.
@@ -45,51 +45,89 @@ def benchmark_words(text: str | None) -> np.ndarray:
     return word_hashes(_MARKS.sub(" ", (text or "").lower()), NOT_ALPHANUMERIC)
 
 
-def grams(words: np.ndarray, size: int = SEED_WORDS) -> np.ndarray:
-    n = len(words) - size + 1
-    if n < 1:
-        return words[:0]
-    total = np.zeros(n, np.uint64)
-    for i in range(size):
-        total = mixed(total + words[i : n + i])
-    return total
+def reach(n: int, least: float) -> int:
+    """Words of a document that an alignment with an item of n words covers at most."""
+    return n + max(0, int(MATCH * n * (1 - least) / -GAP + 1e-9))
+
+
+def pairs_of(n: int, least: float) -> int:
+    """Equal words that an alignment with an item of n words has at least."""
+    return min(n, max(1, math.ceil(least * n - 1e-9)))
 
 
 @dataclass(frozen=True)
 class Seeds:
-    """Seeds in ascending order, and for each the items and places where it stands."""
+    """Seeds in ascending order, and for each the items that have it."""
 
-    grams: np.ndarray
-    first: np.ndarray  # of the owners of each gram
+    seeds: np.ndarray
+    first: np.ndarray  # of the owners of each seed
     owner: np.ndarray
-    place: np.ndarray
-    sieve: np.ndarray  # whether a gram with these low bits exists
+    sieve: np.ndarray  # whether a seed with these low bits exists
     words: list[np.ndarray]  # of each item
     ids: list[int | None]
+    times: np.ndarray  # how often the owner has it
+    needed: np.ndarray  # seeds that an alignment with each item has at least
+    reach: np.ndarray  # words that it covers at most
 
     @staticmethod
-    def of(ids: list[int | None], words: list[np.ndarray], chosen: list[np.ndarray]) -> Seeds:
-        """Seeds at the chosen places of each item."""
-        gram = np.concatenate([grams(w)[c] for w, c in zip(words, chosen, strict=True)] or [np.zeros(0, np.uint64)])
+    def of(ids: list[int | None], words: list[np.ndarray], least: float) -> Seeds:
+        """Of the words that an alignment pairs at least, half must be seeds."""
+        known, items = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True)
+        chosen, times, needed = [], [], []
+        for w in words:
+            paired = pairs_of(len(w), least)
+            needed.append(math.ceil(paired / 2))
+            order = np.argsort(items[np.searchsorted(known, w)], kind="stable")
+            own, many = np.unique(w[order[: len(w) - paired + needed[-1]]], return_counts=True)
+            chosen.append(own)
+            times.append(many)
+        seed = np.concatenate(chosen)
         owner = np.repeat(np.arange(len(words)), [len(c) for c in chosen])
-        place = np.concatenate([*chosen, np.zeros(0, np.int64)]).astype(np.int64)
-        order = np.argsort(gram, kind="stable")
-        distinct, first = np.unique(gram[order], return_index=True)
+        order = np.argsort(seed, kind="stable")
+        distinct, first = np.unique(seed[order], return_index=True)
         bits = max(16, 4 + int(len(distinct)).bit_length())
         sieve = np.zeros(1 << bits, bool)
         sieve[distinct & np.uint64(len(sieve) - 1)] = True
-        return Seeds(distinct, np.append(first, len(gram)), owner[order], place[order], sieve, words, ids)
+        far = np.array([reach(len(w), least) for w in words])
+        return Seeds(
+            distinct, np.append(first, len(seed)), owner[order], sieve, words, ids,
+            np.concatenate(times)[order], np.array(needed), far,
+        )
 
     def found(self, of_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the document and indices of the grams found there."""
-        if not len(self.grams):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        """Places in the document and indices of the seeds found there."""
         likely = np.flatnonzero(self.sieve[of_doc & np.uint64(len(self.sieve) - 1)])
-        at = np.searchsorted(self.grams, of_doc[likely])
-        at[at == len(self.grams)] = 0
-        equal = self.grams[at] == of_doc[likely]
+        at = np.searchsorted(self.seeds, of_doc[likely])
+        at[at == len(self.seeds)] = 0
+        equal = self.seeds[at] == of_doc[likely]
         return likely[equal], at[equal]
 
+    def near(self, of_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items, and numbers of the blocks of the document with enough seeds of them.
+
+        Block b of an item starts at b times its reach and is twice as long, so that each
+        alignment lies within a block.
+        """
+        items, blocks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for low in range(0, len(of_doc), STRETCH):
+            at, seed = self.found(of_doc[low : low + STRETCH + 2 * int(self.reach.max())])
+            count = self.first[seed + 1] - self.first[seed]
+            nth = np.arange(count.sum()) - np.repeat(count.cumsum() - count, count)
+            own = np.repeat(self.first[seed], count) + nth
+            block = (low + np.repeat(at, count)) // self.reach[self.owner[own]]
+            width = int(block.max(initial=0)) + 2  # the block before the first one has number 0
+            key, seen = np.unique(np.concatenate([own * width + block, own * width + block + 1]), return_counts=True)
+            own, block = key // width, key % width
+            key, of = np.unique(self.owner[own] * width + block, return_inverse=True)
+            total = np.bincount(of, np.minimum(seen, self.times[own]), minlength=len(key))
+            item, block = key // width, key % width - 1
+            start = block * self.reach[item]
+            # Blocks that start elsewhere are whole in another stretch.
+            some = (total >= self.needed[item]) & (start >= low) & (start < low + STRETCH)
+            items.append(item[some])
+            blocks.append(block[some])
+        return np.concatenate(items), np.concatenate(blocks)
+
 
 def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     """Best local alignment score and the passage word where it ends."""
@@ -108,24 +146,21 @@ def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
 
 def hits_of(words: np.ndarray, seeds: Seeds, least: float) -> list[tuple[int | None, float, int, int]]:
     """Item, score, first and last word for each item that the words hold a copy of."""
-    at, gram = seeds.found(grams(words))
-    if not len(at):
-        return []
-    count = seeds.first[gram + 1] - seeds.first[gram]
-    nth = np.arange(count.sum()) - np.repeat(count.cumsum() - count, count)
-    owners = np.repeat(seeds.first[gram], count) + nth
-    item, begin = seeds.owner[owners], np.repeat(at, count) - seeds.place[owners]
+    item, block = seeds.near(words)
     hits = []
     for i in np.unique(item):
-        known = seeds.words[i]
-        slack = len(known) // 2
-        begins = np.unique(begin[item == i])  # where a copy would begin
+        known, far = seeds.words[i], int(seeds.reach[i])
+        blocks = block[item == i]
         best = (0.0, 0, 0)
-        # Begins that lie close together are one copy with edits in between.
-        for group in np.split(begins, np.flatnonzero(np.diff(begins) > slack) + 1):
-            low = max(0, int(group[0]) - slack)
-            passage = words[low : int(group[-1]) + len(known) + slack]
-            if np.isin(known, passage).mean() < least:  # no alignment can score more
+        # Blocks that overlap hold one copy with edits in between.
+        for group in np.split(blocks, np.flatnonzero(np.diff(blocks) > 1) + 1):
+            low = int(group[0]) * far
+            passage = words[low : (int(group[-1]) + 2) * far]
+            # No alignment can score more than the words of the item in its stretch, less the others.
+            gain = np.append(0, np.where(np.isin(passage, known), MATCH, max(CHANGE, GAP)).cumsum())
+            if (gain - np.minimum.accumulate(gain)).max() < least * MATCH * len(known) - 1e-9:
+                continue
+            if np.isin(known, passage).mean() < least - 1e-9:  # nor than the words of it that are there
                 continue
             score, end = alignment(known, passage)
             share = score / (MATCH * len(known))
@@ -137,38 +172,6 @@ def hits_of(words: np.ndarray, seeds: Seeds, least: float) -> list[tuple[int | N
     return hits
 
 
-def _document_counts(all_grams: Seeds):
-    """Rows of gram index and number of documents, one set per task."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(all_grams.grams), np.int64)
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                found = np.unique(all_grams.found(grams(benchmark_words(text)))[1])
-                total[found] += 1
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["gram", "docs"]
-        )
-
-    return count
-
-
-def _rarer_half(docs: DataFrame, ids: list, words: list[np.ndarray]) -> Seeds:
-    everything = Seeds.of(ids, words, [np.arange(len(grams(w))) for w in words])
-    counts = docs.select("text").mapInArrow(_document_counts(everything), "gram long, docs long")
-    counts = counts.groupBy("gram").agg(F.sum("docs").alias("docs")).collect()  # at most a block's grams
-    frequency = np.zeros(len(everything.grams), np.int64)
-    for row in counts:
-        frequency[row.gram] = row.docs
-    chosen = []
-    for w in words:
-        own = grams(w)
-        seen = frequency[np.searchsorted(everything.grams, own)]
-        chosen.append(np.sort(np.argsort(seen, kind="stable")[: math.ceil(len(own) / 2)]))
-    return Seeds.of(ids, words, chosen)
-
-
 def hits(
     docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, text: str = "text",
     item_key: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS,
@@ -188,15 +191,14 @@ def hits(
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / 2 / block_words))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    source = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     found: list[Column] = []
     for number in range(blocks):
         rows = items.filter(block == number).orderBy("item_id", "text").collect()
         words = [benchmark_words(r.text) for r in rows]
-        usable = [i for i, w in enumerate(words) if len(w) >= SEED_WORDS]
+        usable = [i for i, w in enumerate(words) if len(w) >= LEAST_WORDS]
         if not usable:
             continue
-        seeds = _rarer_half(source, [rows[i].item_id for i in usable], [words[i] for i in usable])
+        seeds = Seeds.of([rows[i].item_id for i in usable], [words[i] for i in usable], least)
         found.append(_search(seeds, least)(F.coalesce(F.col(text), F.lit(""))))
     return F.concat(*found) if found else F.array().cast(HITS)
 

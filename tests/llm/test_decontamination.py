@@ -70,6 +70,45 @@ def test_an_item_that_leaked_everywhere_is_found(spark):
     assert {r.doc_id for r in found} == set(range(1, 200, 2))
 
 
+def test_single_copies_with_many_changed_words_are_found(spark):
+    draw = random.Random(10)
+    items = [(i, words(draw, draw.randint(15, 60))) for i in range(60)]
+    docs = [(-1 - i, " ".join(words(draw, 20) + w + words(draw, 20))) for i, w in items[:30]]  # plain copies
+    expected = {(-1 - i, i): 1.0 for i in range(30)}
+    for n in range(240):
+        i, item = items[n % 60]
+        if n < 180:
+            share = (0.2, 0.25, 0.3)[n // 60]
+            copy = [f"changed{k}" if draw.random() < share else w for k, w in enumerate(item)]
+        else:  # no two neighbours stay neighbours
+            copy = [x for w in item for x in (w, "more")][:-1]
+        score = align(item, copy) / (d.MATCH * len(item))
+        if score >= d.LEAST_SCORE:
+            docs.append((n, " ".join(words(draw, draw.randint(0, 9000)) + copy + words(draw, 30))))
+            expected[n, i] = score
+    assert len(expected) > 200
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = table.select("doc_id", F.explode(d.hits(table, bench)).alias("hit")).collect()
+    scores = {(r.doc_id, r.hit.item_id): r.hit.score for r in found}
+    assert scores.keys() == expected.keys() and all(scores[k] >= expected[k] for k in expected)
+
+
+def test_every_alignment_that_scores_enough_is_found():
+    draw = np.random.Generator(np.random.PCG64(7))
+    for least in (0.3, 0.5, 0.8):
+        hit = 0
+        for _ in range(400):
+            items = [draw.integers(0, 9, draw.integers(3, 12)).astype(np.uint64) for _ in range(4)]
+            passage = draw.integers(0, 9, draw.integers(0, 60)).astype(np.uint64)
+            seeds = d.Seeds.of(list(range(4)), items, least)
+            share = [align(w.tolist(), passage.tolist()) / (d.MATCH * len(w)) for w in items]
+            found = d.hits_of(passage, seeds, least)
+            assert [(i, s) for i, s, _, _ in found] == [(i, s) for i, s in enumerate(share) if s >= least]
+            hit += len(found)
+        assert hit
+
+
 def test_edge_cases(spark, edge_docs, no_docs):
     bench = spark.createDataFrame(
         [(1, None, 1), (2, "", 1), (3, "two words", 1), (None, "lorem1 ipsum2 dolor3 sit4", 1), (4, "another text of nine", 1), (4, "another text of nine", 2)],
