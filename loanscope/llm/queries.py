@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscope.llm import (
+    bytepairs,
     chat,
     counting,
     decontamination,
@@ -25,6 +26,8 @@ from loanscope.llm import (
 
 #: Tokenizer file of the token queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Rank file of the byte-pair query.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Tokens of a training sequence.
 CONTEXT = 1024
 SHARDS = 40
@@ -111,6 +114,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bytepairs.encode(table(spark, sf_dir, "documents"), RANKS)
+    said = coded.withColumn("decoded", bytepairs.decoded(F.col("ids"), RANKS))
+    return said.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -123,4 +137,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_topk": op8_exact_topk,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_decontamination": op10_decontamination,
+        "op12_byte_pairs": op12_byte_pairs,
     }
