@@ -191,5 +191,102 @@ FROM docs JOIN kept USING (row)
 """
 
 
+#: Phrases as lists of words; all of them are counted, cut and compared.
+PHRASES = """
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?
+-
+]')) AS piece FROM docs
+), words AS (
+  SELECT lang, [w FOR w IN regexp_split_to_array(piece, '[ 	]+') IF w <> ''] AS w FROM pieces
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+  SELECT lang, array_to_string(w[i : i + size - 1], ' ') AS phrase, size, count(*) AS f
+  FROM places, range(1, 5) sizes(size) WHERE i + size - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, string_split(phrase, ' ') AS w, size, f AS a FROM grams WHERE size > 1 AND f >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, first.f AS l, rest.f AS r,
+    ((2000000::HUGEINT * c.a) // (first.f::HUGEINT + rest.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN grams first ON first.lang = c.lang AND first.phrase = array_to_string(c.w[1 : k], ' ')
+  JOIN grams rest ON rest.lang = c.lang AND rest.phrase = array_to_string(c.w[k + 1 :], ' ')
+), best AS (
+  SELECT lang, phrase, a, min({'score': score, 'k': k, 'l': l, 'r': r}) AS cut FROM cuts GROUP BY ALL
+), inner_phrases AS (
+  SELECT lang, array_to_string(w[i : i + short - 1], ' ') AS phrase, max(a) AS within
+  FROM (SELECT *, unnest(range(1, size - short + 2)) AS i
+    FROM (SELECT *, unnest(range(2, size)) AS short FROM candidates WHERE size > 2))
+  GROUP BY ALL
+)
+SELECT lang, row_number() OVER best_first AS rank, phrase, a, cut.l AS l, cut.r AS r, n, cut.score AS score
+FROM best JOIN totals USING (lang) LEFT JOIN inner_phrases USING (lang, phrase)
+WHERE within IS NULL OR 100::HUGEINT * within < 80::HUGEINT * a
+WINDOW best_first AS (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase) QUALIFY rank <= 2000
+"""
+
+#: Nodes as lists of turns; a node's subtree are the nodes whose smallest member passes it.
+TRIE = """
+WITH RECURSIVE bits AS (
+  SELECT n, 0 AS step, n::UINTEGER AS c FROM range(256) t(n)
+  UNION ALL
+  SELECT n, step + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UINTEGER) ELSE c >> 1 END
+  FROM bits WHERE step < 8
+), crc_table AS (
+  SELECT list(c ORDER BY n) AS entries FROM bits WHERE step = 8
+), turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role, text) AS said
+  FROM turns GROUP BY conv_id
+), headed AS (
+  SELECT own.*, xor(4294967295::UINTEGER, list_reduce(
+      list_concat([4294967295::UINTEGER], [unicode((conv_id::VARCHAR)[i])::UINTEGER FOR i IN range(1, length((conv_id::VARCHAR)) + 1)]),
+      lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) % 4 AS h
+  FROM own, crc_table
+), paths AS (
+  SELECT c.conv_id, list_concat(coalesce(base.said, [])[1 : c.h], c.said[c.h + 1 :]) AS path
+  FROM headed c LEFT JOIN own base ON base.conv_id = c.conv_id - c.conv_id % 20
+), prefixes AS (
+  SELECT conv_id, depth, path[1 : depth] AS node, path[1 : depth - 1] AS parent, len(path) = depth AS ends,
+    CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(path[depth].text, '[^ 	-
+]+')) END AS words
+  FROM (SELECT *, unnest(range(len(path) + 1)) AS depth FROM paths)
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(parent) AS parent, any_value(words) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, depth
+), children AS (
+  SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node, depth)
+), sums AS (
+  SELECT p.node, p.depth, count(*) FILTER (c.n_children = 0) AS n_leaves, sum((c.n_convs - 1) * c.words) AS saved_tokens
+  FROM counted c JOIN prefixes p ON p.conv_id = c.conv_id AND p.depth <= c.depth GROUP BY p.node, p.depth
+)
+SELECT c.conv_id, c.depth, up.conv_id AS parent_conv_id, c.n_convs, c.n_children::BIGINT AS n_children,
+  n_leaves, saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums USING (node, depth)
+LEFT JOIN nodes up ON c.depth > 0 AND up.node = c.parent AND up.depth = c.depth - 1
+"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op2_line_dedup": LINES, "op3_sharding": SHARDS, "op4_suffix_array_dedup": SUBSTRINGS, "op5_minhash_neardup": NEAR_DUPLICATES, "op8_exact_topk": TOPK, "op9_chat_formatting": CHAT}
+    return {
+        "op2_line_dedup": LINES,
+        "op3_sharding": SHARDS,
+        "op4_suffix_array_dedup": SUBSTRINGS,
+        "op5_minhash_neardup": NEAR_DUPLICATES,
+        "op8_exact_topk": TOPK,
+        "op9_chat_formatting": CHAT,
+        "op11_phrase_mining": PHRASES,
+        "op13_prefix_trie": TRIE,
+    }

@@ -18,11 +18,14 @@ from loanscope.llm import (
     linededup,
     neardup,
     packing,
+    phrases,
     quality,
     sharding,
     substrings,
     topk,
+    trie,
 )
+from loanscope.llm.workspace import Workspace
 
 #: Tokenizer file of the token queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -114,6 +117,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bytepairs.encode(table(spark, sf_dir, "documents"), RANKS)
     said = coded.withColumn("decoded", bytepairs.decoded(F.col("ids"), RANKS))
@@ -125,6 +132,12 @@ def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with Workspace(spark, "conversations") as work:
+        turns = trie.positioned(work, table(spark, sf_dir, "conversations"))
+        return trie.prefix_trie(trie.with_shared_heads(work, turns, family=20, heads=4))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -137,5 +150,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_topk": op8_exact_topk,
         "op9_chat_formatting": op9_chat_formatting,
         "op10_decontamination": op10_decontamination,
+        "op11_phrase_mining": op11_phrase_mining,
         "op12_byte_pairs": op12_byte_pairs,
+        "op13_prefix_trie": op13_prefix_trie,
     }
