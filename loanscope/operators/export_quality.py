@@ -88,6 +88,30 @@ def export_results(
     return reported(reduce(DataFrame.unionByName, counts), DETAILS)
 
 
+def stored_gaps(
+    computed: dict[str, DataFrame], stored: dict[str, DataFrame], fields: dict[str, list[str]]
+) -> DataFrame:
+    """Check report: rows of each table that its stored copy lacks, adds or changes.
+
+    Rows count as often as they stand, in the fields that a dashboard reads. Empty text and
+    NULL are the same in a CSV file.
+    """
+
+    def signed(table: DataFrame, names: list[str], sign: int) -> DataFrame:
+        kinds = dict(table.dtypes)
+        read = (F.expr(f"nullif({n}, '')") if kinds[n] == "string" else F.col(n) for n in names)
+        return table.select(*(c.alias(n) for c, n in zip(read, names)), F.lit(sign).alias("sign"))
+
+    counts, details = [], {}
+    for name, table in computed.items():
+        both = signed(table, fields[name], 1).unionByName(signed(stored[name], fields[name], -1))
+        differing = both.groupBy(*fields[name]).agg(F.sum("sign").alias("n")).filter("n <> 0")
+        check = f"{name} stored"
+        details[check] = f"The stored {name} table has the rows that were computed."
+        counts.append(row_count(differing, check))
+    return reported(reduce(DataFrame.unionByName, counts), details)
+
+
 def dashboard_input_problems(
     monthly: DataFrame,
     segments: DataFrame,

@@ -24,7 +24,8 @@ from loanscope.domain import (
 )
 from loanscope.functions.parsing import TWO_DIGITS, is_number, is_valid_month
 from loanscope.sources.delimited import split_fields
-from loanscope.sources.storage import current_version, new_run_id, publish_version
+from loanscope.sources.publication import current_version, publish_version
+from loanscope.sources.storage import new_run_id
 
 # Fixed field lists of the checks.
 ORIGINATION_REQUIRED = [

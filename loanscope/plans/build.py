@@ -48,7 +48,8 @@ from loanscope.operators.quality import (
 )
 from loanscope.operators.staging import stage_origination, stage_performance
 from loanscope.sources.delimited import require_files, scan_origination, scan_performance
-from loanscope.sources.storage import RunStore, new_run_id, publish, stored_bytes
+from loanscope.sources.publication import Lease, Retention
+from loanscope.sources.storage import RunStore, drop_former_runs, new_run_id, publish, stored_bytes
 
 BYTES_PER_BUCKET = 256 << 20
 
@@ -131,13 +132,15 @@ def _require_passed(results: DataFrame, store: RunStore) -> None:
 
 
 class _Steps:
-    """Seconds since the step before, by step."""
+    """Seconds since the step before, by step; each renews the lease on the run."""
 
-    def __init__(self):
+    def __init__(self, lease: Lease):
         self.seconds: dict[str, float] = {}
+        self._lease = lease
         self._last = time.perf_counter()
 
     def done(self, name: str) -> None:
+        self._lease.renew()
         now = time.perf_counter()
         self.seconds[name] = round(now - self._last, 3)
         self._last = now
@@ -154,14 +157,31 @@ def build(
     expect: Expectations,
     years: Iterable[int] = VINTAGES,
     most_buckets: int | None = None,
+    retention: Retention | None = Retention(),
 ) -> BuildReport:
     """Rebuild every table from the raw files and publish if all checks pass.
 
-    Raises :class:`ValidationFailed` otherwise; the published version stays.
+    Raises :class:`ValidationFailed` otherwise; the published version stays. A build that
+    publishes drops the runs that ``retention`` no longer keeps (None keeps all); its own
+    files, and those of a run that somebody reads under a lease, stay.
     """
     require_files(spark, raw_dir, years)
-    steps = _Steps()
     store = RunStore(spark, root, new_run_id())
+    with store.lease() as lease:
+        report = _built(spark, raw_dir, store, expect, most_buckets, _Steps(lease))
+        if retention is not None:
+            drop_former_runs(spark, root, retention)
+    return report
+
+
+def _built(
+    spark: SparkSession,
+    raw_dir: str,
+    store: RunStore,
+    expect: Expectations,
+    most_buckets: int | None,
+    steps: _Steps,
+) -> BuildReport:
     origination, performance = _written_together(
         store,
         {

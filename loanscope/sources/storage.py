@@ -1,15 +1,29 @@
-"""Layered tables of one build, scratch space and the published version."""
+"""Layered tables of one build, scratch space and the published run."""
 
 from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanscope.sources.publication import (
+    LEASE_SECONDS,
+    Lease,
+    Retention,
+    current_version,
+    opened,
+    publish_version,
+    sweep,
+)
+
+#: Folder of the runs below a root.
+RUNS = "runs"
+
 
 def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
@@ -67,7 +81,11 @@ class RunStore:
 
     @property
     def path(self) -> str:
-        return f"{self.root}/runs/{self.run_id}"
+        return f"{self.root}/{RUNS}/{self.run_id}"
+
+    def lease(self, seconds: float = LEASE_SECONDS) -> Lease:
+        """Keeps the run's files while it is built or read."""
+        return Lease(self.spark, self.root, self.run_id, seconds)
 
     def table_path(self, name: str) -> str:
         return f"{self.path}/{name.replace('.', '/')}"
@@ -114,39 +132,20 @@ def publish(store: RunStore) -> None:
 
 
 def current_run(spark: SparkSession, root: str) -> RunStore | None:
-    """The run published last, or None."""
+    """The run published last, or None. See :func:`opened_run` for reading it at length."""
     latest = current_version(spark, root)
     return RunStore(spark, root, latest) if latest else None
 
 
-def publish_version(spark: SparkSession, root: str, version: str) -> None:
-    """Make a version the current one below a root by writing a single record.
-
-    The record has a folder of its own, so writers that meet do not touch each other's
-    files, and one small file appears by one rename (or one object put): readers see the
-    previous version or the new one and nothing in between. Versions are numbered; of two
-    that took one number, the larger name counts.
-    """
-    number = _latest(spark, root)[0] + 1
-    record = spark.range(1).select(
-        F.lit(number).cast("bigint").alias("number"),
-        F.lit(version).alias("version"),
-        F.current_timestamp().alias("published_at"),
-    )
-    record.coalesce(1).write.mode("errorifexists").json(f"{root}/published/{version}")
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The version published last below a root, or None."""
-    return _latest(spark, root)[1]
+@contextmanager
+def opened_run(spark: SparkSession, root: str, seconds: float = LEASE_SECONDS) -> Iterator[RunStore]:
+    """The run published last, which no later build drops while the block runs."""
+    with opened(spark, root, RUNS, seconds) as version:
+        if version is None:
+            raise FileNotFoundError(f"no published run under {root}")
+        yield RunStore(spark, root, version)
 
 
-def _latest(spark: SparkSession, root: str) -> tuple[int, str | None]:
-    try:
-        records = spark.read.schema("number bigint, version string").json(f"{root}/published/*")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0, None
-        raise
-    best = records.agg(F.max(F.struct("number", "version")).alias("latest")).first().latest
-    return (best.number, best.version) if best else (0, None)
+def drop_former_runs(spark: SparkSession, root: str, retention: Retention = Retention()) -> list[str]:
+    """Delete runs that are superseded, rejected or abandoned; see :func:`sweep`."""
+    return sweep(spark, root, RUNS, retention)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from functools import cached_property, partial
 
@@ -1336,18 +1337,37 @@ def _published_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _export_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two exports to one folder; the second is what a reader gets."""
+    """Two exports to one folder; the second is what a reader gets.
+
+    A small panel has no cohort of 60 loans, and then the first one is rejected.
+    """
+    report = _built(spark, sf_dir)
+    out_dir = storage.scratch_dir(spark, "export")
+    with contextlib.suppress(dashboard.ExportRejected):
+        dashboard.export(spark, report.store.root, out_dir, 60)
+    dashboard.export(spark, report.store.root, out_dir, 20)
+    return dashboard.load_export(spark, out_dir).transitions
+
+
+def _export_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export after which one with a threshold beyond all cohorts is rejected."""
     report = _built(spark, sf_dir)
     out_dir = storage.scratch_dir(spark, "export")
-    for k in (20, 60):
-        dashboard.export(spark, report.store.root, out_dir, k)
+    dashboard.export(spark, report.store.root, out_dir, 10)
+    with contextlib.suppress(dashboard.ExportRejected):
+        dashboard.export(spark, report.store.root, out_dir, 10**9)
     return dashboard.load_export(spark, out_dir).transitions
 
 
 _register(
     "export_refreshed",
     _export_refreshed,
-    statement(f"select {listed(exports.TRANSITION_FIELDS)} from transition_export", k=60),
+    statement(f"select {listed(exports.TRANSITION_FIELDS)} from transition_export", k=20),
+)
+_register(
+    "export_rejected",
+    _export_rejected,
+    statement(f"select {listed(exports.TRANSITION_FIELDS)} from transition_export", k=10),
 )
 _register(
     "published_export",

@@ -229,14 +229,28 @@ def test_an_export_is_replaced_as_a_whole(spark, raw, tmp_path, monkeypatch):
         load_export(spark, str(tmp_path / "none"))
 
 
-def test_versions_published_at_once_are_all_kept(spark, tmp_path):
-    root = str(tmp_path)
-    assert storage.current_version(spark, root) is None
-    with ThreadPoolExecutor(4) as jobs:
-        list(jobs.map(lambda v: storage.publish_version(spark, root, v), ["a", "b", "c", "d"]))
-    assert storage.current_version(spark, root) in "abcd"
-    storage.publish_version(spark, root, "0")
-    assert storage.current_version(spark, root) == "0"
+def test_an_export_is_judged_before_it_counts(spark, raw, tmp_path, monkeypatch):
+    raw_dir, root = write(raw)
+    build(spark, raw_dir, root, EXPECT)
+    out = str(tmp_path / "csv")
+    results = export(spark, root, out, k=5)
+    assert {"transitions not empty", "month count", "portfolio_monthly stored"} <= {r.check_name for r in results.collect()}
+    first = storage.current_version(spark, out)
+    rows = load_export(spark, out).transitions.collect()
+    # No cohort has so many loans, so nothing would be left of the transitions.
+    with pytest.raises(ExportRejected, match="transitions not empty"):
+        export(spark, root, out, k=1000)
+
+    def losing(table, path):
+        write_csv(table.limit(3) if path.endswith("by_segment") else table, path)
+
+    monkeypatch.setattr("loanscope.plans.dashboard.write_csv", losing)
+    with pytest.raises(ExportRejected, match="portfolio_monthly_by_segment stored"):
+        export(spark, root, out, k=5)
+    assert storage.current_version(spark, out) == first
+    assert load_export(spark, out).transitions.collect() == rows
+    assert os.listdir(f"{out}/versions") == [first]
+    assert not os.listdir(f"{out}/leases/{first}")
 
 
 def test_a_vintage_that_disagrees_with_its_file_rejects_the_build(spark, raw):
