@@ -23,7 +23,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -41,7 +41,11 @@ MATCHES = 1 << 17
 #: Leaves of the trees that are merged at once.
 LEAVES = 1 << 19
 
+#: Rows that go to the next step at once.
+ROWS = 512
+
 ENCODED = "doc_id long, ids binary"
+DECODED = ENCODED + ", decoded binary"
 
 
 class Splitter:
@@ -108,10 +112,7 @@ class BytePairs:
     """Ids of texts by the ranks in a file of base64 tokens and ranks."""
 
     def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as file:
-            lines = [line.split() for line in file if line.strip()]
-        self.rank = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.token = {rank: token for token, rank in self.rank.items()}
+        self.rank = _read_ranks(path)
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
         pairs = {
             self.rank[token[:cut]] << 32 | self.rank[token[cut:]]: rank
@@ -273,6 +274,24 @@ class BytePairs:
         merged = np.frombuffer(ids, np.int64)
         return merged[merged >= 0].astype("<u4").tobytes()
 
+
+def _read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as file:
+        lines = [line.split() for line in file if line.strip()]
+    return {base64.b64decode(token): int(rank) for token, rank in lines}
+
+
+class Decoder:
+    """The bytes of ids."""
+
+    def __init__(self, path: str):
+        self.token = {rank: token for token, rank in _read_ranks(path).items()}
+
+    @staticmethod
+    @functools.lru_cache(maxsize=2)
+    def load(path: str) -> Decoder:
+        return Decoder(path)
+
     def decode(self, ids: bytes) -> bytes:
         """The bytes that ids stand for; an id without a token is an error."""
         numbers = np.frombuffer(ids, "<u4")
@@ -280,6 +299,12 @@ class BytePairs:
         return b"".join(b"".join(map(self.token.__getitem__, numbers[b : b + STRETCH].tolist())) for b in blocks)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS):
+            yield batch.slice(low, ROWS)
+
+
 def encode(
     docs: DataFrame, ranks: str, key: str = "doc_id", text: str = "text",
     pattern: str = public_tokenizers.PATTERN,
@@ -293,7 +318,7 @@ def encode(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = BytePairs.load(ranks, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = coder.encode(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
@@ -305,12 +330,19 @@ def encode(
     return rows.mapInArrow(encoded, ENCODED)
 
 
-def decoded(ids: Column, ranks: str, pattern: str = public_tokenizers.PATTERN) -> Column:
-    """The bytes that a column of ids stands for; null for null, an error for unknown ids."""
+def decode(coded: DataFrame, ranks: str) -> DataFrame:
+    """doc_id, ids and decoded (binary), the bytes that the ids stand for, for each input row.
 
-    @F.arrow_udf("binary")
-    def decode(values: pa.Array) -> pa.Array:
-        coder = BytePairs.load(ranks, pattern)
-        return pa.array([None if v is None else coder.decode(v) for v in values.to_pylist()], pa.binary())
+    Null ids give null; an id that the file does not have is an error.
+    """
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decoder = Decoder.load(ranks)
+        for batch in _slices(batches):
+            said = [None if v is None else decoder.decode(v) for v in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("ids"), pa.array(said, pa.binary())],
+                names=["doc_id", "ids", "decoded"],
+            )
 
-    return decode(ids)
+    return coded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(decoded, DECODED)

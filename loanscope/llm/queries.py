@@ -123,8 +123,7 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bytepairs.encode(table(spark, sf_dir, "documents"), RANKS)
-    said = coded.withColumn("decoded", bytepairs.decoded(F.col("ids"), RANKS))
-    return said.select(
+    return bytepairs.decode(coded, RANKS).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -6,10 +6,9 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from pyspark.sql import functions as F
 
 from loanscope.llm import bytepairs, queries
-from loanscope.llm.bytepairs import BytePairs
+from loanscope.llm.bytepairs import BytePairs, Decoder
 
 SF = "/root/testdata/sf0.01"
 
@@ -53,19 +52,19 @@ def test_long_texts_in_stretches(coder, library, monkeypatch):
     texts = ["many words in a row that are cut " * 9, "short", "unbroken" * 40]
     ids = list(coder.encode(texts))
     assert ids == [expected(library, t) for t in texts]
-    assert [coder.decode(i).decode() for i in ids] == texts
+    assert [Decoder.load(queries.RANKS).decode(i).decode() for i in ids] == texts
 
 
 def test_edge_rows(spark, edge_docs, no_docs, library):
     made = bytepairs.encode(edge_docs, queries.RANKS)
-    rows = made.select("doc_id", "ids", bytepairs.decoded(F.col("ids"), queries.RANKS).alias("back")).collect()
+    rows = bytepairs.decode(made, queries.RANKS).collect()
     asked = edge_docs.select("doc_id", "text").collect()
-    assert [(r.doc_id, bytes(r.ids), bytes(r.back)) for r in rows] == [
+    assert [(r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in rows] == [
         (r.doc_id, expected(library, r.text or ""), (r.text or "").encode()) for r in asked
     ]
     assert bytepairs.encode(no_docs, queries.RANKS).collect() == []
-    nothing = spark.sql("SELECT CAST(NULL AS BINARY) AS ids")
-    assert nothing.select(bytepairs.decoded(F.col("ids"), queries.RANKS)).collect() == [(None,)]
+    nothing = spark.sql("SELECT 1 AS doc_id, CAST(NULL AS BINARY) AS ids")
+    assert bytepairs.decode(nothing, queries.RANKS).collect() == [(1, None, None)]
 
 
 def test_query_over_all_documents(spark, library):
