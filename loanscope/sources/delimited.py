@@ -1,8 +1,8 @@
 """Pipe-delimited source files, read as text under a fixed layout.
 
-A field may be quoted, and a quoted pipe is not a separator. A quoted line feed is
-not supported, because honouring it would make files unsplittable; it shows up as
-a wrong field count.
+A field may be quoted, and a quoted pipe or line feed does not separate. Files without a
+quoted line feed are read line by line; in the others lines are first put together to
+records (see ``records``), and all files stay splittable.
 
 The CSV source normally parses only the columns a query uses and then cannot tell
 a line with too many or too few fields. Here pruning is off and every scan tests
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanscope.domain import ORIGINATION_FIELDS, PERFORMANCE_FIELDS, VINTAGES
+from loanscope.sources.records import files_with_open_lines, multi_line_records, split_lines
 
 _MALFORMED = "_malformed_line"
 _FORMAT = {
@@ -28,6 +29,8 @@ _FORMAT = {
     "columnNameOfCorruptRecord": _MALFORMED,
     "columnPruning": "false",
 }
+# Options of a record that is parsed by itself.
+_OPTIONS = {name: value for name, value in _FORMAT.items() if name != "columnPruning"}
 _SOURCE_YEAR = r"smallint(regexp_extract(source_file, r'sample_(\d{4})', 1))"
 
 # dataset -> (part of the file name, fields in file order)
@@ -45,18 +48,24 @@ def _layout(fields: list[str]) -> str:
     return ", ".join(f"{name} string" for name in [*fields, _MALFORMED])
 
 
-def scan(spark: SparkSession, raw_dir: str, dataset: str) -> DataFrame:
-    """All rows of a dataset as text; any action fails on a malformed line.
+def scan(
+    spark: SparkSession, raw_dir: str, dataset: str, multi_line: list[str] | None = None
+) -> DataFrame:
+    """All rows of a dataset as text; any action fails on a malformed record.
 
-    Empty lines hold no row and are skipped; the raw profile reports them.
+    Empty lines hold no row and are skipped; the raw profile reports them. ``multi_line`` names
+    the files with quoted line feeds; None finds them, which reads the files once.
     """
-    fields = DATASETS[dataset][1]
-    rows = (
-        spark.read.schema(_layout(fields))
-        .options(**_FORMAT)
-        .csv(dataset_glob(raw_dir, dataset))
-        .select("*", F.col("_metadata.file_path").alias("source_file"))
-    )
+    fields, path = DATASETS[dataset][1], dataset_glob(raw_dir, dataset)
+    if multi_line is None:
+        multi_line = files_with_open_lines(spark, path)
+    source_file = F.col("_metadata.file_path").alias("source_file")
+    rows = spark.read.schema(_layout(fields)).options(**_FORMAT).csv(path).select("*", source_file)
+    if multi_line:
+        records = multi_line_records(split_lines(spark, multi_line)).filter("value <> ''")
+        parsed = F.from_csv("value", _layout(fields), _OPTIONS).alias("record")
+        others = records.select(parsed, "source_file").select("record.*", "source_file")
+        rows = rows.filter(~F.col("source_file").isin(multi_line)).unionByName(others)
     # Naming the loan also makes the test refer to a data column, without which
     # Spark refuses to read the malformed marker (as in a bare count).
     loan = F.coalesce("loan_id", F.lit("unknown"))
@@ -69,19 +78,23 @@ def scan(spark: SparkSession, raw_dir: str, dataset: str) -> DataFrame:
     )
 
 
-def scan_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the matching files with the file path and the year in it."""
-    return (
-        spark.read.text(path)
-        .select("value", F.col("_metadata.file_path").alias("source_file"))
-        .selectExpr("*", f"{_SOURCE_YEAR} AS source_year")
-    )
+def scan_lines(spark: SparkSession, path: str, multi_line: list[str] | None = None) -> DataFrame:
+    """Records of the matching files as text, with the file path and the year in it.
+
+    ``multi_line`` as in :func:`scan`.
+    """
+    if multi_line is None:
+        multi_line = files_with_open_lines(spark, path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    if multi_line:
+        records = multi_line_records(split_lines(spark, multi_line))
+        lines = lines.filter(~F.col("source_file").isin(multi_line)).unionByName(records)
+    return lines.selectExpr("*", f"{_SOURCE_YEAR} AS source_year")
 
 
 def split_fields(lines: DataFrame, fields: list[str]) -> DataFrame:
     """Add one text column per field and ``is_malformed`` (wrong field count)."""
-    options = {name: value for name, value in _FORMAT.items() if name != "columnPruning"}
-    record = lines.withColumn("record", F.from_csv("value", _layout(fields), options))
+    record = lines.withColumn("record", F.from_csv("value", _layout(fields), _OPTIONS))
     return record.selectExpr(
         *lines.columns,
         f"record.{_MALFORMED} IS NOT NULL OR value = '' AS is_malformed",

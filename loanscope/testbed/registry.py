@@ -1255,6 +1255,37 @@ _register(
     ),
 )
 
+def _with_line_feeds(lines: DataFrame) -> DataFrame:
+    """Some servicers have a name of three lines, with a quote and a pipe in it."""
+    several = F.regexp_replace("value", "Servicer ([0-9])", '"Servicer\n\n""$1""|$1"')
+    return lines.withColumn("value", F.when(F.col("mp") % 17 == 3, several).otherwise(F.col("value")))
+
+
+def _line_feeds_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = delimited.scan_performance(spark, _raw_files(spark, sf_dir, _with_line_feeds))
+    return rows.select("source_year", "loan_id", "period", "servicer_name", "ddlpi")
+
+
+_register(
+    "raw_records_with_line_feeds",
+    _line_feeds_roundtrip,
+    statement(
+        "select source_year, loan_id, strftime(as_of_month, '%Y%m') as period, "
+        "case when mp % 17 = 3 then 'Servicer' || chr(10) || chr(10) || '\"' || (k % 10) || '\"|' || (k % 10) "
+        "else 'Servicer ' || (k % 10) end as servicer_name, strftime(as_of_month, '%Y%m') as ddlpi from perf"
+    ),
+)
+_register(
+    "raw_row_counts_with_line_feeds",
+    lambda s, d: profile_files(s, _raw_files(s, d, _with_line_feeds)).filter(
+        "dataset = 'performance' AND metric IN ('row_count', 'rows_with_wrong_field_count')"
+    ).select("source_year", "metric", "value"),
+    statement(
+        "select source_year, 'row_count' as metric, count(*) as value from perf group by 1 "
+        "union all select distinct source_year, 'rows_with_wrong_field_count', 0 from perf"
+    ),
+)
+
 # Sums as whole cents, which no floating-point number stands between.
 _register(
     "exact_totals",
