@@ -69,7 +69,8 @@ SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, min(other) AS component_id,
 FROM sets JOIN reach ON sets.doc_id = reach.doc_id GROUP BY sets.doc_id, s
 """
 
-#: Windows of at least 50 words as lists of lines, their first places, and runs beyond them.
+#: Windows of at least 50 words as lists of lines, every earlier place of each, and the longest
+#: run from there that goes on alike.
 LINES = """
 WITH docs AS (
   SELECT row_number() OVER () AS row, doc_id, text, string_split(text, chr(10)) AS raw FROM documents
@@ -89,20 +90,17 @@ WITH docs AS (
   FROM summed JOIN lists USING (row)
 ), windows AS (
   SELECT row, doc_id, start, stop, said[start + 1 : stop] AS content FROM ends WHERE stop <= len(said)
-), firsts AS (
-  SELECT content, min({'doc_id': doc_id, 'start': start, 'row': row, 'stop': stop}) AS first
-  FROM windows GROUP BY content
 ), later AS (
-  SELECT w.row, w.start, w.stop, first.row AS first_row, first.stop AS first_stop
-  FROM windows w JOIN firsts USING (content) WHERE (w.doc_id, w.start) > (first.doc_id, first.start)
-), zipped AS (
-  SELECT later.row, start, stop, len(a.said) AS last,
-    [p[1] IS NOT DISTINCT FROM p[2] FOR p IN list_zip(a.said[stop + 1 :], b.said[first_stop + 1 :])] AS same
-  FROM later JOIN lists a ON a.row = later.row JOIN lists b ON b.row = first_row
+  SELECT w.row, w.start, w.stop, max(CASE WHEN same IS NULL THEN 0 ELSE coalesce(nullif(list_position(same, false), 0) - 1, len(same)) END) AS more
+  FROM (SELECT w.row, w.start, w.stop,
+      [p[1] IS NOT DISTINCT FROM p[2] FOR p IN list_zip(a.said[w.stop + 1 :], b.said[e.stop + 1 :])] AS same
+    FROM windows w JOIN windows e ON e.content = w.content AND (e.doc_id, e.start) < (w.doc_id, w.start)
+    JOIN lists a ON a.row = w.row JOIN lists b ON b.row = e.row) w
+  GROUP BY ALL
 ), gone AS (
   SELECT DISTINCT row,
-    unnest(range(start, stop + coalesce(nullif(list_position(same, false), 0) - 1, last - stop))) AS line
-  FROM zipped
+    unnest(range(start, stop + more)) AS line
+  FROM later
 ), kept AS (
   SELECT row, string_agg(raw, chr(10) ORDER BY line) AS text, count(*) AS n
   FROM lines ANTI JOIN gone USING (row, line) GROUP BY row
