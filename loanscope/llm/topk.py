@@ -28,26 +28,54 @@ from loanscope.llm.workspace import Workspace
 BLOCK_ROWS = 16_384
 #: Queries that meet a block in one group.
 STRIPE_QUERIES = 256
-#: Attributes at or beyond this size would let scores leave 64 bits.
-LARGEST = 1 << 26
+#: Rows with integers below this share index blocks; larger ones have blocks of their own, by
+#: size, so that a few large values do not widen the index of all others.
+USUAL = 1 << 26
+#: Below this differences of integers fit in 64 bits.
+WIDE = 1 << 62
+#: Blocks of larger integers hold so many times fewer rows.
+WIDE_SHARE = 8
 
 
 def quantised(vectors: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
-    """Ids with floor(scale * x) of each component; rows that cannot take part are left out."""
+    """Ids with floor(scale * x) of each component, as whole doubles, which hold any of them.
+
+    ``size`` classes the rows by their largest integer: 0 below ``USUAL``, 1 below ``WIDE``,
+    then one class for each 128 binary digits. Rows that cannot take part are left out.
+    """
     value = F.col(vector)
-    usable = (
-        value.isNotNull()
-        & F.col(key).isNotNull()
-        & F.forall(
-            value,
-            lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(LARGEST / scale), F.lit(False))
-            & ~F.isnan(x),
-        )
-    )
-    ints = F.transform(value, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("int"))
-    return vectors.filter(usable).select(
-        F.col(key).cast("long").alias("vec_id"), ints.alias("ints"), F.size(value).alias("dim")
+    finite = lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(x)
+    usable = value.isNotNull() & F.col(key).isNotNull() & F.forall(value, finite)
+    scaled = lambda x: F.lit(float(scale)) * x.cast("double")
+    too_large = F.concat(F.lit("component beyond the range of doubles when scaled, id "), F.col(key).cast("string"))
+    whole = lambda y: (  # noqa: E731  doubles from 2^53 on are whole
+        F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double"))
+        .when(F.abs(y) < F.lit(float("inf")), y).otherwise(F.raise_error(too_large).cast("double"))
     )
+    ints = F.transform(value, lambda x: whole(scaled(x)))
+    rows = vectors.filter(usable).select(F.col(key).cast("long").alias("vec_id"), ints.alias("ints"), F.size(value).alias("dim"))
+    most = F.coalesce(F.array_max(F.transform("ints", F.abs)), F.lit(0.0))
+    beyond = F.floor(F.log2(F.greatest(most, F.lit(1.0))) / 128).cast("int") + 2
+    size = F.when(most < float(USUAL), 0).when(most < float(WIDE), 1).otherwise(beyond)
+    return rows.withColumn("size", size)
+
+
+def integers(whole: np.ndarray, size: int) -> np.ndarray:
+    """Whole doubles as 64-bit integers, or as Python's where those are too small."""
+    if size < 2:
+        return whole.astype(np.int64)
+    made = np.empty(whole.shape, object)
+    made.ravel()[:] = [int(v) for v in whole.ravel().tolist()]
+    return made
+
+
+def inner(ints: np.ndarray, factors: np.ndarray) -> list[int]:
+    """Exact inner products of rows of integers with factors."""
+    if ints.dtype != object and factors.dtype != object:
+        most = np.abs(ints).max(initial=0)
+        if float(most) * float(np.abs(factors).astype(float).sum()) < 2.0**62:
+            return (ints @ factors).tolist()
+    return [sum(a * b for a, b in zip(row, factors.tolist(), strict=True)) for row in ints.tolist()]
 
 
 # -- index ---------------------------------------------------------------------
@@ -63,32 +91,40 @@ def bitmaps(rows: np.ndarray) -> np.ndarray:
 def index_block(ints: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Lowest values, slices (dim x digits x words, lowest digit first) and digits."""
     low = ints.min(axis=0)
-    digits = max(1, int((ints.max(axis=0) - low).max()).bit_length())
     above = (ints - low).T  # dim x rows
-    rows = ((above[:, None, :] >> np.arange(digits)[None, :, None]) & 1).astype(np.uint8)
-    return low, bitmaps(rows.reshape(-1, ints.shape[0])).reshape(ints.shape[1], digits, -1), digits
+    digits = max(1, int(above.max()).bit_length())
+    size = -(-digits // 8)
+    slices = []
+    for values in above:
+        data = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size] if size <= 8 else np.frombuffer(
+            b"".join(int(v).to_bytes(size, "little") for v in values), np.uint8
+        ).reshape(-1, size)
+        slices.append(bitmaps(np.unpackbits(data, axis=1, bitorder="little")[:, :digits].T))
+    return low, np.array(slices), digits
 
 
 def _build(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("vec_id", kind="stable")
-    dim = int(rows["dim"].iloc[0])
-    ints = np.array(rows["ints"].to_list(), np.int64).reshape(len(rows), dim)
-    low, slices, digits = index_block(ints) if dim else (ints[:0], ints[:0], 1)
+    dim, size = int(rows["dim"].iloc[0]), int(rows["size"].iloc[0])
+    whole = np.array(rows["ints"].to_list(), np.float64).reshape(len(rows), dim)
+    slices, digits = np.zeros((0, 1, 0), np.uint64), 1
+    if dim:
+        _, slices, digits = index_block(integers(whole, size))
     return pd.DataFrame(
         {
             "dim": [dim],
+            "size": [size],
             "block": [int(rows["block"].iloc[0])],
             "n": [len(rows)],
             "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()],
-            "ints": [ints.astype(np.int32).tobytes()],
-            "low": [low.astype(np.int64).tobytes()],
+            "ints": [(whole if size else whole.astype(np.int32)).tobytes()],
             "digits": [digits],
             "slices": [slices.tobytes()],
         }
     )
 
 
-INDEX = "dim int, block long, n long, ids binary, ints binary, low binary, digits int, slices binary"
+INDEX = "dim int, size int, block long, n long, ids binary, ints binary, digits int, slices binary"
 
 
 # -- search --------------------------------------------------------------------
@@ -148,27 +184,34 @@ def top_rows(total: np.ndarray, candidates: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate([positions(sure), positions(level)[:missing]])
 
 
+FOUND = "query long, query_id long, vec_id long, beyond int, score long"
+_LIMIT = 1 << 63
+
+
 def _search(k: int):
     def search(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        found: dict[str, list] = {"query": [], "query_id": [], "vec_id": [], "score": []}
+        found: dict[str, list] = {c.split(" ")[0]: [] for c in FOUND.split(", ")}
         for block in index.itertuples(index=False):
             n, dim = block.n, block.dim
             ids = np.frombuffer(block.ids, np.int64)
-            ints = np.frombuffer(block.ints, np.int32).reshape(n, dim).astype(np.int64)
+            whole = np.frombuffer(block.ints, np.float64 if block.size else np.int32).reshape(n, dim)
+            ints = integers(whole, block.size)
             words = -(-n // 64)
             slices = np.frombuffer(block.slices, np.uint64).reshape(dim, block.digits if dim else 0, words)
             everyone = bitmaps(np.ones((1, n), np.uint8))[0]
             for query in queries.itertuples(index=False):
-                factors = np.asarray(query.ints, np.int64)
+                factors = integers(np.asarray(query.ints, np.float64), query.query_size)
                 candidates = everyone.copy()
                 for own in np.flatnonzero(ids == query.query_id):
                     candidates[own // 64] &= ~(np.uint64(1) << np.uint64(own % 64))
                 total = bit_sliced_sum(slices, factors) if dim else np.zeros((0, words), np.uint64)
                 rows = top_rows(total, candidates, k)
+                scores = inner(ints[rows], factors)
                 found["query"] += [query.query] * len(rows)
                 found["query_id"] += [query.query_id] * len(rows)
                 found["vec_id"] += ids[rows].tolist()
-                found["score"] += (ints[rows] @ factors).tolist()
+                found["beyond"] += [(s >= _LIMIT) - (s < -_LIMIT) for s in scores]
+                found["score"] += [s if -_LIMIT <= s < _LIMIT else 0 for s in scores]
         return pd.DataFrame(found)
 
     return search
@@ -181,24 +224,28 @@ def top_k(
     """The k rows of highest inner product for each row whose id is divisible by ``every``.
 
     Returns query_id, rank (from 1), vec_id and score; ties go to the smaller id. Components
-    count as floor(scale * x). Rows without id, without vector, with a null, NaN or infinite
-    component, or with one of 2^26 / scale or more take no part. A row is never its own
-    answer, nor are rows with its id. Repeated rows count once; different vectors under one
-    id count as rows of their own. Vectors meet those of their own length only. With fewer
-    than k candidates all are returned; an empty table gives no row. Other columns are not read.
+    count as floor(scale * x). Rows without id, without vector, or with a null, NaN or infinite
+    component take no part; all others do, whatever their size. A score among the k best that
+    does not fit in 64 bits is an error. A row is never its own answer, nor are rows with its id.
+    Repeated rows count once; different vectors under one id count as rows of their own. Vectors
+    meet those of their own length only. With fewer than k candidates all are returned; an empty
+    table gives no row. Other columns are not read.
     """
     spark = vectors.sparkSession
     with Workspace(spark, "topk") as work:
         rows = quantised(vectors, key, vector, scale).distinct()
         rows = work.table("rows", rows)
-        count = rows.count()
-        blocks = max(1, math.ceil(count / block_rows))
+        usual = F.count_if(F.col("size") == 0).alias("usual")
+        count = rows.agg(usual, F.count("*").alias("all")).first()
+        share = block_rows // WIDE_SHARE or 1
+        blocks = max(1, math.ceil(count.usual / block_rows), math.ceil((count.all - count.usual) / share))
         blocked = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "ints"), F.lit(blocks)))
-        index = work.table("index", blocked.groupBy("dim", "block").applyInPandas(_build, INDEX))
+        index = work.table("index", blocked.groupBy("dim", "size", "block").applyInPandas(_build, INDEX))
 
         asked = rows.filter(F.col("vec_id") % every == 0)
         asked = asked.select(
-            F.xxhash64("vec_id", "ints").alias("query"), F.col("vec_id").alias("query_id"), "ints", "dim"
+            F.xxhash64("vec_id", "ints").alias("query"), F.col("vec_id").alias("query_id"), "ints", "dim",
+            F.col("size").alias("query_size"),
         )
         stripes = max(1, math.ceil(asked.count() / STRIPE_QUERIES))
         stripe = F.pmod(F.xxhash64("query"), F.lit(stripes)).alias("stripe")
@@ -207,11 +254,11 @@ def top_k(
         asked = asked.select("*", stripe, every_of(blocks).alias("block"))
         spread = index.select("*", every_of(stripes).alias("stripe"))
         keys = ["dim", "block", "stripe"]
-        found = (
-            spread.groupBy(*keys)
-            .cogroup(asked.groupBy(*keys))
-            .applyInPandas(_search(k), "query long, query_id long, vec_id long, score long")
-        )
-        best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+        found = spread.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(_search(k), FOUND)
+        best = Window.partitionBy("query_id", "query").orderBy(F.desc("beyond"), F.desc("score"), "vec_id")
         ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-        return work.keep("best", ranked.select("query_id", "rank", "vec_id", "score"))
+        problem = F.concat(
+            F.lit("a score leaves 64 bits: query "), F.col("query_id").cast("string"), F.lit(", row "), F.col("vec_id").cast("string")
+        )
+        score = F.when(F.col("beyond") == 0, F.col("score")).otherwise(F.raise_error(problem).cast("long"))
+        return work.keep("best", ranked.select("query_id", "rank", "vec_id", score.alias("score")))

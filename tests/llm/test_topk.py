@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from loanscope.llm import topk
 
@@ -36,6 +37,31 @@ def test_edge_cases(spark):
     assert topk.top_k(table.filter("vec_id = 900")).collect() == []
 
 
+def test_large_components_take_part(spark):
+    draw = random.Random(4)
+    large = [70000.0, 1e6, -1e6, 65536.0, 2e6, -2.5, 0.0, 1.0]
+    rows = [(i, [draw.choice(large), draw.choice([0.5, -1.0, 2e4]), 0.25]) for i in range(300)]
+    rows += [(400, [70000.0, 1.0, 0.0]), (401, [70000.0, 1.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block_rows in (16_384, 64):
+        assert sorted(map(tuple, topk.top_k(table, block_rows=block_rows).collect())) == brute(rows)
+    # Integers beyond 64 bits, whose scores fit where the other factor is zero.
+    rows = [(i, [0.0, draw.randint(-9, 9) * 1.0]) for i in range(150)] + [(200 + i, [1e40 * i, 3.0]) for i in range(5)]
+    rows = [r for r in rows if r[0] != 200]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(table).collect())) == brute(rows)
+    # Scores that do not fit end the query, but only among the best.
+    for sign in (1.0, -1.0):
+        few = [(0, [1e12, 1.0]), (1, [sign * 1e12, 1.0]), (2, [1.0, 1.0])]
+        table = spark.createDataFrame(few, "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="leaves 64 bits: query 0, row 1"):
+            topk.top_k(table).collect()
+    assert [r.vec_id for r in topk.top_k(table, k=1).collect()] == [2]
+    odd = spark.createDataFrame([(0, [1e306]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="range of doubles"):
+        topk.top_k(odd).collect()
+
+
 def test_sum_and_selection_on_bitmaps():
     draw = np.random.Generator(np.random.PCG64(3))
     values = draw.integers(-500, 500, (300, 7))
