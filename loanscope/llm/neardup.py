@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanscope.llm.components import contracted
-from loanscope.llm.shingles import mixed, shingle_set
+from loanscope.llm.shingles import common_shingles, mixed, shingle_set
 from loanscope.llm.workspace import Workspace
 
 #: Hash functions of a signature.
@@ -77,8 +77,8 @@ def fewest_matches(threshold: float, miss: float = MISS) -> list[int]:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """MinHash signature of a set of hashes."""
-    small = (shingles >> np.uint64(32)).astype(np.uint32)
+    """MinHash signature of a set of shingles."""
+    small = (shingles[:, 0] >> np.uint64(32)).astype(np.uint32)
     least = np.full(HASHES, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(small), SPAN):
         hashed = _FACTOR[:, None] * small[None, at : at + SPAN]
@@ -360,9 +360,7 @@ def _similar(left: np.ndarray, right: np.ndarray, percent: int) -> bool:
     small, large = sorted((left, right), key=len)
     if 100 * len(small) < percent * len(large):
         return False
-    at = np.searchsorted(large, small)
-    at[at == len(large)] = 0
-    common = int((large[at] == small).sum())
+    common = common_shingles(small, large)
     return 100 * common >= percent * (len(left) + len(right) - common)
 
 

@@ -1,4 +1,4 @@
-"""Word shingles as 64-bit hashes, computed on whole arrays."""
+"""Word hashes and shingles, computed on whole arrays."""
 
 from __future__ import annotations
 
@@ -111,17 +111,54 @@ def word_hashes(text: str, separators: np.ndarray = SPACE) -> np.ndarray:
     return np.concatenate([words_of(s, separators).hashes() for s in spans(text_bytes(text), separators)])
 
 
+def _wide_hashes(span: np.ndarray) -> np.ndarray:
+    """128-bit hashes (n x 2) of the words of a stretch of bytes.
+
+    Each byte of a word gives a pseudo-random number that depends on its place in the word, and
+    the hash adds them up. No regular pattern in words makes these sums meet, as it can with a
+    polynomial modulo a power of two.
+    """
+    inside = ~SPACE[span]
+    letters = _LOWER[span[inside]]
+    edges = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]).astype(np.int8))
+    lengths = np.flatnonzero(edges == -1) - np.flatnonzero(edges == 1)
+    if not len(lengths):
+        return np.zeros((0, 2), np.uint64)
+    starts = np.cumsum(lengths) - lengths
+    place = (np.arange(len(letters)) - np.repeat(starts, lengths)).astype(np.uint64)
+    one = mixed(_BYTE[letters] + place * _BASE)
+    other = (one ^ (one >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    other ^= other >> np.uint64(32)
+    return np.column_stack([mixed(np.add.reduceat(one, starts)), mixed(np.add.reduceat(other, starts))])
+
+
 def shingle_set(text: str, size: int) -> np.ndarray:
-    """Distinct hashes of the word shingles of a text, in ascending order.
+    """Distinct 128-bit hashes (n x 2) of the word shingles of a text, in ascending order.
 
-    With fewer words than ``size`` the whole sequence is the one shingle; a text without
-    words has none.
+    Words are runs of bytes other than ASCII white space; A to Z count as a to z. With fewer
+    words than ``size`` the whole sequence is the one shingle; a text without words has none.
     """
-    words = word_hashes(text)
+    words = np.concatenate([_wide_hashes(s) for s in spans(text_bytes(text))])
     if not len(words):
         return words
     width = min(size, len(words))
-    total = np.full(len(words) - width + 1, width, np.uint64)
+    total = np.full((len(words) - width + 1, 2), width, np.uint64)
+    total[:, 1] += _INVERSE
     for i in range(width):
         total = mixed(total * _BASE + words[i : len(words) - width + 1 + i])
-    return np.unique(total)
+    total = total[np.argsort(total[:, 0], kind="stable")]
+    new = np.ones(len(total), bool)
+    new[1:] = (total[1:] != total[:-1]).any(axis=1)
+    if (total[1:, 0] == total[:-1, 0])[new[1:]].any():  # one first half with several second halves
+        return np.unique(total, axis=0)
+    return total[new]
+
+
+def common_shingles(left: np.ndarray, right: np.ndarray) -> int:
+    """How many shingles two sets share."""
+    small, large = sorted((left, right), key=len)
+    if not len(large) or (large[1:, 0] == large[:-1, 0]).any():
+        return len(set(map(tuple, left.tolist())) & set(map(tuple, right.tolist())))
+    at = np.searchsorted(large[:, 0], small[:, 0])
+    at[at == len(large)] = 0
+    return int((large[at] == small).all(axis=1).sum())

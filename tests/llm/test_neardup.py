@@ -5,7 +5,7 @@ from tests.llm.conftest import pairs
 
 from loanscope.llm import neardup
 from loanscope.llm.components import contracted
-from loanscope.llm.shingles import SPAN, shingle_set, word_hashes
+from loanscope.llm.shingles import SPAN, common_shingles, shingle_set, word_hashes
 from loanscope.llm.workspace import Workspace
 
 
@@ -85,10 +85,26 @@ def test_bands_and_posterior():
     agree = []
     for _ in range(200):
         common, own = draw.integers(0, 1 << 63, 85, dtype=np.uint64), draw.integers(0, 1 << 63, 15, dtype=np.uint64)
-        agree.append((neardup.signature(common) == neardup.signature(np.concatenate([common, own]))).mean())
+        both = lambda halves: np.column_stack([halves, halves])
+        agree.append((neardup.signature(both(common)) == neardup.signature(both(np.concatenate([common, own])))).mean())
     assert abs(np.mean(agree) - 0.85) < 0.01
 
 
+def test_words_with_a_regular_pattern_stay_apart(spark):
+    thue = [bin(i).count("1") % 2 for i in range(4096)]
+    pair = ["".join("ab"[bit ^ flip] for bit in thue[:1024]) for flip in (0, 1)]
+    assert not common_shingles(shingle_set(pair[0], 3), shingle_set(pair[1], 3))
+    docs = [(1, pair[0]), (2, pair[1]), (3, pair[0].upper()), (4, "".join("ab"[b] for b in thue)), (5, "".join("ba"[b] for b in thue))]
+    same(neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85).collect(), brute(docs, 3, 85))
+
+
+def test_sets_whose_hashes_agree_in_one_half():
+    left = np.array([[1, 1], [1, 2], [2, 5]], np.uint64)
+    right = np.array([[1, 2], [2, 5], [2, 6], [3, 1]], np.uint64)
+    assert common_shingles(left, right) == common_shingles(right, left) == 2
+    assert common_shingles(left[:0], right) == 0
+
+
 def test_words_are_split_at_ascii_space_only_and_long_texts_in_stretches():
     text = ("a b C\x0bd\x1ce " + "x" * 50 + "\n") * 9000 + "y" * (SPAN + 10) + " Z"
     assert len(text.encode()) > 2 * SPAN
