@@ -2,8 +2,9 @@
 
 Every check reports ``check_name, failed_row_count, details``; a check passes
 when the count is zero. Checks that only look at single rows share one pass over
-their table. Key checks and coverage aggregate ids before they exchange them, so
-a repeated id costs partial counts and never gathers in one task.
+their table. Checks of loan-month keys, coverage and adjacency share one reduction of
+the staged rows to a bitmap of months per loan (see ``loan_months``), so an exchange
+carries loans, and a repeated id costs partial results and never gathers in one task.
 """
 
 from __future__ import annotations
@@ -20,12 +21,20 @@ from loanscope.domain import (
     PERCENT_MISSING,
     SCORE_MISSING,
     SEGMENTS,
+    VINTAGES,
     ZERO_BALANCE_CODES,
 )
 from loanscope.functions.measures import TOTAL, total, total_where
 from loanscope.functions.parsing import TWO_DIGITS
+from loanscope.operators.loan_months import (
+    adjacent_count,
+    loan_months,
+    repeated_loan_months,
+    word_count,
+)
 from loanscope.operators.marts import COHORT, CORE_MEASURES, UNSOUND_PAIRS
 from loanscope.operators.staging import is_on_book
+from loanscope.sources.storage import scratch_dir, written
 
 RATE_TOLERANCE = 1e-10
 
@@ -47,6 +56,7 @@ class Layers:
     #: Reductions that several checks share; derived where they are not given.
     origination_pass: DataFrame | None = None
     performance_pass: DataFrame | None = None
+    loan_months: DataFrame | None = None
     flows: DataFrame | None = None
 
 
@@ -197,6 +207,12 @@ def performance_pass(performance: DataFrame, expect: Expectations) -> DataFrame:
     )
 
 
+def reduced_months(performance: DataFrame, expect: Expectations) -> DataFrame:
+    """The months of every loan, with room for all that a build expects."""
+    first_year = min([*expect.performance_rows, *expect.origination_rows, *VINTAGES])
+    return loan_months(performance, word_count(first_year, expect.window_end), first_year)
+
+
 def summed_failures(passed: DataFrame, columns: dict[str, str]) -> DataFrame:
     """``check_name, failed_row_count`` from columns of a reduced table, by check name."""
     sums = passed.agg(
@@ -240,15 +256,15 @@ def count_mismatch(
     )
 
 
-def uncovered_loans(origination: DataFrame, performance: DataFrame) -> DataFrame:
+def uncovered_loans(origination: DataFrame, observed: DataFrame) -> DataFrame:
     """Loans of one side only, with the rows they stand for (``failures``).
 
-    An origination id counts once per origination row, a performance id once; a
-    missing id matches nothing. Ids are reduced before the join, so an id that
-    repeats without end still reaches it as one row, and one join answers both
+    ``observed`` has the performance ids once each. An origination id counts once per
+    origination row, a performance id once; a missing id matches nothing. An id that
+    repeats without end still reaches the join as one row, and one join answers both
     directions.
     """
-    observed = performance.select("loan_id").distinct().withColumn("observed", F.lit(True))
+    observed = observed.select("loan_id", F.lit(True).alias("observed"))
     originated = origination.groupBy("loan_id").agg(F.count("*").alias("originations"))
     return (
         originated.join(observed, "loan_id", "full")
@@ -419,6 +435,13 @@ def failure_counts(
         given = layers.performance_pass
         return performance_pass(layers.performance, expect) if given is None else given
 
+    @cache
+    def months() -> DataFrame:
+        if layers.loan_months is not None:
+            return layers.loan_months
+        reduced = reduced_months(layers.performance, expect)
+        return written(reduced, f"{scratch_dir(reduced.sparkSession, 'months')}/loan_months")
+
     def wanted(names: Iterable[str]) -> dict[str, str]:
         return {name: name for name in DETAILS if name in names and name in chosen}
 
@@ -444,9 +467,7 @@ def failure_counts(
     set_checks: dict[str, Callable[[], DataFrame]] = {
         "source_row_counts": lambda: count_mismatch(originations(), performances(), expect),
         "origination_loan_id_unique": lambda: key_failures(layers.origination, ["loan_id"]),
-        "performance_loan_month_unique": lambda: key_failures(
-            layers.performance, ["loan_id", "as_of_month"]
-        ),
+        "performance_loan_month_unique": lambda: repeated_loan_months(layers.performance, months()),
         "segment_dimensions_complete": lambda: absent_dimensions(layers.monthly, layers.segments),
         "segment_totals_reconcile": lambda: measures_differ(
             segment_rollup(layers.segments), layers.monthly
@@ -461,7 +482,7 @@ def failure_counts(
         row_count(rows(), name) for name, rows in set_checks.items() if name in chosen
     ]
     if "origination_performance_coverage" in chosen:
-        uncovered = uncovered_loans(layers.origination, layers.performance)
+        uncovered = uncovered_loans(layers.origination, months())
         results.append(
             uncovered.agg(F.coalesce(F.sum("failures"), F.lit(0)).alias("failed_row_count")).select(
                 F.lit("origination_performance_coverage").alias("check_name"), "failed_row_count"
@@ -529,15 +550,32 @@ def population_identity_failures(monthly: DataFrame) -> DataFrame:
 EXTRA_DETAILS = {
     "vintage_matches_file_year": "A loan id names the vintage of its file.",
     "population_identity": "On-book loans split exactly into eligible and excluded ones.",
+    "transition_pairs_complete": "Pairs are as many as on-book months with a next month.",
 }
 
 
+def missing_pairs(reduced: DataFrame, flows: DataFrame) -> DataFrame:
+    """By how much the pairs of the flows differ in number from those that bitmaps show."""
+    due = reduced.agg(F.coalesce(F.sum(adjacent_count()), F.lit(0)).cast("bigint").alias("n"))
+    found = flows.agg(F.coalesce(F.sum(-F.col("transition_loan_count")), F.lit(0)).alias("n"))
+    return due.unionByName(found).agg(F.abs(F.sum("n")).alias("failed_row_count")).select(
+        F.lit("transition_pairs_complete").alias("check_name"), "failed_row_count"
+    )
+
+
 def extra_results(layers: Layers) -> DataFrame:
-    """Report of the checks beside the 19, from the origination reduction and the monthly mart."""
+    """Report of the checks beside the 19, from the reductions and the monthly mart.
+
+    Pairs are counted where both the flows and the months of loans are given. That holds for
+    unique loan-months, which the key checks see to.
+    """
     originations = layers.origination_pass
     if originations is None:
         originations = origination_pass(layers.origination)
     name = "vintage_matches_file_year"
     vintages = summed_failures(originations, {name: name})
     identity = row_count(population_identity_failures(layers.monthly), "population_identity")
-    return reported(vintages.unionByName(identity), EXTRA_DETAILS)
+    counts = vintages.unionByName(identity)
+    if layers.loan_months is not None and layers.flows is not None:
+        counts = counts.unionByName(missing_pairs(layers.loan_months, layers.flows))
+    return reported(counts, EXTRA_DETAILS)

@@ -3,8 +3,8 @@
 Work on loan-months, in order:
 
 * staging parses the files into parquet without an exchange;
-* the key checks exchange two columns. A repeated or missing key ends the build
-  here, as a unique constraint would: everything after it relies on one row per
+* the key checks exchange one row of month bitmaps per loan. A repeated or missing key ends
+  the build here, as a unique constraint would: everything after it relies on one row per
   loan and month, and joins on repeated ids could grow without bound;
 * the narrow performance columns are hash-partitioned by loan, once, for both the
   join with the dimension and the clustered panel. Everything that follows a loan
@@ -43,6 +43,7 @@ from loanscope.operators.quality import (
     failure_counts,
     origination_pass,
     performance_pass,
+    reduced_months,
     reported,
     validation_summary,
 )
@@ -193,7 +194,9 @@ def _built(
     dim = store.write("curated.dim_loan", dim_loan(origination))
     steps.done("dimension")
 
-    staged = Layers(origination=origination, performance=performance)
+    # One exchange of loans serves the key checks, the coverage and the count of pairs.
+    months = store.write("quality.loan_months", reduced_months(performance, expect))
+    staged = Layers(origination=origination, performance=performance, loan_months=months)
     key_counts = failure_counts(staged, expect, KEY_CHECKS)
     keys = store.write("quality.key_checks", reported(key_counts, DETAILS))
     _require_passed(keys, store)
@@ -240,6 +243,7 @@ def _built(
             transitions=transitions,
             origination_pass=passes[0],
             performance_pass=passes[1],
+            loan_months=months,
             flows=flows,
         )
         others = [name for name in DETAILS if name not in KEY_CHECKS]

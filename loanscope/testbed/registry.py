@@ -17,7 +17,16 @@ from loanscope.domain import (
     PERFORMANCE_FIELDS,
     VINTAGES,
 )
-from loanscope.operators import curated, exports, marts, panels, quality, raw_profile, suppression
+from loanscope.operators import (
+    curated,
+    exports,
+    loan_months,
+    marts,
+    panels,
+    quality,
+    raw_profile,
+    suppression,
+)
 from loanscope.operators.export_quality import (
     DETAILS as EXPORT_DETAILS,
     dashboard_input_problems,
@@ -484,7 +493,7 @@ def _expectations(spark: SparkSession, sf_dir: str) -> quality.Expectations:
 class _Layers:
     """The clean panel's tables, each derived when a check asks for it."""
 
-    origination_pass = performance_pass = flows = None
+    origination_pass = performance_pass = loan_months = flows = None
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._source = spark, sf_dir
@@ -1286,6 +1295,36 @@ _register(
     ),
 )
 
+_register(
+    "loan_month_summary",
+    lambda s, d: loan_months.month_summary(
+        loan_months.loan_months(panel.fact(s, d), loan_months.word_count(2019, panel.WINDOW_END))
+    ),
+    statement(
+        "select loan_id, count(*) as row_count, count(distinct as_of_month) as months, "
+        "count(*) filter (is_on_book_eom and next = as_of_month + interval 1 month) as adjacent_pairs "
+        "from (select *, lead(as_of_month) over (partition by loan_id order by as_of_month) as next from fact) "
+        "group by loan_id"
+    ),
+)
+_register(
+    "repeated_loan_months_dirty",
+    lambda s, d: _repeated_dirty(s, d),
+    statement(
+        "select loan_id, as_of_month, count(*) as n from perf group by 1, 2 "
+        "having count(*) > 1 or loan_id is null or as_of_month is null",
+        dirty=True,
+    ),
+)
+
+
+def _repeated_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dirty.layers(spark, sf_dir).performance
+    reduced = loan_months.loan_months(rows, 1)  # months after the first 64 are told apart row by row
+    stored = storage.written(reduced, f"{storage.scratch_dir(spark, 'months')}/reduced")
+    return loan_months.repeated_loan_months(rows, stored)
+
+
 # Sums as whole cents, which no floating-point number stands between.
 _register(
     "exact_totals",

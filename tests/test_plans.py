@@ -51,6 +51,7 @@ def test_the_gate_reads_each_table_few_times(spark, tmp_path):
     fact = store.write("curated.f", panel.fact(spark, SF))
     flows = marts.monthly_flows(curated.next_month_pairs_ordered(fact))
     passes = quality.origination_pass(origination), quality.performance_pass(performance, expect)
+    months = quality.reduced_months(performance, expect)
     layers = quality.Layers(
         origination=origination,
         performance=performance,
@@ -60,21 +61,35 @@ def test_the_gate_reads_each_table_few_times(spark, tmp_path):
         transitions=store.write("mart.t", marts.transitions_of(flows)),
         origination_pass=store.write("quality.o", passes[0]),
         performance_pass=store.write("quality.p", passes[1]),
+        loan_months=store.write("quality.m", months),
         flows=store.write("curated.flows", flows),
     )
-    names = [n for n in quality.DETAILS if not n.endswith("_unique")]
+    names = [n for n in quality.DETAILS if n != "origination_loan_id_unique"]
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)  # whole paths
     try:
         gate = plan(quality.failure_counts(layers, expect, names))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     scans = lambda text, name: len(re.findall(rf"Location: [^\n]*{re.escape(name)}[\],]", text))
-    assert scans(gate, "staging/p") == 1 and plan(passes[1]).count("FileScan") == 1
+    # Rows are read for the passes and the bitmaps; the key check adds none where loans are clear.
+    assert plan(passes[1]).count("FileScan") == 1 and plan(months).count("FileScan") == 1
+    assert scans(gate, "staging/p") == 0
     assert scans(gate, "staging/o") == 1 and plan(passes[0]).count("FileScan") == 1
     assert scans(gate, "curated/f") == 1
     assert not re.search(r"Window \[lead", gate)
 
 
+def test_key_checks_exchange_loans(spark, tmp_path):
+    store = RunStore(spark, str(tmp_path), "plan")
+    rows = store.write("staging.p", panel.staged_performance(spark, SF))
+    text = plan(quality.reduced_months(rows, quality.Expectations({}, {}, panel.WINDOW_END, [])))
+    assert [keys.split("#")[0] for keys in exchanges(text)] == ["loan_id"]
+    # Below the exchange bitmaps are put together already, and only key columns are read.
+    assert re.search(r"partial_bit_or", text[text.index("Exchange") :])
+    schema = re.search(r"ReadSchema: struct<([^>]*)", text).group(1)
+    assert {c.split(":")[0] for c in schema.split(",")} == {"loan_id", "as_of_month", "is_on_book_eom"}
+
+
 def test_row_checks_share_one_pass(spark, tmp_path):
     rows = RunStore(spark, str(tmp_path), "plan").write("staging.p", panel.staged_performance(spark, SF))
     layers = quality.Layers(performance=rows)
