@@ -7,8 +7,9 @@
    m * m pairs. First its classes meet one pivot, and links found join components. Buckets
    whose classes all lie in one component are done, as classes in one component need no
    comparison. Other buckets that overlap make up an arena; there every class outside the
-   largest component is compared with everyone, in blocks of bounded size inside tasks, and
-   only links that join components come out. So no link between candidates is missed.
+   largest component is compared with everyone, in blocks of bounded size inside tasks: first
+   by signatures, then texts are sent to the blocks where they have a likely partner. Only
+   links that join components come out. So no link between candidates is missed.
 3. A pair's signatures are compared in batches. After each batch the posterior chance
    that the similarity reaches the threshold, from a uniform prior, is looked up; below
    the chosen miss probability the pair is dropped (Satuluri and Parthasarathy, 2012).
@@ -40,8 +41,8 @@ MISS = 1e-6
 #: Shingles hashed at once, to bound the memory of long texts.
 SPAN = 2048
 
-#: Classes of a block in which candidates meet.
-BLOCK = 512
+#: Classes of a block in which candidates meet, and bytes of their texts.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 
 _RULE = np.random.Generator(np.random.PCG64(77))
 _FACTOR = _RULE.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -246,7 +247,8 @@ def _components(
     signatures = work.table("signatures", chosen.select("rep", "signature").join(scores, "rep"))
     reps = signatures.select("rep", "score").distinct()
     texts = source.join(reps.select(F.col("rep").alias("doc_id")), "doc_id")
-    texts = work.table("texts", texts.select(F.col("doc_id").alias("rep"), "text"))
+    length = F.octet_length("text").cast("long").alias("length")
+    texts = work.table("texts", texts.select(F.col("doc_id").alias("rep"), "text", length))
 
     # First every class of a bucket meets the bucket's pivot.
     pivot = F.max_by("rep", F.struct("score", F.xxhash64("rep"))).alias("a")
@@ -267,8 +269,12 @@ def _components(
     if arenas is None:
         return labels
     arenas = arenas.select(F.col("node").alias("rep"), F.col("root").alias("arena"))
-    met = _blocks(work, arenas.join(labels, "rep"))
-    rows = met.join(signatures.select("rep", "signature"), "rep").join(texts, "rep")
+    # Signatures say who has a likely partner in a block; only those texts are sent there.
+    lengths = texts.groupBy("rep").agg(F.max("length").alias("length"))
+    met = _blocks(work, arenas.join(labels, "rep").join(lengths, "rep"))
+    signed = signatures.select("rep", "signature")
+    likely = met.join(signed, "rep").groupBy("arena", "i", "j").applyInArrow(_partners(fewest), MET)
+    rows = work.table("likely", likely).join(signed, "rep").join(texts.drop("length"), "rep")
     found = rows.groupBy("arena", "i", "j").applyInArrow(
         _meet(shingle, percent, fewest), "a long, b long"
     )
@@ -290,20 +296,21 @@ def _blocks(work: Workspace, members: DataFrame) -> DataFrame:
     """Classes dealt to the blocks in which they meet.
 
     The largest component of an arena is settled within itself, so the pairs to compare are
-    those of the rest with everyone. Both sides are cut into blocks of bounded size, and
-    block i of everyone meets block j of the rest in one group.
+    those of the rest with everyone. Both sides are cut into blocks of about ``BLOCK`` classes
+    and at most about ``BLOCK_BYTES`` of text, and block i of everyone meets block j of the
+    rest in one group. ``length`` is that of a class's text, which itself stays away.
     """
     members = work.table("arena-members", members)
-    sizes = members.groupBy("arena", "root").count()
+    sizes = members.groupBy("arena", "root").agg(F.count("*").alias("n"), F.sum("length").alias("length"))
+    largest = F.max(F.struct("n", "root", "length"))
     sizes = sizes.groupBy("arena").agg(
-        F.max_by("root", F.struct("count", "root")).alias("main"),
-        F.sum("count").alias("n"),
-        F.max("count").alias("settled"),
+        largest.alias("main"), F.sum("n").alias("n"), F.sum("length").alias("length")
     )
-    blocks = lambda n: F.ceil(F.expr(n) / BLOCK)
-    placed = members.join(sizes, "arena").select(
-        "arena", "rep", "root", "main",
-        blocks("n").alias("across"), blocks("n - settled").alias("down"),
+    blocks = lambda n, length: F.ceil(F.greatest(n / BLOCK, length / BLOCK_BYTES))
+    placed = members.drop("length").join(sizes, "arena").select(
+        "arena", "rep", "root", F.col("main.root").alias("main"),
+        blocks(F.col("n"), F.col("length")).alias("across"),
+        blocks(F.col("n") - F.col("main.n"), F.col("length") - F.col("main.length")).alias("down"),
     )
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
@@ -316,6 +323,39 @@ def _blocks(work: Workspace, members: DataFrame) -> DataFrame:
     return everyone.unionByName(rest)
 
 
+MET = "arena long, i long, j long, rep long, root long, rest boolean"
+
+
+def _partners(fewest: list[int]):
+    """The rows of a block that have a likely partner in another component."""
+
+    def partners(table: pa.Table) -> pa.Table:
+        root, rest = table.column("root").to_numpy(), table.column("rest").to_numpy()
+        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16)
+        signature = signature.reshape(-1, HASHES)
+        everyone, found = np.flatnonzero(~rest), np.zeros(len(root), bool)
+        for x in np.flatnonzero(rest):
+            open_, _ = _open(signature, x, everyone[root[everyone] != root[x]], fewest)
+            found[open_] = True
+            found[x] = len(open_) > 0
+        return table.drop_columns("signature").filter(pa.array(found)).select([c.split(" ")[0] for c in MET.split(", ")])
+
+    return partners
+
+
+def _open(signature: np.ndarray, x: int, others: np.ndarray, fewest: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the others that the posterior leaves as partners of x, and their matches."""
+    matches = np.zeros(len(others), np.int64)
+    for i, least in enumerate(fewest):
+        part = slice(i * BATCH, (i + 1) * BATCH)
+        matches += (signature[others, part] == signature[x, part]).sum(axis=1)
+        likely = matches >= least
+        others, matches = others[likely], matches[likely]
+        if not len(others):
+            break
+    return others, matches
+
+
 def _meet(size: int, percent: int, fewest: list[int]):
     """Compares the rest of an arena with a block of everyone; links that join components."""
 
@@ -337,15 +377,7 @@ def _meet(size: int, percent: int, fewest: list[int]):
         everyone = np.flatnonzero(~rest)
         links = []
         for x in np.flatnonzero(rest):
-            open_ = everyone[label[everyone] != label[x]]
-            matches = np.zeros(len(open_), np.int64)
-            for i, least in enumerate(fewest):
-                part = slice(i * BATCH, (i + 1) * BATCH)
-                matches += (signature[open_, part] == signature[x, part]).sum(axis=1)
-                likely = matches >= least
-                open_, matches = open_[likely], matches[likely]
-                if not len(open_):
-                    break
+            open_, matches = _open(signature, x, everyone[label[everyone] != label[x]], fewest)
             for y in open_[np.argsort(-matches, kind="stable")]:
                 if label[y] != label[x] and _similar(shingles(x), shingles(y), percent):
                     links.append((int(rep[x]), int(rep[y])))

@@ -62,6 +62,31 @@ def test_groups_of_edited_copies(spark, monkeypatch):
     same(neardup.near_duplicates(table).collect(), brute(docs, 5, 80))
 
 
+def test_texts_go_only_where_a_partner_is_likely(spark, monkeypatch):
+    blocks, met = neardup._blocks, []
+
+    def spied(work, members):
+        assert set(members.columns) == {"arena", "rep", "root", "length"}
+        made = blocks(work, members)
+        assert set(made.columns) == {"arena", "i", "j", "rep", "root", "rest"}
+        met.append(made.select("i").distinct().count())
+        return made
+
+    monkeypatch.setattr(neardup, "_blocks", spied)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 1500)
+    draw = random.Random(8)
+    docs = []
+    for group in range(4):
+        base = [f"w{draw.randint(0, 900)}" for _ in range(60)]
+        for _ in range(40):
+            copy = list(base)
+            for _ in range(draw.randint(1, 5)):
+                copy[draw.randrange(60)] = f"x{draw.randint(0, 9999)}"
+            docs.append((len(docs), " ".join(copy)))
+    same(neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85).collect(), brute(docs, 3, 85))
+    assert met and met[0] > 1
+
+
 def test_chains_of_links(spark):
     words = [f"w{i}" for i in range(400)]
     docs = [(100 - i, " ".join(words[3 * i : 3 * i + 100])) for i in range(60)]
