@@ -1,9 +1,12 @@
 """Profile of the raw files and the failures it implies.
 
 Each file set is scanned and parsed once. The scan reduces to one row of counters
-per year and loan (and per unusual code, which are rare in usable data), and that
-much smaller table answers everything else: totals, code histograms, repeated
-ids, coverage between the two file sets and overlap between vintages.
+per year and loan, and that much smaller table answers nearly everything: totals,
+repeated ids, coverage between the two file sets and overlap between vintages.
+
+Files with unusual codes are scanned again for their histogram. A shifted column can
+have as many codes as lines, so a sketch of bounded size finds the frequent ones, these
+are counted exactly, and the rest is one row.
 """
 
 from __future__ import annotations
@@ -138,20 +141,29 @@ def _loan() -> Column:
     return F.expr(f"if(is_malformed, NULL, {_present('loan_id')}) AS loan_id")
 
 
+#: Codes shown for each year and metric, and codes that the sketch behind them follows. A code is
+#: sure to be found if its share of the unusual ones is above a few times 1 / TRACKED_CODES.
+SHOWN_CODES, TRACKED_CODES = 100, 10_000
+#: Longer text is no code; it counts with the rest.
+LONGEST_CODE = 100
+#: Item of the unusual codes that are not shown.
+OTHER_CODES = "<other>"
+
+_STATUS, _CODE = _present("current_loan_delinquency_status"), _present("zero_balance_code")
+#: metric -> (condition of a usual value, how a value is shown)
+_CODED = {
+    "invalid_delinquency_statuses": (
+        f"{_STATUS} RLIKE r'{TWO_DIGITS}' OR {_STATUS} IN ({', '.join(repr(n) for n in NON_NUMERIC_STATUSES)})",
+        f"if({_STATUS} = '', '<blank>', {_STATUS})",
+    ),
+    "invalid_zero_balance_codes": (
+        f"{_CODE} IN ({', '.join(repr(n) for n in ['', *ZERO_BALANCE_CODES])})", _CODE
+    ),
+}
+
+
 def reduce_performance(lines: DataFrame) -> DataFrame:
-    """Counters per year, loan and unusual code over the performance lines."""
-    status, code = _present("current_loan_delinquency_status"), _present("zero_balance_code")
-    known_statuses = ", ".join(f"'{name}'" for name in NON_NUMERIC_STATUSES)
-    known_codes = ", ".join(f"'{name}'" for name in ["", *ZERO_BALANCE_CODES])
-    usual_status = f"{status} RLIKE r'{TWO_DIGITS}' OR {status} IN ({known_statuses})"
-    unusual = {
-        "invalid_delinquency_statuses": (usual_status, f"if({status} = '', '<blank>', {status})"),
-        "invalid_zero_balance_codes": (f"{code} IN ({known_codes})", code),
-    }
-    keys = [
-        F.expr(f"if(is_malformed OR {usual}, NULL, {shown}) AS {name}")
-        for name, (usual, shown) in unusual.items()
-    ]
+    """Counters per year and loan over the performance lines."""
     usable_period = f"NOT is_malformed AND {is_valid_month('period')}"
     valid_period = f"(try_cast(period AS bigint)) FILTER (WHERE {usable_period})"
     counters = {
@@ -163,8 +175,42 @@ def reduce_performance(lines: DataFrame) -> DataFrame:
         **_missing_counters(PERFORMANCE_REQUIRED),
         "min_performance_month": f"min{valid_period}",
         "max_performance_month": f"max{valid_period}",
+        **{metric: _usable(f"NOT ({usual})") for metric, (usual, _) in _CODED.items()},
     }
-    return _counted(split_fields(lines, PERFORMANCE_FIELDS), [_loan(), *keys], counters)
+    return _counted(split_fields(lines, PERFORMANCE_FIELDS), [_loan()], counters)
+
+
+def has_unusual_codes(performance: DataFrame) -> bool:
+    """Whether the reduced table counts any."""
+    return not performance.filter(" OR ".join(f"{metric} > 0" for metric in _CODED)).isEmpty()
+
+
+def unusual_codes(lines: DataFrame) -> DataFrame:
+    """``source_year, metric, item`` of each unusual code that is short enough for one."""
+    rows = split_fields(lines, PERFORMANCE_FIELDS).filter("NOT is_malformed")
+    found = [
+        f"if({usual}, NULL, struct('{metric}' AS metric, {shown} AS item))"
+        for metric, (usual, shown) in _CODED.items()
+    ]
+    codes = rows.select("source_year", F.explode(F.expr(f"array({', '.join(found)})")).alias("code"))
+    return codes.select("source_year", "code.*").filter(F.char_length("item") <= LONGEST_CODE)
+
+
+def frequent_codes(codes: DataFrame) -> DataFrame:
+    """``source_year, metric, item``: candidates for the most frequent codes, a bounded number."""
+    top = F.expr(f"approx_top_k(item, {SHOWN_CODES}, {TRACKED_CODES})").alias("top")
+    return codes.groupBy("source_year", "metric").agg(top).select(
+        "source_year", "metric", F.explode("top.item").alias("item")
+    )
+
+
+def counted_codes(codes: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``source_year, metric, item, value``: how often the given codes occur, exactly.
+
+    ``frequent`` has at most ``SHOWN_CODES`` rows for each year and metric, so it is broadcast.
+    """
+    key = ["source_year", "metric", "item"]
+    return codes.join(F.broadcast(frequent), key).groupBy(*key).agg(F.count("*").alias("value"))
 
 
 _COMBINE: dict[str, Callable[[str], Column]] = {
@@ -175,7 +221,7 @@ _COMBINE: dict[str, Callable[[str], Column]] = {
 
 def _totals(reduced: DataFrame, dataset: str) -> DataFrame:
     """Counters summed per year, one row per metric and item, also where nothing was found."""
-    keys = {"source_year", "loan_id", "invalid_delinquency_statuses", "invalid_zero_balance_codes"}
+    keys = {"source_year", "loan_id", *_CODED}
     counters = [name for name in reduced.columns if name not in keys]
     per_year = reduced.groupBy("source_year").agg(
         *(_COMBINE.get(name, F.sum)(F.col(f"`{name}`")).alias(name) for name in counters)
@@ -191,22 +237,23 @@ def _totals(reduced: DataFrame, dataset: str) -> DataFrame:
     )
 
 
-def _histogram(reduced: DataFrame, code: str) -> DataFrame:
-    """Lines per unusual code; a year without any has one row of zero without item."""
-    per_code = reduced.groupBy("source_year", F.col(code).alias("item")).agg(
-        F.sum("row_count").alias("value")
-    )
-    none = (
-        reduced.groupBy("source_year")
-        .agg(F.count(code).alias("value"))
-        .filter("value = 0")
-        .select("source_year", F.lit(None).cast("string").alias("item"), "value")
-    )
-    return (
-        per_code.filter("item IS NOT NULL")
-        .unionByName(none)
-        .selectExpr("'performance' AS dataset", "source_year", f"'{code}' AS metric", "item", "value")
+def _histogram(reduced: DataFrame, codes: DataFrame | None, metric: str) -> DataFrame:
+    """Lines per shown code and those of all others; they add up to the total of the year.
+
+    A year without any unusual code has one row of zero without item.
+    """
+    totals = reduced.groupBy("source_year").agg(F.coalesce(F.sum(metric), F.lit(0)).alias("total"))
+    rest = totals.withColumn("shown", F.lit(0).cast("bigint"))
+    if codes is not None:
+        own = codes.filter(F.col("metric") == metric)
+        sums = own.groupBy("source_year").agg(F.sum("value").alias("shown"))
+        rest = totals.join(sums, "source_year", "left").fillna(0, ["shown"])
+    item = F.when(F.col("total") > 0, F.lit(OTHER_CODES)).alias("item")
+    rest = rest.filter("total = 0 OR total > shown").select(
+        "source_year", item, (F.col("total") - F.col("shown")).alias("value")
     )
+    shown = rest if codes is None else rest.unionByName(own.select("source_year", "item", "value"))
+    return shown.selectExpr("'performance' AS dataset", "source_year", f"'{metric}' AS metric", "item", "value")
 
 
 def _count_per_year(rows: DataFrame, dataset: str, metric: str, value: Column) -> DataFrame:
@@ -219,16 +266,19 @@ def _count_per_year(rows: DataFrame, dataset: str, metric: str, value: Column) -
     )
 
 
-def raw_profile(origination: DataFrame, performance: DataFrame) -> DataFrame:
+def raw_profile(
+    origination: DataFrame, performance: DataFrame, codes: DataFrame | None = None
+) -> DataFrame:
     """Profile in long form: ``dataset, source_year, metric, item, value``.
 
     Takes the two reduced tables; store them first, since every part of the
-    profile reads them. Counters that found nothing are there as zero. ``source_year``
-    is NULL for the vintage overlap.
+    profile reads them. ``codes`` are the counted codes, to be given where there are unusual
+    ones. Counters that found nothing are there as zero. ``source_year`` is NULL for the
+    vintage overlap.
     """
     known = F.col("loan_id").isNotNull()
     originated = origination.filter(known).select("source_year", "loan_id")
-    observed = performance.filter(known).select("source_year", "loan_id").distinct()
+    observed = performance.filter(known).select("source_year", "loan_id")
     overlap = originated.groupBy("loan_id").agg(F.count("*").alias("vintages")).filter("vintages > 1")
     # One join of the reduced ids answers both directions of the coverage.
     covered = originated.withColumn("in_origination", F.lit(True)).join(
@@ -243,8 +293,7 @@ def raw_profile(origination: DataFrame, performance: DataFrame) -> DataFrame:
             "duplicate_loan_ids",
             F.sum(F.when(known, F.col("row_count") - 1)),
         ),
-        _histogram(performance, "invalid_delinquency_statuses"),
-        _histogram(performance, "invalid_zero_balance_codes"),
+        *(_histogram(performance, codes, metric) for metric in _CODED),
         _count_per_year(
             covered,
             "performance",

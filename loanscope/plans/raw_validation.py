@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanscope.domain import VINTAGES
 from loanscope.operators.raw_profile import (
+    counted_codes,
     file_summary,
+    frequent_codes,
+    has_unusual_codes,
     raw_failures,
     raw_profile,
     reduce_origination,
     reduce_performance,
+    unusual_codes,
     write_report,
 )
 from loanscope.sources.delimited import (
@@ -34,14 +38,20 @@ class RawValidation:
 
 
 def profile_files(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Profile of both file sets, each scanned once."""
+    """Profile of both file sets, each scanned once, and again only for unusual codes."""
     scratch = scratch_dir(spark, "profile")
+    paths = {dataset: dataset_glob(raw_dir, dataset) for dataset in DATASETS}
+    lines = {dataset: scan_lines(spark, path) for dataset, path in paths.items()}
     reducers = {"origination": reduce_origination, "performance": reduce_performance}
-    reduced = [
-        written(reducer(scan_lines(spark, dataset_glob(raw_dir, dataset))), f"{scratch}/{dataset}")
-        for dataset, reducer in reducers.items()
-    ]
-    return raw_profile(*reduced)
+    origination, performance = (
+        written(reducer(lines[dataset]), f"{scratch}/{dataset}") for dataset, reducer in reducers.items()
+    )
+    codes = None
+    if has_unusual_codes(performance):
+        unusual = unusual_codes(lines["performance"])
+        frequent = written(frequent_codes(unusual), f"{scratch}/frequent")
+        codes = written(counted_codes(unusual, frequent), f"{scratch}/codes")
+    return raw_profile(origination, performance, codes)
 
 
 def validate_raw(

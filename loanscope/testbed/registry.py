@@ -1325,6 +1325,36 @@ def _repeated_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loan_months.repeated_loan_months(rows, stored)
 
 
+def _with_many_codes(lines: DataFrame) -> DataFrame:
+    """A status of its own in many lines, as a shifted column has it, and one common bad code."""
+    mp, value = F.col("mp"), F.col("value")
+    own = F.concat(F.lit("$1S"), "loan_id", F.lit("-"), mp)
+    several = F.regexp_replace(value, F.lit(r"^((?:[^|]*\|){3})[^|]*"), own)
+    common = _with_field(value, 9, "77")
+    return lines.withColumn("value", F.when(mp % 3 == 1, several).when(mp % 7 == 2, common).otherwise(value))
+
+
+def _bounded_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = F.col("metric").isin("invalid_delinquency_statuses", "invalid_zero_balance_codes")
+    rows = profile_files(spark, _raw_files(spark, sf_dir, _with_many_codes)).filter(coded)
+    return rows.groupBy("source_year", "metric").agg(
+        F.sum("value").alias("value"),
+        F.coalesce(F.sum(F.when(F.col("item") == "77", F.col("value"))), F.lit(0)).alias("of_77"),
+        (F.count("*") <= raw_profile.SHOWN_CODES + 1).alias("bounded"),
+    )
+
+
+_register(
+    "raw_codes_bounded",
+    _bounded_codes,
+    statement(
+        "select source_year, 'invalid_delinquency_statuses' as metric, count(*) filter (mp % 3 = 1) as value, "
+        "0 as of_77, true as bounded from perf group by 1 union all "
+        "select source_year, 'invalid_zero_balance_codes', count(*) filter (mp % 3 <> 1 and mp % 7 = 2), "
+        "count(*) filter (mp % 3 <> 1 and mp % 7 = 2), true from perf group by 1"
+    ),
+)
+
 # Sums as whole cents, which no floating-point number stands between.
 _register(
     "exact_totals",

@@ -154,6 +154,27 @@ def test_profile_counts_planted_damage(spark, raw):
     }
 
 
+def test_codes_without_end_give_a_bounded_profile(spark, raw, tmp_path, monkeypatch):
+    monkeypatch.setattr("loanscope.operators.raw_profile.SHOWN_CODES", 5)
+    monkeypatch.setattr("loanscope.operators.raw_profile.TRACKED_CODES", 40)
+    files, _ = raw
+    files[PERF_2019] += [performance_line(3, "202103", current_loan_delinquency_status=f"S{i}") for i in range(400)]
+    files[PERF_2019] += [performance_line(3, "202103", current_loan_delinquency_status="Q7") for _ in range(150)]
+    files[PERF_2019] += [performance_line(3, "202103", zero_balance_code=c) for c in ["77", "77", "78", "x" * 5000]]
+    raw_dir, _ = write(raw)
+    result = validate_raw(spark, raw_dir, {}, str(tmp_path / "report"))
+    found = {}
+    for row in result.profile.filter("source_year = 2019").collect():
+        found.setdefault(row.metric, {})[row.item] = row.value
+    statuses = found["invalid_delinquency_statuses"]
+    assert len(statuses) <= 6 and statuses["Q7"] == 150 and sum(statuses.values()) == 550
+    assert found["invalid_zero_balance_codes"] == {"77": 2, "78": 1, "<other>": 1}
+    messages = {r.message for r in result.failures.collect()}
+    assert {"2019 performance: invalid_delinquency_statuses=550", "2019 performance: invalid_zero_balance_codes=4"} <= messages
+    clean = {r.item: r.value for r in result.profile.filter("source_year = 2020 AND metric = 'invalid_zero_balance_codes'").collect()}
+    assert clean == {None: 0}
+
+
 def test_clean_files_pass_the_raw_validation(spark, raw, tmp_path):
     raw_dir, _ = write(raw)
     expected_rows = {(d, y): n for y in (2019, 2020) for d, n in (("origination", 40), ("performance", 560))}
