@@ -148,6 +148,8 @@ class _Steps:
 
 
 PANEL = "curated.fact_loan_month"
+#: Buckets by loan serve whatever follows a loan through time, the order in them filters by month.
+PANEL_ORDER = ["as_of_month", "loan_id"]
 KEY_CHECKS = ["origination_loan_id_unique", "performance_loan_month_unique"]
 
 
@@ -214,7 +216,7 @@ def _built(
             PANEL,
             clustered_panel(performance, dim, buckets),
             by="loan_id",
-            order=["loan_id", "as_of_month"],
+            order=PANEL_ORDER,
             buckets=buckets,
         )
         steps.done("panel")

@@ -21,6 +21,8 @@ from loanscope.sources.publication import (
     sweep,
 )
 
+#: Bytes of a row group of a clustered table, before compression: a bucket has several.
+ROW_GROUP_BYTES = 16 << 20
 #: Folder of the runs below a root.
 RUNS = "runs"
 
@@ -94,10 +96,14 @@ class RunStore:
         return written(table, self.table_path(name))
 
     def write_clustered(
-        self, name: str, table: DataFrame, by: str, order: list[str], buckets: int
+        self, name: str, table: DataFrame, by: str, order: list[str], buckets: int,
+        row_group_bytes: int = ROW_GROUP_BYTES,
     ) -> DataFrame:
         """Store a table hash-clustered by a column and return its bucketed view.
 
+        Inside a bucket rows lie in the given order, in row groups of the given size: a filter
+        on the first column of the order reads those row groups whose range holds the value.
+
         Expects rows already hash-partitioned by the column into as many
         partitions as buckets; each task then writes one file. Later joins and
         windows by the column need no exchange. The catalog entry is only needed
@@ -109,6 +115,7 @@ class RunStore:
             table.write.format("parquet")
             .bucketBy(buckets, by)
             .sortBy(*order)
+            .option("parquet.block.size", row_group_bytes)
             .option("path", self.table_path(name))
             .mode("errorifexists")
             .saveAsTable(entry)

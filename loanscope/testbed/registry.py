@@ -1355,6 +1355,22 @@ _register(
     ),
 )
 
+def _stored_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month out of the stored panel, which is clustered by loan and ordered by month."""
+    fact = _built(spark, sf_dir).store.read(build_plan.PANEL)
+    month = fact.filter(F.col("as_of_month") == F.lit(SNAPSHOT).cast("date"))
+    return month.groupBy("monitoring_state", "origination_year").agg(F.count("*").alias("loans"))
+
+
+_register(
+    "stored_panel_month",
+    _stored_month,
+    statement(
+        "select monitoring_state, origination_year, count(*) as loans from fact "
+        f"where as_of_month = date '{SNAPSHOT}' group by 1, 2"
+    ),
+)
+
 # Sums as whole cents, which no floating-point number stands between.
 _register(
     "exact_totals",

@@ -1,9 +1,14 @@
 """Shapes of physical plans that matter at scale."""
 
+import datetime
+import glob
 import re
 
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
 from loanscope.operators import curated, marts, quality
-from loanscope.plans.build import clustered_panel
+from loanscope.plans.build import PANEL_ORDER, clustered_panel
 from loanscope.sources.storage import RunStore
 from loanscope.testbed import panel
 
@@ -24,13 +29,27 @@ def test_clustered_panel_needs_no_exchange_by_loan(spark, tmp_path):
         "curated.fact_loan_month",
         panel.fact(spark, SF).repartition(4, "loan_id"),
         "loan_id",
-        ["loan_id", "as_of_month"],
+        PANEL_ORDER,
         4,
+        row_group_bytes=16 << 10,
     )
     text = plan(marts.transition_monthly(curated.next_month_pairs_ordered(fact)))
     assert exchanges(text)
     assert not any("loan_id" in keys for keys in exchanges(text))
     assert text.count("FileScan") == 1
+    # The same files serve a month: few row groups have it in their range.
+    month, held, all_ = datetime.date(2022, 5, 1), 0, 0
+    for path in glob.glob(f"{store.table_path('curated.fact_loan_month')}/*.parquet"):
+        footer = pq.ParquetFile(path).metadata
+        at = [i for i in range(footer.num_columns) if footer.schema.column(i).name == "as_of_month"][0]
+        for group in range(footer.num_row_groups):
+            range_ = footer.row_group(group).column(at).statistics
+            all_ += 1
+            held += range_.min <= month <= range_.max
+    assert all_ >= 20 and 0 < held <= all_ / 4
+    one = store.read("curated.fact_loan_month").filter(F.col("as_of_month") == F.lit(month))
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(as_of_month,2022-05-01\)", plan(one))
+    assert one.count() == fact.filter(F.col("as_of_month") == F.lit(month)).count() > 0
     store.forget("curated.fact_loan_month")
 
 
