@@ -34,10 +34,12 @@ EPOCHS, STEP_DOCS, RATE, DECAY = 20, 64, 0.2, 5e-4
 #: A feature counts if it is seen so often and lies so far from chance, in standard deviations.
 LEAST_SEEN, SIGMAS = 5, 4.0
 #: Documents whose chance of being bad exceeds this are rejected.
-REJECT_ABOVE = 0.3
+REJECT_ABOVE = 0.4
 
-#: How much less often than chance a labeller errs, and the weight of that belief.
-ERROR, BELIEF = 0.02, 1.0
+#: How much less often than chance a labeller errs, and the documents that this belief is worth.
+ERROR, BELIEF_DOCS = 0.02, 50
+#: How often a trusted labeller errs.
+TRUSTED_ERROR = 0.002
 
 SILENT, GOOD, BAD = 0, 1, 2
 HEURISTICS = ("symbols", "capitals", "repeated_words", "few_words", "bare_symbols")
@@ -107,41 +109,72 @@ NOTHING[-1] = -100.0
 # -- label model -----------------------------------------------------------------
 
 
-def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+def _beliefs(spoken: np.ndarray, kinds: int) -> np.ndarray:
+    """Vote rates (labellers x classes x votes) before any document is seen.
+
+    ``spoken`` are the labellers' overall rates. No labeller errs often; with a kind for each
+    labeller, it calls about half of its own kind bad and others as often as all documents.
+    """
+    believed = np.repeat(spoken[:, None, :], 1 + kinds, axis=1)
+    believed[:, 0, BAD] *= ERROR
+    believed[:, 1:, GOOD] *= ERROR
+    if kinds == 1:
+        believed[:, 1, BAD] /= ERROR**0.5
+    else:
+        own = np.arange(kinds)
+        believed[own, 1 + own, BAD] = believed[own, 1 + own, :BAD].sum(axis=1)
+    return believed / believed.sum(axis=2, keepdims=True)
+
+
+def posteriors(
+    patterns: np.ndarray, counts: np.ndarray, trusted: int | None = None, rounds: int = 1000
+) -> tuple[np.ndarray, np.ndarray]:
     """Chance of bad for each pattern of votes, and the labellers' vote rates.
 
     ``rates[l, y, v]`` is the share of documents of class y (0 good, 1 bad) for which
-    labeller l votes v. The start is the majority of the votes that are not silent.
-
-    Kinds of bad documents exclude each other, so heuristics seldom agree, and without more
-    the two classes could come to mean anything. The prior says what a labeller is: it
-    seldom errs. It weighs ``BELIEF`` times as much as the documents.
+    labeller l votes v. The start is the majority of the votes that are not silent. The prior,
+    that labellers seldom err, is worth ``BELIEF_DOCS`` documents of each class, whatever the
+    size of the corpus, so estimates follow the data.
+
+    ``trusted`` names a labeller, such as humans, that votes on documents of all classes alike
+    and errs in ``TRUSTED_ERROR`` of its votes. With such an anchor there is one kind of bad
+    document for each labeller, since kinds exclude each other and heuristics seldom agree; a
+    kind that the trusted labeller calls good dies out. Without one, all bad documents are one
+    class.
     """
     n, labellers = patterns.shape
-    spoken = np.stack([((patterns == v) * counts[:, None]).sum(axis=0) for v in (SILENT, GOOD, BAD)], axis=1)
-    spoken = (spoken + 1) / (spoken + 1).sum(axis=1, keepdims=True)  # labellers x votes
-    believed = np.stack([spoken, spoken], axis=1)
-    believed[:, 0, BAD] *= ERROR
-    believed[:, 1, GOOD] *= ERROR
-    believed[:, 1, BAD] *= 1 / ERROR ** 0.5
-    believed /= believed.sum(axis=2, keepdims=True)
-    belief = BELIEF * counts.sum() * believed
-    bad = (patterns == BAD).sum(axis=1) > (patterns == GOOD).sum(axis=1)
-    chance = np.where(bad, 0.9, 0.1)
+    kinds = 1 if trusted is None else labellers
     ones = np.eye(3)[patterns]  # n x labellers x 3
-    rates = np.zeros((labellers, 2, 3))
+    spoken = np.einsum("n,nlv->lv", counts, ones) + 1
+    spoken /= spoken.sum(axis=1, keepdims=True)
+    believed = BELIEF_DOCS * _beliefs(spoken, kinds)
+    if trusted is not None:
+        said, error = spoken[trusted, GOOD:].sum(), TRUSTED_ERROR
+        known = np.array([[1 - said, said * (1 - error), said * error], *[[1 - said, said * error, said * (1 - error)]] * kinds])
+    called = patterns == BAD
+    many = called.sum(axis=1)
+    likely = np.where(many > (patterns == GOOD).sum(axis=1), 0.9, 0.1)
+    share = called[:, :kinds] / np.maximum(many, 1)[:, None] if kinds > 1 else np.ones((n, 1))
+    share = np.where(share.sum(axis=1, keepdims=True) > 0, share, 1 / kinds)
+    chance = np.column_stack([1 - likely, likely[:, None] * share])  # good, then each kind
+    rates = believed
     for _ in range(rounds):
-        weight = np.stack([(1 - chance) * counts, chance * counts], axis=1)
-        rates = np.einsum("ny,nlv->lyv", weight, ones) + belief
+        weight = chance * counts[:, None]
+        rates = np.einsum("ny,nlv->lyv", weight, ones) + believed
         rates /= rates.sum(axis=2, keepdims=True)
-        prior = (weight.sum(axis=0) + 1) / (counts.sum() + 2)
+        if trusted is not None:
+            rates[trusted] = known
+        prior = (weight.sum(axis=0) + 1) / (counts.sum() + kinds + 1)
         log = np.log(prior) + np.einsum("nlv,lyv->ny", ones, np.log(rates))
-        fresh = 1 / (1 + np.exp(np.clip(log[:, 0] - log[:, 1], -50, 50)))
+        fresh = np.exp(log - log.max(axis=1, keepdims=True))
+        fresh /= fresh.sum(axis=1, keepdims=True)
         done = np.abs(fresh - chance).max(initial=0) < 1e-6
         chance = fresh
         if done:
             break
-    return chance, rates
+    mixed_kinds = (chance[:, 1:] * counts[:, None]).sum(axis=0) + 1e-9
+    bad = np.einsum("y,lyv->lv", mixed_kinds / mixed_kinds.sum(), rates[:, 1:])
+    return 1 - chance[:, 0], np.stack([rates[:, 0], bad], axis=1)
 
 
 # -- scorer ------------------------------------------------------------------------
@@ -243,7 +276,7 @@ def fitted(
         seen.sort(key=lambda r: r.votes)
         patterns = np.array([r.votes for r in seen])
         counts = np.array([r["count"] for r in seen], float)
-        chance, rates = posteriors(patterns, counts)
+        chance, rates = posteriors(patterns, counts, trusted=len(HEURISTICS))
         spoke = (patterns != SILENT).any(axis=1)
         share = min(1.0, train_docs / max(1.0, counts[spoke].sum()))
         known = {tuple(p): float(c) for p, c, s in zip(patterns.tolist(), chance, spoke, strict=True) if s}

@@ -31,6 +31,21 @@ def test_label_model_finds_labellers_that_err():
     assert rates[5, 1, quality.BAD] > rates[5, 1, quality.GOOD] and rates[5, 0, quality.GOOD] > rates[5, 0, quality.BAD]
 
 
+def test_a_labeller_at_chance_is_found_out():
+    draw = np.random.Generator(np.random.PCG64(6))
+    for human, n in ((0.4, 200_000), (0.0, 200_000), (0.4, 20_000)):
+        truth = draw.random(n) < 0.08
+        votes = np.zeros((n, 6), int)
+        for i, (sees, errs) in enumerate([(0.5, 0.002), (0.4, 0.005), (0.6, 0.001), (0.3, 0.002)]):
+            votes[draw.random(n) < np.where(truth, sees, errs), i] = quality.BAD
+        votes[draw.random(n) < 0.1, 4] = quality.BAD
+        votes[:, 5] = np.where(draw.random(n) < human, np.where(truth, quality.BAD, quality.GOOD), quality.SILENT)
+        patterns, counts = np.unique(votes, axis=0, return_counts=True)
+        chance, rates = quality.posteriors(patterns, counts.astype(float), trusted=5 if human else None)
+        assert abs(rates[4, 0, quality.BAD] - rates[4, 1, quality.BAD]) < (0.02 if n == 200_000 else 0.05)
+        assert chance[(patterns == [0, 0, 0, 0, quality.BAD, 0]).all(axis=1)] < 0.02
+
+
 def test_heuristics():
     plain = "It is a plain text of some words, with nothing odd in it at all. " * 2
     assert not quality.votes(quality.measures(plain)[0]).any()
