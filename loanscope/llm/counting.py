@@ -53,8 +53,10 @@ def read_cache(spark: SparkSession, folder: str, version: str) -> DataFrame:
 
 def _encode(tokenizer: str, version: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.load(tokenizer)
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            encoder = Encoder.load(tokenizer)
             texts = batch.column("text").to_pylist()
             n = len(texts)
             yield pa.RecordBatch.from_arrays(
@@ -79,7 +81,8 @@ def count_tokens(
     A null text is empty: no bytes, no tokens, not over the limit. Repeated rows give
     repeated rows and are encoded once; null ids stay null. Other columns are not read.
     An empty table gives no row. ``cache`` is a shared folder that later runs use again;
-    without one the counts live as long as the result.
+    without one the counts live as long as the result. Runs that meet may encode the same text
+    and append the same count twice; it is the same count.
     """
     spark = docs.sparkSession
     version = version_digest(tokenizer)

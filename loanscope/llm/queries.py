@@ -25,7 +25,7 @@ from loanscope.llm import (
     topk,
     trie,
 )
-from loanscope.llm.workspace import Workspace
+from loanscope.llm.workspace import Workspace, shared_folder
 
 #: Tokenizer file of the token queries.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,7 +53,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER, limit=CONTEXT)
+    cache = f"{shared_folder(spark)}/token-counts"
+    return counting.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER, cache, limit=CONTEXT)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from tests.llm.conftest import pairs
 from tokenizers import Tokenizer
 
-from loanscope.llm import counting
+from loanscope.llm import counting, queries
 from loanscope.llm.queries import TOKENIZER
 from loanscope.llm.tokens import Encoder
+from loanscope.llm.workspace import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +64,19 @@ def test_cache_grows_by_distinct_misses_only(spark, tmp_path):
     found = {r.doc_id: r.n_tokens for r in counting.count_tokens(second, TOKENIZER, other).collect()}
     assert found[1] == found[2] > 100 and found[4] < 10
     assert spark.read.parquet(other).count() == 3
+
+
+def test_query_encodes_nothing_a_second_time(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    first = queries.op1_token_counts(spark, sf).collect()
+    cache = f"{shared_folder(spark)}/token-counts"
+    held = spark.read.parquet(cache).count()
+    # Without the tokenizer's file nothing could be encoded.
+    version = counting.version_digest(TOKENIZER)
+    monkeypatch.setattr(counting, "version_digest", lambda path: version)
+    monkeypatch.setattr(queries, "TOKENIZER", "/nowhere.json")
+    assert sorted(queries.op1_token_counts(spark, sf).collect()) == sorted(first)
+    assert spark.read.parquet(cache).count() == held
+    monkeypatch.setattr(counting, "version_digest", lambda path: "another")
+    with pytest.raises(Exception, match="nowhere"):
+        queries.op1_token_counts(spark, sf)
