@@ -19,6 +19,7 @@ from loanscope.domain import (
 )
 from loanscope.operators import (
     curated,
+    disclosure,
     exports,
     loan_months,
     marts,
@@ -1371,6 +1372,58 @@ _register(
     ),
 )
 
+def _hidden_bounds(group: str, table: str, count: str) -> str:
+    """Bounds of the cells that an export at 20 hides, by group."""
+    return f"""
+        select *, case when cells = 1 then together else least(
+                 case when fits then greatest(0, together - (cells - 1) * 19) end,
+                 case when joins then if(cells = 2, greatest(1, together - coalesce(shown, together)), 0) end) end as lower,
+               case when cells = 1 then together else greatest(
+                 case when fits then least(19, together) end,
+                 case when joins then least(19, together - 20) end) end as upper
+        from (select *, together <= cells * 19 and not (shown is not null and together between 1 and 19) as fits,
+                cells > 1 and greatest(1, together - coalesce(shown, together)) <= least(19, together - 20) as joins
+              from (select {group}, sum({count}) filter (privacy_merged) as together,
+                      sum(source_mart_row_count) filter (privacy_merged) as cells,
+                      min({count}) filter (not privacy_merged) as shown
+                    from {table} group by all)
+              where together > 0 or cells > 0)"""
+
+
+def _disclosed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What exports at 20 and at 60 tell together."""
+    both = {k: _segment_export(spark, sf_dir, k) for k in (20, 60)}
+    return disclosure.segment_disclosures(both, _monthly(spark, sf_dir))
+
+
+def _disclosed_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return disclosure.transition_disclosures({20: _transition_export(spark, sf_dir)}, room=10)
+
+
+_register(
+    "disclosures_segments",
+    _disclosed_segments,
+    statement(
+        "select as_of_month, segment_name, segment_value as cell, on_book_loan_count as lower, "
+        f"on_book_loan_count as upper, '{disclosure.SHOWN}' as reason from segment_export "
+        "where not privacy_merged and on_book_loan_count < 60 union all "
+        "select as_of_month, segment_name, null, lower, upper, "
+        f"if(together between 1 and 59, '{disclosure.TOTAL}', '{disclosure.BOUNDS}') "
+        f"from ({_hidden_bounds('as_of_month, segment_name', 'segment_export', 'on_book_loan_count')}) "
+        "where together between 1 and 59 or (upper - lower + 1 < 5 and together > 0)"
+    ),
+)
+_register(
+    "disclosures_transitions",
+    _disclosed_transitions,
+    statement(
+        f"select from_month, from_state, cast(null as varchar) as cell, lower, upper, "
+        f"if(together between 1 and 19, '{disclosure.TOTAL}', '{disclosure.BOUNDS}') as reason "
+        f"from ({_hidden_bounds('from_month, from_state', 'transition_export', 'transition_loan_count')}) "
+        "where together between 1 and 19 or (upper - lower + 1 < 10 and together > 0)"
+    ),
+)
+
 # Sums as whole cents, which no floating-point number stands between.
 _register(
     "exact_totals",
