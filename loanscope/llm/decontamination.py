@@ -1,28 +1,33 @@
-"""Benchmark passages in documents: rare words as seeds, then Smith-Waterman alignment.
+"""Benchmark passages in documents: rare n-gram seeds, a join, then Smith-Waterman alignment.
 
-1. An alignment that scores enough pairs at least so many words of an item, so of any set of
-   its words it misses only so many. The rarest words of an item, by the number of items that
-   have them, are its seeds: as many as it takes for such an alignment to hold some of them.
-2. Where a stretch that an alignment can cover has enough seeds of an item, none counted more
-   often than the item has it, the document is aligned with the item: local alignment of words, which edits, insertions and
-   omissions cost little. The score is the share of a perfect copy's.
+1. The n-grams of an item are ordered pairs of its words with at most one word between. Two
+   words that an alignment pairs one after another are such a pair on both sides unless at
+   least two edits lie between them. An alignment that scores enough cannot pay for that
+   everywhere, so it holds at least so many of the item's n-grams, and if all but one fewer of
+   them are seeds it holds a seed. The n-grams left out are those that most documents have.
+2. Documents are read once to count the n-grams of the benchmark, and once for the seeds; each
+   time a bitmap of fixed size passes over words of no interest. Seeds found are joined to
+   items, and the neighbourhood of each, as far as an alignment can reach, is a passage.
+3. Passages are aligned with their items: local alignment of words, which edits, insertions
+   and omissions cost little. The score is the share of a perfect copy's.
 
-No copy that scores enough is left out, however it was edited. The benchmark is worked on in
-blocks of bounded size, which go to every task; documents are never shuffled.
+No copy that scores enough is left out, however it was edited. Benchmark and seeds stay tables;
+what goes to every task is the bitmap.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanscope.llm.shingles import NOT_ALPHANUMERIC, word_hashes
+from loanscope.llm.shingles import NOT_ALPHANUMERIC, mixed, wide_hashes
+from loanscope.llm.workspace import Workspace
 
 #: Words of the shortest item that takes part.
 LEAST_WORDS = 3
@@ -30,19 +35,21 @@ LEAST_WORDS = 3
 LEAST_SCORE = 0.5
 #: Alignment: an equal word, a changed word, a word too many or missing.
 MATCH, CHANGE, GAP = 2, -1, -1
-#: Words of the benchmark that go to every task at once (16 bytes each).
-BLOCK_WORDS = 500_000
-#: Words of a document that are looked up at once.
-STRETCH = 4096
+#: Bits of the bitmap of n-grams, as a power of two.
+SIEVE = 22
+#: N-grams counted before a task sends them.
+COUNTED = 1 << 20
 
-HITS = "array<struct<item_id: bigint, score: double, first_word: int, last_word: int>>"
 #: Punctuation and spaces beyond ASCII.
 _MARKS = re.compile(r"[\u00a0-\u00bf\u2000-\u206f\u3000-\u303f]")
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+HIT = "item_id long, score double, first_word int, last_word int"
 
 
 def benchmark_words(text: str | None) -> np.ndarray:
     """Word hashes: letters and digits in lower case, punctuation ignored."""
-    return word_hashes(_MARKS.sub(" ", (text or "").lower()), NOT_ALPHANUMERIC)
+    return wide_hashes(_MARKS.sub(" ", (text or "").lower()), NOT_ALPHANUMERIC)[:, 0]
 
 
 def reach(n: int, least: float) -> int:
@@ -50,83 +57,139 @@ def reach(n: int, least: float) -> int:
     return n + max(0, int(MATCH * n * (1 - least) / -GAP + 1e-9))
 
 
-def pairs_of(n: int, least: float) -> int:
-    """Equal words that an alignment with an item of n words has at least."""
-    return min(n, max(1, math.ceil(least * n - 1e-9)))
-
-
-@dataclass(frozen=True)
-class Seeds:
-    """Seeds in ascending order, and for each the items that have it."""
-
-    seeds: np.ndarray
-    first: np.ndarray  # of the owners of each seed
-    owner: np.ndarray
-    sieve: np.ndarray  # whether a seed with these low bits exists
-    words: list[np.ndarray]  # of each item
-    ids: list[int | None]
-    times: np.ndarray  # how often the owner has it
-    needed: np.ndarray  # seeds that an alignment with each item has at least
-    reach: np.ndarray  # words that it covers at most
-
-    @staticmethod
-    def of(ids: list[int | None], words: list[np.ndarray], least: float) -> Seeds:
-        """Of the words that an alignment pairs at least, half must be seeds."""
-        known, items = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True)
-        chosen, times, needed = [], [], []
-        for w in words:
-            paired = pairs_of(len(w), least)
-            needed.append(math.ceil(paired / 2))
-            order = np.argsort(items[np.searchsorted(known, w)], kind="stable")
-            own, many = np.unique(w[order[: len(w) - paired + needed[-1]]], return_counts=True)
-            chosen.append(own)
-            times.append(many)
-        seed = np.concatenate(chosen)
-        owner = np.repeat(np.arange(len(words)), [len(c) for c in chosen])
-        order = np.argsort(seed, kind="stable")
-        distinct, first = np.unique(seed[order], return_index=True)
-        bits = max(16, 4 + int(len(distinct)).bit_length())
-        sieve = np.zeros(1 << bits, bool)
-        sieve[distinct & np.uint64(len(sieve) - 1)] = True
-        far = np.array([reach(len(w), least) for w in words])
-        return Seeds(
-            distinct, np.append(first, len(seed)), owner[order], sieve, words, ids,
-            np.concatenate(times)[order], np.array(needed), far,
-        )
+def grams_held(n: int, least: float) -> int:
+    """N-grams of an item of n words that an alignment which scores enough holds at least.
+
+    m paired words score 2 m. Between two that are not an n-gram on both sides lie two words or
+    more on one of them, which cost 2. With x n-grams the score is at most 2 m - 2 (m - 1 - x).
+    """
+    return math.ceil(least * n - 1e-9) - 1
+
+
+def grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the ordered pairs of words with at most one word between, and their first words."""
+    keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for step in (1, 2):
+        if len(words) > step:
+            keys.append(mixed(words[:-step] * _BASE + words[step:]))
+            places.append(np.arange(len(words) - step))
+    return np.concatenate(keys), np.concatenate(places)
+
+
+def seeds_of_short(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of single words, for items so short that one paired word may score enough."""
+    return mixed(words ^ _BASE), np.arange(len(words))
+
+
+def _sieve(keys: DataFrame) -> np.ndarray:
+    """Bitmap of the keys' low bits."""
+    bucket = F.col("gram").bitwiseAND(F.lit((1 << SIEVE) - 1))
+    mask = F.expr("bit_or(shiftleft(1L, CAST(bucket & 63 AS INT)))").alias("mask")
+    marks = keys.select(bucket.alias("bucket")).groupBy(F.shiftright("bucket", 6).alias("at")).agg(mask).toPandas()
+    sieve = np.zeros(1 << (SIEVE - 6), np.uint64)
+    sieve[marks["at"].to_numpy(np.int64)] = marks["mask"].to_numpy(np.int64).view(np.uint64)
+    return sieve
+
+
+def _sifted(sieve: np.ndarray, words: np.ndarray, short: bool) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of a document that may be in the bitmap, and their places."""
+    keys, places = grams(words)
+    if short:
+        single, at = seeds_of_short(words)
+        keys, places = np.concatenate([keys, single]), np.concatenate([places, at])
+    bucket = (keys & np.uint64(64 * len(sieve) - 1)).astype(np.int64)
+    likely = np.flatnonzero((sieve[bucket >> 6] >> (bucket & 63).astype(np.uint64)) & np.uint64(1))
+    return keys[likely], places[likely]
+
+
+def _counted(sieve: np.ndarray, short: bool):
+    """Number of documents with each n-gram."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def summed() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate([*held, np.zeros(0, np.uint64)]), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["gram", "n"])
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                held.append(np.unique(_sifted(sieve, benchmark_words(text), short)[0]))
+                size += len(held[-1])
+                if size > COUNTED:
+                    yield summed()
+                    held, size = [], 0
+        yield summed()
+
+    return count
+
+
+def _found(sieve: np.ndarray, short: bool):
+    """Places of the seeds in each document."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, places, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+            for text in batch.column("text").to_pylist():
+                key, place = _sifted(sieve, benchmark_words(text), short)
+                keys.append(key)
+                places.append(place)
+                sizes.append(len(key))
+            rows = np.repeat(np.arange(len(sizes)), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("content").take(pa.array(rows)),
+                    pa.array(np.concatenate(keys).view(np.int64)),
+                    pa.array(np.concatenate(places).astype(np.int32)),
+                ],
+                names=["content", "gram", "place"],
+            )
 
-    def found(self, of_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the document and indices of the seeds found there."""
-        likely = np.flatnonzero(self.sieve[of_doc & np.uint64(len(self.sieve) - 1)])
-        at = np.searchsorted(self.seeds, of_doc[likely])
-        at[at == len(self.seeds)] = 0
-        equal = self.seeds[at] == of_doc[likely]
-        return likely[equal], at[equal]
-
-    def near(self, of_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Items, and numbers of the blocks of the document with enough seeds of them.
-
-        Block b of an item starts at b times its reach and is twice as long, so that each
-        alignment lies within a block.
-        """
-        items, blocks = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for low in range(0, len(of_doc), STRETCH):
-            at, seed = self.found(of_doc[low : low + STRETCH + 2 * int(self.reach.max())])
-            count = self.first[seed + 1] - self.first[seed]
-            nth = np.arange(count.sum()) - np.repeat(count.cumsum() - count, count)
-            own = np.repeat(self.first[seed], count) + nth
-            block = (low + np.repeat(at, count)) // self.reach[self.owner[own]]
-            width = int(block.max(initial=0)) + 2  # the block before the first one has number 0
-            key, seen = np.unique(np.concatenate([own * width + block, own * width + block + 1]), return_counts=True)
-            own, block = key // width, key % width
-            key, of = np.unique(self.owner[own] * width + block, return_inverse=True)
-            total = np.bincount(of, np.minimum(seen, self.times[own]), minlength=len(key))
-            item, block = key // width, key % width - 1
-            start = block * self.reach[item]
-            # Blocks that start elsewhere are whole in another stretch.
-            some = (total >= self.needed[item]) & (start >= low) & (start < low + STRETCH)
-            items.append(item[some])
-            blocks.append(block[some])
-        return np.concatenate(items), np.concatenate(blocks)
+    return find
+
+
+def _item_grams(least: float):
+    """N-grams of the items: item, words of the item, n-grams that an alignment holds, n-gram."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple[int, int, int, np.ndarray]] = []
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = benchmark_words(text)
+                if len(words) >= LEAST_WORDS:
+                    needed = grams_held(len(words), least)
+                    keys = grams(words)[0] if needed > 0 else seeds_of_short(words)[0]
+                    rows.append((item, len(words), needed, keys))
+            sizes = [len(r[3]) for r in rows]
+            columns = [np.repeat(np.array([r[i] for r in rows], np.int64), sizes) for i in range(3)]
+            keys = np.concatenate([*(r[3] for r in rows), np.zeros(0, np.uint64)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, keys)], names=["item", "words", "needed", "gram"])
+
+    return split
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The stretches of documents around seeds: content, item, first word, word hashes.
+
+    Takes for each document the items and, by item, the blocks of ``reach`` words with a seed. An
+    alignment that holds the seed lies in the block and those before and behind; stretches
+    that overlap are one.
+    """
+    for batch in batches:
+        made: dict[str, list] = {"content": [], "item": [], "low": [], "passage": []}
+        columns = (batch.column(c).to_pylist() for c in ("content", "text", "found"))
+        for content, text, found in zip(*columns, strict=True):
+            words = benchmark_words(text)
+            for near in found:
+                far, blocks = near["reach"], np.sort(np.array(near["blocks"], np.int64))
+                for group in np.split(blocks, np.flatnonzero(np.diff(blocks) > 3) + 1):
+                    low = max(0, int(group[0]) - 1) * far
+                    made["content"].append(content)
+                    made["item"].append(near["item"])
+                    made["low"].append(low)
+                    made["passage"].append(words[low : (int(group[-1]) + 2) * far].tobytes())
+        types = {"content": pa.binary(), "item": pa.int64(), "low": pa.int32(), "passage": pa.binary()}
+        yield pa.RecordBatch.from_arrays([pa.array(made[n], t) for n, t in types.items()], names=list(types))
 
 
 def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
@@ -144,75 +207,110 @@ def alignment(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def hits_of(words: np.ndarray, seeds: Seeds, least: float) -> list[tuple[int | None, float, int, int]]:
-    """Item, score, first and last word for each item that the words hold a copy of."""
-    item, block = seeds.near(words)
-    hits = []
-    for i in np.unique(item):
-        known, far = seeds.words[i], int(seeds.reach[i])
-        blocks = block[item == i]
-        best = (0.0, 0, 0)
-        # Blocks that overlap hold one copy with edits in between.
-        for group in np.split(blocks, np.flatnonzero(np.diff(blocks) > 1) + 1):
-            low = int(group[0]) * far
-            passage = words[low : (int(group[-1]) + 2) * far]
-            # No alignment can score more than the words of the item in its stretch, less the others.
-            gain = np.append(0, np.where(np.isin(passage, known), MATCH, max(CHANGE, GAP)).cumsum())
-            if (gain - np.minimum.accumulate(gain)).max() < least * MATCH * len(known) - 1e-9:
-                continue
-            if np.isin(known, passage).mean() < least - 1e-9:  # nor than the words of it that are there
-                continue
-            score, end = alignment(known, passage)
-            share = score / (MATCH * len(known))
-            if share >= least and share > best[0]:
-                start = end - alignment(known[::-1], passage[:end][::-1])[1]
-                best = (share, low + start, low + end - 1)
-        if best[0]:
-            hits.append((seeds.ids[i], *best))
-    return hits
+def copy_in(item: np.ndarray, passage: np.ndarray, least: float) -> tuple[float, int, int] | None:
+    """Score, first and last word of the best copy in a passage, if it scores enough."""
+    enough = least * MATCH * len(item) - 1e-9
+    # No alignment can score more than the words of the item in its stretch, less the others.
+    gain = np.append(0, np.where(np.isin(passage, item), MATCH, max(CHANGE, GAP)).cumsum())
+    if (gain - np.minimum.accumulate(gain)).max() < enough:
+        return None
+    if np.isin(item, passage).mean() < least - 1e-9:  # nor than the words of it that are there
+        return None
+    score, end = alignment(item, passage)
+    if score < enough:
+        return None
+    start = end - alignment(item[::-1], passage[:end][::-1])[1]
+    return score / (MATCH * len(item)), start, end - 1
+
+
+def _aligned(least: float):
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, copies = [], []
+            words: dict[int, np.ndarray] = {}
+            columns = (batch.column(c).to_pylist() for c in ("item", "item_text", "low", "passage"))
+            for row, (item, text, low, passage) in enumerate(zip(*columns, strict=True)):
+                if item not in words:
+                    words[item] = benchmark_words(text)
+                found = copy_in(words[item], np.frombuffer(passage, np.uint64), least)
+                if found:
+                    rows.append(row)
+                    copies.append((found[0], low + found[1], low + found[2]))
+            score, first, last = zip(*copies, strict=True) if copies else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c).take(pa.array(rows, pa.int64())) for c in ("content", "item", "item_id")),
+                    pa.array(score, pa.float64()), pa.array(first, pa.int32()), pa.array(last, pa.int32()),
+                ],
+                names=["content", "item", "item_id", "score", "first_word", "last_word"],
+            )
+
+    return align
+
+
+def content_of(text: Column) -> Column:
+    """What tells texts apart: the digest of their bytes; a null text is empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
 
 
 def hits(
     docs: DataFrame, benchmark: DataFrame, least: float = LEAST_SCORE, text: str = "text",
-    item_key: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS,
-) -> Column:
-    """The benchmark items that each document holds, as a column of the documents.
-
-    A hit has item_id, score (from ``least`` to 1) and the first and last word of the copy,
-    counted from 0 over words of letters and digits. Case and punctuation do not matter. An
-    item hits a document once, at its best copy. Items of fewer than three words or without
-    text take no part; items repeated by id and text count once. A null or empty text has no
-    hits, and neither have empty tables. Other columns play no part.
+    item_key: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """The benchmark items that texts hold: content, item_id, score, first_word, last_word.
+
+    ``content`` is that of :func:`content_of`; documents with one text share its rows. The score
+    goes from ``least`` to 1, and the copy's words are counted from 0 over words of letters
+    and digits. Case and punctuation do not matter. An item hits a text once, at its best copy,
+    the first of equal ones. Items of fewer than three words or without text take no part;
+    items repeated by id and text count once. A null or empty text has no hits, and neither
+    have empty tables. Other columns play no part.
     """
-    items = benchmark.select(
-        F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text")
-    ).distinct()
-    # Characters bound the words from above.
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(total / 2 / block_words))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    found: list[Column] = []
-    for number in range(blocks):
-        rows = items.filter(block == number).orderBy("item_id", "text").collect()
-        words = [benchmark_words(r.text) for r in rows]
-        usable = [i for i, w in enumerate(words) if len(w) >= LEAST_WORDS]
-        if not usable:
-            continue
-        seeds = Seeds.of([rows[i].item_id for i in usable], [words[i] for i in usable], least)
-        found.append(_search(seeds, least)(F.coalesce(F.col(text), F.lit(""))))
-    return F.concat(*found) if found else F.array().cast(HITS)
-
-
-def _search(seeds: Seeds, least: float):
-    @F.pandas_udf(HITS)
-    def search(texts: pd.Series) -> pd.Series:
-        names = ("item_id", "score", "first_word", "last_word")
-        return pd.Series(
-            [
-                [dict(zip(names, hit, strict=True)) for hit in hits_of(benchmark_words(t), seeds, least)]
-                for t in texts
-            ],
-            dtype=object,
+    body = F.coalesce(F.col(text), F.lit(""))
+    source = docs.select(content_of(F.col(text)).alias("content"), body.alias("text"))
+    with Workspace(docs.sparkSession, "benchmark") as work:
+        items = benchmark.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text")).distinct()
+        items = work.table("items", items.withColumn("item", F.monotonically_increasing_id()))
+        split = items.select("item", "text").mapInArrow(_item_grams(least), "item long, words long, needed long, gram long")
+        split = work.table("grams", split)
+        short = not split.filter("needed < 1").isEmpty()
+
+        # Rarity over documents: the most common n-grams are no seeds, as many as an item can spare.
+        seen = source.select("text").mapInArrow(_counted(_sieve(split), short), "gram long, n long")
+        seen = seen.groupBy("gram").agg(F.sum("n").alias("n"))
+        ranked = split.join(seen, "gram", "left").withColumn(
+            "place", F.expr("row_number() OVER (PARTITION BY item ORDER BY n DESC NULLS LAST, gram)")
         )
+        seeds = ranked.filter("place >= needed OR needed < 1").select("item", "words", "gram").distinct()
+        seeds = work.table("seeds", seeds)
+
+        far = F.floor(F.col("words") + F.greatest(F.lit(0), F.lit(MATCH * (1 - least) / -GAP) * F.col("words") + 1e-9)).cast("long")
+        places = source.mapInArrow(_found(_sieve(seeds), short), "content binary, gram long, place int")
+        near = places.join(seeds, "gram").select("content", "item", far.alias("reach"), "place")
+        near = near.select("content", "item", "reach", F.floor(F.col("place") / F.col("reach")).alias("block")).distinct()
+        near = near.groupBy("content", "item", "reach").agg(F.collect_list("block").alias("blocks"))
+        near = near.groupBy("content").agg(F.collect_list(F.struct("item", "reach", "blocks")).alias("found"))
+        near = work.table("near", near)
+
+        held = source.join(near.select("content"), "content", "left_semi").dropDuplicates(["content"])
+        passages = held.join(near, "content").mapInArrow(_passages, "content binary, item long, low int, passage binary")
+        passages = work.table("passages", passages)
+        asked = passages.join(items.withColumnRenamed("text", "item_text"), "item")
+        copies = asked.mapInArrow(_aligned(least), f"content binary, item long, {HIT}")
+        best = F.max_by(F.struct("item_id", "score", "first_word", "last_word"), F.struct("score", -F.col("first_word")))
+        # Items of one id with different texts count as that id, at the best copy of any.
+        copies = copies.groupBy("content", "item_id").agg(best.alias("hit"))
+        return work.keep("hits", copies.select("content", "hit.*"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """doc_id and a hit of :func:`hits` for every row of the documents and item that it holds."""
+    found = hits(docs, benchmark, text=text, **options)
+    ids = docs.select(F.col(key).cast("long").alias("doc_id"), content_of(F.col(text)).alias("content"))
+    return ids.join(found, "content").drop("content")
+
 
-    return search
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents, with all their columns, that hold no copy of an item."""
+    found = hits(docs, benchmark, text=text, **options).select(F.col("content").alias("__benchmark_content")).distinct()
+    return docs.join(found, content_of(F.col(text)) == F.col("__benchmark_content"), "left_anti")

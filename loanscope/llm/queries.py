@@ -112,10 +112,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    hits = decontamination.hits(docs, table(spark, sf_dir, "benchmark"))
-    found = docs.select("doc_id", hits.alias("hits"))
-    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:

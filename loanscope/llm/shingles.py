@@ -102,23 +102,22 @@ def text_bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def word_hashes(text: str, separators: np.ndarray = SPACE) -> np.ndarray:
-    """Hashes of the words of a text: runs of bytes that are not separators.
+def wide_hashes(text: str, separators: np.ndarray = SPACE) -> np.ndarray:
+    """128-bit hashes (n x 2) of the words of a text: runs of bytes that are not separators.
 
-    A to Z count as a to z. Equal words have equal hashes; unequal ones differ but for
-    chance in 2^64.
+    A to Z count as a to z.
     """
-    return np.concatenate([words_of(s, separators).hashes() for s in spans(text_bytes(text), separators)])
+    return np.concatenate([_wide_hashes(s, separators) for s in spans(text_bytes(text), separators)])
 
 
-def _wide_hashes(span: np.ndarray) -> np.ndarray:
-    """128-bit hashes (n x 2) of the words of a stretch of bytes.
+def _wide_hashes(span: np.ndarray, separators: np.ndarray) -> np.ndarray:
+    """128-bit hashes of the words of a stretch of bytes.
 
     Each byte of a word gives a pseudo-random number that depends on its place in the word, and
     the hash adds them up. No regular pattern in words makes these sums meet, as it can with a
     polynomial modulo a power of two.
     """
-    inside = ~SPACE[span]
+    inside = ~separators[span]
     letters = _LOWER[span[inside]]
     edges = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]).astype(np.int8))
     lengths = np.flatnonzero(edges == -1) - np.flatnonzero(edges == 1)
@@ -138,7 +137,7 @@ def shingle_set(text: str, size: int) -> np.ndarray:
     Words are runs of bytes other than ASCII white space; A to Z count as a to z. With fewer
     words than ``size`` the whole sequence is the one shingle; a text without words has none.
     """
-    words = np.concatenate([_wide_hashes(s) for s in spans(text_bytes(text))])
+    words = wide_hashes(text)
     if not len(words):
         return words
     width = min(size, len(words))

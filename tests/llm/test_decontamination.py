@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-from pyspark.sql import functions as F
 from tests.llm.conftest import pairs
 
 from loanscope.llm import decontamination as d
@@ -52,12 +51,12 @@ def test_copies_edited_copies_and_clean_documents(spark):
         docs.append((n, " ".join(text)))
     table = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame([(i, " ".join(w) + ".") for i, w in items], "item_id long, text string")
-    for block_words in (500_000, 60):
-        found = table.select("doc_id", F.explode(d.hits(table, bench, block_words=block_words)).alias("hit")).collect()
-        assert {(r.doc_id, r.hit.item_id) for r in found} == expected
+    found = d.contaminated(table, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == expected and len(found) == len(expected)
+    kept = {r.doc_id for r in d.without_benchmark(table, bench).collect()}
+    assert kept == set(range(300)) - {n for n, _ in expected}
     whole = spark.createDataFrame([(1, "before " + " ".join(items[0][1]) + " after")], "doc_id long, text string")
-    (hit,) = whole.select(d.hits(whole, bench).alias("h")).first().h
-    assert (hit.item_id, hit.score, hit.first_word, hit.last_word) == (0, 1.0, 1, len(items[0][1]))
+    assert [tuple(r) for r in d.contaminated(whole, bench).collect()] == [(1, 0, 1.0, 1, len(items[0][1]))]
 
 
 def test_an_item_that_leaked_everywhere_is_found(spark):
@@ -66,7 +65,7 @@ def test_an_item_that_leaked_everywhere_is_found(spark):
     docs = [(n, " ".join(words(draw, 20) + (item if n % 2 else []))) for n in range(200)]
     table = spark.createDataFrame(docs, "doc_id long, text string")
     bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
-    found = table.filter(F.size(d.hits(table, bench)) > 0).select("doc_id").collect()
+    found = d.contaminated(table, bench).collect()
     assert {r.doc_id for r in found} == set(range(1, 200, 2))
 
 
@@ -89,24 +88,53 @@ def test_single_copies_with_many_changed_words_are_found(spark):
     assert len(expected) > 200
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
-    found = table.select("doc_id", F.explode(d.hits(table, bench)).alias("hit")).collect()
-    scores = {(r.doc_id, r.hit.item_id): r.hit.score for r in found}
+    found = d.contaminated(table, bench).collect()
+    scores = {(r.doc_id, r.item_id): r.score for r in found}
     assert scores.keys() == expected.keys() and all(scores[k] >= expected[k] for k in expected)
 
 
-def test_every_alignment_that_scores_enough_is_found():
-    draw = np.random.Generator(np.random.PCG64(7))
+def test_every_alignment_that_scores_enough_is_found(spark):
+    draw = random.Random(7)
+    letters = "abcdefghi"
+    items = [(i, [draw.choice(letters) for _ in range(draw.randint(3, 12))]) for i in range(25)]
+    docs = [(n, [draw.choice(letters) for _ in range(draw.randint(0, 60))]) for n in range(60)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    table = spark.createDataFrame([(n, " ".join(w)) for n, w in docs], "doc_id long, text string")
+    scores = {(n, i): align(w, t) / (d.MATCH * len(w)) for n, t in docs for i, w in items}
     for least in (0.3, 0.5, 0.8):
-        hit = 0
-        for _ in range(400):
-            items = [draw.integers(0, 9, draw.integers(3, 12)).astype(np.uint64) for _ in range(4)]
-            passage = draw.integers(0, 9, draw.integers(0, 60)).astype(np.uint64)
-            seeds = d.Seeds.of(list(range(4)), items, least)
-            share = [align(w.tolist(), passage.tolist()) / (d.MATCH * len(w)) for w in items]
-            found = d.hits_of(passage, seeds, least)
-            assert [(i, s) for i, s, _, _ in found] == [(i, s) for i, s in enumerate(share) if s >= least]
-            hit += len(found)
-        assert hit
+        found = d.contaminated(table, bench, least=least).collect()
+        expected = {k: v for k, v in scores.items() if v >= least}
+        assert {(r.doc_id, r.item_id): r.score for r in found} == expected and expected
+        for r in found[:50]:
+            copy = dict(docs)[r.doc_id][r.first_word : r.last_word + 1]
+            assert align(dict(items)[r.item_id], copy) / (d.MATCH * len(dict(items)[r.item_id])) == r.score
+
+
+def test_an_alignment_holds_so_many_n_grams():
+    draw = np.random.Generator(np.random.PCG64(7))
+    tight = 0
+    for _ in range(3000):
+        item = draw.permutation(40)[: draw.integers(3, 14)].astype(np.uint64)
+        copy = []
+        for w in item:
+            copy += [[w], [w], [w, 99], [], [98], [97, w, 96]][draw.integers(0, 6)]
+        share = align(item.tolist(), copy) / (d.MATCH * len(item))
+        for least in (0.3, 0.5, 0.8):
+            if share >= least:
+                common = set(d.grams(item)[0].tolist()) & set(d.grams(np.array(copy, np.uint64))[0].tolist())
+                assert len(common) >= d.grams_held(len(item), least)
+                tight += len(common) == d.grams_held(len(item), least)
+    assert tight
+
+
+def test_bitmaps_that_say_yes_to_everything(spark, monkeypatch):
+    monkeypatch.setattr(d, "SIEVE", 6)  # errors of the bitmap cost time and nothing else
+    draw = random.Random(3)
+    items = [(i, words(draw, 20)) for i in range(5)]
+    docs = [(n, " ".join(words(draw, 30) + dict(items)[n % 5] * (n % 2))) for n in range(20)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = d.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(n, n % 5) for n in range(1, 20, 2)}
 
 
 def test_edge_cases(spark, edge_docs, no_docs):
@@ -114,11 +142,13 @@ def test_edge_cases(spark, edge_docs, no_docs):
         [(1, None, 1), (2, "", 1), (3, "two words", 1), (None, "lorem1 ipsum2 dolor3 sit4", 1), (4, "another text of nine", 1), (4, "another text of nine", 2)],
         "item_id long, text string, hits int",
     )
-    found = edge_docs.withColumn("found", d.hits(edge_docs, bench))
-    assert found.count() == edge_docs.count()
-    assert [(r.doc_id, [h.item_id for h in r.found]) for r in found.filter("size(found) > 0").collect()] == [(9, [4])]
-    assert no_docs.select(d.hits(no_docs, bench).alias("h")).collect() == []
-    assert edge_docs.filter(F.size(d.hits(edge_docs, bench.limit(0))) > 0).count() == 0
+    assert [(r.doc_id, r.item_id) for r in d.contaminated(edge_docs, bench).collect()] == [(9, 4)]
+    left = d.without_benchmark(edge_docs, bench)
+    assert left.columns == edge_docs.columns and left.count() == edge_docs.count() - 1
+    assert d.contaminated(no_docs, bench).collect() == [] and d.without_benchmark(no_docs, bench).collect() == []
+    assert d.contaminated(edge_docs, bench.limit(0)).collect() == []
+    same = bench.limit(0).unionByName(spark.createDataFrame([(7, "another text of ten", 1), (7, "another text of nine", 1)], bench.schema))
+    assert [tuple(r)[:3] for r in d.contaminated(edge_docs, same).collect()] == [(9, 7, 1.0)]
 
 
 def test_real_leaks(spark):
@@ -127,6 +157,6 @@ def test_real_leaks(spark):
     plain = lambda t: d.benchmark_words(t).tobytes()
     items = {r.item_id: plain(r.text) for r in bench.collect()}
     whole = {(k, i) for k, t in pairs(docs) for i, w in items.items() if w in plain(t)}
-    found = docs.select("doc_id", F.explode(d.hits(docs, bench)).alias("hit")).collect()
-    assert whole <= {(r.doc_id, r.hit.item_id) for r in found}
-    assert all(r.hit.score > 0.8 for r in found if (r.doc_id, r.hit.item_id) in whole)
+    found = d.contaminated(docs, bench).collect()
+    assert whole <= {(r.doc_id, r.item_id) for r in found}
+    assert all(r.score > 0.8 for r in found if (r.doc_id, r.item_id) in whole)

@@ -5,7 +5,7 @@ from tests.llm.conftest import pairs
 
 from loanscope.llm import neardup
 from loanscope.llm.components import contracted
-from loanscope.llm.shingles import SPAN, common_shingles, shingle_set, word_hashes
+from loanscope.llm.shingles import SPAN, common_shingles, shingle_set, wide_hashes
 from loanscope.llm.workspace import Workspace
 
 
@@ -134,7 +134,7 @@ def test_words_are_split_at_ascii_space_only_and_long_texts_in_stretches():
     text = ("a b C\x0bd\x1ce " + "x" * 50 + "\n") * 9000 + "y" * (SPAN + 10) + " Z"
     assert len(text.encode()) > 2 * SPAN
     words = text.encode().lower().split()
-    hashes = word_hashes(text)
+    hashes = wide_hashes(text)[:, 0]
     assert len(hashes) == len(words)
     assert len(set(zip(words, hashes.tolist(), strict=True))) == len(set(words)) == len(set(hashes.tolist()))
     assert len(shingle_set(text, 3)) == len(sets(text, 3))
