@@ -45,7 +45,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no copy of a benchmark item."""
-    return docs.filter(F.size(decontamination.hits(docs, table(spark, sf_dir, "benchmark"))) == 0)
+    return decontamination.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
