@@ -36,7 +36,7 @@ from loanscope.operators.export_quality import (
 from loanscope.operators.staging import stage_performance
 from loanscope.plans import build as build_plan
 from loanscope.plans import dashboard
-from loanscope.plans.raw_validation import profile_files
+from loanscope.plans.raw_validation import profile_files, validate_raw
 from loanscope.sources import delimited, storage
 from loanscope.sources.csv_tables import read_csv, write_csv
 from loanscope.testbed import dirty, panel
@@ -1424,6 +1424,72 @@ _register(
     ),
 )
 
+def _damaged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which files a stored report of damaged files rejects."""
+    expected = {
+        (dataset, year): n
+        for dataset, years in panel.expected_rows(spark, sf_dir).items()
+        for year, n in years.items()
+    }
+    folder = storage.scratch_dir(spark, "report")
+    raw_dir = _raw_files(spark, sf_dir, lambda lines: lines.filter("mp % 211 <> 1 OR source_year <> 2019"))
+    validate_raw(spark, raw_dir, expected, folder)
+    files = raw_profile.read_report(spark, folder, "files")
+    failures = raw_profile.read_report(spark, folder, "failures").filter("metric = 'row_count'")
+    wrong = failures.select("dataset", "source_year", F.col("value").alias("found_rows"))
+    return files.join(wrong, ["dataset", "source_year"], "left").select(
+        "dataset", F.col("source_year").cast("int").alias("source_year"), "expected_fields", "found_rows"
+    )
+
+
+_register(
+    "raw_report_stored",
+    _damaged_report,
+    statement(
+        "select dataset, cast(year as integer) as source_year, "
+        f"if(dataset = 'origination', {len(ORIGINATION_FIELDS)}, {len(PERFORMANCE_FIELDS)}) as expected_fields, "
+        "if(dataset = 'performance' and year = 2019, "
+        "(select count(*) from perf where source_year = 2019 and mp % 211 <> 1), null) as found_rows "
+        "from (select unnest(['origination', 'performance']) as dataset) d, (select unnest([2019, 2020]) as year) y"
+    ),
+)
+
+
+def _missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of a delivery that a year has not arrived for, named by the one error of a build."""
+    years = [*VINTAGES, max(VINTAGES) + 1]
+    raw_dir = _raw_files(spark, sf_dir)
+    try:
+        delimited.require_files(spark, raw_dir, years)
+    except FileNotFoundError as error:
+        names = [line.rsplit("/", 1)[1] for line in str(error).splitlines() if line.startswith("- ")]
+    rows = delimited.scan_performance(spark, raw_dir).agg(F.count("*").alias("rows_there"))
+    return rows.select(F.explode(F.lit(names)).alias("missing"), "rows_there")
+
+
+_register(
+    "missing_files",
+    _missing_files,
+    statement(
+        f"select unnest(['sample_orig_{max(VINTAGES) + 1}.txt', 'sample_perf_{max(VINTAGES) + 1}.txt']) as missing, "
+        "(select count(*) from perf) as rows_there"
+    ),
+)
+
+
+def _in_stored_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each month in the stored mart, whose parts are in order."""
+    mart = _built(spark, sf_dir).store.read("mart.portfolio_monthly")
+    placed = mart.select("as_of_month", F.struct("_metadata.file_name", F.monotonically_increasing_id().alias("id")).alias("at"))
+    return placed.select("as_of_month", F.expr("row_number() OVER (ORDER BY at)").cast("bigint").alias("place"))
+
+
+_register(
+    "mart_in_key_order",
+    _in_stored_order,
+    statement("select as_of_month, row_number() over (order by as_of_month) as place from monthly"),
+)
+
 # Sums as whole cents, which no floating-point number stands between.
 _register(
     "exact_totals",
