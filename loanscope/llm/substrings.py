@@ -9,7 +9,9 @@ anchor form a fragment.
    documents of the task with the same fragment are answered on the spot.
 2. Anchors are dealt into buckets. There a fragment with the same content in an earlier
    document is known to be repeated as a whole. Of an anchor with several contents, the
-   earliest document of each content is asked for the bytes.
+   earliest document of each content is asked for the bytes. An anchor with very many contents
+   (as at the edge of a passage that stands in many documents) is not kept together: its
+   strings go to buckets by their own hash, each once for the documents of a task.
 3. The fragments sent are put together, anchor by anchor, as far as another one of the anchor
    agrees around it, and their suffixes sorted by linear grouping (suffixes.py). Suffixes next to each other that agree in the whole length are
    one string; a document later than the earliest one with that string loses it.
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +42,8 @@ LENGTH = 50
 GRAM = 20
 #: Text bytes whose anchors meet in one bucket.
 BUCKET_BYTES = 16 << 20
+#: Contents of an anchor that meet as fragments; of anchors with more the strings meet one by one.
+CONTENTS = 256
 #: Text bytes that are hashed at once, and bytes from which a suffix array is made.
 SPAN, SORTED = 1 << 20, 1 << 13
 #: Low bits of a key that hold a place.
@@ -239,11 +244,11 @@ def _name(length: int, buckets: int):
 # -- step 2: buckets ----------------------------------------------------------------
 
 #: Answers of a bucket to part of the documents, packed; sizes count contents per document.
-PACKED = (
-    "part int, doc_id array<bigint>, version array<bigint>, known_sizes binary, known binary, "
-    "asked_sizes binary, asked binary"
-)
-ANSWERS = "doc_id long, version long, known binary, asked binary"
+#: ``known`` are repeated as a whole, ``asked`` are to be sent to the anchor's bucket, and ``spread``
+#: string by string to the buckets of the strings, because the anchor has too many contents.
+KINDS = ("known", "asked", "spread")
+PACKED = "part int, doc_id array<bigint>, version array<bigint>, " + ", ".join(f"{k}_sizes binary, {k} binary" for k in KINDS)
+ANSWERS = "doc_id long, version long, " + ", ".join(f"{k} binary" for k in KINDS)
 
 
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
@@ -260,22 +265,24 @@ def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
     )
 
 
-def _packed(ids, versions, owner, content, known, asked, parts: int) -> pa.Table:
-    """Answers from masks over fragments that are in order of owner; owners are documents."""
+def _packed(ids, versions, owner, content, masks: list[np.ndarray], parts: int) -> pa.Table:
+    """Answers from masks (of ``KINDS``) over fragments in order of owner; owners are documents."""
     part_of = mixed(ids.astype(np.uint64)) % np.uint64(parts)
     rows: list[tuple] = []
-    for part in np.unique(part_of[np.unique(owner[known | asked])]):
+    any_ = np.logical_or.reduce(masks)
+    for part in np.unique(part_of[np.unique(owner[any_])]):
         here = part_of[owner] == part
-        used = np.unique(owner[here & (known | asked)])
+        used = np.unique(owner[here & any_])
         row = [int(part), ids[used].tolist(), versions[used].tolist()]
-        for mask in (known & here, asked & here):
+        for mask in masks:
+            mask = mask & here
             sizes = np.bincount(np.searchsorted(used, owner[mask]), minlength=len(used))
             row += [sizes.astype(np.uint32).tobytes(), content[mask].tobytes()]
         rows.append(tuple(row))
-    columns = list(zip(*rows, strict=True)) or [()] * 7
-    ints, blob = pa.list_(pa.int64()), pa.binary()
     names = [c.split(" ")[0] for c in PACKED.split(", ")]
-    types = [pa.int32(), ints, ints, blob, blob, blob, blob]
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    ints, blob = pa.list_(pa.int64()), pa.binary()
+    types = [pa.int32(), ints, ints, *[blob] * (len(names) - 3)]
     return pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=True)})
 
 
@@ -290,7 +297,7 @@ def _merge(table: pa.Table) -> pa.Table:
     number = np.empty(len(order), np.int64)  # of the document of each packed entry
     number[order] = np.cumsum(fresh) - 1
     out = {"doc_id": pa.array(ids_[fresh]), "version": pa.array(versions_[fresh])}
-    for name in ("known", "asked"):
+    for name in KINDS:
         owner = np.repeat(number, joined(f"{name}_sizes", np.uint32))
         by_owner = np.argsort(owner, kind="stable")
         values, ends = joined(name, np.uint64)[by_owner], np.bincount(owner, minlength=int(fresh.sum())).cumsum()
@@ -304,7 +311,7 @@ def _resolve(parts: int):
         ids, versions, owner, anchor, content = _unpacked(table)
         if table.column("bucket")[0].as_py() < 0:  # answered in step 1
             every = np.ones(len(owner), bool)
-            return _packed(ids, versions, owner, content, every, ~every, parts)
+            return _packed(ids, versions, owner, content, [every, ~every, ~every], parts)
         doc = ids[owner]
         order = np.lexsort((doc, content, anchor))
         anchor_, content_, doc_ = anchor[order], content[order], doc[order]
@@ -315,10 +322,11 @@ def _resolve(parts: int):
         contents = np.add.reduceat(new_content.astype(np.int64), first)
         low, high = np.minimum.reduceat(doc_, first), np.maximum.reduceat(doc_, first)
         leader = doc_[np.flatnonzero(new_content)[np.cumsum(new_content) - 1]]
-        known, asked = np.zeros(len(order), bool), np.zeros(len(order), bool)
+        known, asked, many = (np.zeros(len(order), bool) for _ in range(3))
         known[order] = doc_ > leader
         asked[order] = (doc_ == leader) & (contents[group] > 1) & (low < high)[group]
-        return _packed(ids, versions, owner, content, known, asked, parts)
+        many[order] = contents[group] > CONTENTS
+        return _packed(ids, versions, owner, content, [known, asked & ~many, asked & many], parts)
 
     return resolve
 
@@ -349,20 +357,56 @@ def joined_runs(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return np.stack([start[fresh], stop[np.concatenate([fresh[1:] - 1, [len(stop) - 1]])]], axis=1)
 
 
+def _strings(
+    texts: list[bytes], ids: np.ndarray, spreads: list[bytes], found: Named, bounds: np.ndarray, length: int
+) -> tuple[list[list[int]], list[list[tuple[bytes, int, int, list[int]]]]]:
+    """The strings of contents that are spread, for documents of a batch.
+
+    First, by document, where strings start that an earlier document of the batch has too;
+    second, the others as string, lead, anchor and starts. So of a string that very many documents
+    have, a batch sends on only that of its first document.
+    """
+    holders: dict[bytes, dict[int, list]] = {}
+    for i, text in enumerate(texts):
+        own = slice(bounds[i], bounds[i + 1])
+        wanted = np.frombuffer(spreads[i], np.uint64)
+        for j in np.flatnonzero(np.isin(found.content[own], wanted)) + own.start if len(wanted) else ():
+            start, lead, anchor = int(found.start[j]), int(found.lead[j]), int(found.anchor[j])
+            for nth in range(int(found.count[j])):
+                string = text[start + nth : start + nth + length]
+                place = holders.setdefault(string, {}).setdefault(i, [lead - nth, anchor, []])
+                place[2].append(start + nth)
+    gone: list[list[int]] = [[] for _ in texts]
+    sent: list[list[tuple[bytes, int, int, list[int]]]] = [[] for _ in texts]
+    for string, places in holders.items():
+        first = min(ids[i] for i in places)
+        for i, (lead, anchor, starts) in places.items():
+            if ids[i] > first:
+                gone[i] += starts
+            else:
+                sent[i].append((string, lead, anchor, starts))
+    return gone, sent
+
+
 def _send(length: int, buckets: int):
     """What a document knows already (bucket -1, runs of bytes in ``start``) and what it is asked."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (ids, versions, knowns, askeds), texts in _batches(batches, ["doc_id", "version", "known", "asked"]):
+        for (ids, versions, knowns, askeds, spreads), texts in _batches(batches, ["doc_id", "version", *KINDS]):
             out: list[list] = [[] for _ in _SENT]
             found = named(texts, length)
             bounds = np.searchsorted(found.doc, np.arange(len(texts) + 1))
+            gone, strings = _strings(texts, ids.to_numpy(), spreads.to_pylist(), found, bounds, length)
             for i, text in enumerate(texts):
                 own = slice(bounds[i], bounds[i + 1])
                 start, count, content = found.start[own], found.count[own], found.content[own]
                 key = (ids[i].as_py(), versions[i].as_py())
                 known = np.isin(content, np.frombuffer(knowns[i].as_py(), np.uint64))
-                runs = joined_runs(start[known], (start + count)[known] + length - 1)
+                also = np.array(gone[i], np.int64)
+                runs = joined_runs(
+                    np.concatenate([start[known], also]),
+                    np.concatenate([(start + count)[known] + length - 1, also + length]),
+                )
                 row = (-1, *key, runs.astype(np.uint32).tobytes(), None, None, None, None, None)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
@@ -384,6 +428,19 @@ def _send(length: int, buckets: int):
                     )
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
+                by_bucket: dict[int, list] = {}
+                for piece in strings[i]:
+                    by_bucket.setdefault(xxhash.xxh3_64_intdigest(piece[0]) % buckets, []).append(piece)
+                for b, pieces in by_bucket.items():
+                    of = lambda values, kind: np.array(values, kind).tobytes()
+                    row = (
+                        b, *key, of([p for piece in pieces for p in piece[3]], np.uint32),
+                        of([len(piece[3]) for piece in pieces], np.uint32), of([piece[1] for piece in pieces], np.uint32),
+                        of([1] * len(pieces), np.uint32), of([piece[2] for piece in pieces], np.uint64),
+                        b"".join(piece[0] for piece in pieces),
+                    )
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(out, _SENT, strict=True)], schema=_SENT
             )

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 from tests.llm.conftest import pairs
 
 from loanscope.llm import substrings
@@ -93,6 +94,28 @@ def test_fragments_of_more_than_255_strings(spark):
         assert found(table, length) == brute(docs, length)
 
 
+def test_a_passage_with_other_surroundings_in_every_document(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CONTENTS", 8)
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 4000)
+    draw = random.Random(14)
+    letters = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passage, largest, table_of = letters(300), [], substrings.Workspace.table
+
+    def spied(self, name, rows):
+        made = table_of(self, name, rows)
+        if name == "sent":
+            sizes = made.filter("bucket >= 0").groupBy("bucket").agg(F.sum(F.octet_length("bytes")).alias("n"))
+            largest.append(sizes.agg(F.max("n")).first()[0])
+        return made
+
+    monkeypatch.setattr(substrings.Workspace, "table", spied)
+    for n in (150, 300, 600):
+        docs = [(draw.randint(0, n), letters(draw.randint(0, 60)) + passage + letters(draw.randint(0, 60))) for _ in range(n)]
+        docs += [(n + 1, passage + "x" + passage), (n + 2, passage[:120] + letters(20) + passage[100:])]
+        assert found(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), 50) == brute(docs, 50)
+    assert largest[2] < 1.5 * largest[0]
+
+
 def test_more_real_documents(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)
     docs = sorted(pairs(table))
