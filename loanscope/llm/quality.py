@@ -76,7 +76,9 @@ def measures(text: str) -> tuple[np.ndarray, np.ndarray]:
             parts.append(words.hashes(start, np.minimum(start + width, end)) + np.uint64(width))
         parts.append(words.hashes(np.maximum(end - 3, start), end) + np.uint64(99))
         features.append(np.unique(np.concatenate(parts)))
-    found = np.unique(np.concatenate(features)) if features else np.zeros(0, np.uint64)
+    found = np.zeros(0, np.uint64)
+    if features:  # those of one stretch are distinct already
+        found = features[0] if len(features) == 1 else np.unique(np.concatenate(features))
     total = max(counts[0], 1)
     # Distinct among the features: every distinct word has about one of its own.
     variety = len(found) / total if counts[0] >= 50 else 1.0
