@@ -3,11 +3,12 @@
 1. The n-grams of an item are ordered pairs of its words with at most one word between. Two
    words that an alignment pairs one after another are such a pair on both sides unless at
    least two edits lie between them. An alignment that scores enough cannot pay for that
-   everywhere, so it holds at least so many of the item's n-grams, and if all but one fewer of
-   them are seeds it holds a seed. The n-grams left out are those that most documents have.
+   everywhere, so it holds at least so many of the item's n-grams. As many of the most common
+   ones as leave half of that number are no seeds; at least half are then seeds wherever an
+   item was copied.
 2. Documents are read once to count the n-grams of the benchmark, and once for the seeds; each
    time a bitmap of fixed size passes over words of no interest. Seeds found are joined to
-   items, and the neighbourhood of each, as far as an alignment can reach, is a passage.
+   items; stretches that an alignment can cover with enough seeds of an item are passages.
 3. Passages are aligned with their items: local alignment of words, which edits, insertions
    and omissions cost little. The score is the share of a perfect copy's.
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanscope.llm.shingles import NOT_ALPHANUMERIC, mixed, wide_hashes
+from loanscope.llm.shingles import NOT_ALPHANUMERIC, mixed, word_hashes
 from loanscope.llm.workspace import Workspace
 
 #: Words of the shortest item that takes part.
@@ -49,7 +50,7 @@ HIT = "item_id long, score double, first_word int, last_word int"
 
 def benchmark_words(text: str | None) -> np.ndarray:
     """Word hashes: letters and digits in lower case, punctuation ignored."""
-    return wide_hashes(_MARKS.sub(" ", (text or "").lower()), NOT_ALPHANUMERIC)[:, 0]
+    return word_hashes(_MARKS.sub(" ", (text or "").lower()), NOT_ALPHANUMERIC)
 
 
 def reach(n: int, least: float) -> int:
@@ -66,6 +67,11 @@ def grams_held(n: int, least: float) -> int:
     return math.ceil(least * n - 1e-9) - 1
 
 
+def seeds_held(n: int, least: float) -> int:
+    """Seeds of an item that an alignment which scores enough holds at least."""
+    return max(1, math.ceil(grams_held(n, least) / 2))
+
+
 def grams(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the ordered pairs of words with at most one word between, and their first words."""
     keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -148,32 +154,36 @@ def _found(sieve: np.ndarray, short: bool):
     return find
 
 
-def _item_grams(least: float):
-    """N-grams of the items: item, words of the item, n-grams that an alignment holds, n-gram."""
+#: Columns of an item's n-grams: its reach, the n-grams that an alignment holds, and of them seeds.
+_ITEM_GRAMS = "item long, reach long, needed long, seeds long, gram long"
 
+
+def _item_grams(least: float):
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split(" ")[0] for c in _ITEM_GRAMS.split(", ")]
         for batch in batches:
-            rows: list[tuple[int, int, int, np.ndarray]] = []
+            rows, keys = [], [np.zeros(0, np.uint64)]
             for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = benchmark_words(text)
-                if len(words) >= LEAST_WORDS:
-                    needed = grams_held(len(words), least)
-                    keys = grams(words)[0] if needed > 0 else seeds_of_short(words)[0]
-                    rows.append((item, len(words), needed, keys))
-            sizes = [len(r[3]) for r in rows]
-            columns = [np.repeat(np.array([r[i] for r in rows], np.int64), sizes) for i in range(3)]
-            keys = np.concatenate([*(r[3] for r in rows), np.zeros(0, np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, keys)], names=["item", "words", "needed", "gram"])
+                n = len(words)
+                if n >= LEAST_WORDS:
+                    needed = grams_held(n, least)
+                    rows.append((item, reach(n, least), needed, seeds_held(n, least)))
+                    keys.append(grams(words)[0] if needed > 0 else seeds_of_short(words)[0])
+            sizes = [len(k) for k in keys[1:]]
+            columns = [np.repeat(np.array([r[i] for r in rows], np.int64), sizes) for i in range(4)]
+            columns.append(np.concatenate(keys).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return split
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The stretches of documents around seeds: content, item, first word, word hashes.
+    """The stretches of documents with enough seeds: content, item, first word, word hashes.
 
-    Takes for each document the items and, by item, the blocks of ``reach`` words with a seed. An
-    alignment that holds the seed lies in the block and those before and behind; stretches
-    that overlap are one.
+    Takes for each document the items and, by item, the stretches: number b starts at b times the
+    item's reach and is twice as long, so each alignment lies within one. Those that overlap
+    are put together.
     """
     for batch in batches:
         made: dict[str, list] = {"content": [], "item": [], "low": [], "passage": []}
@@ -181,9 +191,9 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for content, text, found in zip(*columns, strict=True):
             words = benchmark_words(text)
             for near in found:
-                far, blocks = near["reach"], np.sort(np.array(near["blocks"], np.int64))
-                for group in np.split(blocks, np.flatnonzero(np.diff(blocks) > 3) + 1):
-                    low = max(0, int(group[0]) - 1) * far
+                far, stretches = near["reach"], np.sort(np.array(near["stretches"], np.int64))
+                for group in np.split(stretches, np.flatnonzero(np.diff(stretches) > 1) + 1):
+                    low = max(0, int(group[0])) * far
                     made["content"].append(content)
                     made["item"].append(near["item"])
                     made["low"].append(low)
@@ -271,8 +281,7 @@ def hits(
     with Workspace(docs.sparkSession, "benchmark") as work:
         items = benchmark.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text")).distinct()
         items = work.table("items", items.withColumn("item", F.monotonically_increasing_id()))
-        split = items.select("item", "text").mapInArrow(_item_grams(least), "item long, words long, needed long, gram long")
-        split = work.table("grams", split)
+        split = work.table("grams", items.select("item", "text").mapInArrow(_item_grams(least), _ITEM_GRAMS))
         short = not split.filter("needed < 1").isEmpty()
 
         # Rarity over documents: the most common n-grams are no seeds, as many as an item can spare.
@@ -281,15 +290,18 @@ def hits(
         ranked = split.join(seen, "gram", "left").withColumn(
             "place", F.expr("row_number() OVER (PARTITION BY item ORDER BY n DESC NULLS LAST, gram)")
         )
-        seeds = ranked.filter("place >= needed OR needed < 1").select("item", "words", "gram").distinct()
+        seeds = ranked.filter("place > needed - seeds").select("item", "reach", "seeds", "gram").distinct()
         seeds = work.table("seeds", seeds)
 
-        far = F.floor(F.col("words") + F.greatest(F.lit(0), F.lit(MATCH * (1 - least) / -GAP) * F.col("words") + 1e-9)).cast("long")
+        # Words that begin a seed, counted in stretches that overlap by half.
         places = source.mapInArrow(_found(_sieve(seeds), short), "content binary, gram long, place int")
-        near = places.join(seeds, "gram").select("content", "item", far.alias("reach"), "place")
-        near = near.select("content", "item", "reach", F.floor(F.col("place") / F.col("reach")).alias("block")).distinct()
-        near = near.groupBy("content", "item", "reach").agg(F.collect_list("block").alias("blocks"))
-        near = near.groupBy("content").agg(F.collect_list(F.struct("item", "reach", "blocks")).alias("found"))
+        block = F.floor(F.col("place") / F.col("reach"))
+        near = places.join(seeds, "gram").select(
+            "content", "item", "reach", "seeds", F.explode(F.array(block - 1, block)).alias("stretch")
+        )
+        near = near.groupBy("content", "item", "reach", "seeds", "stretch").agg(F.count("*").alias("n"))
+        near = near.filter("n >= seeds").groupBy("content", "item", "reach").agg(F.collect_list("stretch").alias("stretches"))
+        near = near.groupBy("content").agg(F.collect_list(F.struct("item", "reach", "stretches")).alias("found"))
         near = work.table("near", near)
 
         held = source.join(near.select("content"), "content", "left_semi").dropDuplicates(["content"])

@@ -102,6 +102,15 @@ def text_bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
+def word_hashes(text: str, separators: np.ndarray = SPACE) -> np.ndarray:
+    """Hashes of the words of a text: runs of bytes that are not separators.
+
+    A to Z count as a to z. Equal words have equal hashes. Unequal ones of a regular pattern and
+    over a thousand letters can have too; where that matters take :func:`wide_hashes`.
+    """
+    return np.concatenate([words_of(s, separators).hashes() for s in spans(text_bytes(text), separators)])
+
+
 def wide_hashes(text: str, separators: np.ndarray = SPACE) -> np.ndarray:
     """128-bit hashes (n x 2) of the words of a text: runs of bytes that are not separators.
 
