@@ -43,7 +43,7 @@ GRAM = 20
 #: Text bytes whose anchors meet in one bucket.
 BUCKET_BYTES = 16 << 20
 #: Contents of an anchor that meet as fragments; of anchors with more the strings meet one by one.
-CONTENTS = 256
+CONTENTS = 1 << 16
 #: Text bytes that are hashed at once, and bytes from which a suffix array is made.
 SPAN, SORTED = 1 << 20, 1 << 13
 #: Low bits of a key that hold a place.
