@@ -1397,7 +1397,7 @@ def _disclosed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _disclosed_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return disclosure.transition_disclosures({20: _transition_export(spark, sf_dir)}, room=10)
+    return disclosure.transition_disclosures({20: _transition_export(spark, sf_dir)}, room=19)
 
 
 _register(
@@ -1420,7 +1420,7 @@ _register(
         f"select from_month, from_state, cast(null as varchar) as cell, lower, upper, "
         f"if(together between 1 and 19, '{disclosure.TOTAL}', '{disclosure.BOUNDS}') as reason "
         f"from ({_hidden_bounds('from_month, from_state', 'transition_export', 'transition_loan_count')}) "
-        "where together between 1 and 19 or (upper - lower + 1 < 10 and together > 0)"
+        "where together between 1 and 19 or (upper - lower + 1 < 19 and together > 0)"
     ),
 )
 
