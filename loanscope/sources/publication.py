@@ -125,10 +125,9 @@ class Lease:
     def renew(self) -> None:
         """Last as long as at the start from now on."""
         former, self._name = self._name, f"{self._token}.{int(time.time() + self._seconds)}"
-        if self._name != former:
-            self._folder.create(self._name)
-            if former:
-                self._folder.delete(former)
+        self._folder.create(self._name)
+        if former not in (None, self._name):
+            self._folder.delete(former)
 
     def release(self) -> None:
         self._folder.delete(self._name)
