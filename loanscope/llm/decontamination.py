@@ -304,8 +304,9 @@ def hits(
         near = near.groupBy("content").agg(F.collect_list(F.struct("item", "reach", "stretches")).alias("found"))
         near = work.table("near", near)
 
-        held = source.join(near.select("content"), "content", "left_semi").dropDuplicates(["content"])
-        passages = held.join(near, "content").mapInArrow(_passages, "content binary, item long, low int, passage binary")
+        # Hinted, so that the plan does not depend on how many documents are near an item.
+        held = source.join(near.hint("merge"), "content").dropDuplicates(["content"])
+        passages = held.mapInArrow(_passages, "content binary, item long, low int, passage binary")
         passages = work.table("passages", passages)
         asked = passages.join(items.withColumnRenamed("text", "item_text"), "item")
         copies = asked.mapInArrow(_aligned(least), f"content binary, item long, {HIT}")
@@ -319,7 +320,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """doc_id and a hit of :func:`hits` for every row of the documents and item that it holds."""
     found = hits(docs, benchmark, text=text, **options)
     ids = docs.select(F.col(key).cast("long").alias("doc_id"), content_of(F.col(text)).alias("content"))
-    return ids.join(found, "content").drop("content")
+    return ids.join(found.hint("merge"), "content").drop("content")
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
