@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from loanscope.operators.marts import COVERAGE_RATES, CORE_MEASURES, DQ_RATES, MONTHLY_MEASURES
 
-# Field lists the dashboard reads; rates are left out and recomputed from sums.
+# The fields that a dashboard reads from each export, by their output names. Rates
+# are left out and recomputed from sums.
 MONTHLY_FIELDS = ["as_of_month", *MONTHLY_MEASURES]
 SEGMENT_FIELDS = [
     "as_of_month",
