@@ -29,12 +29,13 @@ def month(field: str) -> str:
 
 def number(field: str, type_name: str) -> str:
     """Decimal text in the given decimal type."""
-    return f"try_cast({field} AS {type_name})"
+    # Text that is no number costs an exception in a cast to decimal, and most amounts are blank.
+    return f"try_cast({text(field)} AS {type_name})"
 
 
 def whole(field: str, type_name: str = "smallint") -> str:
     """Integer text; a fractional literal is rounded half away from zero."""
-    rounded = f"round(try_cast({field} AS decimal(38,6)))"
+    rounded = f"round({number(field, 'decimal(38,6)')})"
     return f"coalesce(try_cast({field} AS {type_name}), try_cast({rounded} AS {type_name}))"
 
 
