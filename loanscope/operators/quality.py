@@ -425,15 +425,21 @@ def failure_counts(
 
     rules = _row_rules(expect)
 
+    def _shared(name: str, passed: DataFrame) -> DataFrame:
+        """A small reduction, stored if several checks read it, so that rows are scanned once."""
+        if len(chosen) == 1:
+            return passed
+        return written(passed, f"{scratch_dir(passed.sparkSession, 'passes')}/{name}")
+
     @cache
     def originations() -> DataFrame:
         given = layers.origination_pass
-        return origination_pass(layers.origination) if given is None else given
+        return _shared("origination", origination_pass(layers.origination)) if given is None else given
 
     @cache
     def performances() -> DataFrame:
         given = layers.performance_pass
-        return performance_pass(layers.performance, expect) if given is None else given
+        return _shared("performance", performance_pass(layers.performance, expect)) if given is None else given
 
     @cache
     def months() -> DataFrame:

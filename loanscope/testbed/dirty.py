@@ -9,6 +9,7 @@ from loanscope.operators.curated import dim_loan, fact_loan_month, weighted_pair
 from loanscope.operators.marts import portfolio_by_segment, portfolio_monthly, transition_monthly
 from loanscope.operators.quality import Layers
 from loanscope.operators.staging import flag_performance, stage_origination
+from loanscope.sources.storage import scratch_dir, written
 from loanscope.testbed import panel
 
 _k, _mp = "k", "mp"
@@ -89,11 +90,9 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_loan_month(performance(spark, sf_dir), dim_loan(origination(spark, sf_dir)))
 
 
-def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    rows = fact(spark, sf_dir)
-    pairs = weighted_pairs(rows)
+def monthly(rows: DataFrame) -> DataFrame:
     raised = F.col("as_of_month") == F.lit("2020-06-01").cast("date")
-    monthly = _replaced(
+    return _replaced(
         portfolio_monthly(rows),
         {
             "dq30_loan_count": [(raised, F.col("dq30_loan_count") + 1_000_000)],
@@ -105,14 +104,20 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
             ],
         },
     )
-    segments = portfolio_by_segment(rows).filter(
+
+
+def _segments(rows: DataFrame) -> DataFrame:
+    return portfolio_by_segment(rows).filter(
         ~(
             (F.col("as_of_month") == F.lit("2022-03-01").cast("date"))
             & (F.col("segment_name") == "original_dti")
         )
     )
+
+
+def _transitions(pairs: DataFrame) -> DataFrame:
     from_month = F.col("from_month")
-    transitions = _replaced(
+    return _replaced(
         transition_monthly(pairs),
         {
             "transition_loan_count": [
@@ -130,25 +135,44 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
             ],
         },
     )
-    tampered_pairs = _replaced(
+
+
+def _tampered(pairs: DataFrame) -> DataFrame:
+    return _replaced(
         pairs,
         {
             "to_month": [
                 (
                     F.col("loan_id").endswith("13")
-                    & (from_month == F.lit("2020-05-01").cast("date")),
+                    & (F.col("from_month") == F.lit("2020-05-01").cast("date")),
                     F.add_months("to_month", 1),
                 )
             ],
             "from_upb": [(F.col("loan_id").endswith("17"), F.lit(0))],
         },
     )
+
+
+def layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """All tables, each derived and stored once, as a build does; many checks read each."""
+    folder = scratch_dir(spark, "dirty")
+
+    def stored(name: str, table: DataFrame) -> DataFrame:
+        return written(table, f"{folder}/{name}")
+
+    loans = stored("origination", origination(spark, sf_dir))
+    months = stored("performance", performance(spark, sf_dir).drop(_k, _mp))
+    panel_rows = fact_loan_month(months, dim_loan(loans))
+    rows = stored("fact", panel_rows)
+    # Pairs hold a row for each loan-month in memory: partitions of the join, which follow the
+    # amount of data, suit them better than splits of the stored table.
+    pairs = stored("pairs", weighted_pairs(panel_rows))
     return Layers(
-        origination=origination(spark, sf_dir),
-        performance=performance(spark, sf_dir),
+        origination=loans,
+        performance=months,
         fact=rows,
-        pairs=tampered_pairs,
-        monthly=monthly,
-        segments=segments,
-        transitions=transitions,
+        pairs=_tampered(pairs),
+        monthly=stored("monthly", monthly(rows)),
+        segments=stored("segments", _segments(rows)),
+        transitions=stored("transitions", _transitions(pairs)),
     )
