@@ -20,6 +20,9 @@ from loanscope.sources.storage import scratch_dir, written
 #: of a file; beyond this (the usual limit of CSV readers for one field) it is an error.
 LONGEST_RECORD = 131_072
 
+#: Lines that one window orders at most.
+LINES_OF_BLOCK = 1 << 16
+
 # A field is quoted, with doubled quotes inside, or begins with another character; quotes further
 # on in it mean themselves. Possessive, so that a line is read once.
 _REST_OF_QUOTED = r'(?:[^"]++|"")*+"[^|]*+'
@@ -123,7 +126,14 @@ def multi_line_records(lines: DataFrame, longest: int = LONGEST_RECORD) -> DataF
     told = told.withColumn("begins", F.when(~inside, F.col("place")))
     upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
     record = F.coalesce(F.last("begins", ignorenulls=True).over(upto), "carried").alias("record")
-    told = told.select("source_file", "block", "place", "value", record)
+    # A line that begins and ends outside quotes is a record; only the others are gathered.
+    alone = (~inside & F.col("change").isin("keep", "close")).alias("alone")
+    told = written(
+        told.select("source_file", "block", "place", "value", record, alone),
+        f"{scratch_dir(spark, 'records')}/told",
+    )
+    single = told.filter("alone").select("value", "source_file")
+    told = told.filter("NOT alone")
 
     size = F.sum(F.char_length("value") + 1).alias("size")
     long = told.groupBy("source_file", "record").agg(size, F.count("*").alias("n"))
@@ -132,18 +142,23 @@ def multi_line_records(lines: DataFrame, longest: int = LONGEST_RECORD) -> DataF
         raise ValueError(f"a quote that stays open for more than {longest} characters in {problem.source_file}")
     parts = F.array_sort(F.collect_list(F.struct("block", "place", "value")))
     joined = F.array_join(F.transform(parts, lambda part: part["value"]), "\n")
-    return told.groupBy("source_file", "record").agg(joined.alias("value")).select("value", "source_file")
+    several = told.groupBy("source_file", "record").agg(joined.alias("value")).select("value", "source_file")
+    return single.unionByName(several)
 
 
-def split_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+def split_lines(spark: SparkSession, paths: list[str], lines_of_block: int = LINES_OF_BLOCK) -> DataFrame:
     """Lines of files with the block in which each begins and its place among all lines.
 
-    Blocks are the splits of the scan. Their sizes may change from one scan to the next, so
+    Blocks are the splits of the scan, cut after every ``LINES_OF_BLOCK`` places, so that one task
+    orders no more however large splits are. Their sizes may change from one scan to the next, so
     whoever needs places stores what one scan told.
     """
-    return spark.read.text(paths).select(
+    placed = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("place"),
         "value",
     )
+    # Places of a split follow one another, so its stretches have the order of its lines.
+    stretch = F.expr(f"place DIV {int(lines_of_block)}")
+    return placed.select("source_file", F.struct("start", stretch.alias("stretch")).alias("block"), "place", "value")
