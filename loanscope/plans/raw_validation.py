@@ -48,7 +48,7 @@ def profile_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     )
     codes = None
     if has_unusual_codes(performance):
-        unusual = unusual_codes(lines["performance"])
+        unusual = written(unusual_codes(lines["performance"]), f"{scratch}/unusual")
         frequent = written(frequent_codes(unusual), f"{scratch}/frequent")
         codes = written(counted_codes(unusual, frequent), f"{scratch}/codes")
     return raw_profile(origination, performance, codes)

@@ -572,7 +572,7 @@ _register(
 )
 _register(
     "population_identity_dirty",
-    lambda s, d: quality.population_identity_failures(dirty.layers(s, d).monthly).select(
+    lambda s, d: quality.population_identity_failures(dirty.monthly(dirty.fact(s, d))).select(
         "as_of_month"
     ),
     statement(
@@ -633,9 +633,12 @@ _SHOWN_DIRTY = {
 
 
 def _export_report(spark: SparkSession, sf_dir: str, tampered: bool = False) -> DataFrame:
-    monthly, flows = _monthly(spark, sf_dir), _transitions(spark, sf_dir)
+    # Several checks read each mart, which is small; the panel behind it is derived once for each.
+    folder = storage.scratch_dir(spark, "marts")
+    monthly = storage.written(_monthly(spark, sf_dir), f"{folder}/monthly")
+    flows = storage.written(_transitions(spark, sf_dir), f"{folder}/transitions")
     monthly_export = exports.export_monthly(monthly)
-    segment_export = _segment_export(spark, sf_dir, _K)
+    segment_export = storage.written(_segment_export(spark, sf_dir, _K), f"{folder}/segments")
     flow_export = suppression.suppress_transitions(flows, _K)
     if tampered:
         def is_month(column: str, month: str):
@@ -964,12 +967,14 @@ def _raw_files(
     }
     for dataset, (rows, fields) in tables.items():
         part = delimited.DATASETS[dataset][0]
-        stored = storage.written(rows, f"{raw_dir}/panel/{dataset}")
+        lines = delimited.as_lines(rows, fields)
+        if spoil is not None and dataset == "performance":
+            lines = spoil(lines)
+        # Lines are put together once; a column for each field would be read once for each year.
+        stored = storage.written(lines.select("source_year", "value"), f"{raw_dir}/lines/{dataset}")
         for year in VINTAGES:
-            lines = delimited.as_lines(stored.filter(F.col("source_year") == year), fields)
-            if spoil is not None and dataset == "performance":
-                lines = spoil(lines)
-            lines.select("value").write.text(f"{raw_dir}/sample_{year}/sample_{part}_{year}.txt")
+            of_year = stored.filter(F.col("source_year") == year).select("value")
+            of_year.write.text(f"{raw_dir}/sample_{year}/sample_{part}_{year}.txt")
     return raw_dir
 
 
@@ -1320,7 +1325,7 @@ _register(
 
 
 def _repeated_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dirty.layers(spark, sf_dir).performance
+    rows = dirty.performance(spark, sf_dir)
     reduced = loan_months.loan_months(rows, 1)  # months after the first 64 are told apart row by row
     stored = storage.written(reduced, f"{storage.scratch_dir(spark, 'months')}/reduced")
     return loan_months.repeated_loan_months(rows, stored)

@@ -7,6 +7,10 @@ from loanscope.functions.parsing import MONEY, number, whole
 from loanscope.testbed import panel
 
 
+def plan(table):
+    return table._jdf.queryExecution().optimizedPlan().toString() + table._jdf.queryExecution().executedPlan().toString()
+
+
 def test_amounts_are_read_as_before_and_blanks_are_not_cast(spark):
     rows = spark.createDataFrame([("",), ("  ",), ("12.345",), ("x",), (None,), ("-7",)], "t string")
     found = rows.selectExpr(f"string({number('t', MONEY)}) AS n", f"{whole('t')} AS w").collect()
