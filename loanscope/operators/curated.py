@@ -136,7 +136,7 @@ def next_month_pairs_ordered(fact: DataFrame) -> DataFrame:
     return following.filter(F.col("is_on_book_eom") & adjacent).select(*PAIR_COLUMNS)
 
 
-def weighted_pairs(fact: DataFrame) -> DataFrame:
+def weighted_pairs(fact: DataFrame, partitions: int | None = None) -> DataFrame:
     """The pairs of :func:`next_month_pairs` as distinct rows with ``pair_count``.
 
     Repeated loan-months are counted before the join rather than multiplied by
@@ -150,7 +150,12 @@ def weighted_pairs(fact: DataFrame) -> DataFrame:
     destinations = destinations.groupBy(*destinations.columns).agg(
         F.count("*").alias("destination_count")
     )
-    return origins.join(destinations, ["loan_id", "to_month"]).select(
+    key = ["loan_id", "to_month"]
+    if partitions is not None:
+        origins, destinations = (
+            side.repartition(partitions, *key) for side in (origins, destinations)
+        )
+    return origins.join(destinations, key).select(
         *PAIR_COLUMNS,
         (F.col("origin_count") * F.col("destination_count")).alias("pair_count"),
     )

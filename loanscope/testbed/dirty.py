@@ -90,6 +90,11 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_loan_month(performance(spark, sf_dir), dim_loan(origination(spark, sf_dir)))
 
 
+def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted pairs of the panel, in tasks whose size does not depend on the tables."""
+    return weighted_pairs(fact(spark, sf_dir), panel.partitions(spark, sf_dir))
+
+
 def monthly(rows: DataFrame) -> DataFrame:
     raised = F.col("as_of_month") == F.lit("2020-06-01").cast("date")
     return _replaced(
@@ -162,11 +167,12 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
 
     loans = stored("origination", origination(spark, sf_dir))
     months = stored("performance", performance(spark, sf_dir).drop(_k, _mp))
-    panel_rows = fact_loan_month(months, dim_loan(loans))
+    parts = panel.partitions(spark, sf_dir)
+    panel_rows = fact_loan_month(panel.spread(months, parts, "loan_id"), dim_loan(loans))
     rows = stored("fact", panel_rows)
     # Pairs hold a row for each loan-month in memory: partitions of the join, which follow the
     # amount of data, suit them better than splits of the stored table.
-    pairs = stored("pairs", weighted_pairs(panel_rows))
+    pairs = stored("pairs", weighted_pairs(panel_rows, parts))
     return Layers(
         origination=loans,
         performance=months,

@@ -42,7 +42,25 @@ _LOAN_ID = f"concat('F', {_YEAR} % 100, 'Q', k % 4 + 1, {_SERIAL})"
 _CODES = ", ".join(f"'{code}'" for code in ZERO_BALANCE_CODES)
 
 
-def _shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Order lines that one task sorts or groups, at most on average.
+LINES_OF_PARTITION = 150_000
+
+
+def partitions(spark: SparkSession, sf_dir: str) -> int | None:
+    """Partitions that what is derived from the lines needs, None if the session has enough.
+
+    With the number of the session alone, tasks would grow with the tables.
+    """
+    wanted = -(-table(spark, sf_dir, "lineitem").count() // LINES_OF_PARTITION)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def spread(rows: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """Rows hash-partitioned by the keys, for None as the session and the planner choose."""
+    return rows if parts is None else rows.repartition(parts, *keys)
+
+
+def _shipped_lines(spark: SparkSession, sf_dir: str, parts: int | None) -> DataFrame:
     """``k, as_of_month, l_partkey, cents`` of each line from the loan's first year on."""
     shipped = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey",
@@ -52,16 +70,20 @@ def _shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "add_months(trunc(date(l_shipdate), 'month'), 24 * 12) AS as_of_month",
     )
     placed = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey AS k")
-    return shipped.join(placed, "l_orderkey").filter(f"as_of_month >= make_date({_YEAR}, 1, 1)")
+    # Partitions are bounded, so the orders of one fit in memory and no line is sorted.
+    joined = spread(shipped, parts, "l_orderkey").join(placed.hint("shuffle_hash"), "l_orderkey")
+    return joined.filter(f"as_of_month >= make_date({_YEAR}, 1, 1)")
 
 
 def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed loan-months without flags, with the generating ``k`` and ``mp``."""
-    monthly = (
-        _shipped_lines(spark, sf_dir)
-        .groupBy("k", "as_of_month")
-        .agg(F.min("l_partkey").alias("mp"), F.sum("cents").alias("cents"))
-        .selectExpr("*", f"{_LOAN_ID} AS loan_id")
+    parts = partitions(spark, sf_dir)
+    lines = _shipped_lines(spark, sf_dir, parts).selectExpr("*", f"{_LOAN_ID} AS loan_id")
+    # One exchange by loan serves the months, their order and joins with the loans. Few lines
+    # share a month, so reducing them ahead of it would not save much.
+    by_loan = lines.repartition("loan_id") if parts is None else lines.repartition(parts, "loan_id")
+    monthly = by_loan.groupBy("loan_id", "k", "as_of_month").agg(
+        F.min("l_partkey").alias("mp"), F.sum("cents").alias("cents")
     )
     # At most one row per calendar month and loan here, so loan groups are small.
     first_month = F.first("as_of_month").over(Window.partitionBy("loan_id").orderBy("as_of_month"))
@@ -183,15 +205,16 @@ _PERFORMANCE_TEXT = {
 
 def expected_rows(spark: SparkSession, sf_dir: str) -> dict[str, dict[int, int]]:
     """Rows per dataset and file year, counted from the source tables alone."""
+    parts = partitions(spark, sf_dir)
     placed = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey AS k")
     months = (
-        table(spark, sf_dir, "lineitem")
-        .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        spread(table(spark, sf_dir, "lineitem"), parts, "l_orderkey")
+        .join(placed.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey"))
         .selectExpr("k", "2019 + k % 2 AS year", "12 * (year(l_shipdate) + 24) + month(l_shipdate) AS month")
         .filter("month > 12 * year")
     )
     # By loan first: two distinct counts side by side would copy each line for either.
-    by_loan = months.groupBy("year", "k").agg(F.count_distinct("month").alias("months"))
+    by_loan = spread(months, parts, "k").groupBy("year", "k").agg(F.count_distinct("month").alias("months"))
     counted = by_loan.groupBy("year").agg(F.sum("months").alias("months"), F.count("*").alias("loans"))
     rows = counted.collect()  # one per vintage
     return {
@@ -212,7 +235,8 @@ def raw_origination(spark: SparkSession, sf_dir: str, only_observed: bool = True
     """
     loans = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k")
     if only_observed:
-        loans = loans.join(_shipped_lines(spark, sf_dir).select("k").distinct(), "k", "left_semi")
+        lines = _shipped_lines(spark, sf_dir, partitions(spark, sf_dir))
+        loans = loans.join(lines.select("k").distinct(), "k", "left_semi")
     return loans.selectExpr(
         "k",
         f"{_YEAR} AS source_year",

@@ -243,7 +243,7 @@ _register(
 )
 _register(
     "next_month_pairs_repeated_keys",
-    lambda s, d: curated.weighted_pairs(dirty.fact(s, d)),
+    dirty.pairs,
     statement(
         f"select {listed(curated.PAIR_COLUMNS)}, count(*) as pair_count "
         "from pairs_joined group by all",
@@ -291,7 +291,7 @@ _register(
 _register("transition_monthly", _transitions, statement(_FLOW_SQL))
 _register(
     "transition_monthly_repeated_keys",
-    lambda s, d: marts.transition_monthly(curated.weighted_pairs(dirty.fact(s, d))),
+    lambda s, d: marts.transition_monthly(dirty.pairs(s, d)),
     statement(_FLOW_SQL, dirty=True),
 )
 _register(
