@@ -956,25 +956,34 @@ for _label, _state in (("", "CURRENT"), ("_absent_cohort", "REO_ACQUISITION")):
 # --- files ----------------------------------------------------------------------------
 
 
+def _stored_by_year(raw_dir: str, dataset: str, lines: DataFrame) -> DataFrame:
+    """Store lines, write them as one raw file for each year and return what was stored."""
+    part = delimited.DATASETS[dataset][0]
+    stored = storage.written(lines.select("source_year", "value"), f"{raw_dir}/lines/{dataset}")
+    for year in VINTAGES:
+        of_year = stored.filter(F.col("source_year") == year).select("value")
+        of_year.write.text(f"{raw_dir}/sample_{year}/sample_{part}_{year}.txt")
+    return stored
+
+
 def _raw_files(
     spark: SparkSession, sf_dir: str, spoil: Callable[[DataFrame], DataFrame] | None = None
 ) -> str:
     """Write the panel as raw files into a fresh folder and return it."""
     raw_dir = storage.scratch_dir(spark, "raw")
-    tables = {
-        "origination": (panel.raw_origination(spark, sf_dir), ORIGINATION_FIELDS),
-        "performance": (panel.raw_performance(spark, sf_dir), PERFORMANCE_FIELDS),
-    }
-    for dataset, (rows, fields) in tables.items():
-        part = delimited.DATASETS[dataset][0]
-        lines = delimited.as_lines(rows, fields)
-        if spoil is not None and dataset == "performance":
-            lines = spoil(lines)
-        # Lines are put together once; a column for each field would be read once for each year.
-        stored = storage.written(lines.select("source_year", "value"), f"{raw_dir}/lines/{dataset}")
-        for year in VINTAGES:
-            of_year = stored.filter(F.col("source_year") == year).select("value")
-            of_year.write.text(f"{raw_dir}/sample_{year}/sample_{part}_{year}.txt")
+    performance = delimited.as_lines(panel.raw_performance(spark, sf_dir), PERFORMANCE_FIELDS)
+    if spoil is not None:
+        performance = spoil(performance)
+    # Lines are put together once; a column for each field would be read once for each year.
+    stored = _stored_by_year(raw_dir, "performance", performance)
+    if spoil is None:
+        # The lines begin with the loan, so the panel is not derived again to see which occur.
+        observed = stored.select(F.substring_index("value", "|", 1).alias("loan_id")).distinct()
+        origination = panel.raw_origination(spark, sf_dir, only_observed=False)
+        origination = origination.join(observed, "loan_id", "left_semi")
+    else:
+        origination = panel.raw_origination(spark, sf_dir)
+    _stored_by_year(raw_dir, "origination", delimited.as_lines(origination, ORIGINATION_FIELDS))
     return raw_dir
 
 
