@@ -13,8 +13,10 @@ anchor form a fragment.
    (as at the edge of a passage that stands in many documents) is not kept together: its
    strings go to buckets by their own hash, each once for the documents of a task.
 3. The fragments sent are put together, anchor by anchor, as far as another one of the anchor
-   agrees around it, and their suffixes sorted by linear grouping (suffixes.py). Suffixes next to each other that agree in the whole length are
-   one string; a document later than the earliest one with that string loses it.
+   agrees around it. What is left equal of several is taken once, for the earliest of their
+   documents, and the suffixes are sorted by linear grouping (suffixes.py). Suffixes next to each
+   other that agree in the whole length are one string; a document later than the earliest one
+   with that string loses it.
 4. Documents get their repeated strings back and drop the bytes that these cover.
 """
 
@@ -46,6 +48,8 @@ BUCKET_BYTES = 16 << 20
 CONTENTS = 1 << 16
 #: Text bytes that are hashed at once, and bytes from which a suffix array is made.
 SPAN, SORTED = 1 << 20, 1 << 13
+#: Fragments whose surroundings are compared at once.
+COMPARED = 1 << 16
 #: Low bits of a key that hold a place.
 _PLACE = np.uint64((1 << 24) - 1)
 _RULE = np.random.Generator(np.random.PCG64(4242))
@@ -189,161 +193,180 @@ def _batches(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tu
             yield [c.slice(first, len(rows)) for c in columns], rows
 
 
+def _column(values: np.ndarray, ends: np.ndarray, width: int = 0) -> pa.Array:
+    """A binary column of which each row has the values up to its end."""
+    offsets = np.concatenate([[0], ends]).astype(np.int64) * (width or values.itemsize)
+    if offsets[-1] > 0x7FFFFFFF:
+        raise ValueError("more than 2 GB of values in a batch")
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(ends), buffers)
+
+
+def _joined(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    """The values of all rows of a binary column."""
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+
+def _ends(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal neighbours end."""
+    return np.flatnonzero(np.append(keys[1:] != keys[:-1], True)) + 1 if len(keys) else np.zeros(0, np.int64)
+
+
 # -- step 1: names ------------------------------------------------------------------
 
+#: Of documents only the low bits of the version go along. Answers hold for all versions of a document, so
+#: they may as well meet.
+_TAG = (1 << 16) - 1
 _NAMES = pa.schema(
     [
         ("bucket", pa.int32()),  # -1: answers, for the documents themselves
-        ("doc_id", pa.list_(pa.int64())), ("version", pa.list_(pa.int64())),
+        ("doc_id", pa.binary()), ("tag", pa.binary()),
         ("owned", pa.binary()),  # per document, its number of fragments here
         ("anchor", pa.binary()), ("content", pa.binary()),
     ]
 )
-NAMES = "bucket int, doc_id array<bigint>, version array<bigint>, owned binary, anchor binary, content binary"
+NAMES = "bucket int, doc_id binary, tag binary, owned binary, anchor binary, content binary"
 
 
 def _name(length: int, buckets: int):
-    def rows(bucket, ids, versions, doc, anchor, content) -> pa.RecordBatch:
-        """One row for fragments in order of document."""
-        used, owned = np.unique(doc, return_counts=True)
-        low = np.ascontiguousarray(anchor).view(np.uint8).reshape(-1, 8)[:, :5]  # of a bucket, 40 bits tell
-        values = [
-            [bucket], [ids[used].tolist()], [versions[used].tolist()],
-            [owned.astype(np.uint32).tobytes()], [low.tobytes()], [content.tobytes()],
-        ]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, f.type) for v, f in zip(values, _NAMES, strict=True)], schema=_NAMES
-        )
-
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (ids, versions), texts in _batches(batches, ["doc_id", "version"]):
-            ids, versions = ids.to_numpy(), versions.to_numpy()
-            found = named(texts, length)
-            # Distinct contents, each with its smallest document first.
-            order = np.lexsort((found.doc, ids[found.doc], found.content))
-            content, doc, anchor = found.content[order], found.doc[order], found.anchor[order]
-            fresh = np.concatenate([[True], content[1:] != content[:-1]]) if len(order) else np.zeros(0, bool)
-            once = fresh.copy()  # a document names a content once
-            once[1:] |= doc[1:] != doc[:-1]
-            leader = ids[doc][np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(order) else doc
-            for later in (True, False):
-                at = np.flatnonzero(once & ((ids[doc] > leader) == later))
-                at = at[np.argsort(doc[at], kind="stable")]
-                if later:
-                    if len(at):
-                        yield rows(-1, ids, versions, doc[at], anchor[at], content[at])
-                    continue
-                bucket = ((anchor[at] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-                for b in np.unique(bucket):
-                    own = at[bucket == b]
-                    yield rows(int(b), ids, versions, doc[own], anchor[own], content[own])
+            by_id = np.argsort(ids.to_numpy(), kind="stable")
+            ids, tags = ids.to_numpy()[by_id], (versions.to_numpy()[by_id] & _TAG).astype(np.uint16)
+            found = named([texts[i] for i in by_id.tolist()], length)
+            if not len(found.doc):
+                continue
+            # Distinct contents, each once for a document and with its smallest document first.
+            order = np.argsort(found.content)
+            ends = _ends(found.content[order])
+            rank = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            pairs = np.sort(rank << 32 | found.doc[order])
+            pairs = pairs[_ends(pairs) - 1]
+            rank, doc = pairs >> 32, pairs & 0xFFFFFFFF
+            own = order[ends - 1]  # equal contents have equal anchors
+            content, anchor = found.content[own], found.anchor[own]
+            leader = doc[np.searchsorted(rank, np.arange(len(ends)))]
+            bucket = ((anchor >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)[rank]
+            bucket[ids[doc] > ids[leader][rank]] = -1
+            order = np.argsort((bucket + 1) << 32 | doc, kind="stable")
+            bucket, doc, rank = bucket[order], doc[order], rank[order]
+            owners = _ends(bucket * len(ids) + doc)
+            used, rows = doc[owners - 1], _ends(bucket)
+            docs = np.searchsorted(owners, rows, side="right")
+            low = anchor[rank].view(np.uint8).reshape(-1, 8)[:, :5]  # of a bucket, 40 bits tell
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bucket[rows - 1], pa.int32()), _column(ids[used], docs), _column(tags[used], docs),
+                    _column(np.diff(owners, prepend=0).astype(np.uint32), docs),
+                    _column(low, rows, 5), _column(content[rank], rows),
+                ],
+                schema=_NAMES,
+            )
 
     return name
 
 
 # -- step 2: buckets ----------------------------------------------------------------
 
-#: Answers of a bucket to part of the documents, packed; sizes count contents per document.
-#: ``known`` are repeated as a whole, ``asked`` are to be sent to the anchor's bucket, and ``spread``
-#: string by string to the buckets of the strings, because the anchor has too many contents.
-KINDS = ("known", "asked", "spread")
-PACKED = "part int, doc_id array<bigint>, version array<bigint>, " + ", ".join(f"{k}_sizes binary, {k} binary" for k in KINDS)
-ANSWERS = "doc_id long, version long, " + ", ".join(f"{k} binary" for k in KINDS)
+#: What a bucket answers to a document about a content: that it is ``KNOWN`` to be repeated as a whole, or
+#: ``ASKED`` for, to be sent to the anchor's bucket, or ``SPREAD``, to be sent string by string to the buckets
+#: of the strings, because the anchor has too many contents.
+KNOWN, ASKED, SPREAD = 1, 2, 3
+#: Answers of a bucket to part of the documents, packed; ``owned`` counts contents per document.
+PACKED = "part int, doc_id binary, tag binary, owned binary, kind binary, content binary"
+ANSWERS = "doc_id long, tag int, kind binary, content binary"
 
 
 def _unpacked(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Document ids, versions, and the owner, anchor and content of each fragment."""
-    flat = lambda name: table.column(name).combine_chunks().flatten().to_numpy()
-    joined = lambda name: b"".join(table.column(name).to_pylist())
-    owned = np.frombuffer(joined("owned"), np.uint32)
-    low = np.frombuffer(joined("anchor"), np.uint8).reshape(-1, 5)
+    """Document ids, tags, and the owner, anchor and content of each fragment."""
+    owned = _joined(table, "owned", np.uint32)
+    low = _joined(table, "anchor", np.uint8).reshape(-1, 5)
     anchor = np.zeros((len(low), 8), np.uint8)
     anchor[:, :5] = low
     return (
-        flat("doc_id"), flat("version"), np.repeat(np.arange(len(owned)), owned),
-        anchor.view(np.uint64).ravel(), np.frombuffer(joined("content"), np.uint64),
+        _joined(table, "doc_id", np.int64), _joined(table, "tag", np.uint16), np.repeat(np.arange(len(owned)), owned),
+        anchor.view(np.uint64).ravel(), _joined(table, "content", np.uint64),
     )
 
 
-def _packed(ids, versions, owner, content, masks: list[np.ndarray], parts: int) -> pa.Table:
-    """Answers from masks (of ``KINDS``) over fragments in order of owner; owners are documents."""
-    part_of = mixed(ids.astype(np.uint64)) % np.uint64(parts)
-    rows: list[tuple] = []
-    any_ = np.logical_or.reduce(masks)
-    for part in np.unique(part_of[np.unique(owner[any_])]):
-        here = part_of[owner] == part
-        used = np.unique(owner[here & any_])
-        row = [int(part), ids[used].tolist(), versions[used].tolist()]
-        for mask in masks:
-            mask = mask & here
-            sizes = np.bincount(np.searchsorted(used, owner[mask]), minlength=len(used))
-            row += [sizes.astype(np.uint32).tobytes(), content[mask].tobytes()]
-        rows.append(tuple(row))
-    names = [c.split(" ")[0] for c in PACKED.split(", ")]
-    columns = list(zip(*rows, strict=True)) or [()] * len(names)
-    ints, blob = pa.list_(pa.int64()), pa.binary()
-    types = [pa.int32(), ints, ints, *[blob] * (len(names) - 3)]
-    return pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=True)})
+def _packed(ids, tags, owner, content, kind, parts: int) -> pa.Table:
+    """Answers from kinds (0 for none) of fragments; owners are documents."""
+    part_of = (mixed(ids.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    at = np.flatnonzero(kind)
+    key = part_of[owner[at]] << 32 | owner[at]
+    order = np.argsort(key)
+    key, at = key[order], at[order]
+    owners, rows = _ends(key), _ends(key >> 32)
+    used = key[owners - 1] & 0xFFFFFFFF
+    docs = np.searchsorted(owners, rows, side="right")
+    return pa.table(
+        {
+            "part": pa.array(key[rows - 1] >> 32, pa.int32()), "doc_id": _column(ids[used], docs), "tag": _column(tags[used], docs),
+            "owned": _column(np.diff(owners, prepend=0).astype(np.uint32), docs),
+            "kind": _column(kind[at], rows), "content": _column(content[at], rows),
+        }
+    )
 
 
 def _merge(table: pa.Table) -> pa.Table:
     """One row per document from the packed answers to a part of the documents."""
-    flat = lambda name: table.column(name).combine_chunks().flatten().to_numpy()
-    joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    ids, versions = flat("doc_id"), flat("version")
-    order = np.lexsort((versions, ids))
-    ids_, versions_ = ids[order], versions[order]
-    fresh = np.concatenate([[True], (ids_[1:] != ids_[:-1]) | (versions_[1:] != versions_[:-1])])
+    ids, tags = _joined(table, "doc_id", np.int64), _joined(table, "tag", np.uint16).astype(np.int32)
+    order = np.lexsort((tags, ids))
+    ids, tags = ids[order], tags[order]
+    fresh = np.concatenate([[True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
     number = np.empty(len(order), np.int64)  # of the document of each packed entry
     number[order] = np.cumsum(fresh) - 1
-    out = {"doc_id": pa.array(ids_[fresh]), "version": pa.array(versions_[fresh])}
-    for name in KINDS:
-        owner = np.repeat(number, joined(f"{name}_sizes", np.uint32))
-        by_owner = np.argsort(owner, kind="stable")
-        values, ends = joined(name, np.uint64)[by_owner], np.bincount(owner, minlength=int(fresh.sum())).cumsum()
-        cut = [values[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-        out[name] = pa.array(cut, pa.binary())
-    return pa.table(out)
+    owner = np.repeat(number, _joined(table, "owned", np.uint32))
+    by_owner = np.argsort(owner, kind="stable")
+    ends = np.bincount(owner, minlength=int(fresh.sum())).cumsum()
+    return pa.table(
+        {
+            "doc_id": pa.array(ids[fresh]), "tag": pa.array(tags[fresh]),
+            "kind": _column(_joined(table, "kind", np.uint8)[by_owner], ends),
+            "content": _column(_joined(table, "content", np.uint64)[by_owner], ends),
+        }
+    )
 
 
 def _resolve(parts: int):
     def resolve(table: pa.Table) -> pa.Table:
-        ids, versions, owner, anchor, content = _unpacked(table)
+        ids, tags, owner, anchor, content = _unpacked(table)
+        kind = np.full(len(owner), KNOWN, np.uint8)
         if table.column("bucket")[0].as_py() < 0:  # answered in step 1
-            every = np.ones(len(owner), bool)
-            return _packed(ids, versions, owner, content, [every, ~every, ~every], parts)
-        doc = ids[owner]
-        order = np.lexsort((doc, content, anchor))
-        anchor_, content_, doc_ = anchor[order], content[order], doc[order]
-        new_anchor = np.concatenate([[True], anchor_[1:] != anchor_[:-1]])
-        new_content = new_anchor | np.concatenate([[True], content_[1:] != content_[:-1]])
-        group = np.cumsum(new_anchor) - 1
-        first = np.flatnonzero(new_anchor)
-        contents = np.add.reduceat(new_content.astype(np.int64), first)
-        low, high = np.minimum.reduceat(doc_, first), np.maximum.reduceat(doc_, first)
-        leader = doc_[np.flatnonzero(new_content)[np.cumsum(new_content) - 1]]
-        known, asked, many = (np.zeros(len(order), bool) for _ in range(3))
-        known[order] = doc_ > leader
-        asked[order] = (doc_ == leader) & (contents[group] > 1) & (low < high)[group]
-        many[order] = contents[group] > CONTENTS
-        return _packed(ids, versions, owner, content, [known, asked & ~many, asked & many], parts)
+            return _packed(ids, tags, owner, content, kind, parts)
+        # Contents with their first and last documents, then anchors with their contents.
+        order = np.argsort(content)
+        doc, ends = ids[owner[order]], _ends(content[order])
+        first = np.concatenate([[0], ends[:-1]])
+        leader, last = np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first)
+        of_content = anchor[order[first]]
+        by_anchor = np.argsort(of_content)
+        ends_ = _ends(of_content[by_anchor])
+        first_, contents = np.concatenate([[0], ends_[:-1]]), np.diff(ends_, prepend=0)
+        low, high = np.minimum.reduceat(leader[by_anchor], first_), np.maximum.reduceat(last[by_anchor], first_)
+        told = np.where(contents > CONTENTS, SPREAD, ASKED) * ((contents > 1) & (low < high))
+        asked = np.empty(len(ends), np.uint8)
+        asked[by_anchor] = np.repeat(told, contents)
+        many = np.diff(ends, prepend=0)
+        kind[order] = np.where(doc > np.repeat(leader, many), KNOWN, np.repeat(asked, many))
+        return _packed(ids, tags, owner, content, kind, parts)
 
     return resolve
 
 
 # -- step 3: fragments and suffix arrays ----------------------------------------------
 
+#: What documents of a batch send to a bucket. ``owned`` counts the contents of each document (``docs``, ``versions``).
 #: A content is sent once with all its places in the document: ``places`` counts them, ``start`` has them.
-SENT = (
-    "bucket int, doc_id long, version long, start binary, places binary, lead binary, count binary, "
-    "anchor binary, bytes binary"
-)
+#: Bucket -1 is for what a document (``doc_id``, ``version``) knows already, runs of bytes in ``start``.
 _SENT = pa.schema(
     [
         ("bucket", pa.int32()), ("doc_id", pa.int64()), ("version", pa.int64()), ("start", pa.binary()),
-        ("places", pa.binary()), ("lead", pa.binary()), ("count", pa.binary()), ("anchor", pa.binary()), ("bytes", pa.binary()),
+        ("docs", pa.binary()), ("versions", pa.binary()), ("owned", pa.binary()), ("places", pa.binary()),
+        ("lead", pa.binary()), ("count", pa.binary()), ("anchor", pa.binary()), ("bytes", pa.binary()),
     ]
 )
+SENT = ", ".join(f"{f.name} {({'int32': 'int', 'int64': 'long'}.get(str(f.type), 'binary'))}" for f in _SENT)
 RUNS = "doc_id long, version long, runs binary"
 
 
@@ -357,93 +380,119 @@ def joined_runs(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     return np.stack([start[fresh], stop[np.concatenate([fresh[1:] - 1, [len(stop) - 1]])]], axis=1)
 
 
+def _runs_of(owner: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The owners of intervals, and for each its intervals merged."""
+    shift = owner.astype(np.int64) << 33  # no text is as long
+    runs = joined_runs(shift + start, shift + stop)
+    whose = runs[:, 0] >> 33
+    ends = _ends(whose)
+    return whose[ends - 1], _column((runs & ((1 << 33) - 1)).astype(np.uint32), ends, 8)
+
+
 def _strings(
-    texts: list[bytes], ids: np.ndarray, spreads: list[bytes], found: Named, bounds: np.ndarray, length: int
-) -> tuple[list[list[int]], list[list[tuple[bytes, int, int, list[int]]]]]:
-    """The strings of contents that are spread, for documents of a batch.
+    texts: list[bytes], ids: np.ndarray, found: Named, spread: np.ndarray, length: int
+) -> tuple[list[tuple[int, int]], list[tuple[int, bytes, int, int, list[int]]]]:
+    """The strings of the fragments that are spread, for documents of a batch.
 
-    First, by document, where strings start that an earlier document of the batch has too;
-    second, the others as string, lead, anchor and starts. So of a string that very many documents
-    have, a batch sends on only that of its first document.
+    First, as document and start, the strings that an earlier document of the batch has too;
+    second, the others as document, string, lead, anchor and starts. So of a string that very many
+    documents have, a batch sends on only that of its first document.
     """
     holders: dict[bytes, dict[int, list]] = {}
-    for i, text in enumerate(texts):
-        own = slice(bounds[i], bounds[i + 1])
-        wanted = np.frombuffer(spreads[i], np.uint64)
-        for j in np.flatnonzero(np.isin(found.content[own], wanted)) + own.start if len(wanted) else ():
-            start, lead, anchor = int(found.start[j]), int(found.lead[j]), int(found.anchor[j])
-            for nth in range(int(found.count[j])):
-                string = text[start + nth : start + nth + length]
-                place = holders.setdefault(string, {}).setdefault(i, [lead - nth, anchor, []])
-                place[2].append(start + nth)
-    gone: list[list[int]] = [[] for _ in texts]
-    sent: list[list[tuple[bytes, int, int, list[int]]]] = [[] for _ in texts]
+    columns = (c[spread].tolist() for c in (found.doc, found.start, found.lead, found.anchor, found.count))
+    for i, start, lead, anchor, count in zip(*columns, strict=True):
+        for nth in range(count):
+            string = texts[i][start + nth : start + nth + length]
+            place = holders.setdefault(string, {}).setdefault(i, [lead - nth, anchor, []])
+            place[2].append(start + nth)
+    gone: list[tuple[int, int]] = []
+    sent: list[tuple[int, bytes, int, int, list[int]]] = []
     for string, places in holders.items():
         first = min(ids[i] for i in places)
         for i, (lead, anchor, starts) in places.items():
             if ids[i] > first:
-                gone[i] += starts
+                gone += [(i, s) for s in starts]
             else:
-                sent[i].append((string, lead, anchor, starts))
+                sent.append((i, string, lead, anchor, starts))
     return gone, sent
 
 
+def _told(found: Named, kinds: list[bytes], contents: list[bytes]) -> np.ndarray:
+    """For each fragment, what its document was told about its content; 0 if nothing."""
+    told = np.frombuffer(b"".join(contents), np.uint64)
+    kind = np.zeros(len(found.doc), np.uint8)
+    if not len(told) or not len(kind):
+        return kind
+    values, code = np.unique(told, return_inverse=True)
+    key = np.repeat(np.arange(len(kinds)), [len(k) for k in kinds]) * len(values) + code
+    order = np.argsort(key)
+    key, kind_of = key[order], np.frombuffer(b"".join(kinds), np.uint8)[order]
+    code = np.minimum(np.searchsorted(values, found.content), len(values) - 1)
+    at = np.flatnonzero(values[code] == found.content)
+    wanted = found.doc[at] * len(values) + code[at]
+    place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+    kind[at] = np.where(key[place] == wanted, kind_of[place], 0)
+    return kind
+
+
+def _sent(bucket, doc, ids, versions, places, start, lead, count, anchor, pieces: list[bytes]) -> pa.RecordBatch:
+    """Rows for the buckets from contents in order of bucket and document."""
+    owners, rows = _ends(bucket * len(ids) + doc), _ends(bucket)
+    used, docs = doc[owners - 1], np.searchsorted(owners, rows, side="right")
+    upto = lambda sizes: np.cumsum(sizes)[rows - 1]
+    small = lambda values: _column(values.astype(np.uint32), rows)
+    none = pa.nulls(len(rows), pa.int64())
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    columns = [
+        pa.array(bucket[rows - 1], pa.int32()), none, none, _column(start.astype(np.uint32), upto(places)),
+        _column(ids[used], docs), _column(versions[used], docs), _column(np.diff(owners, prepend=0).astype(np.uint32), docs),
+        small(places), small(lead), small(count), _column(anchor, rows), _column(data, upto([len(p) for p in pieces])),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=_SENT)
+
+
 def _send(length: int, buckets: int):
-    """What a document knows already (bucket -1, runs of bytes in ``start``) and what it is asked."""
+    """What documents know already and what they are asked."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (ids, versions, knowns, askeds, spreads), texts in _batches(batches, ["doc_id", "version", *KINDS]):
-            out: list[list] = [[] for _ in _SENT]
+        for (ids, versions, kinds, contents), texts in _batches(batches, ["doc_id", "version", "kind", "answer"]):
+            ids, versions = ids.to_numpy(), versions.to_numpy()
             found = named(texts, length)
-            bounds = np.searchsorted(found.doc, np.arange(len(texts) + 1))
-            gone, strings = _strings(texts, ids.to_numpy(), spreads.to_pylist(), found, bounds, length)
-            for i, text in enumerate(texts):
-                own = slice(bounds[i], bounds[i + 1])
-                start, count, content = found.start[own], found.count[own], found.content[own]
-                key = (ids[i].as_py(), versions[i].as_py())
-                known = np.isin(content, np.frombuffer(knowns[i].as_py(), np.uint64))
-                also = np.array(gone[i], np.int64)
-                runs = joined_runs(
-                    np.concatenate([start[known], also]),
-                    np.concatenate([(start + count)[known] + length - 1, also + length]),
-                )
-                row = (-1, *key, runs.astype(np.uint32).tobytes(), None, None, None, None, None)
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-                asked = np.flatnonzero(np.isin(content, np.frombuffer(askeds[i].as_py(), np.uint64)))
-                _, once, same = np.unique(content[asked], return_index=True, return_inverse=True)
-                together = np.argsort(same, kind="stable")
-                everywhere, same = start[asked[together]], same[together]
-                places = np.bincount(same, minlength=len(once))
-                asked = asked[once]
-                bucket = (found.anchor[own][asked] >> np.uint64(40)) % np.uint64(buckets)
-                for b in np.unique(bucket):
-                    at = asked[bucket == b]
-                    row = (
-                        int(b), *key, everywhere[bucket[same] == b].astype(np.uint32).tobytes(),
-                        places[bucket == b].astype(np.uint32).tobytes(),
-                        found.lead[own][at].astype(np.uint32).tobytes(), count[at].astype(np.uint32).tobytes(),
-                        found.anchor[own][at].tobytes(),
-                        b"".join(text[start[j] : start[j] + count[j] + length - 1] for j in at),
-                    )
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-                by_bucket: dict[int, list] = {}
-                for piece in strings[i]:
-                    by_bucket.setdefault(xxhash.xxh3_64_intdigest(piece[0]) % buckets, []).append(piece)
-                for b, pieces in by_bucket.items():
-                    of = lambda values, kind: np.array(values, kind).tobytes()
-                    row = (
-                        b, *key, of([p for piece in pieces for p in piece[3]], np.uint32),
-                        of([len(piece[3]) for piece in pieces], np.uint32), of([piece[1] for piece in pieces], np.uint32),
-                        of([1] * len(pieces), np.uint32), of([piece[2] for piece in pieces], np.uint64),
-                        b"".join(piece[0] for piece in pieces),
-                    )
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(out, _SENT, strict=True)], schema=_SENT
+            told = _told(found, kinds.to_pylist(), contents.to_pylist())
+            gone, strings = _strings(texts, ids, found, np.flatnonzero(told == SPREAD), length)
+            known, also = np.flatnonzero(told == KNOWN), np.array(gone, np.int64).reshape(-1, 2)
+            whose, runs = _runs_of(
+                np.concatenate([found.doc[known], also[:, 0]]), np.concatenate([found.start[known], also[:, 1]]),
+                np.concatenate([(found.start + found.count)[known] + length - 1, also[:, 1] + length]),
             )
+            nulls = [pa.nulls(len(whose), pa.binary())] * (len(_SENT) - 4)
+            columns = [pa.array(np.full(len(whose), -1), pa.int32()), pa.array(ids[whose]), pa.array(versions[whose]), runs, *nulls]
+            yield pa.RecordBatch.from_arrays(columns, schema=_SENT)
+
+            asked = np.flatnonzero(told == ASKED)
+            if len(asked):
+                bucket = ((found.anchor[asked] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+                order = np.lexsort((found.content[asked], bucket * len(ids) + found.doc[asked]))
+                asked, bucket = asked[order], bucket[order]
+                differ = (found.doc[asked][1:] != found.doc[asked][:-1]) | (found.content[asked][1:] != found.content[asked][:-1])
+                once = np.flatnonzero(np.concatenate([[True], differ]))
+                places, at = np.diff(np.append(once, len(asked))), asked[once]
+                doc, start, count = found.doc[at], found.start[at], found.count[at]
+                spans = zip(doc.tolist(), start.tolist(), (start + count + length - 1).tolist(), strict=True)
+                yield _sent(
+                    bucket[once], doc, ids, versions, places, found.start[asked], found.lead[at], count,
+                    found.anchor[at], [texts[i][low:high] for i, low, high in spans],
+                )
+            if strings:
+                bucket = np.array([xxhash.xxh3_64_intdigest(x[1]) % buckets for x in strings], np.int64)
+                doc = np.array([x[0] for x in strings], np.int64)
+                order = np.argsort(bucket * len(ids) + doc, kind="stable")
+                strings = [strings[k] for k in order.tolist()]
+                yield _sent(
+                    bucket[order], doc[order], ids, versions, np.array([len(x[4]) for x in strings], np.int64),
+                    np.array([p for x in strings for p in x[4]], np.int64), np.array([x[2] for x in strings], np.int64),
+                    np.ones(len(strings), np.int64), np.array([x[3] for x in strings], np.uint64), [x[1] for x in strings],
+                )
 
     return send
 
@@ -472,71 +521,76 @@ def earliest(pieces: list[bytes], counts: np.ndarray, docs: np.ndarray, length:
     return result
 
 
-def _common(a: bytes, b: bytes) -> int:
-    """How many bytes two strings begin with in common."""
-    n = min(len(a), len(b))
-    differ = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
-    return n - (differ.bit_length() + 7) // 8
-
+def _furthest(group: np.ndarray, strings: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How far each string agrees with that one of the others of its group which it agrees with longest.
 
-def _furthest(strings: list[bytes]) -> list[int]:
-    """How far each string agrees with that one of the others which it agrees with longest."""
-    order = sorted(range(len(strings)), key=strings.__getitem__)
-    furthest = [0] * len(strings)
-    for i, j in zip(order, order[1:]):
-        n = _common(strings[i], strings[j])
-        furthest[i] = max(furthest[i], n)
-        furthest[j] = max(furthest[j], n)
+    ``strings`` are rows of one width, of which ``sizes`` bytes count and the others are 0.
+    """
+    n, width = strings.shape
+    # In order of group, bytes and size, as numbers with the highest byte first.
+    rows = np.empty((n, width + 8), np.uint8)
+    rows[:, :4] = group.astype(">u4").view(np.uint8).reshape(n, 4)
+    rows[:, 4:-4] = strings
+    rows[:, -4:] = (sizes + 1).astype(">u4").view(np.uint8).reshape(n, 4)
+    order = np.argsort(rows.view(f"S{width + 8}").ravel())
+    strings, sizes, group = strings[order], sizes[order], group[order]
+    differ = np.ones((n - 1, width + 1), bool)
+    np.not_equal(strings[1:], strings[:-1], out=differ[:, :-1])
+    common = np.minimum(differ.argmax(axis=1), np.minimum(sizes[1:], sizes[:-1]))
+    common[group[1:] != group[:-1]] = 0
+    furthest = np.empty(n, np.int64)
+    furthest[order] = np.maximum(np.concatenate([[0], common]), np.concatenate([common, [0]]))
     return furthest
 
 
-def shareable(pieces: list[bytes], leads: list[int], counts: list[int], length: int) -> list[tuple[int, int]]:
+def _rows(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray, step: int) -> np.ndarray:
+    """Bytes from places on, to the right or (``step`` -1) to the left, as rows filled up with 0."""
+    nth = np.arange(int(sizes.max(initial=0)))
+    inside = nth < sizes[:, None]
+    return np.where(inside, data[np.where(inside, begin[:, None] + step * nth, 0)], np.uint8(0))
+
+
+def shareable(
+    data: np.ndarray, group: np.ndarray, begin: np.ndarray, lead: np.ndarray, count: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
     """First and past-last string of each piece that another piece of its anchor may share.
 
-    Equal strings agree from the anchor in both directions, so no string is shared that
-    reaches beyond the longest agreement to the left or to the right.
+    Pieces begin at places of ``data``; those of an anchor have one ``group``. Equal strings agree
+    from the anchor in both directions, so no string is shared that reaches beyond the longest
+    agreement to the left or to the right.
     """
-    right = _furthest([p[lead:] for p, lead in zip(pieces, leads, strict=True)])
-    left = _furthest([p[:lead][::-1] for p, lead in zip(pieces, leads, strict=True)])
-    return [
-        (max(0, lead - before), min(count, lead + after - length + 1))
-        for lead, count, before, after in zip(leads, counts, left, right, strict=True)
-    ]
+    sizes = count + length - 1 - lead
+    after = _furthest(group, _rows(data, begin + lead, sizes, 1), sizes)
+    before = _furthest(group, _rows(data, begin + lead - 1, lead, -1), lead)
+    return np.maximum(0, lead - before), np.minimum(count, lead + after - length + 1)
 
 
 def _sort(length: int):
     def sort(table: pa.Table) -> pa.Table:
-        column = lambda name: table.column(name).to_pylist()
-        ids, versions = table.column("doc_id").to_numpy(), table.column("version").to_numpy()
-        counts_of = [np.frombuffer(x, np.uint32) for x in column("count")]
-        row = np.repeat(np.arange(len(ids)), [len(c) for c in counts_of])
-        count = np.concatenate(counts_of).astype(np.int64)
-        start = np.frombuffer(b"".join(column("start")), np.uint32).astype(np.int64)
-        places = np.frombuffer(b"".join(column("places")), np.uint32).astype(np.int64)
+        joined = lambda name, kind: _joined(table, name, kind)
+        ids, versions, owned = joined("docs", np.int64), joined("versions", np.int64), joined("owned", np.uint32)
+        row = np.repeat(np.arange(len(ids)), owned)  # the document of each piece
+        count, start = joined("count", np.uint32).astype(np.int64), joined("start", np.uint32).astype(np.int64)
+        places = joined("places", np.uint32).astype(np.int64)
         first = places.cumsum() - places  # in start, of each piece's places
-        lead = np.frombuffer(b"".join(column("lead")), np.uint32).tolist()
-        anchor = np.frombuffer(b"".join(column("anchor")), np.uint64)
-        data = b"".join(column("bytes"))
-        begin = np.concatenate([[0], (count + length - 1).cumsum()]).tolist()
+        lead, anchor = joined("lead", np.uint32).astype(np.int64), joined("anchor", np.uint64)
+        data = joined("bytes", np.uint8)
+        begin = (count + length - 1).cumsum() - (count + length - 1)
         order = np.argsort(anchor, kind="stable")
-        new = np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]])
-        edges = np.append(np.flatnonzero(new), len(order)).tolist()
-        counts = count.tolist()
+        edges = [0, *_ends(anchor[order]).tolist()]
         found: list[tuple[np.ndarray, ...]] = [(row[:0], start[:0], start[:0])]
-        pieces: list[bytes] = []
-        owners: list[int] = []
-        shifts: list[int] = []
-        sizes: list[int] = []
-        size = 0
-
-        def settle() -> None:
-            """The strings of the pieces so far, in one suffix array."""
-            many, owner = np.array(sizes), np.array(owners)
-            least = earliest(pieces, many, ids[row[owner]], length)
-            nth = np.arange(len(least)) - np.repeat(many.cumsum() - many, many)
-            offset = np.repeat(np.array(shifts), many) + nth
-            whose = np.repeat(owner, many)
-            later = least < ids[row[whose]]
+
+        def settle(pieces: dict[bytes, int], of: list[int], owners: list[int], shifts: list[int]) -> None:
+            """The strings of the pieces so far, in one suffix array. Equal pieces are in it once."""
+            of, owner, shift = np.array(of), np.array(owners), np.array(shifts)
+            many = np.array([len(p) for p in pieces]) - length + 1
+            docs = np.full(len(pieces), np.iinfo(np.int64).max)
+            np.minimum.at(docs, of, ids[row[owner]])
+            least = earliest(list(pieces), many, docs, length)
+            begins, many = (many.cumsum() - many)[of], many[of]
+            nth = np.arange(many.sum()) - np.repeat(many.cumsum() - many, many)
+            offset, whose = np.repeat(shift, many) + nth, np.repeat(owner, many)
+            later = least[np.repeat(begins, many) + nth] < ids[row[whose]]
             whose, offset = whose[later], offset[later]
             # Runs of bytes from the begin of a piece, whose strings are in order.
             if len(whose):
@@ -545,39 +599,38 @@ def _sort(length: int):
                 found.append((whose[edge[:-1]], offset[edge[:-1]], offset[edge[1:] - 1] + length))
 
         # Several anchors share a suffix array; an anchor with many fragments has one of its own.
-        for a, b in zip(edges, edges[1:]):
-            own = order[a:b].tolist()
-            whole = [data[begin[i] : begin[i + 1]] for i in own]
-            kept = shareable(whole, [lead[i] for i in own], [counts[i] for i in own], length)
-            for i, text, (low, high) in zip(own, whole, kept, strict=True):
-                if low < high:
-                    pieces.append(text[low : high + length - 1])
-                    owners.append(i)
-                    shifts.append(low)
-                    sizes.append(high - low)
-                    size += high - low + length - 1
-            if size >= SORTED:
-                settle()
-                pieces, owners, shifts, sizes, size = [], [], [], [], 0
+        pieces, of, owners, shifts, size = {}, [], [], [], 0
+        text, at = data.tobytes(), 0
+        while at < len(edges) - 1:
+            upto = max(at + 1, int(np.searchsorted(edges, edges[at] + COMPARED, side="right")) - 1)
+            own = order[edges[at] : edges[upto]]
+            group = np.repeat(np.arange(upto - at), np.diff(edges[at : upto + 1]))
+            low, high = shareable(data, group, begin[own], lead[own], count[own], length)
+            kept = np.flatnonzero(low < high)
+            own, group, low, high = own[kept], group[kept], low[kept], high[kept]
+            ends = np.append(group[1:] != group[:-1], True)[: len(own)]  # of an anchor's pieces
+            spans = (own, low, begin[own] + low, begin[own] + high + length - 1, ends)
+            for i, shift, a, b, over in zip(*(x.tolist() for x in spans), strict=True):
+                piece = text[a:b]
+                if piece not in pieces:
+                    pieces[piece] = len(pieces)
+                    size += b - a
+                of.append(pieces[piece])
+                owners.append(i)
+                shifts.append(shift)
+                if over and size >= SORTED:
+                    settle(pieces, of, owners, shifts)
+                    pieces, of, owners, shifts, size = {}, [], [], [], 0
+            at = upto
         if pieces:
-            settle()
+            settle(pieces, of, owners, shifts)
         whose, low, high = (np.concatenate(c) for c in zip(*found, strict=True))
         # A run of a piece is one at every place of the piece.
         many = places[whose]
         nth = np.arange(many.sum()) - np.repeat(many.cumsum() - many, many)
         place = start[np.repeat(first[whose], many) + nth]
-        low, high = place + np.repeat(low, many), place + np.repeat(high, many)
-        rows = row[np.repeat(whose, many)]
-        out = []
-        ordered = np.argsort(rows, kind="stable")
-        rows, low, high = rows[ordered], low[ordered], high[ordered]
-        for r in np.unique(rows):
-            own = slice(np.searchsorted(rows, r), np.searchsorted(rows, r, side="right"))
-            out.append((int(ids[r]), int(versions[r]), joined_runs(low[own], high[own]).astype(np.uint32).tobytes()))
-        a, b, c = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table(
-            {"doc_id": pa.array(a, pa.int64()), "version": pa.array(b, pa.int64()), "runs": pa.array(c, pa.binary())}
-        )
+        whose, runs = _runs_of(row[np.repeat(whose, many)], place + np.repeat(low, many), place + np.repeat(high, many))
+        return pa.table({"doc_id": pa.array(ids[whose]), "version": pa.array(versions[whose]), "runs": runs})
 
     return sort
 
@@ -635,8 +688,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id",
         packed = names.groupBy("bucket", "spread").applyInArrow(_resolve(buckets), PACKED)
         packed = work.table("packed", packed)
         work.release()
-        answers = packed.groupBy("part").applyInArrow(_merge, ANSWERS)
-        sent = identified.join(answers.hint("merge"), ["doc_id", "version"]).mapInArrow(_send(length, buckets), SENT)
+        answers = packed.groupBy("part").applyInArrow(_merge, ANSWERS).withColumnRenamed("content", "answer")
+        tagged = identified.withColumn("tag", F.col("version").bitwiseAND(F.lit(_TAG)).cast("int"))
+        sent = tagged.join(answers.hint("merge"), ["doc_id", "tag"]).mapInArrow(_send(length, buckets), SENT)
         sent = work.table("sent", sent)
         work.drop("packed")
         work.release()

@@ -1,7 +1,9 @@
 import hashlib
 import random
+import time
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tests.llm.conftest import pairs
 
@@ -137,3 +139,56 @@ def test_more_real_documents(spark):
         np.add.at(cover, np.flatnonzero(own) + 50, -1)
         gone[d] = int((cover.cumsum() > 0).sum())
     assert {r.doc_id: r.n_removed for r in substrings.without_repeats(table, 50).collect()} == gone
+
+
+def test_rows_sent_do_not_follow_the_documents(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 8000)
+    draw = random.Random(15)
+    letters = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passages, most, table_of = [letters(120) for _ in range(60)], [], substrings.Workspace.table
+
+    def spied(self, name, rows):
+        made = table_of(self, name, rows)
+        if name == "sent":
+            most.append(max(r["count"] for r in made.filter("bucket >= 0").groupBy("bucket").count().collect()))
+        return made
+
+    monkeypatch.setattr(substrings.Workspace, "table", spied)
+    docs = [(n, "".join(letters(9) + draw.choice(passages)[draw.randint(0, 30) :] for _ in range(6))) for n in range(300)]
+    assert found(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), 50) == brute(docs, 50)
+    assert most[0] <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_answers_to_many_parts_of_the_documents():
+    draw = random.Random(16)
+    texts = ["".join(draw.choice("abcdefgh ") for _ in range(400)) for _ in range(40)]
+    columns = [pa.array(range(20_000), pa.int64())] * 2 + [pa.array([texts[n % 40] for n in range(20_000)])]
+    batch = pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "text"])
+    named = pa.Table.from_batches(substrings._name(50, 1)([batch]))
+    began = time.process_time()
+    answers = substrings._resolve(20_000)(named.filter(pa.compute.equal(named["bucket"], -1)))
+    assert time.process_time() - began < 8
+    assert answers.num_rows > 10_000
+
+
+def test_equal_rests_of_fragments_are_sorted_once(spark, monkeypatch):
+    draw = random.Random(17)
+    passage, made, table_of = "".join(draw.choice("abcdefgh ") for _ in range(52)), [], substrings.Workspace.table
+
+    def spied(self, name, rows):
+        table = table_of(self, name, rows)
+        if name == "sent":
+            made.append(table.filter("bucket >= 0").toArrow())
+        return table
+
+    monkeypatch.setattr(substrings.Workspace, "table", spied)
+    sizes = []
+    monkeypatch.setattr(substrings, "suffix_array", lambda text: sizes.append(len(text)) or suffix_array(text))
+    totals = []
+    for n in (10, 40):
+        docs = [(k, chr(0x30 + k) * 40 + passage + chr(0x30 + k) * 40) for k in range(n)]
+        assert found(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), 50) == brute(docs, 50)
+        sizes.clear()
+        assert substrings._sort(50)(made[-1]).num_rows >= n - 1
+        totals.append(sum(sizes))
+    assert totals[0] == totals[1] > 0
