@@ -689,14 +689,21 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, key: str = "doc_id",
         packed = work.table("packed", packed)
         work.release()
         answers = packed.groupBy("part").applyInArrow(_merge, ANSWERS).withColumnRenamed("content", "answer")
+        answers = work.table("answers", answers)
+        work.drop("packed")
+        work.release()
         tagged = identified.withColumn("tag", F.col("version").bitwiseAND(F.lit(_TAG)).cast("int"))
         sent = tagged.join(answers.hint("merge"), ["doc_id", "tag"]).mapInArrow(_send(length, buckets), SENT)
         sent = work.table("sent", sent)
-        work.drop("packed")
+        work.drop("answers")
         work.release()
         known = sent.filter("bucket < 0").select("doc_id", "version", F.col("start").alias("runs"))
         found = sent.filter("bucket >= 0").groupBy("bucket").applyInArrow(_sort(length), RUNS)
-        runs = known.unionByName(found).groupBy("doc_id", "version").agg(F.collect_list("runs").alias("runs"))
+        # Written before the texts are dealt out again, so that they and what was sent are not on disk together.
+        runs = work.table("runs", known.unionByName(found))
+        work.drop("sent")
+        work.release()
+        runs = runs.groupBy("doc_id", "version").agg(F.collect_list("runs").alias("runs"))
         result = rows.join(runs.hint("merge"), ["doc_id", "version"], "left").select("doc_id", "text", "runs").mapInArrow(
             _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<bigint>"
         )
